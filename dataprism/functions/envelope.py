@@ -25,6 +25,12 @@ PROFILE_TYPE = T.StructType(
 )
 PROFILE_DDL = PROFILE_TYPE.simpleString()
 
+# Timestamps inside the JSON keep microseconds (the default JSON format stops at milliseconds).
+JSON_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 def metadata_map(extra: dict[str, str] | None = None) -> Column:
     """Metadata attached to every profile: integration name and version, plus caller entries."""
@@ -45,7 +51,7 @@ def profile_struct(dataset_timestamp: Column, columns: Column, metadata: Column
 
 def serialize_profile(profile: Column) -> Column:
     """``profile`` struct -> base64 text (single line)."""
-    return F.regexp_replace(F.base64(F.to_json(profile).cast("binary")), r"\s", "")
+    return F.regexp_replace(F.base64(F.to_json(profile, JSON_OPTIONS).cast("binary")), r"\s", "")
 
 
 def decode_profile_bytes(view: Column) -> Column:
@@ -55,7 +61,7 @@ def decode_profile_bytes(view: Column) -> Column:
 
 def deserialize_profile(view: Column) -> Column:
     """base64 text -> ``PROFILE_TYPE`` struct; NULL for text that is not base64 (JSON junk gives NULL fields)."""
-    return F.from_json(decode_profile_bytes(view).cast("string"), PROFILE_TYPE)
+    return F.from_json(decode_profile_bytes(view).cast("string"), PROFILE_TYPE, JSON_OPTIONS)
 
 
 def is_valid_profile(decoded: Column) -> Column:
