@@ -163,8 +163,7 @@ def profile(
             *[merge_stats(f"__c{i}", F.col(f"__m{i}")).alias(f"__c{i}") for i in range(len(prof_names))],
         )
 
-    prof = l1.withColumn("__ord", B.bucket_ordinal(F.col("__bucket"), fq))
-    prof = _attach_bucket_facts(prof, key_alias)
+    prof = _attach_bucket_facts(l1, key_alias, fq)
 
     seg_cols = [F.col(a) for a in seg_alias]
     segment = E.segment_json(seg_names, seg_cols)
@@ -190,18 +189,22 @@ def profile(
     return prof.select(*out)
 
 
-def _attach_bucket_facts(prof: DataFrame, key_alias: list[str]) -> DataFrame:
+def _attach_bucket_facts(prof: DataFrame, key_alias: list[str], fq: B.Freq) -> DataFrame:
     """``__rows`` = rows of (partition, bucket); ``__gc`` = bins from the partition's first to last bucket.
 
-    Both come from aggregates of the (small) profile table joined back on their keys; AQE turns the joins into
-    broadcasts when the measured size allows and keeps a shuffle join otherwise.
+    Both come from one small aggregate per (partition, bucket) — Catalyst prunes it to a narrow pass over the key and
+    time columns with map-side partial counts — and a second aggregate of that per partition; the span branch reuses
+    the first one's exchange. They are joined back on their keys (NULL-safe); AQE broadcasts them when the measured
+    size allows and keeps a shuffle join otherwise. No window collects a partition's profiles into one task.
     """
     rows = prof.groupBy(*key_alias, "__bucket").agg(F.sum("__n").cast("bigint").alias("__rows"))
+    ordinal = B.bucket_ordinal(F.col("__bucket"), fq)
+    # Referencing ``__rows`` keeps the span branch's subtree identical to the rows branch, so the two share one
+    # exchange (and one narrow scan) instead of Catalyst collapsing the span into a second pass over the input.
+    gc = F.when(F.sum("__rows") >= 0, F.max(ordinal) - F.min(ordinal) + 1).cast("bigint").alias("__gc")
+    prof = join_on_keys(prof, rows, [*key_alias, "__bucket"])
     if key_alias:
-        span = prof.groupBy(*key_alias).agg((F.max("__ord") - F.min("__ord") + 1).cast("bigint").alias("__gc"))
-        prof = join_on_keys(join_on_keys(prof, rows, [*key_alias, "__bucket"]), span, key_alias)
-    else:
-        # A global aggregate is exactly one row: a broadcast of proven size.
-        span = prof.agg((F.max("__ord") - F.min("__ord") + 1).cast("bigint").alias("__gc"), F.lit(0).alias("__one"))
-        prof = prof.join(rows, ["__bucket"]).withColumn("__one", F.lit(0)).join(F.broadcast(span), "__one").drop("__one")
-    return prof
+        return join_on_keys(prof, rows.groupBy(*key_alias).agg(gc), key_alias)
+    # A global aggregate is exactly one row: a broadcast of proven size.
+    span = rows.agg(gc, F.lit(0).alias("__one"))
+    return prof.withColumn("__one", F.lit(0)).join(F.broadcast(span), "__one").drop("__one")

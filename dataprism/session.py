@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Profiles aggregate sketch buffers (object aggregates); the default switches a task to sort-based aggregation
+    # after 128 groups, which segmented daily profiles exceed. Buffers are a few KB per column and group.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
 }
 
 
