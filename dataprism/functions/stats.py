@@ -10,7 +10,7 @@ Statistics by declared type class:
 
 ============  ======================================================================================
 all           count, null_count, type counts, distinct sketch (not for nested types)
-integral      numeric min/max/moments, KLL, frequent items
+integral      numeric min/max/moments, KLL
 fractional    NaN / ±Inf counts, numeric min/max over non-NaN, moments over finite values, KLL
 boolean       frequent items
 string        min/max (binary order), length min/max/sum, frequent items
@@ -93,134 +93,161 @@ def type_class(dt: T.DataType) -> str:
     return "other"
 
 
-def _null(name: str) -> Column:
-    return F.lit(None).cast(dict(STATS_FIELDS)[name])
+_FIELD_DDL = {n: t.simpleString() for n, t in STATS_FIELDS}
 
+# The one expression of every field, per type class, in Spark SQL. ``{c}`` is the column, ``{x}`` its
+# double value, ``{o}`` the value with NaN removed (ordered), ``{f}`` the finite value.
+_INF = "CAST('Infinity' AS DOUBLE)"
 
-def _count_if(cond: Column) -> Column:
-    return F.count_if(cond).cast("bigint")
 
+def _null_sql(field: str) -> str:
+    return f"CAST(NULL AS {_FIELD_DDL[field]})"
 
-def column_stats(name: str, dt: T.DataType, *, exact: bool = False,
-                 topk_capacity: int = DEFAULT_TOPK_CAPACITY, sketches: bool = True) -> Column:
-    """Aggregate expression: the ``STATS_TYPE`` struct of column ``name`` (a plain identifier) over a group."""
+
+def column_stats_sql(name: str, dt: T.DataType, *, exact: bool = False,
+                     topk_capacity: int = DEFAULT_TOPK_CAPACITY, sketches: bool = True) -> str:
+    """SQL text of the aggregate expression giving the ``STATS_TYPE`` struct of column ``name`` over a group.
+
+    Built as text so a column costs one call into the JVM, whatever the number of statistics.
+    """
     cls = type_class(dt)
-    c = F.col(name)
-    nonnull = F.count(c).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    out: dict[str, Column] = {field: _null(field) for field, _ in STATS_FIELDS}
-    out["col_type"] = F.lit(dt.simpleString())
-    out["count"] = F.count(F.lit(1)).cast("bigint")
-    out["null_count"] = _count_if(c.isNull())
-    out["nan_count"] = zero
-    out["inf_count"] = zero
+    c = f"`{name}`"
+    out: dict[str, str] = {
+        "col_type": f"'{dt.simpleString()}'",
+        "count": "count(1)",
+        "null_count": f"count_if({c} IS NULL)",
+        "nan_count": "0L",
+        "inf_count": "0L",
+    }
     for k in TYPE_CLASSES:
-        out[f"n_{k}"] = zero
+        out[f"n_{k}"] = "0L"
     # binary values are counted with strings: both are byte sequences to the statistics.
-    out[f"n_{'string' if cls == 'binary' else cls}"] = nonnull
+    out[f"n_{'string' if cls == 'binary' else cls}"] = f"count({c})"
 
     if cls in ("integral", "fractional"):
-        x = c.cast("double")
+        x = f"CAST({c} AS DOUBLE)"
         if cls == "fractional":
-            out["nan_count"] = _count_if(F.isnan(x))
-            out["inf_count"] = _count_if(F.abs(x) == F.lit(float("inf")))
-            ordered = F.when(~F.isnan(x), x)
-            finite = F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
+            out["nan_count"] = f"count_if(isnan({x}))"
+            out["inf_count"] = f"count_if(abs({x}) = {_INF})"
+            ordered = f"CASE WHEN NOT isnan({x}) THEN {x} END"
+            finite = f"CASE WHEN NOT isnan({x}) AND abs({x}) != {_INF} THEN {x} END"
         else:
-            ordered = x
-            finite = x
-        out["num_min"] = F.min(ordered)
-        out["num_max"] = F.max(ordered)
-        out["num_n"] = F.count(finite).cast("bigint")
-        out["num_mean"] = F.avg(finite)
-        out["num_m2"] = F.var_pop(finite) * F.count(finite)
+            ordered = finite = x
+        out["num_min"] = f"min({ordered})"
+        out["num_max"] = f"max({ordered})"
+        out["num_n"] = f"count({finite})"
+        out["num_mean"] = f"avg({finite})"
+        out["num_m2"] = f"var_pop({finite}) * count({finite})"
         if sketches:
-            out["kll"] = F.kll_sketch_agg_double(ordered, F.lit(DEFAULT_KLL_K))
+            out["kll"] = f"kll_sketch_agg_double({ordered}, {DEFAULT_KLL_K})"
     elif cls == "string":
-        out["str_min"] = F.min(c)
-        out["str_max"] = F.max(c)
+        out["str_min"] = f"min({c})"
+        out["str_max"] = f"max({c})"
     elif cls == "temporal":
-        out["ts_min"] = F.min(c).cast("timestamp_ntz")
-        out["ts_max"] = F.max(c).cast("timestamp_ntz")
+        out["ts_min"] = f"CAST(min({c}) AS TIMESTAMP_NTZ)"
+        out["ts_max"] = f"CAST(max({c}) AS TIMESTAMP_NTZ)"
 
     if cls in ("string", "binary"):
-        ln = F.length(c).cast("bigint")
-        out["len_min"] = F.min(ln)
-        out["len_max"] = F.max(ln)
-        out["len_sum"] = F.sum(ln).cast("bigint")
+        ln = f"CAST(length({c}) AS BIGINT)"
+        out["len_min"] = f"min({ln})"
+        out["len_max"] = f"max({ln})"
+        out["len_sum"] = f"sum({ln})"
 
-    key = _distinct_key(c, cls)
+    key = _distinct_key_sql(c, cls)
     if key is not None:
         if sketches:
-            out["hll"] = F.hll_sketch_agg(key)
+            out["hll"] = f"hll_sketch_agg({key})"
         if exact:
-            out["exact_distinct"] = F.count_distinct(key).cast("bigint")
+            out["exact_distinct"] = f"count(DISTINCT {key})"
     item = _item_sql(name, cls)
     if sketches:
         # NULL would count as an item in the sketch, so only non-null values are fed (all-null -> empty list).
         # Columns without frequent items get an empty string-typed state (folded to a constant by the optimizer):
         # the combine aggregate cannot take NULL states, and one state type keeps every column mergeable.
-        cond = f"`{name}` IS NOT NULL" if item is not None else "false"
-        out["topk"] = F.expr(
+        cond = f"{c} IS NOT NULL" if item is not None else "false"
+        out["topk"] = (
             f"approx_top_k_accumulate({item or 'CAST(NULL AS STRING)'}, {int(topk_capacity)}) FILTER (WHERE {cond})"
         )
-    return F.struct(*[out[field].alias(field) for field, _ in STATS_FIELDS])
+    fields = ", ".join(
+        f"'{field}', CAST({out.get(field, 'NULL')} AS {_FIELD_DDL[field]})" if field not in ("topk",)
+        else f"'{field}', {out.get(field, _null_sql(field))}"
+        for field, _ in STATS_FIELDS
+    )
+    return f"named_struct({fields})"
+
 
+def column_stats(name: str, dt: T.DataType, **kwargs) -> Column:
+    """Aggregate expression: the ``STATS_TYPE`` struct of column ``name`` (a plain identifier) over a group."""
+    return F.expr(column_stats_sql(name, dt, **kwargs))
 
-def _distinct_key(c: Column, cls: str) -> Column | None:
-    """Value the distinct sketch sees; the sketch takes int, bigint, string and binary only."""
+
+def _distinct_key_sql(c: str, cls: str) -> str | None:
+    """Value the distinct sketch sees. The sketch takes int, bigint, string and binary; integral values go in as they
+    are, every other type as its 64-bit xxhash (cheaper than a string per value; a collision is negligible next to
+    the sketch's own error)."""
     if cls == "integral":
-        return c.cast("bigint")
-    if cls in ("string", "binary"):
-        return c
-    if cls in ("fractional", "boolean", "temporal"):
-        return c.cast("string")
+        return f"CAST({c} AS BIGINT)"
+    if cls in ("fractional", "boolean", "temporal", "string", "binary"):
+        return f"CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END"
     return None
 
 
 def _item_sql(name: str, cls: str) -> str | None:
-    """SQL text of the value the frequent-items sketch sees (string; hex for binary); None for continuous types."""
-    if cls in ("string", "integral", "boolean"):
+    """SQL text of the value the frequent-items sketch sees: categorical types only (string, boolean, hex of binary);
+    numbers and times are described by the quantile sketch and extrema instead."""
+    if cls in ("string", "boolean"):
         return f"CAST(`{name}` AS STRING)"
     if cls == "binary":
         return f"hex(`{name}`)"
     return None
 
 
-def merge_stats(name: str, group_mean: Column | None = None) -> Column:
-    """Aggregate expression combining the ``STATS_TYPE`` structs in column ``name`` (sub-groups) into the struct of
-    their union.
+def merge_stats_sql(name: str, group_mean: str | None = None) -> str:
+    """SQL text of the aggregate combining the ``STATS_TYPE`` structs in column ``name`` (sub-groups) into the struct
+    of their union.
 
-    ``group_mean`` must be the weighted mean of ``s.num_mean`` over the rows being merged (computed with a window on
-    the small partial table); with it M2 is combined exactly as ``Σ M2_i + Σ n_i (mean_i - mean)²``.
+    ``group_mean`` (SQL text) must be the weighted mean of ``num_mean`` over the rows being merged (a window on the
+    small partial table); with it M2 is combined exactly as ``Σ M2_i + Σ n_i (mean_i - mean)²`` (Chan et al.).
     """
-    s = F.col(name)
-    f = {field: s.getField(field) for field, _ in STATS_FIELDS}
-    n_sum = F.sum(f["num_n"]).cast("bigint")
-    mean = F.sum(f["num_n"] * f["num_mean"]) / F.sum(f["num_n"])
-    if group_mean is None:
-        group_mean = mean
-    m2 = F.sum(f["num_m2"] + f["num_n"] * F.pow(f["num_mean"] - group_mean, 2))
+    s = f"`{name}`"
+    n = f"sum({s}.num_n)"
+    mean = f"sum({s}.num_n * {s}.num_mean) / {n}"
+    gm = group_mean or mean
     out = {
-        "col_type": F.max(f["col_type"]),
-        "num_min": F.min(f["num_min"]),
-        "num_max": F.max(f["num_max"]),
-        "num_n": n_sum,
-        "num_mean": F.when(n_sum > 0, mean),
-        "num_m2": F.when(n_sum > 0, m2),
-        "str_min": F.min(f["str_min"]),
-        "str_max": F.max(f["str_max"]),
-        "ts_min": F.min(f["ts_min"]),
-        "ts_max": F.max(f["ts_max"]),
-        "len_min": F.min(f["len_min"]),
-        "len_max": F.max(f["len_max"]),
-        "len_sum": F.sum(f["len_sum"]).cast("bigint"),
-        "kll": F.kll_merge_agg_double(f["kll"]),
-        "hll": F.hll_union_agg(f["hll"], F.lit(True)),
-        "topk": F.call_function("approx_top_k_combine", f["topk"]),
+        "col_type": f"max({s}.col_type)",
+        "num_min": f"min({s}.num_min)",
+        "num_max": f"max({s}.num_max)",
+        "num_n": n,
+        "num_mean": f"CASE WHEN {n} > 0 THEN {mean} END",
+        "num_m2": f"CASE WHEN {n} > 0 THEN sum({s}.num_m2 + {s}.num_n * pow({s}.num_mean - ({gm}), 2)) END",
+        "str_min": f"min({s}.str_min)",
+        "str_max": f"max({s}.str_max)",
+        "ts_min": f"min({s}.ts_min)",
+        "ts_max": f"max({s}.ts_max)",
+        "len_min": f"min({s}.len_min)",
+        "len_max": f"max({s}.len_max)",
+        "len_sum": f"sum({s}.len_sum)",
+        "kll": f"kll_merge_agg_double({s}.kll)",
+        "hll": f"hll_union_agg({s}.hll, true)",
+        "topk": f"approx_top_k_combine({s}.topk)",
         # An exact distinct count cannot be combined from parts.
-        "exact_distinct": _null("exact_distinct"),
+        "exact_distinct": "NULL",
     }
     for field in ("count", "null_count", "nan_count", "inf_count") + tuple(f"n_{k}" for k in TYPE_CLASSES):
-        out[field] = F.sum(f[field]).cast("bigint")
-    return F.struct(*[out[field].alias(field) for field, _ in STATS_FIELDS])
+        out[field] = f"sum({s}.{field})"
+    fields = ", ".join(
+        f"'{field}', CAST({out[field]} AS {_FIELD_DDL[field]})" if field != "topk" else f"'{field}', {out[field]}"
+        for field, _ in STATS_FIELDS
+    )
+    return f"named_struct({fields})"
+
+
+def merge_stats(name: str, group_mean: str | None = None) -> Column:
+    """Aggregate expression merging the ``STATS_TYPE`` structs of column ``name``; see ``merge_stats_sql``."""
+    return F.expr(merge_stats_sql(name, group_mean))
+
+
+def weighted_mean_sql(name: str, window: str) -> str:
+    """SQL text of the row-weighted mean of ``name.num_mean`` over a window spec (``PARTITION BY ...``)."""
+    s = f"`{name}`"
+    return f"sum({s}.num_n * {s}.num_mean) OVER ({window}) / sum({s}.num_n) OVER ({window})"

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import merge_stats
+from dataprism.functions.stats import merge_stats, weighted_mean_sql
 
 DEFAULT_KEYS = ("dataset_timestamp", "segment_partition", "segment")
 
@@ -32,13 +32,10 @@ def merge_profiles(profiles: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, *, p
         F.col(profile_col).getField("dataset_timestamp").alias("__ts"),
         F.explode(F.col(profile_col).getField("columns")).alias("__name", "__stats"),
     )
-    w = Window.partitionBy(*keys, "__name")
-    cols = cols.withColumn(
-        "__mean",
-        F.sum(F.col("__stats.num_n") * F.col("__stats.num_mean")).over(w) / F.sum(F.col("__stats.num_n")).over(w),
-    )
+    window = "PARTITION BY " + ", ".join(f"`{k}`" for k in [*keys, "__name"])
+    cols = cols.withColumn("__mean", F.expr(weighted_mean_sql("__stats", window)))
     merged = cols.groupBy(*keys, "__name").agg(
-        merge_stats("__stats", F.col("__mean")).alias("__stats"),
+        merge_stats("__stats", "`__mean`").alias("__stats"),
         F.min("__ts").alias("__ts"),
     )
     # Every column's ``count`` is the row count of its profile, so the merged rows are the largest merged count.

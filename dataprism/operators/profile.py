@@ -24,13 +24,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, merge_stats
+from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, merge_stats, weighted_mean_sql
 from dataprism.operators.config import DEFAULT_FREQ, is_control_column, parse_segments, resolve_names
 from dataprism.operators.joins import join_on_keys
 
@@ -79,6 +79,7 @@ def profile(
     topk_capacity: int = DEFAULT_TOPK_CAPACITY,
     metadata: dict[str, str] | None = None,
     serialize: bool = False,
+    min_partitions: int | str | None = "auto",
 ) -> DataFrame:
     """Profile ``df`` per partition key, time bucket of ``ts`` at ``freq``, and segment.
 
@@ -92,6 +93,10 @@ def profile(
 
     Profiled columns: every column of ``df`` except the control columns, including the event-time and segment
     columns; ``columns`` narrows the set (and the scan).
+
+    ``min_partitions``: an input with fewer partitions than this (``"auto"``: the session's default parallelism) is
+    hash-spread over that many partitions before aggregating, so a file with few row groups does not leave the
+    cluster idle. Inputs with enough partitions — any large table — are aggregated where they are read.
     """
     fq = B.parse_freq(freq)
     seg_names = resolve_names(df, parse_segments(segments), "segment column")
@@ -123,6 +128,7 @@ def profile(
     )
     if not seg_names:
         pre = pre.filter(F.col("__ts").isNotNull())
+    pre = _spread(df, pre, min_partitions)
     pre = pre.withColumn("__cell", cell)
     group = key_alias + ["__cell"] + seg_alias
     if salt is not None and salt > 1:
@@ -142,25 +148,22 @@ def profile(
         if key_alias:
             l1 = join_on_keys(l1, l1.groupBy(*key_alias).agg(first), key_alias)
         else:
-            # A global aggregate is exactly one row: a broadcast of proven size.
-            origin = l1.agg(first, F.lit(0).alias("__one"))
-            l1 = l1.withColumn("__one", F.lit(0)).join(F.broadcast(origin), "__one").drop("__one")
+            # A global aggregate is exactly one row: attached as a scalar subquery, no join.
+            l1 = l1.withColumn("__origin", l1.agg(first).scalar())
         l1 = l1.withColumn("__bucket", B.rebucket(F.col("__cell"), F.col("__origin"), fq)).drop("__origin", "__cell")
     else:
         l1 = l1.withColumnRenamed("__cell", "__bucket")
     bgroup = key_alias + ["__bucket"] + seg_alias
 
     if needs_merge:
-        w = Window.partitionBy(*bgroup)
-        means = [
-            (F.sum(F.col(f"__c{i}.num_n") * F.col(f"__c{i}.num_mean")).over(w) / F.sum(F.col(f"__c{i}.num_n")).over(w))
-            .alias(f"__m{i}")
-            for i in range(len(prof_names))
-        ]
-        l1 = l1.select("*", *means)
+        # Group means for the exact M2 combination: a window over the partials of one group (at most salt × cells
+        # per bucket rows), sharing the exchange of the merge aggregate that follows.
+        window = "PARTITION BY " + ", ".join(f"`{k}`" for k in bgroup)
+        l1 = l1.select("*", *[F.expr(weighted_mean_sql(f"__c{i}", window)).alias(f"__m{i}")
+                              for i in range(len(prof_names))])
         l1 = l1.groupBy(*bgroup).agg(
             F.sum("__n").cast("bigint").alias("__n"),
-            *[merge_stats(f"__c{i}", F.col(f"__m{i}")).alias(f"__c{i}") for i in range(len(prof_names))],
+            *[merge_stats(f"__c{i}", f"`__m{i}`").alias(f"__c{i}") for i in range(len(prof_names))],
         )
 
     prof = _attach_bucket_facts(l1, key_alias, fq)
@@ -189,6 +192,17 @@ def profile(
     return prof.select(*out)
 
 
+def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None) -> DataFrame:
+    """Spread an under-partitioned input; a no-op for inputs that already have enough partitions."""
+    if min_partitions is None:
+        return pre
+    target = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
+    if target <= 1 or df.rdd.getNumPartitions() >= target:
+        return pre
+    # Row ids are stable per input partition, so a retried task sends every row to the same place.
+    return pre.repartition(target, F.monotonically_increasing_id())
+
+
 def _attach_bucket_facts(prof: DataFrame, key_alias: list[str], fq: B.Freq) -> DataFrame:
     """``__rows`` = rows of (partition, bucket); ``__gc`` = bins from the partition's first to last bucket.
 
@@ -205,6 +219,5 @@ def _attach_bucket_facts(prof: DataFrame, key_alias: list[str], fq: B.Freq) -> D
     prof = join_on_keys(prof, rows, [*key_alias, "__bucket"])
     if key_alias:
         return join_on_keys(prof, rows.groupBy(*key_alias).agg(gc), key_alias)
-    # A global aggregate is exactly one row: a broadcast of proven size.
-    span = rows.agg(gc, F.lit(0).alias("__one"))
-    return prof.withColumn("__one", F.lit(0)).join(F.broadcast(span), "__one").drop("__one")
+    # A global aggregate is exactly one row: attached as a scalar subquery, no join.
+    return prof.withColumn("__gc", rows.agg(gc).scalar())

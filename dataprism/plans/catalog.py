@@ -299,7 +299,7 @@ def hll_within_bound(spark: SparkSession, d: str) -> DataFrame:
 def topk_within_bound(spark: SparkSession, d: str) -> DataFrame:
     """Frequent-item counts against exact counts; the first item is a true most-frequent one (within bound)."""
     ev = table(spark, d, "events")
-    cols = ["event_type", "user_id"]
+    cols = ["event_type", "props"]
     p = profile(ev, "ts", freq="D", columns=cols, topk_capacity=256)
     s = profile_summary(p, keys=["dataset_timestamp"], top_items=5)
     items = s.select("dataset_timestamp", "column_name", "count", F.posexplode("top_items").alias("pos", "it"))

@@ -145,7 +145,7 @@ def oracle_queries() -> dict[str, str]:
     q["kll_within_bound"] = _bounds([("lineitem", li_keys, c) for c in ["l_quantity", "l_extendedprice", "l_discount"]])
     ev_keys = f"{DAY} AS dataset_timestamp, {EV_SEG} AS segment"
     q["hll_within_bound"] = _bounds([("events", ev_keys, c) for c in ["event_id", "user_id", "value", "props"]])
-    q["topk_within_bound"] = _bounds([("events", f"{DAY} AS dataset_timestamp", c) for c in ["event_type", "user_id"]])
+    q["topk_within_bound"] = _bounds([("events", f"{DAY} AS dataset_timestamp", c) for c in ["event_type", "props"]])
 
     q["salted_merge_equals_direct"] = profile_sql(
         "events", "events", DAY, segments=["event_type"], columns=["value", "user_id", "props"], segment_col=True,
