@@ -17,7 +17,10 @@ from dataprism.functions import envelope as E
 from dataprism.operators.filters import filter_days
 from dataprism.operators.merge import merge_profiles
 from dataprism.operators.profile import profile
+from dataprism.operators.publish import FileProfileWriter, publish, read_store
 from dataprism.operators.summary import QUANTILES, profile_summary
+from dataprism.session import scratch_path
+from dataprism.sources.profile_files import read_profiles
 from dataprism.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -368,6 +371,71 @@ def epoch_ms_roundtrip(spark: SparkSession, d: str) -> DataFrame:
                      B.epoch_ms(B.bucket_label(F.col("ts"), B.parse_freq("D"))).alias("day_ms"))
 
 
+# ---------------------------------------------------------------------------------------------------------------
+# Publish, profile store, profile files
+# ---------------------------------------------------------------------------------------------------------------
+
+def _receipt_time(ts_ms: Column) -> Column:
+    """Receipt time as text (``to_timestamp`` of the epoch-ms value)."""
+    return F.date_format(B.from_epoch_ms(ts_ms), "yyyy-MM-dd HH:mm:ss.SSS")
+
+
+def publish_receipts(spark: SparkSession, d: str) -> DataFrame:
+    """Profile (day, event type) partitions segmented on event type, damage the profiles of days 5, 10, ..., publish
+    to a profile store: one receipt per profile, ``Ok`` or the decode error."""
+    ev = table(spark, d, "events")
+    p = profile(ev, "ts", segments="event_type", partition_by=[_day_ms("ts"), "event_type"], serialize=True)
+    damaged = F.dayofmonth(B.from_epoch_ms(F.col("dataset_timestamp"))) % 5 == 0
+    p = p.withColumn("profile_view", F.when(damaged, F.concat(F.lit("corrupt:"), F.col("segment")))
+                     .otherwise(F.col("profile_view")))
+    r = publish(p, scratch_path(spark, "store"), dataset_id="model-97")
+    return r.select(*r.columns, _receipt_time(F.col("dataset_timestamp")).alias("receipt_time"))
+
+
+def _require_delivered(receipts: DataFrame) -> None:
+    if receipts.filter(F.col("result").isNull()).limit(1).count():
+        raise RuntimeError("publish failed for some profiles")
+
+
+def publish_store_readback(spark: SparkSession, d: str) -> DataFrame:
+    """Unsegmented daily profiles per event type, routed to dataset ``m-<event type>``, read back from the store."""
+    ev = table(spark, d, "events")
+    p = profile(ev, "ts", partition_by=["event_type"], serialize=True)
+    p = p.withColumn("dataset_id", F.concat(F.lit("m-"), F.col("event_type")))
+    path = scratch_path(spark, "store")
+    _require_delivered(publish(p, path))
+    return exact_summary(read_store(spark, path), ["dataset_id", "dataset_timestamp", "segment"])
+
+
+def publish_writer_receipts(spark: SparkSession, d: str) -> DataFrame:
+    """Per-row delivery through a writer cached per task and dataset id; an invalid dataset id ('' for clicks) gives
+    a delivery-failure receipt, every other profile ``Ok``."""
+    ev = table(spark, d, "events")
+    p = profile(ev, "ts", partition_by=["event_type"], serialize=True, columns=["value", "user_id"])
+    ds = F.when(F.col("event_type") == "click", F.lit("")).otherwise(F.concat(F.lit("m-"), F.col("event_type")))
+    return publish(p.withColumn("ds", ds), writer_factory=FileProfileWriter.factory(scratch_path(spark, "files")),
+                   dataset_id="ds")
+
+
+def _files_readback(encoding: str) -> Query:
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        ev = table(spark, d, "events")
+        p = profile(ev, "ts", partition_by=["event_type"], serialize=True)
+        root = scratch_path(spark, "files")
+        _require_delivered(publish(p.withColumn("dataset_id", F.concat(F.lit("m-"), F.col("event_type"))),
+                                   writer_factory=FileProfileWriter.factory(root, encoding)))
+        files = read_profiles(spark, root, encoding=encoding)
+        files = files.withColumn("dataset_id", F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1))
+        return exact_summary(files, ["dataset_id", "dataset_timestamp"])
+
+    q.__doc__ = f"Profiles delivered as one {encoding} file each, read back as one DataFrame."
+    return q
+
+
+profile_files_base64 = _files_readback("base64")
+profile_files_raw = _files_readback("raw")
+
+
 QUERIES: dict[str, Query] = {
     "profile_daily": profile_daily,
     "profile_daily_segmented": profile_daily_segmented,
@@ -411,4 +479,9 @@ QUERIES: dict[str, Query] = {
     "envelope_roundtrip": envelope_roundtrip,
     "summary_all_stats": summary_all_stats,
     "epoch_ms_roundtrip": epoch_ms_roundtrip,
+    "publish_receipts": publish_receipts,
+    "publish_store_readback": publish_store_readback,
+    "publish_writer_receipts": publish_writer_receipts,
+    "profile_files_base64": profile_files_base64,
+    "profile_files_raw": profile_files_raw,
 }

@@ -164,4 +164,28 @@ def oracle_queries() -> dict[str, str]:
     q["epoch_ms_roundtrip"] = (
         f"SELECT event_id, {ms('ts')} AS ts_ms, true AS roundtrip_ok, {DAY} AS day_ms FROM events"
     )
+
+    damaged = "dayofmonth(date_trunc('day', ts)) % 5 = 0"
+    bad_view = f"'corrupt:' || {EV_SEG}"
+    err = (f"'Error uploading: profile payload could not be decoded (' || length({bad_view}) || "
+           f"' characters, md5 ' || md5({bad_view}) || ')'")
+    ts_ms = f"CASE WHEN {damaged} THEN -1 ELSE {DAY} END"
+    q["publish_receipts"] = (
+        f"SELECT 'model-97' AS dataset_id, CASE WHEN {damaged} THEN NULL ELSE 'Ok' END AS result, "
+        f"CASE WHEN {damaged} THEN {err} END AS error, ({ts_ms})::BIGINT AS dataset_timestamp, "
+        f"CASE WHEN {damaged} THEN 'Error' ELSE {EV_SEG} END AS segment, "
+        f"strftime(make_timestamp(({ts_ms}) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS receipt_time "
+        "FROM events GROUP BY date_trunc('day', ts), event_type"
+    )
+    q["publish_store_readback"] = profile_sql("events", "events", DAY, keys=[("dataset_id", "'m-' || event_type")],
+                                              segment_col=True)
+    bad_id = "'Error uploading: ValueError: invalid dataset id ' || chr(39) || chr(39)"
+    q["publish_writer_receipts"] = (
+        "SELECT CASE WHEN event_type = 'click' THEN '' ELSE 'm-' || event_type END AS dataset_id, "
+        "CASE WHEN event_type = 'click' THEN NULL ELSE 'Ok' END AS result, "
+        f"CASE WHEN event_type = 'click' THEN {bad_id} END AS error, "
+        f"{DAY} AS dataset_timestamp, NULL::VARCHAR AS segment FROM events GROUP BY event_type, {DAY}"
+    )
+    for enc in ("base64", "raw"):
+        q[f"profile_files_{enc}"] = profile_sql("events", "events", DAY, keys=[("dataset_id", "'m-' || event_type")])
     return q
