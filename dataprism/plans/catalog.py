@@ -16,6 +16,7 @@ from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
 from dataprism.operators.filters import filter_days
 from dataprism.operators.merge import merge_profiles
+from dataprism.operators.payload import make_payload, profile_payload
 from dataprism.operators.profile import profile
 from dataprism.operators.publish import FileProfileWriter, publish, read_store
 from dataprism.operators.summary import QUANTILES, profile_summary
@@ -371,6 +372,35 @@ def epoch_ms_roundtrip(spark: SparkSession, d: str) -> DataFrame:
                      B.epoch_ms(B.bucket_label(F.col("ts"), B.parse_freq("D"))).alias("day_ms"))
 
 
+# ---------------------------------------------------------------------------------------------------------------
+# Row payloads (one object per row with control keys)
+# ---------------------------------------------------------------------------------------------------------------
+
+def _event_ms(ev: DataFrame) -> Column:
+    return B.epoch_ms(F.col("ts"))
+
+
+def profile_payload_variant(spark: SparkSession, d: str) -> DataFrame:
+    """``object_insert(object_construct(*), DATASET_TIMESTAMP, SEGMENT_COLUMNS)`` as a VARIANT per row, partitioned
+    by day: keys and types discovered from the data, the raw time column profiled like any other value."""
+    ev = table(spark, d, "events")
+    src = ev.select(_day_ms("ts"), make_payload(ev, dataset_timestamp=_event_ms(ev), segment_columns="EVENT_TYPE")
+                    .alias("data"))
+    p = profile_payload(src, "data", partition_by=["day"])
+    return exact_summary(p, ["day", "dataset_timestamp", "segment", "rows_processed"])
+
+
+def profile_payload_config(spark: SparkSession, d: str) -> DataFrame:
+    """Struct payload partitioned by event type whose GROUP_BY_FREQUENCY differs by partition (weekly for clicks
+    and views, daily otherwise): one plan per distinct configuration."""
+    ev = table(spark, d, "events")
+    freq = F.when(F.col("event_type").isin("click", "view"), F.lit("W")).otherwise(F.lit("D"))
+    src = ev.select("event_type", make_payload(ev, dataset_timestamp=_event_ms(ev), freq=freq, as_variant=False)
+                    .alias("data"))
+    p = profile_payload(src, "data", partition_by=["event_type"])
+    return exact_summary(p, ["event_type", "dataset_timestamp", "rows_processed"])
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Publish, profile store, profile files
 # ---------------------------------------------------------------------------------------------------------------
@@ -479,6 +509,8 @@ QUERIES: dict[str, Query] = {
     "envelope_roundtrip": envelope_roundtrip,
     "summary_all_stats": summary_all_stats,
     "epoch_ms_roundtrip": epoch_ms_roundtrip,
+    "profile_payload_variant": profile_payload_variant,
+    "profile_payload_config": profile_payload_config,
     "publish_receipts": publish_receipts,
     "publish_store_readback": publish_store_readback,
     "publish_writer_receipts": publish_writer_receipts,

@@ -165,6 +165,13 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT event_id, {ms('ts')} AS ts_ms, true AS roundtrip_ok, {DAY} AS day_ms FROM events"
     )
 
+    q["profile_payload_variant"] = profile_sql(
+        "events", "events", DAY, keys=[("day", DAY)], segments=["event_type"], segment_col=True, rows_processed=True)
+    week_or_day = (f"CASE WHEN event_type IN ('click', 'view') THEN epoch_ms(date_trunc('week', ts) + INTERVAL 6 DAY) "
+                   f"ELSE {DAY} END")
+    q["profile_payload_config"] = profile_sql("events", "events", week_or_day, keys=[("event_type", "event_type")],
+                                              rows_processed=True)
+
     damaged = "dayofmonth(date_trunc('day', ts)) % 5 = 0"
     bad_view = f"'corrupt:' || {EV_SEG}"
     err = (f"'Error uploading: profile payload could not be decoded (' || length({bad_view}) || "
