@@ -21,6 +21,7 @@ from dataprism.operators.profile import profile
 from dataprism.operators.publish import FileProfileWriter, publish, read_store
 from dataprism.operators.summary import QUANTILES, profile_summary
 from dataprism.session import scratch_path
+from dataprism.sources.datagen import amplify, employees_from
 from dataprism.sources.profile_files import read_profiles
 from dataprism.sources.tables import table
 
@@ -401,6 +402,23 @@ def profile_payload_config(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["event_type", "dataset_timestamp", "rows_processed"])
 
 
+# ---------------------------------------------------------------------------------------------------------------
+# Sample data
+# ---------------------------------------------------------------------------------------------------------------
+
+def datagen_employees(spark: SparkSession, d: str) -> DataFrame:
+    """One synthetic employee per event (fields from the event id, hire date = event time), typed by cast."""
+    e = employees_from(table(spark, d, "events"), "event_id", "ts")
+    return e.select(*[c for c in e.columns if c != "hire_date"], _us(F.col("hire_date")).alias("hire_date_us"))
+
+
+def datagen_amplified(spark: SparkSession, d: str) -> DataFrame:
+    """Employees amplified by three doublings (8 copies of every row), profiled daily per state."""
+    e = amplify(employees_from(table(spark, d, "events"), "event_id", "ts"), 3)
+    p = profile(e, "hire_date", segments="state", columns=["salary", "years_xp", "hire_date"])
+    return exact_summary(p, ["dataset_timestamp", "segment", "segment_rows"])
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Publish, profile store, profile files
 # ---------------------------------------------------------------------------------------------------------------
@@ -511,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "epoch_ms_roundtrip": epoch_ms_roundtrip,
     "profile_payload_variant": profile_payload_variant,
     "profile_payload_config": profile_payload_config,
+    "datagen_employees": datagen_employees,
+    "datagen_amplified": datagen_amplified,
     "publish_receipts": publish_receipts,
     "publish_store_readback": publish_store_readback,
     "publish_writer_receipts": publish_writer_receipts,

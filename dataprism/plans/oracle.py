@@ -40,6 +40,18 @@ SCHEMAS: dict[str, list[tuple[str, str, str]]] = {
         ("l_linestatus", "S", "string"),
         ("l_shipdate", "T", "timestamp_ntz"),
     ],
+    "employees": [
+        ("name", "S", "string"),
+        ("salary", "I", "bigint"),
+        ("job", "S", "string"),
+        ("state", "S", "string"),
+        ("email", "S", "string"),
+        ("phone", "S", "string"),
+        ("dob", "S", "string"),
+        ("ssn", "S", "string"),
+        ("hire_date", "T", "timestamp_ntz"),
+        ("years_xp", "I", "bigint"),
+    ],
     "customer": [
         ("c_custkey", "I", "bigint"),
         ("c_name", "S", "string"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataprism.plans.oracle import profile_sql
+from dataprism.sources import datagen as G
 
 DAY = "epoch_ms(date_trunc('day', ts))"
 
@@ -51,6 +52,37 @@ BAD_VALUE_EVENTS = (
 EV_SEG = "json_object('event_type', event_type)::VARCHAR"
 
 
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def employees_sql(source: str, key: str, time: str) -> str:
+    """The generator's rows in SQL: one employee per row of ``source``."""
+    def h(field: str) -> str:
+        i = G.FIELD[field]
+        return f"((({key} % {G.MOD}) * {G.MULT[i]} + {G.ADD[i]}) % {G.MOD})"
+
+    def pick(words: list[str], x: str) -> str:
+        return f"{_list(words)}[({x}) % {len(words)} + 1]"
+
+    def digits(x: str, w: int) -> str:
+        return f"lpad((({x}) % {10 ** w})::VARCHAR, {w}, '0')"
+
+    first = pick(G.FIRST_NAMES, h("name"))
+    last = pick(G.LAST_NAMES, f"{h('name')} // {len(G.FIRST_NAMES)}")
+    return (
+        f"SELECT {first} || ' ' || {last} AS name, "
+        f"({G.SALARY_MIN} + {h('salary')} % {G.SALARY_MAX - G.SALARY_MIN + 1})::BIGINT AS salary, "
+        f"{pick(G.JOBS, h('job'))} AS job, {pick(G.STATES, h('state'))} AS state, "
+        f"lower({first}) || '.' || lower({last}) || {key}::VARCHAR || '@example.com' AS email, "
+        f"{digits(h('phone'), 3)} || '-' || {digits(h('phone') + ' // 1000', 3)} || '-' || {digits(key, 4)} AS phone, "
+        f"strftime(DATE '{G.DOB_ORIGIN}' + ({h('dob')} % {G.DOB_SPAN_DAYS})::INTEGER, '%Y-%m-%d') AS dob, "
+        f"(100 + {h('ssn')} % 900)::VARCHAR || '-' || {digits(h('ssn') + ' // 900', 2)} || '-' || {digits(key, 4)} AS ssn, "
+        f"{time} AS hire_date, ({h('years_xp')} % {G.YEARS_XP_MAX + 1})::BIGINT AS years_xp "
+        f"FROM {source}"
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["profile_daily"] = profile_sql("events", "events", DAY, segment_col=True, rows_processed=True)
@@ -172,6 +204,16 @@ def oracle_queries() -> dict[str, str]:
     q["profile_payload_config"] = profile_sql("events", "events", week_or_day, keys=[("event_type", "event_type")],
                                               rows_processed=True)
 
+    emp = employees_sql("events", "event_id", "ts")
+    q["datagen_employees"] = (
+        "SELECT name, salary, job, state, email, phone, dob, ssn, epoch_us(hire_date) AS hire_date_us, years_xp "
+        f"FROM ({emp})"
+    )
+    amplified = f"(SELECT e.*, unnest(range(8)) AS __copy FROM ({emp}) e)"
+    q["datagen_amplified"] = profile_sql(
+        amplified, "employees", "epoch_ms(date_trunc('day', hire_date))", segments=["state"],
+        columns=["salary", "years_xp", "hire_date"], segment_col=True, segment_rows=True)
+
     damaged = "dayofmonth(date_trunc('day', ts)) % 5 = 0"
     bad_view = f"'corrupt:' || {EV_SEG}"
     err = (f"'Error uploading: profile payload could not be decoded (' || length({bad_view}) || "
