@@ -119,14 +119,36 @@ def to_ntz(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_ms(ts: Column) -> Column:
-    """Milliseconds since the epoch of a naive-UTC timestamp (``date_part(EPOCH_MILLISECONDS, ts)``)."""
-    return F.unix_millis(ts.cast("timestamp"))
+    """Milliseconds since the epoch of a naive-UTC timestamp (``date_part(EPOCH_MILLISECONDS, ts)``).
+
+    Computed on the wall-clock value (``timestamp_ntz`` arithmetic), so the session time zone never shifts it; floor
+    division keeps sub-millisecond times before 1970 in the right millisecond.
+    """
+    micros = epoch_us(ts)
+    return F.floor(micros / F.lit(1000)).cast("bigint")
+
+
+def epoch_us(ts: Column) -> Column:
+    """Microseconds since the epoch of a wall-clock time, from its date and time-of-day fields.
+
+    The field extractors are zone-free on ``timestamp_ntz``; ``unix_micros(cast(ts as timestamp))``,
+    ``timestamp_diff`` and NTZ subtraction all pass through the session zone and shift around DST changes.
+    """
+    t = ts.cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = F.date_part(F.lit("SECOND"), t)  # seconds with microsecond fraction
+    return (days * F.lit(86_400_000_000) + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(t).cast("bigint") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("bigint"))
 
 
 def from_epoch_ms(ms: Column) -> Column:
-    """Naive-UTC timestamp of an epoch-millisecond value."""
-    return F.timestamp_millis(ms).cast("timestamp_ntz")
+    """Naive-UTC timestamp of an epoch-millisecond value (zone-free)."""
+    return F.timestamp_add("MILLISECOND", ms.cast("bigint"), _epoch())
 
 
 def floor_ms(ts: Column, width_ms: int) -> Column:
@@ -141,23 +163,22 @@ def bucket_label(ts: Column, freq: Freq) -> Column:
         if freq.origin_dependent:
             raise ValueError(f"frequency {freq.text!r} depends on the partition origin; use cell_label + rebucket")
         if freq.width_ms == MS_PER_DAY:
-            return to_ntz(F.date_trunc("DAY", ts))
-        if freq.width_ms == 3_600_000:
-            return to_ntz(F.date_trunc("HOUR", ts))
+            return to_ntz(F.to_date(ts))
         return floor_ms(ts, freq.width_ms)
     day = F.to_date(ts)
     if freq.kind == "week":
         return to_ntz(F.date_add(day, F.pmod(F.lit(freq.anchor) - F.dayofweek(day), F.lit(7))))
     if freq.kind == "month_end":
         return to_ntz(F.last_day(day))
+    # Calendar truncation on the date (not date_trunc, which goes through the session zone).
     if freq.kind == "month_start":
-        return to_ntz(F.date_trunc("MONTH", ts))
+        return to_ntz(F.trunc(day, "month"))
     if freq.kind == "quarter_start":
-        return to_ntz(F.date_trunc("QUARTER", ts))
+        return to_ntz(F.trunc(day, "quarter"))
     if freq.kind == "quarter_end":
-        return to_ntz(F.date_sub(F.add_months(F.to_date(F.date_trunc("QUARTER", ts)), 3), 1))
+        return to_ntz(F.date_sub(F.add_months(F.trunc(day, "quarter"), 3), 1))
     if freq.kind == "year_start":
-        return to_ntz(F.date_trunc("YEAR", ts))
+        return to_ntz(F.trunc(day, "year"))
     if freq.kind == "year_end":
         return to_ntz(F.make_date(F.year(day), F.lit(12), F.lit(31)))
     raise ValueError(f"unknown frequency kind {freq.kind}")

@@ -144,7 +144,7 @@ def profile(
     needs_merge = (salt is not None and salt > 1) or fq.origin_dependent
     if fq.origin_dependent:
         # Origin = midnight of the partition's earliest row, read off the small L1 table.
-        first = B.to_ntz(F.date_trunc("DAY", F.min("__cell"))).alias("__origin")
+        first = B.to_ntz(F.to_date(F.min("__cell"))).alias("__origin")
         if key_alias:
             l1 = join_on_keys(l1, l1.groupBy(*key_alias).agg(first), key_alias)
         else:

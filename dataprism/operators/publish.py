@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dataprism.functions import envelope as E
+from dataprism.functions.buckets import from_epoch_ms
 from dataprism.operators.config import resolve_names
 from dataprism.session import scratch_path
 
@@ -147,7 +148,7 @@ def _write_staged(staged: DataFrame) -> DataFrame:
 
 
 def _day(ts_ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ts_ms).cast("timestamp_ntz"), "yyyy-MM-dd")
+    return F.date_format(from_epoch_ms(ts_ms), "yyyy-MM-dd")
 
 
 def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | Column | None = None,

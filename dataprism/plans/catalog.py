@@ -33,7 +33,8 @@ TYPE_COUNT_FIELDS = ["n_integral", "n_fractional", "n_boolean", "n_string", "n_t
 
 
 def _us(c: Column) -> Column:
-    return F.unix_micros(c.cast("timestamp"))
+    """Microseconds since the epoch of a wall-clock time (zone-free)."""
+    return B.epoch_us(c)
 
 
 def stable_round(c: Column | str, digits: int = 4) -> Column:
@@ -59,7 +60,7 @@ def exact_summary(profiles: DataFrame, keys: list[str], type_counts: bool = Fals
 
 
 def _day_ms(ts: str) -> Column:
-    return B.epoch_ms(F.date_trunc("DAY", F.col(ts))).alias("day")
+    return B.epoch_ms(F.to_date(F.col(ts))).alias("day")
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -310,7 +311,7 @@ def topk_within_bound(spark: SparkSession, d: str) -> DataFrame:
     items = s.select("dataset_timestamp", "column_name", "count", F.posexplode("top_items").alias("pos", "it"))
     items = items.select("dataset_timestamp", "column_name", "count", "pos", F.col("it.item").alias("item"),
                          F.col("it.count").alias("est"))
-    day = B.epoch_ms(F.date_trunc("DAY", F.col("ts"))).alias("dataset_timestamp")
+    day = B.epoch_ms(F.to_date(F.col("ts"))).alias("dataset_timestamp")
     exact = (
         ev.select(day, F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("item"))
                                              for c in cols])).alias("ci"))

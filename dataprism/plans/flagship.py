@@ -24,7 +24,7 @@ def flagship(spark: SparkSession, sf_dir: str, day: str = FLAGSHIP_DAY) -> DataF
         "ts",
         freq="D",
         segments="event_type",
-        partition_by=[F.date_trunc("DAY", F.col("ts")).cast("timestamp_ntz").alias("day"), "event_type"],
+        partition_by=[F.to_date(F.col("ts")).cast("timestamp_ntz").alias("day"), "event_type"],
         serialize=True,
     )
     return p.select("day", "event_type", "profile_view", "dataset_timestamp", "segment_partition", "segment",

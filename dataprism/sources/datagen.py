@@ -110,8 +110,8 @@ def employees(spark: SparkSession, n: int, *, as_of: dt.datetime | None = None,
     key = F.col("id") + F.lit(seed)
     window_s = HIRE_WINDOW_DAYS * 86_400
     offset = F.pmod(F.pmod(key, F.lit(MOD)) * F.lit(2654435761), F.lit(window_s))
-    hire = (F.lit(as_of).cast("timestamp_ntz").cast("timestamp").cast("long") - offset).cast("timestamp")
-    return typed(spark.range(n).select(*employee_text_columns(key, hire.cast("timestamp_ntz"))))
+    hire = F.timestamp_add("SECOND", -offset, F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+    return typed(spark.range(n).select(*employee_text_columns(key, hire)))
 
 
 def amplify(df: DataFrame, doublings: int) -> DataFrame:

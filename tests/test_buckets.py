@@ -74,3 +74,28 @@ def test_epoch_ms_roundtrip(spark):
     assert r.ms == 1704067207179
     back = df.select(B.from_epoch_ms(B.epoch_ms(F.col("t"))).alias("b")).collect()[0].b
     assert back == dt.datetime(2024, 1, 1, 0, 0, 7, 179000)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_labels_independent_of_session_zone(spark, zone):
+    """Labels and epoch values are wall-clock arithmetic: another session zone (DST included) changes nothing."""
+    from dataprism import profile
+
+    rows = [(dt.datetime(2024, 3, 10, 2, 30),), (dt.datetime(2024, 11, 3, 1, 30),), (dt.datetime(2024, 1, 3, 23, 59),)]
+    df = spark.createDataFrame([(r[0].isoformat(sep=" "),) for r in rows], "t string").select(
+        F.col("t").cast("timestamp_ntz").alias("ts"))
+
+    def labels():
+        out = set()
+        for freq in ("D", "h", "MS", "QS", "W", "YS"):
+            out |= {(freq, r.dataset_timestamp) for r in profile(df, "ts", freq=freq).collect()}
+        return out
+
+    expected = labels()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert labels() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ("D", 1710028800000) in expected and ("h", 1710037800000 - 1800000) in expected
