@@ -202,7 +202,7 @@ def _item_sql(name: str, cls: str) -> str | None:
     return None
 
 
-def merge_stats_sql(name: str, group_mean: str | None = None) -> str:
+def merge_stats_sql(name: str, group_mean: str | None = None, sketches: bool = True) -> str:
     """SQL text of the aggregate combining the ``STATS_TYPE`` structs in column ``name`` (sub-groups) into the struct
     of their union.
 
@@ -227,14 +227,18 @@ def merge_stats_sql(name: str, group_mean: str | None = None) -> str:
         "len_min": f"min({s}.len_min)",
         "len_max": f"max({s}.len_max)",
         "len_sum": f"sum({s}.len_sum)",
-        "kll": f"kll_merge_agg_double({s}.kll)",
-        "hll": f"hll_union_agg({s}.hll, true)",
-        "topk": f"approx_top_k_combine({s}.topk)",
+        # Profiles made without sketches carry NULL states, which the merge aggregates do not accept.
+        "kll": f"kll_merge_agg_double({s}.kll) FILTER (WHERE {s}.kll IS NOT NULL)",
+        "hll": f"hll_union_agg({s}.hll, true) FILTER (WHERE {s}.hll IS NOT NULL)",
+        "topk": f"approx_top_k_combine({s}.topk) FILTER (WHERE {s}.topk IS NOT NULL)",
         # An exact distinct count cannot be combined from parts.
         "exact_distinct": "NULL",
     }
     for field in ("count", "null_count", "nan_count", "inf_count") + tuple(f"n_{k}" for k in TYPE_CLASSES):
         out[field] = f"sum({s}.{field})"
+    if not sketches:
+        for field in ("kll", "hll", "topk"):
+            out[field] = _null_sql(field)
     fields = ", ".join(
         f"'{field}', CAST({out[field]} AS {_FIELD_DDL[field]})" if field != "topk" else f"'{field}', {out[field]}"
         for field, _ in STATS_FIELDS
@@ -242,9 +246,10 @@ def merge_stats_sql(name: str, group_mean: str | None = None) -> str:
     return f"named_struct({fields})"
 
 
-def merge_stats(name: str, group_mean: str | None = None) -> Column:
-    """Aggregate expression merging the ``STATS_TYPE`` structs of column ``name``; see ``merge_stats_sql``."""
-    return F.expr(merge_stats_sql(name, group_mean))
+def merge_stats(name: str, group_mean: str | None = None, sketches: bool = True) -> Column:
+    """Aggregate expression merging the ``STATS_TYPE`` structs of column ``name``; see ``merge_stats_sql``.
+    ``sketches=False`` when the parts were made without sketches (their states are NULL)."""
+    return F.expr(merge_stats_sql(name, group_mean, sketches))
 
 
 def weighted_mean_sql(name: str, window: str) -> str:

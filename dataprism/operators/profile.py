@@ -13,7 +13,11 @@ Plan (all JVM-side built-in expressions, no Python in the row path)::
 Salting: ``salt=n`` adds ``pmod(spark_partition_id(), n)`` to the L1 key. A task still emits at most one partial per
 group (the salt is constant within a task), but a hot group's partials are spread over ``n`` reducers, and L2 merges
 at most ``n`` partials per group. This bounds the work any single reducer does when one key holds a large share of
-the rows. ``salt=None`` is the single-level plan.
+the rows. ``salt=None`` is the single-level plan. The default ``salt="auto"`` picks ``n = ceil(input partitions /
+PARTIALS_PER_REDUCER)``: without it, a group present in every input split (an unbucketed profile, or one key holding a
+third of all rows) would have one partial per split — hundreds of thousands on a 100 TB scan — merged by one reducer.
+Inputs up to ``PARTIALS_PER_REDUCER`` partitions get ``n = 1`` (the single-level plan). Exact distinct counts cannot
+be merged, so ``exact=True`` keeps the single-level plan.
 
 Origin-dependent frequencies (``5D``, ``7h`` ...) bucket from midnight of the partition's earliest row. L1 groups by
 midnight-aligned cells that never straddle a bucket edge, the origin is the min cell per partition key on the
@@ -36,6 +40,9 @@ from dataprism.operators.joins import join_on_keys
 
 NULL_TS_MESSAGE = "Segmentation columns cannot contain null timestamps. Filter null timestamps out of the query."
 
+# Most partials one reducer merges for one group before the work is split over salts.
+PARTIALS_PER_REDUCER = 2048
+
 PROFILE_COLUMNS = ["dataset_timestamp", "segment_partition", "segment", "rows_processed", "debug_info"]
 
 
@@ -73,7 +80,7 @@ def profile(
     partition_by: Sequence[str | Column] | None = None,
     passthrough: dict[str, str] | None = None,
     columns: Sequence[str] | None = None,
-    salt: int | None = None,
+    salt: int | str | None = "auto",
     exact: bool = False,
     sketches: bool = True,
     topk_capacity: int = DEFAULT_TOPK_CAPACITY,
@@ -101,8 +108,12 @@ def profile(
     fq = B.parse_freq(freq)
     seg_names = resolve_names(df, parse_segments(segments), "segment column")
     keys = [_col_name(df, c) for c in (partition_by or [])]
+    n_input = df.rdd.getNumPartitions()
+    if salt == "auto":
+        auto = -(-n_input // PARTIALS_PER_REDUCER)
+        salt = auto if auto > 1 and not exact else None
     if salt is not None and (not isinstance(salt, int) or salt < 1):
-        raise ValueError("salt must be a positive integer")
+        raise ValueError("salt must be a positive integer or 'auto'")
     if exact and salt is not None and salt > 1:
         raise ValueError("exact distinct counts cannot be merged across salts; use salt=None with exact=True")
     if columns is None:
@@ -128,7 +139,7 @@ def profile(
     )
     if not seg_names:
         pre = pre.filter(F.col("__ts").isNotNull())
-    pre = _spread(df, pre, min_partitions)
+    pre = _spread(df, pre, min_partitions, n_input)
     pre = pre.withColumn("__cell", cell)
     group = key_alias + ["__cell"] + seg_alias
     if salt is not None and salt > 1:
@@ -163,7 +174,7 @@ def profile(
                               for i in range(len(prof_names))])
         l1 = l1.groupBy(*bgroup).agg(
             F.sum("__n").cast("bigint").alias("__n"),
-            *[merge_stats(f"__c{i}", f"`__m{i}`").alias(f"__c{i}") for i in range(len(prof_names))],
+            *[merge_stats(f"__c{i}", f"`__m{i}`", sketches).alias(f"__c{i}") for i in range(len(prof_names))],
         )
 
     prof = _attach_bucket_facts(l1, key_alias, fq)
@@ -192,12 +203,12 @@ def profile(
     return prof.select(*out)
 
 
-def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None) -> DataFrame:
+def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None, n_input: int) -> DataFrame:
     """Spread an under-partitioned input; a no-op for inputs that already have enough partitions."""
     if min_partitions is None:
         return pre
     target = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
-    if target <= 1 or df.rdd.getNumPartitions() >= target:
+    if target <= 1 or n_input >= target:
         return pre
     # Row ids are stable per input partition, so a retried task sends every row to the same place.
     return pre.repartition(target, F.monotonically_increasing_id())

@@ -176,3 +176,23 @@ def test_salted_equals_unsalted(spark):
 def test_exact_with_salt_rejected(spark):
     with pytest.raises(ValueError):
         profile(_frame(spark, [(1, "a")]), "ts", salt=4, exact=True)
+
+
+def test_auto_salt_splits_many_partials(spark, monkeypatch):
+    """Above PARTIALS_PER_REDUCER input partitions the plan salts itself; statistics do not change."""
+    import dataprism.operators.profile as P
+
+    df = spark.range(0, 4000, 1, 16).select(
+        (F.col("id") % 3).cast("string").alias("k"), (F.col("id") * 1.5).alias("v"),
+        F.lit(T0).cast("timestamp_ntz").alias("ts"))
+    plain = profile(df, "ts", segments="k", salt=None, sketches=False)
+    monkeypatch.setattr(P, "PARTIALS_PER_REDUCER", 4)
+    salted = profile(df, "ts", segments="k", sketches=False)
+    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
+
+    def stats(p):
+        s = profile_summary(p, keys=["segment", "rows_processed", "segment_rows"], sketches=False)
+        return sorted((r.segment, r.column_name, r["count"], r["min"], r["max"], round(r.mean or 0, 9),
+                       round(r.stddev or 0, 9), r.rows_processed, r.segment_rows) for r in s.collect())
+
+    assert stats(salted) == stats(plain)
