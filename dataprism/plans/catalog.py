@@ -20,6 +20,7 @@ from dataprism.operators.payload import make_payload, profile_payload
 from dataprism.operators.profile import profile
 from dataprism.operators.publish import FileProfileWriter, publish, read_store
 from dataprism.operators.summary import QUANTILES, profile_summary
+from dataprism.plans.sql_api import register_profile_view, register_receipts_view
 from dataprism.session import scratch_path
 from dataprism.sources.datagen import amplify, employees_from
 from dataprism.sources.profile_files import read_profiles
@@ -481,6 +482,26 @@ def _files_readback(encoding: str) -> Query:
     return q
 
 
+def sql_cte_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """The profile-and-publish pipeline written in SQL: raw rows of days (2024-01-01, 2024-01-03] → daily profiles
+    partitioned by day → delivered to dataset model-97 → receipts with their time as text."""
+    table(spark, d, "events").createOrReplaceTempView("dp_events")
+    register_profile_view(
+        spark, "dp_profiled",
+        "SELECT to_date(ts) AS day, * FROM dp_events "
+        "WHERE ts >= TIMESTAMP_NTZ'2024-01-02 00:00:00' AND ts < TIMESTAMP_NTZ'2024-01-04 00:00:00'",
+        "ts", partition_by=["day"], columns=["event_id", "ts", "user_id", "event_type", "value", "props"],
+        serialize=True)
+    register_receipts_view(
+        spark, "dp_receipts",
+        "SELECT day, 'model-97' AS dataset_id, profile_view, segment_partition, segment FROM dp_profiled",
+        path=scratch_path(spark, "store"))
+    return spark.sql(
+        "SELECT dataset_id, result, error, dataset_timestamp, "
+        "date_format(timestampadd(MILLISECOND, dataset_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00'), "
+        "'yyyy-MM-dd HH:mm:ss') AS receipt_time, segment FROM dp_receipts")
+
+
 profile_files_base64 = _files_readback("base64")
 profile_files_raw = _files_readback("raw")
 
@@ -533,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "datagen_employees": datagen_employees,
     "datagen_amplified": datagen_amplified,
     "publish_receipts": publish_receipts,
+    "sql_cte_pipeline": sql_cte_pipeline,
     "publish_store_readback": publish_store_readback,
     "publish_writer_receipts": publish_writer_receipts,
     "profile_files_base64": profile_files_base64,
