@@ -172,6 +172,9 @@ def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | C
                 staged.filter("valid")
                 .select("dataset_timestamp", "segment_partition", "segment", "profile", "dataset_id",
                         _day(F.col("dataset_timestamp")).alias("day"))
+                # One writer per (dataset, day) instead of every task writing into every day's folder (files =
+                # tasks x days); AQE coalesces small days and splits a skewed one.
+                .hint("rebalance", "dataset_id", "day")
                 .write.mode("append")
                 .partitionBy("dataset_id", "day")
                 .parquet(path)
