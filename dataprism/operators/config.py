@@ -1,8 +1,8 @@
 """Control values: segment list, frequency, dataset id, and the control columns that are never profiled.
 
-Control values are plain arguments. Tables that carry them as columns (one value per partition, the way a payload
-object carries them) are handled by ``resolve_column_config``, which reads the distinct values per partition with a
-small aggregate and refuses partitions that disagree, since Spark has no "first row" to take.
+Control values are plain arguments. Tables that carry them inside a per-row payload object are handled by
+``operators.payload``, which checks with one small aggregate that every partition holds one value (Spark has no
+"first row" to take) and profiles each distinct configuration with its own plan.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from dataprism.functions.buckets import parse_freq
 
@@ -58,38 +57,6 @@ def require_dataset_id(df: DataFrame, column: str = "dataset_id") -> str:
         raise ValueError(f"{column} not found in input with columns: {df.columns}") from e
 
 
-def resolve_column_config(df: DataFrame, partition_cols: list[str], column: str,
-                          default: str | None) -> list[tuple[str | None, DataFrame]]:
-    """Split ``df`` by the per-partition value of a control column.
-
-    Every partition (tuple of ``partition_cols``) must carry one value; the distinct values are few (they are
-    configuration), so the driver reads them and returns one filtered DataFrame per value. Missing column -> the
-    default for all rows.
-    """
-    found = [c for c in df.columns if c.upper() == column.upper()]
-    if not found:
-        return [(default, df)]
-    col = found[0]
-    keys = [F.col(c) for c in partition_cols] or [F.lit(0)]
-    bad = (
-        df.groupBy(*keys)
-        .agg(F.count_distinct(F.col(col)).alias("n"), F.count_if(F.col(col).isNull()).alias("nulls"))
-        .filter((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("nulls") > 0)))
-        .limit(1)
-        .collect()
-    )
-    if bad:
-        raise ValueError(f"control column {col} must hold one value per partition; partition {bad[0]} holds several")
-    values = [r[0] for r in df.select(col).distinct().limit(10_001).collect()]
-    if len(values) > 10_000:
-        raise ValueError(f"control column {col} holds more than 10000 distinct values")
-    out = []
-    for v in values:
-        part = df.filter(F.col(col).isNull()) if v is None else df.filter(F.col(col) == F.lit(v))
-        out.append((default if v is None else v, part))
-    return out
-
-
 def check_freq(freq: str | None) -> str:
     """Validate a frequency on the driver (``ValueError`` for null or unknown strings)."""
     parse_freq(freq)
