@@ -27,6 +27,7 @@ small L1 output, and L2 merges cells into buckets — no join of raw rows and no
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,10 @@ NULL_TS_MESSAGE = "Segmentation columns cannot contain null timestamps. Filter n
 
 # Most partials one reducer merges for one group before the work is split over salts.
 PARTIALS_PER_REDUCER = 2048
+# Most columns profiled in one aggregation pass. A group's buffer holds a KLL, HLL and top-k state per column, so a
+# wide table is profiled in column chunks (each pass reads only its columns plus keys and time) whose column maps are
+# joined per profile afterwards; memory per group stays bounded whatever the width.
+MAX_COLUMNS_PER_PASS = 64
 
 PROFILE_COLUMNS = ["dataset_timestamp", "segment_partition", "segment", "rows_processed", "debug_info"]
 
@@ -87,6 +92,7 @@ def profile(
     metadata: dict[str, str] | None = None,
     serialize: bool = False,
     min_partitions: int | str | None = "auto",
+    columns_per_pass: int | None = None,
 ) -> DataFrame:
     """Profile ``df`` per partition key, time bucket of ``ts`` at ``freq``, and segment.
 
@@ -104,6 +110,8 @@ def profile(
     ``min_partitions``: an input with fewer partitions than this (``"auto"``: the session's default parallelism) is
     hash-spread over that many partitions before aggregating, so a file with few row groups does not leave the
     cluster idle. Inputs with enough partitions — any large table — are aggregated where they are read.
+
+    ``columns_per_pass`` (default ``MAX_COLUMNS_PER_PASS``): wider column sets are profiled in chunks of this size.
     """
     fq = B.parse_freq(freq)
     seg_names = resolve_names(df, parse_segments(segments), "segment column")
@@ -120,6 +128,12 @@ def profile(
         prof_names = [c for c in df.columns if not is_control_column(c)]
     else:
         prof_names = resolve_names(df, columns, "profiled column")
+    per_pass = columns_per_pass or MAX_COLUMNS_PER_PASS
+    if len(prof_names) > per_pass:
+        return _profile_in_chunks(
+            df, ts, prof_names, per_pass, serialize=serialize, metadata=metadata,
+            kwargs=dict(freq=freq, segments=segments, partition_by=partition_by, passthrough=passthrough, salt=salt,
+                        exact=exact, sketches=sketches, topk_capacity=topk_capacity, min_partitions=min_partitions))
     prof_types = [df.schema[c].dataType for c in prof_names]
     tsc = _timestamp(df, ts)
 
@@ -203,6 +217,22 @@ def profile(
     return prof.select(*out)
 
 
+def _profile_in_chunks(df: DataFrame, ts: str | Column, names: list[str], per_pass: int, *, serialize: bool,
+                       metadata: dict[str, str] | None, kwargs: dict) -> DataFrame:
+    """Profiles of a wide table: one pass per chunk of ``per_pass`` columns, then one small aggregate per profile
+    joining the chunks' column maps (``collect_list`` bounded by the number of chunks)."""
+    chunks = [names[i:i + per_pass] for i in range(0, len(names), per_pass)]
+    parts = [profile(df, ts, columns=chunk, metadata=metadata, serialize=False, **kwargs) for chunk in chunks]
+    allp = reduce(lambda a, b: a.unionByName(b), parts)
+    group = [c for c in allp.columns if c != "profile"]
+    maps = allp.groupBy(*group).agg(F.collect_list(F.col("profile").getField("columns")).alias("__maps"))
+    empty = F.create_map().cast(T.MapType(T.StringType(), E.STATS_TYPE))
+    cols = F.aggregate("__maps", empty, lambda acc, m: F.map_concat(acc, m))
+    body = E.profile_struct(F.col("dataset_timestamp"), cols, E.metadata_map(metadata))
+    out = E.serialize_profile(body).alias("profile_view") if serialize else body.alias("profile")
+    return maps.select(*group, out)
+
+
 def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None, n_input: int) -> DataFrame:
     """Spread an under-partitioned input; a no-op for inputs that already have enough partitions."""
     if min_partitions is None:

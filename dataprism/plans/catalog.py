@@ -95,6 +95,14 @@ def profile_two_segments(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["dataset_timestamp", "segment_partition", "segment", "rows_processed", "segment_rows"])
 
 
+def profile_column_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """All 11 lineitem columns profiled in passes of 4 columns, column maps joined per profile."""
+    li = table(spark, d, "lineitem")
+    p = profile(li, "l_shipdate", freq="QS", segments="l_linestatus", partition_by=["l_returnflag"],
+                columns_per_pass=4)
+    return exact_summary(p, ["l_returnflag", "dataset_timestamp", "segment", "rows_processed", "segment_rows"])
+
+
 def profile_partition_nonkey(spark: SparkSession, d: str) -> DataFrame:
     """A requested non-key column comes back as a typed NULL."""
     ev = table(spark, d, "events")
@@ -511,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "profile_daily_segmented": profile_daily_segmented,
     "profile_day_state": profile_day_state,
     "profile_two_segments": profile_two_segments,
+    "profile_column_chunks": profile_column_chunks,
     "profile_partition_nonkey": profile_partition_nonkey,
     "profile_null_segment": profile_null_segment,
     "bucket_hour": bucket_hour,

@@ -95,6 +95,9 @@ def oracle_queries() -> dict[str, str]:
     q["profile_two_segments"] = profile_sql(
         "lineitem", "lineitem", "epoch_ms(date_trunc('month', l_shipdate))", segments=["l_returnflag", "l_linestatus"],
         segment_col=True, segment_partition=True, rows_processed=True, segment_rows=True)
+    q["profile_column_chunks"] = profile_sql(
+        "lineitem", "lineitem", "epoch_ms(date_trunc('quarter', l_shipdate))", keys=[("l_returnflag", "l_returnflag")],
+        segments=["l_linestatus"], segment_col=True, rows_processed=True, segment_rows=True)
     q["profile_partition_nonkey"] = profile_sql(
         "events", "events", DAY, keys=[("day", DAY), ("event_type", "NULL::VARCHAR")], columns=["value"],
         rows_processed=True)

@@ -196,3 +196,27 @@ def test_auto_salt_splits_many_partials(spark, monkeypatch):
                        round(r.stddev or 0, 9), r.rows_processed, r.segment_rows) for r in s.collect())
 
     assert stats(salted) == stats(plain)
+
+
+def test_wide_table_profiled_in_chunks(spark, monkeypatch):
+    """Above MAX_COLUMNS_PER_PASS columns the profile runs in column chunks; the result is the same profile."""
+    import dataprism.operators.profile as P
+
+    df = spark.range(0, 300, 1, 4).select(
+        *[(F.col("id") * (i + 1) % 17).alias(f"c{i}") for i in range(7)],
+        (F.col("id") % 3).cast("string").alias("k"), F.lit(T0).cast("timestamp_ntz").alias("ts"))
+    whole = profile(df, "ts", segments="k", partition_by=["c0"], serialize=True)
+    monkeypatch.setattr(P, "MAX_COLUMNS_PER_PASS", 3)
+    chunked = profile(df, "ts", segments="k", partition_by=["c0"], serialize=True)
+    assert chunked.columns == whole.columns
+
+    def exact(p):
+        dec = p.select("c0", "segment", "rows_processed", "segment_rows", "group_count",
+                       E.deserialize_profile(F.col("profile_view")).alias("profile"))
+        s = profile_summary(dec, keys=["c0", "segment", "rows_processed", "segment_rows", "group_count"],
+                            sketches=False)
+        return sorted(tuple(r) for r in s.collect())
+
+    got = exact(chunked)
+    assert got == exact(whole)
+    assert {r[5] for r in got} == {"c0", "c1", "c2", "c3", "c4", "c5", "c6", "k", "ts"}
