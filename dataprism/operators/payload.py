@@ -32,7 +32,8 @@ SEGMENTS_KEY = "SEGMENT_COLUMNS"
 FREQ_KEY = "GROUP_BY_FREQUENCY"
 
 MAX_PAYLOAD_KEYS = 10_000
-MAX_CONFIGS = 1_000
+# Each distinct (segment list, frequency) configuration is profiled by its own pass over the input.
+MAX_CONFIGS = 64
 
 
 def make_payload(df: DataFrame, *, dataset_timestamp: Column | None = None, segment_columns: str | Column | None = None,

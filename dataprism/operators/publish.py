@@ -153,11 +153,13 @@ def _day(ts_ms: Column) -> Column:
 
 def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | Column | None = None,
             writer_factory: Callable[[str], object] | None = None, profile_col: str = "profile_view",
-            receipts_path: str | None = None) -> DataFrame:
+            receipts_path: str | None = None, replace_partitions: bool = False) -> DataFrame:
     """Deliver ``profiles`` and return the receipts DataFrame (one row per input row).
 
     Store mode (``path``): valid profiles are appended to a Parquet profile store partitioned by
-    ``dataset_id`` and ``day`` (see ``read_store``). Writer mode (``writer_factory``): each valid profile is handed
+    ``dataset_id`` and ``day`` (see ``read_store``); ``replace_partitions=True`` overwrites exactly the (dataset,
+    day) folders this call writes (dynamic partition overwrite), so re-running a publish does not duplicate
+    profiles. Writer mode (``writer_factory``): each valid profile is handed
     to ``writer_factory(dataset_id).write(...)`` inside the executors; writers are cached per task and dataset id.
     """
     if (path is None) == (writer_factory is None):
@@ -175,7 +177,8 @@ def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | C
                 # One writer per (dataset, day) instead of every task writing into every day's folder (files =
                 # tasks x days); AQE coalesces small days and splits a skewed one.
                 .hint("rebalance", "dataset_id", "day")
-                .write.mode("append")
+                .write.mode("overwrite" if replace_partitions else "append")
+                .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("dataset_id", "day")
                 .parquet(path)
             )

@@ -81,3 +81,22 @@ def test_writer_mode_routes_and_reports_failures(spark):
 def test_exactly_one_target(spark):
     with pytest.raises(ValueError):
         publish(_profiles(spark), dataset_id="x")
+
+
+def test_replace_partitions_makes_republish_idempotent(spark):
+    path = scratch_path(spark, "store")
+    p = _profiles(spark)
+    publish(p, path, dataset_id="ds-4").collect()
+    publish(p, path, dataset_id="ds-4").collect()
+    assert read_store(spark, path, dataset_id="ds-4").count() == 4  # append: duplicated
+    publish(p, path, dataset_id="ds-4", replace_partitions=True).collect()
+    assert read_store(spark, path, dataset_id="ds-4").count() == 2
+    publish(p, path, dataset_id="ds-5", replace_partitions=True).collect()
+    assert read_store(spark, path).count() == 4  # other datasets' folders untouched
+
+
+def test_read_profiles_flags_junk(spark, tmp_path):
+    good = _profiles(spark).select("profile_view").collect()[0].profile_view
+    (tmp_path / "a.b64").write_text(good + "\n" + "not a profile\n\n")
+    r = read_profiles(spark, str(tmp_path)).collect()
+    assert sorted(x.valid for x in r) == [False, True]
