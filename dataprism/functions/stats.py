@@ -182,12 +182,14 @@ def column_stats(name: str, dt: T.DataType, **kwargs) -> Column:
 
 
 def _distinct_key_sql(c: str, cls: str) -> str | None:
-    """Value the distinct sketch sees. The sketch takes int, bigint, string and binary; integral values go in as they
-    are, every other type as its 64-bit xxhash (cheaper than a string per value; a collision is negligible next to
-    the sketch's own error)."""
+    """Value the distinct sketch sees. The sketch takes int, bigint, string and binary and hashes them itself, so
+    those go in as they are; every other type as its 64-bit xxhash (cheaper than a string per value; a collision is
+    negligible next to the sketch's own error)."""
     if cls == "integral":
         return f"CAST({c} AS BIGINT)"
-    if cls in ("fractional", "boolean", "temporal", "string", "binary"):
+    if cls in ("string", "binary"):
+        return c
+    if cls in ("fractional", "boolean", "temporal"):
         return f"CASE WHEN {c} IS NOT NULL THEN xxhash64({c}) END"
     return None
 
