@@ -50,8 +50,8 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir). Only when neither is set, as in
-    local tests, a fresh private folder is made and registered.
+    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir). Only when neither is set and
+    the master is local (tests), a fresh private folder is made and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -61,6 +61,9 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(found)
         return found.rstrip("/")
+    if not sc.master.startswith("local"):
+        # A driver-local folder is invisible to executors on other machines; the cluster must name a shared one.
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (HDFS, object store, NFS)")
     local = tempfile.mkdtemp(prefix="dataprism-ckpt-")
     sc.setCheckpointDir(local)
     return local
