@@ -244,6 +244,26 @@ def stats_strings(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["dataset_timestamp", "segment"])
 
 
+def _since(df: DataFrame) -> DataFrame:
+    """Tables without an event time are profiled as one snapshot (a fixed time)."""
+    return df.withColumn("since", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def profile_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Whole documents (texts up to 20,000 words) profiled per language and source: string extrema over entire
+    texts, length statistics, counts."""
+    p = profile(_since(table(spark, d, "documents")), "since", segments="lang,source",
+                columns=["doc_id", "text", "lang", "source", "n_chars"])
+    return exact_summary(p, ["dataset_timestamp", "segment", "rows_processed", "segment_rows"])
+
+
+def profile_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """Conversation turns partitioned by role and segmented by turn number."""
+    p = profile(_since(table(spark, d, "conversations")), "since", segments="turn", partition_by=["role"],
+                columns=["conv_id", "turn", "text"])
+    return exact_summary(p, ["role", "dataset_timestamp", "segment", "rows_processed", "segment_rows"])
+
+
 def stats_temporal(spark: SparkSession, d: str) -> DataFrame:
     """Temporal extrema of order dates per year and status."""
     p = profile(table(spark, d, "orders"), "o_orderdate", freq="YS", segments="o_orderstatus",
@@ -547,6 +567,8 @@ QUERIES: dict[str, Query] = {
     "stats_moments": stats_moments,
     "stats_strings": stats_strings,
     "stats_temporal": stats_temporal,
+    "profile_documents": profile_documents,
+    "profile_conversations": profile_conversations,
     "type_counts": type_counts,
     "stats_exact_distinct": stats_exact_distinct,
     "kll_within_bound": kll_within_bound,

@@ -52,6 +52,19 @@ SCHEMAS: dict[str, list[tuple[str, str, str]]] = {
         ("hire_date", "T", "timestamp_ntz"),
         ("years_xp", "I", "bigint"),
     ],
+    "documents": [
+        ("doc_id", "I", "bigint"),
+        ("text", "S", "string"),
+        ("lang", "S", "string"),
+        ("source", "S", "string"),
+        ("n_chars", "I", "bigint"),
+    ],
+    "conversations": [
+        ("conv_id", "I", "bigint"),
+        ("turn", "I", "bigint"),
+        ("role", "S", "string"),
+        ("text", "S", "string"),
+    ],
     "customer": [
         ("c_custkey", "I", "bigint"),
         ("c_name", "S", "string"),

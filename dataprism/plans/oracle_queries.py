@@ -167,6 +167,12 @@ def oracle_queries() -> dict[str, str]:
     q["stats_temporal"] = profile_sql(
         "orders", "orders", "epoch_ms(date_trunc('year', o_orderdate))", segments=["o_orderstatus"],
         columns=["o_orderdate", "o_orderstatus"], segment_col=True)
+    snap = "epoch_ms(TIMESTAMP '2024-01-01')"
+    q["profile_documents"] = profile_sql("documents", "documents", snap, segments=["lang", "source"], segment_col=True,
+                                         rows_processed=True, segment_rows=True)
+    q["profile_conversations"] = profile_sql(
+        "conversations", "conversations", snap, keys=[("role", "role")], segments=["turn"],
+        columns=["conv_id", "turn", "text"], segment_col=True, rows_processed=True, segment_rows=True)
     q["type_counts"] = profile_sql("events", "events", "epoch_ms(date_trunc('week', ts) + INTERVAL 6 DAY)",
                                    type_counts=True)
     yr = "epoch_ms(date_trunc('year', l_shipdate))"
