@@ -11,7 +11,8 @@ Control keys inside it:
 Every other key is profiled with the type it has in the data (a variant's keys and types are discovered with one
 ``schema_of_variant_agg`` pass over the payload column only; pass ``schema=`` to skip that pass on large inputs).
 Control values are per partition: all rows of a partition must agree (Spark has no "first row"), checked by a small
-aggregate; rows are then split by the few distinct configurations and profiled with one plan each.
+aggregate; rows are then split by the few distinct configurations and profiled with one plan each (with more than
+one configuration, over a copy partitioned by configuration, so the input is read and parsed once).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from dataprism.operators.config import DEFAULT_FREQ, is_control_column
 from dataprism.operators.profile import profile
+from dataprism.session import scratch_path
 
 # Control keys of a payload.
 TS_KEY = "DATASET_TIMESTAMP"
@@ -146,8 +148,20 @@ def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence
     seg_col, freq_col = _find(wide, SEGMENTS_KEY), _find(wide, FREQ_KEY)
     if profile_kwargs.get("columns") is None:
         profile_kwargs["columns"] = [c for c in wide.columns if c not in internal and not is_control_column(c)]
+    configs = _configs(wide, internal, [seg_col, freq_col])
+    present = [c for c in (seg_col, freq_col) if c is not None]
+    if len(configs) > 1:
+        # Several configurations: expand the payload once into a table in the shared folder, partitioned by the
+        # control columns, so each configuration's pass reads only its own rows (partition pruning) instead of
+        # re-reading and re-parsing the whole input once per configuration.
+        spark = df.sparkSession
+        path = scratch_path(spark, "payload-configs")
+        wide.write.mode("overwrite").partitionBy(*present).parquet(path)
+        ordered = T.StructType([f for f in wide.schema.fields if f.name not in present]
+                               + [wide.schema[c] for c in present])
+        wide = spark.read.schema(ordered).parquet(path)
     parts = []
-    for seg_value, freq_value in _configs(wide, internal, [seg_col, freq_col]):
+    for seg_value, freq_value in configs:
         rows = wide
         for c, v in ((seg_col, seg_value), (freq_col, freq_value)):
             if c is not None:
