@@ -510,7 +510,7 @@ def _files_readback(encoding: str) -> Query:
     return q
 
 
-def sql_cte_pipeline(spark: SparkSession, d: str) -> DataFrame:
+def sql_cte_receipts(spark: SparkSession, d: str) -> DataFrame:
     """The profile-and-publish pipeline written in SQL: raw rows of days (2024-01-01, 2024-01-03] → daily profiles
     partitioned by day → delivered to dataset model-97 → receipts with their time as text."""
     table(spark, d, "events").createOrReplaceTempView("dp_events")
@@ -585,7 +585,7 @@ QUERIES: dict[str, Query] = {
     "datagen_employees": datagen_employees,
     "datagen_amplified": datagen_amplified,
     "publish_receipts": publish_receipts,
-    "sql_cte_pipeline": sql_cte_pipeline,
+    "sql_cte_receipts": sql_cte_receipts,
     "publish_store_readback": publish_store_readback,
     "publish_writer_receipts": publish_writer_receipts,
     "profile_files_base64": profile_files_base64,

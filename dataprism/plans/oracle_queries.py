@@ -244,7 +244,7 @@ def oracle_queries() -> dict[str, str]:
         f"CASE WHEN event_type = 'click' THEN {bad_id} END AS error, "
         f"{DAY} AS dataset_timestamp, NULL::VARCHAR AS segment FROM events GROUP BY event_type, {DAY}"
     )
-    q["sql_cte_pipeline"] = (
+    q["sql_cte_receipts"] = (
         f"SELECT 'model-97' AS dataset_id, 'Ok' AS result, NULL::VARCHAR AS error, {DAY} AS dataset_timestamp, "
         "strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS receipt_time, NULL::VARCHAR AS segment "
         "FROM events WHERE date_trunc('day', ts) <= TIMESTAMP '2024-01-03' AND date_trunc('day', ts) > TIMESTAMP '2024-01-01' "
