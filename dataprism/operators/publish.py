@@ -77,7 +77,7 @@ def _optional(df: DataFrame, name: str) -> Column:
 
 def _dataset_id(df: DataFrame, dataset_id: str | Column | None) -> Column:
     if dataset_id is None:
-        found = [c for c in df.columns if c.lower() in ("dataset_id", "whylabs_dataset_id")]
+        found = [c for c in df.columns if c.lower() == "dataset_id"]
         if not found:
             raise ValueError(f"dataset id column not found in input with columns: {df.columns}")
         return F.col(found[0]).cast("string")
