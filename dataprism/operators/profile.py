@@ -165,19 +165,33 @@ def profile(
         for i, (a, t) in enumerate(zip(val_alias, prof_types))
     ]
     l1 = pre.groupBy(*group).agg(F.count(F.lit(1)).cast("bigint").alias("__n"), *stats)
+    # Rows per (partition, cell) from the same projection. Catalyst prunes it to a narrow pass over the key and time
+    # columns with map-side partial counts, keyed without segments (tiny even for high-cardinality segments). It
+    # carries rows_processed, group_count and the origin of origin-dependent buckets.
+    narrow = pre.groupBy(*key_alias, "__cell").agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
 
     needs_merge = (salt is not None and salt > 1) or fq.origin_dependent
     if fq.origin_dependent:
-        # Origin = midnight of the partition's earliest row, read off the small L1 table.
-        first = B.to_ntz(F.to_date(F.min("__cell"))).alias("__origin")
+        # Origin = midnight of the partition's earliest row, read off the narrow per-cell counts.
+        # (Referencing ``__n`` keeps this branch's subtree identical to the narrow counts so it reuses their exchange
+        # instead of Catalyst pruning it into another scan.)
+        first = F.when(F.sum("__n") >= 0, B.to_ntz(F.to_date(F.min("__cell")))).alias("__origin")
         if key_alias:
-            l1 = join_on_keys(l1, l1.groupBy(*key_alias).agg(first), key_alias)
+            origin = narrow.groupBy(*key_alias).agg(first)
+            l1 = join_on_keys(l1, origin, key_alias)
+            narrow = join_on_keys(narrow, origin, key_alias)
         else:
             # A global aggregate is exactly one row: attached as a scalar subquery, no join.
-            l1 = l1.withColumn("__origin", l1.agg(first).scalar())
-        l1 = l1.withColumn("__bucket", B.rebucket(F.col("__cell"), F.col("__origin"), fq)).drop("__origin", "__cell")
+            origin = narrow.agg(first).scalar()
+            l1 = l1.withColumn("__origin", origin)
+            narrow = narrow.withColumn("__origin", origin)
+        l1, narrow = [
+            d.withColumn("__bucket", B.rebucket(F.col("__cell"), F.col("__origin"), fq)).drop("__origin", "__cell")
+            for d in (l1, narrow)
+        ]
     else:
         l1 = l1.withColumnRenamed("__cell", "__bucket")
+        narrow = narrow.withColumnRenamed("__cell", "__bucket")
     bgroup = key_alias + ["__bucket"] + seg_alias
 
     if needs_merge:
@@ -191,7 +205,7 @@ def profile(
             *[merge_stats(f"__c{i}", f"`__m{i}`", sketches).alias(f"__c{i}") for i in range(len(prof_names))],
         )
 
-    prof = _attach_bucket_facts(l1, key_alias, fq)
+    prof = _attach_bucket_facts(l1, narrow, key_alias, fq)
 
     seg_cols = [F.col(a) for a in seg_alias]
     segment = E.segment_json(seg_names, seg_cols)
@@ -244,15 +258,15 @@ def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None, n_i
     return pre.repartition(target, F.monotonically_increasing_id())
 
 
-def _attach_bucket_facts(prof: DataFrame, key_alias: list[str], fq: B.Freq) -> DataFrame:
+def _attach_bucket_facts(prof: DataFrame, narrow: DataFrame, key_alias: list[str], fq: B.Freq) -> DataFrame:
     """``__rows`` = rows of (partition, bucket); ``__gc`` = bins from the partition's first to last bucket.
 
-    Both come from one small aggregate per (partition, bucket) — Catalyst prunes it to a narrow pass over the key and
-    time columns with map-side partial counts — and a second aggregate of that per partition; the span branch reuses
-    the first one's exchange. They are joined back on their keys (NULL-safe); AQE broadcasts them when the measured
-    size allows and keeps a shuffle join otherwise. No window collects a partition's profiles into one task.
+    Both come from the narrow per-(partition, bucket) counts and a second aggregate of those per partition; the span
+    branch reuses the first one's exchange. They are joined back on their keys (NULL-safe); AQE broadcasts them when
+    the measured size allows and keeps a shuffle join otherwise. No window collects a partition's profiles into one
+    task.
     """
-    rows = prof.groupBy(*key_alias, "__bucket").agg(F.sum("__n").cast("bigint").alias("__rows"))
+    rows = narrow.groupBy(*key_alias, "__bucket").agg(F.sum("__n").cast("bigint").alias("__rows"))
     ordinal = B.bucket_ordinal(F.col("__bucket"), fq)
     # Referencing ``__rows`` keeps the span branch's subtree identical to the rows branch, so the two share one
     # exchange (and one narrow scan) instead of Catalyst collapsing the span into a second pass over the input.
