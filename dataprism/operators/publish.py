@@ -110,8 +110,14 @@ def decode_error(view: Column) -> Column:
 
 def stage(profiles: DataFrame, dataset_id: str | Column | None = None, *, profile_col: str = "profile_view"
           ) -> DataFrame:
-    """One row per input row: dataset id, validity, the decoded profile and the receipt fields."""
-    view = F.col(resolve_names(profiles, [profile_col], "profile column")[0])
+    """One row per input row: dataset id, validity, the decoded profile and the receipt fields.
+
+    Takes serialized profiles (``profile_view`` text) or, when that column is absent, the ``profile`` struct of
+    ``profile(..., serialize=False)``, which is serialized here."""
+    if profile_col not in profiles.columns and "profile" in profiles.columns:
+        view = E.serialize_profile(F.col("profile"))
+    else:
+        view = F.col(resolve_names(profiles, [profile_col], "profile column")[0])
     part = _optional(profiles, "segment_partition")
     seg = _optional(profiles, "segment")
     decoded = E.deserialize_profile(view)

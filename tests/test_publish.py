@@ -100,3 +100,9 @@ def test_read_profiles_flags_junk(spark, tmp_path):
     (tmp_path / "a.b64").write_text(good + "\n" + "not a profile\n\n")
     r = read_profiles(spark, str(tmp_path)).collect()
     assert sorted(x.valid for x in r) == [False, True]
+
+
+def test_publish_accepts_profile_structs(spark):
+    df = spark.createDataFrame([(1, "a")], "x bigint, s string").withColumn("ts", F.lit(T0).cast("timestamp_ntz"))
+    r = publish(profile(df, "ts", segments="s"), scratch_path(spark, "store"), dataset_id="ds-6").collect()
+    assert [(x.result, x.segment) for x in r] == [("Ok", '{"s":"a"}')]
