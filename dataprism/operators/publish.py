@@ -170,7 +170,9 @@ def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | C
     """
     if (path is None) == (writer_factory is None):
         raise ValueError("give exactly one of path (profile store) or writer_factory (per-row delivery)")
-    staged = _write_staged(stage(profiles, dataset_id, profile_col=profile_col))
+    staged = stage(profiles, dataset_id, profile_col=profile_col)
+    # Keep one form of each profile in the staged table: text for a writer, the decoded struct for the store.
+    staged = _write_staged(staged.drop("profile" if writer_factory is not None else "profile_view"))
     if writer_factory is not None:
         receipts = _deliver_with_writer(staged, writer_factory)
     else:
