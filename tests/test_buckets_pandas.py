@@ -27,6 +27,7 @@ def test_labels_match_pandas_grouper(sample, freq):
     s = pd.Series(1, index=ts)
     expected = {int(label.value // 1_000_000): int(n) for label, n in s.groupby(pd.Grouper(freq=freq)).sum().items()
                 if n > 0}
-    got = {r.dataset_timestamp: r.rows_processed
-           for r in profile(df, "ts", freq=freq.replace("ME", "M"), columns=[]).collect()}
-    assert got == expected
+    rows = profile(df, "ts", freq=freq.replace("ME", "M"), columns=[]).collect()
+    assert {r.dataset_timestamp: r.rows_processed for r in rows} == expected
+    # group_count: every bin from the first to the last, empty ones included (the grouper's group count).
+    assert {r.group_count for r in rows} == {s.groupby(pd.Grouper(freq=freq)).ngroups}
