@@ -115,7 +115,8 @@ def column_stats_sql(name: str, dt: T.DataType, *, exact: bool = False,
     out: dict[str, str] = {
         "col_type": f"'{dt.simpleString()}'",
         "count": "count(1)",
-        "null_count": f"count_if({c} IS NULL)",
+        # Derived from counts the struct needs anyway (count(1), count(c)): no conditional count per column.
+        "null_count": f"count(1) - count({c})",
         "nan_count": "0L",
         "inf_count": "0L",
     }
@@ -135,7 +136,8 @@ def column_stats_sql(name: str, dt: T.DataType, *, exact: bool = False,
             ordered = finite = x
         out["num_min"] = f"min({ordered})"
         out["num_max"] = f"max({ordered})"
-        out["num_n"] = f"count({finite})"
+        out["num_n"] = f"count({c}) - count_if(isnan({x})) - count_if(abs({x}) = {_INF})" if cls == "fractional" \
+            else f"count({x})"
         out["num_mean"] = f"avg({finite})"
         out["num_m2"] = f"var_pop({finite}) * count({finite})"
         if sketches:
