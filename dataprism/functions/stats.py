@@ -139,7 +139,7 @@ def column_stats_sql(name: str, dt: T.DataType, *, exact: bool = False,
         out["num_n"] = f"count({c}) - count_if(isnan({x})) - count_if(abs({x}) = {_INF})" if cls == "fractional" \
             else f"count({x})"
         out["num_mean"] = f"avg({finite})"
-        out["num_m2"] = f"var_pop({finite}) * count({finite})"
+        out["num_m2"] = f"var_pop({finite}) * ({out['num_n']})"
         if sketches:
             out["kll"] = f"kll_sketch_agg_double({ordered}, {DEFAULT_KLL_K})"
     elif cls == "string":
