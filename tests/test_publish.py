@@ -106,3 +106,25 @@ def test_publish_accepts_profile_structs(spark):
     df = spark.createDataFrame([(1, "a")], "x bigint, s string").withColumn("ts", F.lit(T0).cast("timestamp_ntz"))
     r = publish(profile(df, "ts", segments="s"), scratch_path(spark, "store"), dataset_id="ds-6").collect()
     assert [(x.result, x.segment) for x in r] == [("Ok", '{"s":"a"}')]
+
+
+def test_store_profiles_merge_to_whole(spark):
+    """Profiles of two halves published separately, read back and merged, equal the profile of the whole."""
+    from dataprism import merge_profiles, profile_summary
+    from dataprism.sources.tables import table
+    from conftest import SF_SMALL
+
+    ev = table(spark, SF_SMALL, "events")
+    path = scratch_path(spark, "store")
+    for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        publish(profile(ev.filter(half), "ts", segments="event_type", serialize=True), path, dataset_id="m").collect()
+    merged = merge_profiles(read_store(spark, path, dataset_id="m"), ["dataset_timestamp", "segment"], rows_col=None)
+    direct = profile(ev, "ts", segments="event_type")
+
+    def exact(p):
+        s = profile_summary(p, keys=["dataset_timestamp", "segment"], sketches=False)
+        return sorted((r.dataset_timestamp, r.segment, r.column_name, r["count"], r.null_count, r["min"], r["max"],
+                       None if r.mean is None else round(r.mean, 9), None if r.stddev is None else round(r.stddev, 9),
+                       r.min_str, r.max_str, r.min_len, r.max_len, r.min_ts, r.max_ts) for r in s.collect())
+
+    assert exact(merged) == exact(direct)
