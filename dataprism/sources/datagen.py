@@ -120,6 +120,11 @@ def amplify(df: DataFrame, doublings: int) -> DataFrame:
         raise ValueError("doublings must be >= 0")
     if doublings == 0:
         return df
+    # Copies are generated inside the partition of their row, so an under-partitioned seed is spread *before*
+    # amplification (2**doublings times fewer rows through that shuffle than spreading the result).
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
     copy = F.explode(F.sequence(F.lit(0), F.lit(2 ** doublings - 1)))
     return df.select("*", copy.alias("__copy")).drop("__copy")
 
