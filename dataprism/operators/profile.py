@@ -8,7 +8,8 @@ Plan (all JVM-side built-in expressions, no Python in the row path)::
       -> Exchange hashpartitioning(group keys)
       -> final aggregate: one stats struct per column                         [L1]
       -> (salt or origin-dependent frequency only) merge of the small partials [L2]
-      -> rows_processed / group_count from small per-key aggregates joined back
+      -> rows_processed / group_count: narrow per-(key, cell) counts of the same projection (key and time
+         columns only, keyed without segments), aggregated per bucket and per key, joined back
 
 Salting: ``salt=n`` adds ``pmod(spark_partition_id(), n)`` to the L1 key. A task still emits at most one partial per
 group (the salt is constant within a task), but a hot group's partials are spread over ``n`` reducers, and L2 merges
@@ -20,8 +21,10 @@ Inputs up to ``PARTIALS_PER_REDUCER`` partitions get ``n = 1`` (the single-level
 be merged, so ``exact=True`` keeps the single-level plan.
 
 Origin-dependent frequencies (``5D``, ``7h`` ...) bucket from midnight of the partition's earliest row. L1 groups by
-midnight-aligned cells that never straddle a bucket edge, the origin is the min cell per partition key on the
-small L1 output, and L2 merges cells into buckets — no join of raw rows and no second scan.
+midnight-aligned cells that never straddle a bucket edge, the origin is the min cell per partition key of the narrow
+per-cell counts (sharing their exchange), and L2 merges cells into buckets — no join of raw rows.
+
+Wide column sets are profiled in chunks of ``columns_per_pass`` columns whose column maps are joined per profile.
 """
 
 from __future__ import annotations
