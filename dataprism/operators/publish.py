@@ -172,7 +172,13 @@ def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | C
         raise ValueError("give exactly one of path (profile store) or writer_factory (per-row delivery)")
     staged = stage(profiles, dataset_id, profile_col=profile_col)
     # Keep one form of each profile in the staged table: text for a writer, the decoded struct for the store.
-    staged = _write_staged(staged.drop("profile" if writer_factory is not None else "profile_view"))
+    staged = staged.drop("profile" if writer_factory is not None else "profile_view")
+    if writer_factory is not None:
+        # Delivery is per row and bound by the receiver, not the CPU: spread the profiles over all cores (hash of the
+        # profile key, so a retried task gets the same rows) instead of the few partitions a profile job ends with.
+        staged = staged.repartition(staged.sparkSession.sparkContext.defaultParallelism,
+                                    "dataset_id", "dataset_timestamp", "segment")
+    staged = _write_staged(staged)
     if writer_factory is not None:
         receipts = _deliver_with_writer(staged, writer_factory)
     else:
