@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from dataprism.session import scratch_path
 
@@ -82,11 +83,11 @@ def ship_package(spark: SparkSession) -> None:
     sc._dataprism_shipped = True
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str, rows: int = 2000) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str | T.StructType,
+              rows: int = 2000) -> DataFrame:
     """``mapInArrow`` in slices of at most ``rows`` input rows, so that memory follows the slice, not the batch.
     ``fn`` gets a slice and returns the output columns in the order of ``schema``."""
-    kinds = T.StructType.fromDDL(schema)
-    from pyspark.sql.pandas.types import to_arrow_schema
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     out = to_arrow_schema(kinds)
     ship_package(df.sparkSession)
@@ -95,17 +96,51 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str,
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 cols = fn(batch.slice(at, rows))
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, out)], schema=out)
+                yield pa.RecordBatch.from_arrays([_array(c, f.type) for c, f in zip(cols, out)], schema=out)
 
     return df.mapInArrow(run, kinds)
 
 
+def _array(c: object, kind: pa.DataType) -> pa.Array:
+    if not isinstance(c, pa.Array):
+        return pa.array(c, kind)
+    return c if c.type == kind else c.cast(kind)
+
+
+def append_columns(df: DataFrame, inputs: list[Column], fn: Callable[[pa.RecordBatch], list], schema: str,
+                   rows: int = 2000) -> DataFrame:
+    """``df`` with the columns that ``fn`` makes of ``inputs``, whatever the names and types of its own columns."""
+    kinds = T.StructType.fromDDL(schema)
+    own = [f"__own{i}" for i in range(len(df.columns))]
+    back = {o: f.name for o, f in zip(own, df.schema.fields)}
+    ins = df.select(*[c.alias(f"__in{i}") for i, c in enumerate(inputs)], "*")
+    plain = ins.toDF(*[f"__in{i}" for i in range(len(inputs))], *own)
+    n = len(inputs)
+    fields = [T.StructField(o, f.dataType) for o, f in zip(own, df.schema.fields)] + list(kinds.fields)
+
+    def run(batch: pa.RecordBatch) -> list:
+        cut = pa.RecordBatch.from_arrays(batch.columns[:n], names=[f"i{i}" for i in range(n)])
+        return [*batch.columns[n:], *fn(cut)]
+
+    out = arrow_map(plain, run, T.StructType(fields), rows)
+    return out.select(*[F.col(o).alias(name) for o, name in back.items()], *[f.name for f in kinds.fields])
+
+
+def int_lists(packed: list[bytes]) -> pa.Array:
+    """A list<int> array of packed little-endian 32-bit numbers."""
+    ends = np.cumsum([0] + [len(x) // 4 for x in packed], dtype=np.int64).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; a null is an empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+# A-Z lower-cased and ASCII punctuation as space, for ``bytes.translate``.
+PLAIN = bytes(ord(" ") if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b + 32 if 65 <= b <= 90 else b
+               for b in range(256))
+
 # --- word hashes by numpy ---------------------------------------------------------------------------------------
 
 _U = np.uint64
@@ -140,8 +175,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """One 64-bit hash per word of ``raw``, in order.
+def word_hashes(raw: bytes, first: int | None = None) -> np.ndarray:
+    """One 64-bit hash per word of ``raw``, in order; of its ``first`` bytes only, if given.
 
     A word's hash is the polynomial sum of its bytes' random values, taken from a running sum over the text and
     shifted to the word's start, so that all words are hashed by a few vector operations. Texts longer than a block
@@ -150,16 +185,19 @@ def word_hashes(raw: bytes) -> np.ndarray:
     if len(raw) >= _BLOCK:
         cut = max(raw.rfind(s, 0, _BLOCK - 1) for s in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
         if cut >= 0:
-            return np.concatenate([word_hashes(raw[:cut]), word_hashes(raw[cut + 1:])]) \
-                if len(raw) < 4 * _BLOCK else np.concatenate([word_hashes(p) for p in _pieces(raw)])
+            return np.concatenate([word_hashes(p, first) for p in _pieces(raw)])
+        if not raw.split():
+            return np.empty(0, np.uint64)
         head, *rest = raw.split(None, 1)
-        return np.concatenate([[_long_word(head)], word_hashes(rest[0]) if rest else np.empty(0, np.uint64)]) \
-            .astype(np.uint64)
+        return np.concatenate([[_long_word(head[:first])], word_hashes(rest[0], first) if rest
+                               else np.empty(0, np.uint64)]).astype(np.uint64)
     b = np.frombuffer(raw, np.uint8)
     inside = np.zeros(len(b) + 2, bool)
     inside[1:-1] = ~_IS_SPACE[b]
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
+    if first:
+        end = np.minimum(end, start + first)
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(_BYTES[b] * _POW[:len(b)], out=total[1:])
     return mix((total[end] - total[start]) * _POW_INV[start] + (end - start).astype(np.uint64))
@@ -190,7 +228,7 @@ def _long_word(word: bytes) -> np.uint64:
         return mix(np.array([total + _U(len(word))]))[0]
 
 
-def batch_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def batch_hashes(raws: list[bytes], first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes of several texts one after the other, and where each text's words begin (with the end)."""
     each, at = [], 0
     groups: list[list[bytes]] = [[]]
@@ -203,14 +241,14 @@ def batch_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     counts = []
     for group in groups:
         if len(group) == 1:
-            h = word_hashes(group[0])
+            h = word_hashes(group[0], first)
             each.append(h)
             counts.append(np.array([len(h)]))
             continue
         if not group:
             continue
         joined = b"\n".join(group)
-        h = word_hashes(joined)
+        h = word_hashes(joined, first)
         b = np.frombuffer(joined, np.uint8)
         starts = ~_IS_SPACE[b]
         starts[1:] &= _IS_SPACE[b[:-1]]

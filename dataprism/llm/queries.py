@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from dataprism.llm import line_dedup, quality_rules, sharding, token_counts
+from dataprism.llm import (decontaminate, line_dedup, quality_fm, quality_rules, sentencepiece_ac, sharding,
+                           token_counts, toxicity)
 
 QUERIES = {
     "op1_line_runs": line_dedup.op1_line_runs,
+    "op2_toxicity_cnn": toxicity.op2_toxicity_cnn,
+    "op3_quality_fm": quality_fm.op3_quality_fm,
+    "op4_tiling": decontaminate.op4_tiling,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_sentencepiece": sentencepiece_ac.op7_sentencepiece,
     "op8_shard_tree": sharding.op8_shard_tree,
     "op10_quality_lines": quality_rules.op10_quality_lines,
 }
