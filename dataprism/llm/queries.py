@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataprism.llm import (decontaminate, line_dedup, quality_fm, quality_rules, sentencepiece_ac, sharding,
+from dataprism.llm import (decontaminate, line_dedup, minhash, quality_fm, quality_rules, sentencepiece_ac, sharding,
                            token_counts, toxicity)
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_toxicity_cnn": toxicity.op2_toxicity_cnn,
     "op3_quality_fm": quality_fm.op3_quality_fm,
     "op4_tiling": decontaminate.op4_tiling,
+    "op5_minhash": minhash.op5_minhash,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_sentencepiece": sentencepiece_ac.op7_sentencepiece,
     "op8_shard_tree": sharding.op8_shard_tree,
