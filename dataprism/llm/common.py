@@ -6,6 +6,7 @@ exactly those six bytes).
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -47,6 +48,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let the cluster delete the shuffle files of finished steps now: Spark does so when the driver has collected
+    the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Written tables of one run, in a folder of their own under the shared checkpoint folder.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import Scratch, arrow_map, documents, raw_texts, same
+from dataprism.llm.common import Scratch, append_columns, arrow_map, documents, raw_texts, same
 
 STRIP = b" \t\n\r\x0b\f"
 MIN_DOCS = 10
@@ -112,39 +112,53 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     return index.frequent()
 
 
-def drop_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the kept text of every row, without the lines whose hashes are ``frequent``.
-
-    The frequent hashes that a document has are joined to it by its id, so memory follows one document. The join by
-    hash has one row for each frequent line, and Spark splits its skewed partitions.
-    """
-    hit = lines_of(docs).join(frequent, ["hi", "lo"]).groupBy(F.col("doc_id").alias("__id")) \
+def _hits(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(__id, __hit): the frequent lines that each document has. The join by hash has one row for each frequent line
+    on one side, and Spark splits the skewed partitions of the other."""
+    return lines_of(docs).join(frequent, ["hi", "lo"]).groupBy(F.col("doc_id").alias("__id")) \
         .agg(F.collect_set(F.struct("hi", "lo")).alias("__hit"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .join(hit, same(F.col("doc_id"), F.col("__id")), "left") \
-        .select("doc_id", "text", F.col("__hit.hi").alias("hi"), F.col("__hit.lo").alias("lo"))
+
+
+def _keep(raw: bytes, hi: list[int] | None, lo: list[int] | None) -> tuple[int, list[bytes]]:
+    lines = raw.split(b"\n")
+    if not hi:
+        return len(lines), lines
+    bad = set(zip(hi, lo))
+    return len(lines), [x for x in lines if not (k := line_key(x)) or _hash(k) not in bad]
+
+
+def drop_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept``, the text without lines whose hashes are
+    ``frequent``. The hashes that a document has are joined to it by its id, so memory follows one document."""
+    rows = docs.join(_hits(docs, frequent), same(F.col("doc_id").cast("long"), F.col("__id")), "left").drop("__id")
 
     def keep(batch: pa.RecordBatch) -> list:
         n_lines, n_dropped, kept = [], [], []
-        for raw, hi, lo in zip(raw_texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            lines = raw.split(b"\n")
-            if hi:
-                bad = set(zip(hi, lo))
-                rest = [x for x in lines if not (k := line_key(x)) or _hash(k) not in bad]
-            else:
-                rest = lines
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(rest))
+        for raw, hi, lo in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            n, rest = _keep(raw, hi, lo)
+            n_lines.append(n)
+            n_dropped.append(n - len(rest))
             kept.append(b"\n".join(rest).decode())
-        return [batch.column(0), n_lines, n_dropped, kept]
+        return [n_lines, n_dropped, kept]
 
-    return arrow_map(rows, keep, "doc_id long, n_lines long, n_dropped long, kept string")
+    inputs = [F.col("text").cast("string"), F.col("__hit.hi"), F.col("__hit.lo")]
+    return append_columns(rows, inputs, keep, "__n_lines long, __n_dropped long, __kept string").drop("__hit")
 
 
 def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = drop_lines(docs, frequent_lines(docs))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
+                      F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: every document without its frequent lines; ``n_chars`` follows the text, a null text stays."""
     out = drop_lines(docs, frequent_lines(docs))
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.when(F.col("text").isNotNull(), F.col("__kept"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("text", text).select(*docs.columns)
 
 
 ORACLE = f"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataprism.llm import (decontaminate, line_dedup, minhash, quality_fm, quality_rules, sentencepiece_ac, sharding,
-                           token_counts, toxicity)
+                           substring, token_counts, toxicity)
 
 QUERIES = {
     "op1_line_runs": line_dedup.op1_line_runs,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_sentencepiece": sentencepiece_ac.op7_sentencepiece,
     "op8_shard_tree": sharding.op8_shard_tree,
+    "op9_phrases": substring.op9_phrases,
     "op10_quality_lines": quality_rules.op10_quality_lines,
 }
 

@@ -181,3 +181,8 @@ def decode_texts(encoded: DataFrame, pieces: list[tuple[str, float, int]]) -> Da
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
     return encode_texts(documents(spark, sf_dir), read_pieces(model))
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the pieces of every document."""
+    return encode_texts(docs, read_pieces())
