@@ -158,7 +158,7 @@ def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     text = F.when(F.col("text").isNotNull(), F.col("__kept"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("text", text).select(*docs.columns)
+    return out.withColumn("text", text).drop("__n_lines", "__n_dropped", "__kept")
 
 
 ORACLE = f"""
