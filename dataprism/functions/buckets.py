@@ -6,7 +6,7 @@ A frequency string names how rows are grouped in time; every row gets the *label
 * ``D``, ``h``/``H``, ``min``/``T``, ``s``/``S`` with an optional multiple (``15min``, ``6h``, ``5D``): fixed-width
   buckets, labelled by their start. When the width divides a day the buckets are midnight aligned. Otherwise
   (``5D``, ``7h``, ``36h``, ``7min``) they start at midnight of the partition's earliest row, so the label depends on
-  the partition: such frequencies are *origin-dependent* and are resolved in two steps (see ``profile``).
+  the partition: such frequencies are *origin-dependent* (see ``profile``).
 * ``W`` (= ``W-SUN``) and ``W-MON`` .. ``W-SAT``: week closing on that weekday, labelled with the closing day.
 * ``M``/``ME`` month end, ``MS`` month start; ``Q``/``QE`` quarter end, ``QS`` quarter start;
   ``Y``/``YE``/``A`` year end, ``YS``/``AS`` year start.
@@ -16,7 +16,6 @@ Anything else (``B``, ``SM``, ``2W``, ...) raises ``ValueError``.
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass
 
@@ -82,11 +81,6 @@ class Freq:
         """True when labels depend on the partition's earliest row (width does not divide a day)."""
         return self.kind == "tick" and MS_PER_DAY % self.width_ms != 0
 
-    @property
-    def grain_ms(self) -> int:
-        """Width of the midnight-aligned cells that never straddle a bucket edge of an origin-dependent frequency."""
-        return math.gcd(self.width_ms, MS_PER_DAY)
-
 
 _TICK_RE = re.compile(r"^\s*(\d*)\s*([A-Za-z]+)\s*$")
 
@@ -115,10 +109,21 @@ def parse_freq(freq: str | None) -> Freq:
 
 
 def to_ntz(ts: Column) -> Column:
-    """Cast any bucket expression (date, timestamp, timestamp_ntz) to timestamp_ntz."""
+    """Cast a bucket expression (date, timestamp_ntz) to timestamp_ntz."""
     return ts.cast("timestamp_ntz")
 
 
+def utc_ntz(instant: Column) -> Column:
+    """The UTC wall-clock time of a TIMESTAMP (an instant), whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
+
+
+def floor_div(a: Column, n: int) -> Column:
+    """``floor(a / n)`` of a bigint in integer arithmetic (a double quotient is wrong beyond 2**53)."""
+    n_lit = F.lit(n).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, n_lit), n_lit)
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -129,8 +134,7 @@ def epoch_ms(ts: Column) -> Column:
     Computed on the wall-clock value (``timestamp_ntz`` arithmetic), so the session time zone never shifts it; floor
     division keeps sub-millisecond times before 1970 in the right millisecond.
     """
-    micros = epoch_us(ts)
-    return F.floor(micros / F.lit(1000)).cast("bigint")
+    return floor_div(epoch_us(ts), 1000)
 
 
 def epoch_us(ts: Column) -> Column:
@@ -161,7 +165,7 @@ def bucket_label(ts: Column, freq: Freq) -> Column:
     """Label of the bucket of ``ts`` for every frequency that does not depend on an origin."""
     if freq.kind == "tick":
         if freq.origin_dependent:
-            raise ValueError(f"frequency {freq.text!r} depends on the partition origin; use cell_label + rebucket")
+            raise ValueError(f"frequency {freq.text!r} depends on the partition origin; use origin_label")
         if freq.width_ms == MS_PER_DAY:
             return to_ntz(F.to_date(ts))
         return floor_ms(ts, freq.width_ms)
@@ -184,35 +188,26 @@ def bucket_label(ts: Column, freq: Freq) -> Column:
     raise ValueError(f"unknown frequency kind {freq.kind}")
 
 
-def cell_label(ts: Column, freq: Freq) -> Column:
-    """First-step key: the bucket label itself, or for origin-dependent frequencies a midnight-aligned cell
-    (width ``grain_ms``) that lies inside exactly one bucket whatever midnight the origin is."""
-    if freq.origin_dependent:
-        return floor_ms(ts, freq.grain_ms)
-    return bucket_label(ts, freq)
-
-
-def rebucket(cell: Column, origin_day: Column, freq: Freq) -> Column:
-    """Second step for origin-dependent frequencies: ``origin + floor((cell - origin) / width) * width``.
+def origin_label(ts: Column, origin_day: Column, freq: Freq) -> Column:
+    """Label for every tick frequency: ``origin + floor((ts - origin) / width) * width``.
 
     ``origin_day`` is midnight of the partition's earliest row.
     """
     o = epoch_ms(origin_day)
-    c = epoch_ms(cell)
-    w = F.lit(freq.width_ms).cast("bigint")
-    return from_epoch_ms(o + F.floor((c - o) / w).cast("bigint") * w)
+    c = epoch_ms(ts)
+    return from_epoch_ms(o + floor_div(c - o, freq.width_ms) * F.lit(freq.width_ms).cast("bigint"))
 
 
 def bucket_ordinal(label: Column, freq: Freq) -> Column:
     """An integer that grows by one from each bucket to the next; ``max - min + 1`` counts all bins between two
     labels, empty ones included (``group_count``)."""
     if freq.kind == "tick":
-        return F.floor(epoch_ms(label) / F.lit(freq.width_ms)).cast("bigint")
+        return floor_div(epoch_ms(label), freq.width_ms)
     if freq.kind == "week":
-        return F.floor(F.datediff(F.to_date(label), F.lit("1970-01-04").cast("date")) / 7).cast("bigint")
+        return floor_div(F.datediff(F.to_date(label), F.lit("1970-01-04").cast("date")).cast("bigint"), 7)
     month_index = (F.year(label) * 12 + F.month(label) - 1).cast("bigint")
     if freq.kind in ("month_end", "month_start"):
         return month_index
     if freq.kind in ("quarter_end", "quarter_start"):
-        return F.floor(month_index / 3).cast("bigint")
+        return floor_div(month_index, 3)
     return F.year(label).cast("bigint")

@@ -77,16 +77,14 @@ def segment_json(names: list[str], values: list[Column]) -> Column:
     """Segment key as a JSON object, nulls kept (``{"a":null}``)."""
     if not names:
         return F.lit(None).cast("string")
-    return F.to_json(F.struct(*[v.alias(n) for n, v in zip(names, values)]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[v.alias(n) for n, v in zip(names, values)]), {**JSON_OPTIONS, "ignoreNullFields": "false"})
 
 
 def segment_partition_name(names: list[str]) -> Column:
     return F.lit(",".join(names)) if names else F.lit(None).cast("string")
 
 
-def debug_info(group_count: Column, segment: Column | None) -> Column:
+def debug_info(group_count: Column, segment: Column) -> Column:
     """``key: value`` lines: the number of bins of the partition and, when segmented, the segment key."""
-    parts = [F.concat(F.lit("group_count: "), group_count.cast("string"))]
-    if segment is not None:
-        parts.append(F.concat(F.lit("segment_key: "), segment))
-    return F.concat_ws("\n", *parts)
+    return F.concat_ws("\n", F.concat(F.lit("group_count: "), group_count.cast("string")),
+                       F.concat(F.lit("segment_key: "), segment))

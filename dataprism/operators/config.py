@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
-
-from dataprism.functions.buckets import parse_freq
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Names of the control columns dropped before profiling (matched case-insensitively).
 CONTROL_COLUMNS = ("SEGMENT_COLUMNS", "GROUP_BY_FREQUENCY", "DATASET_TIMESTAMP")
@@ -44,20 +43,11 @@ def is_control_column(name: str) -> bool:
     return name.upper() in CONTROL_COLUMNS
 
 
-def drop_control_columns(df: DataFrame) -> DataFrame:
-    """Drop the control columns that are present; absent ones are ignored."""
-    return df.drop(*[c for c in df.columns if is_control_column(c)])
-
+def col(name: str) -> Column:
+    """The column of exactly this name (dots and backticks included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
-def require_dataset_id(df: DataFrame, column: str = "dataset_id") -> str:
-    """Name of the dataset-id column; raises with the available columns when it is missing."""
-    try:
-        return resolve_names(df, [column], "dataset id column")[0]
-    except ValueError as e:
-        raise ValueError(f"{column} not found in input with columns: {df.columns}") from e
 
-
-def check_freq(freq: str | None) -> str:
-    """Validate a frequency on the driver (``ValueError`` for null or unknown strings)."""
-    parse_freq(freq)
-    return freq  # type: ignore[return-value]
+def drop_control_columns(df: DataFrame) -> DataFrame:
+    """Drop the control columns that are present; absent ones are ignored."""
+    return df.select(*[col(c) for c in df.columns if not is_control_column(c)])

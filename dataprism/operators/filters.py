@@ -20,6 +20,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dataprism.operators.config import col
 
 _DAY = dt.timedelta(days=1)
 
@@ -42,7 +45,9 @@ def _ceil_day(t: dt.datetime) -> dt.datetime:
 
 
 def _lit(df: DataFrame, ts: str, t: dt.datetime) -> Column:
-    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(df.schema[ts].dataType)
+    kind = df.schema[ts].dataType
+    zone = "+00:00" if isinstance(kind, T.TimestampType) else ""  # an instant is bounded in UTC, whatever the session
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f") + zone).cast(kind)
 
 
 def day_range_condition(df: DataFrame, ts: str, *, day=None, start=None, end=None, include_start: bool = True,
@@ -63,7 +68,7 @@ def day_range_condition(df: DataFrame, ts: str, *, day=None, start=None, end=Non
         b = _as_datetime(end)
         e = _floor_day(b) + _DAY if include_end else _ceil_day(b)
         hi = e if hi is None else min(hi, e)
-    c = F.col(ts)
+    c = col(ts)
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (c >= _lit(df, ts, lo))

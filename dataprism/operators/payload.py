@@ -8,40 +8,43 @@ Control keys inside it:
 * ``SEGMENT_COLUMNS`` — CSV of segment names (optional);
 * ``GROUP_BY_FREQUENCY`` — frequency string (optional, default ``D``).
 
-Every other key is profiled with the type it has in the data (a variant's keys and types are discovered with one
-``schema_of_variant_agg`` pass over the payload column only; pass ``schema=`` to skip that pass on large inputs).
-Control values are per partition: all rows of a partition must agree (Spark has no "first row"), checked by a small
-aggregate; rows are then split by the few distinct configurations and profiled with one plan each (with more than
-one configuration, over a copy partitioned by configuration, so the input is read and parsed once).
+Every other key is profiled with the type it has in the data. A variant's keys and types are discovered with one
+``schema_of_variant_agg`` pass over the payload column (pass ``schema=`` to skip it); a key with values of several
+types stays a variant, whose values count under their own types. With ``schema=``, a value that does not cast counts
+under ``n_other``, not as a null. A map's keys are never listed: its entries are profiled in long form.
+
+Control values are per partition: all rows of a partition must agree (Spark has no "first row"). One small aggregate
+checks that and lists the frequencies and segment names in use; blank values count as absent. The profile is then one
+plan for all configurations: the frequency is a row value and the bucket a CASE over the frequencies in use, and the
+segment of a row is put together from the columns that its own list names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dataprism.operators.config import DEFAULT_FREQ, is_control_column
-from dataprism.operators.profile import profile
-from dataprism.session import scratch_path
+from dataprism.functions import buckets as B
+from dataprism.functions import envelope as E
+from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats
+from dataprism.operators.config import DEFAULT_FREQ, col, is_control_column
+from dataprism.operators.joins import join_on_keys
+from dataprism.operators.profile import Bucketing, Segmenting, _attach_bucket_facts, envelope_columns, profile_rows
 
 # Control keys of a payload.
 TS_KEY = "DATASET_TIMESTAMP"
 SEGMENTS_KEY = "SEGMENT_COLUMNS"
 FREQ_KEY = "GROUP_BY_FREQUENCY"
 
-MAX_PAYLOAD_KEYS = 10_000
-# Each distinct (segment list, frequency) configuration is profiled by its own pass over the input.
-MAX_CONFIGS = 64
 
 
 def make_payload(df: DataFrame, *, dataset_timestamp: Column | None = None, segment_columns: str | Column | None = None,
                  freq: str | Column | None = None, as_variant: bool = True) -> Column:
     """``object_insert(object_construct(*), ...)``: every column of ``df`` plus the control keys given."""
-    fields = [F.col(f"`{c}`") for c in df.columns]
+    fields = [col(c) for c in df.columns]
     if dataset_timestamp is not None:
         fields.append(dataset_timestamp.cast("bigint").alias(TS_KEY))
     for key, v in ((SEGMENTS_KEY, segment_columns), (FREQ_KEY, freq)):
@@ -69,103 +72,165 @@ def payload_schema(df: DataFrame, data: str) -> T.StructType:
     ])
 
 
-def expand_payload(df: DataFrame, data: str = "data", *, keep: Sequence[str] = (),
-                   schema: T.StructType | None = None) -> tuple[DataFrame, dict[str, str]]:
-    """Payload keys as typed columns next to the ``keep`` columns.
-
-    Returns the frame and the mapping from each ``keep`` column to its internal name (``keep`` columns are renamed
-    so a payload key of the same name stays a value of its own).
-    """
+def expand_payload(df: DataFrame, data: str = "data", *, schema: T.StructType | None = None
+                   ) -> list[tuple[str, Column, T.DataType, Column | None]]:
+    """The keys of a struct or variant payload as (name, value, type, whether the value was there before a cast)."""
     dt = df.schema[data].dataType
-    kept = {k: f"__keep{i}" for i, k in enumerate(keep)}
-    keep_cols = [F.col(f"`{k}`").alias(a) for k, a in kept.items()]
+    body = col(data)
     if isinstance(dt, T.StructType):
-        fields = [F.col(f"`{data}`").getField(f.name).alias(f.name) for f in dt.fields]
-    elif isinstance(dt, T.MapType):
-        keys = [r[0] for r in df.select(F.explode(F.map_keys(F.col(f"`{data}`")))).distinct()
-                .limit(MAX_PAYLOAD_KEYS + 1).collect()]
-        if len(keys) > MAX_PAYLOAD_KEYS:
-            raise ValueError(f"payload map holds more than {MAX_PAYLOAD_KEYS} distinct keys")
-        fields = [F.col(f"`{data}`").getItem(k).alias(k) for k in sorted(keys)]
-    elif isinstance(dt, T.VariantType):
-        sch = schema if schema is not None else payload_schema(df, data)
-        fields = [F.try_variant_get(F.col(f"`{data}`"), _quote_path(f.name), f.dataType.simpleString()).alias(f.name)
-                  for f in sch.fields]
-    else:
+        return [(f.name, body.getField(f.name), f.dataType, None) for f in dt.fields]
+    if not isinstance(dt, T.VariantType):
         raise TypeError(f"payload column {data!r} must be a variant, struct or map, not {dt.simpleString()}")
-    return df.select(*keep_cols, *fields), kept
+    out = []
+    for f in (schema if schema is not None else payload_schema(df, data)).fields:
+        raw = F.try_variant_get(body, _quote_path(f.name), "variant")
+        if isinstance(f.dataType, T.VariantType):
+            out.append((f.name, raw, f.dataType, None))
+        else:
+            value = F.try_variant_get(body, _quote_path(f.name), f.dataType.simpleString())
+            there = raw.isNotNull() & ~F.is_variant_null(raw) if schema is not None else None
+            out.append((f.name, value, f.dataType, there))
+    return out
 
 
-def _find(df: DataFrame, key: str) -> str | None:
-    found = [c for c in df.columns if c.upper() == key]
-    return found[0] if found else None
+def _text(value: Column | None, kind: T.DataType | None) -> Column:
+    """A control value as text; blanks are absent."""
+    if value is None:
+        return F.lit(None).cast("string")
+    if isinstance(kind, T.VariantType):
+        value = F.try_variant_get(value, "$", "string")
+    return F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
-def _configs(wide: DataFrame, internal: list[str], cols: list[str | None]) -> list[tuple[str | None, ...]]:
-    """Distinct control tuples, after checking that every partition holds one value per control column.
+def _configs(rows: DataFrame, keys: list[str], present: list[str]) -> tuple[list[str], list[str]]:
+    """Frequencies and segment names in use, after checking that a partition holds one value per control column.
 
-    One aggregate per partition (small: one row per partition key) does both the check and the listing; no job at
-    all when the payload carries no control column.
-    """
-    present = [c for c in cols if c is not None]
+    One job: minimum, maximum and count per partition, then one row over all partitions. None when no control column
+    is present."""
     if not present:
-        return [tuple(None for _ in cols)]
-    keys = [F.col(c) for c in internal] or [F.lit(0).alias("__all")]
-    aggs = []
-    for i, c in enumerate(present):
-        aggs += [F.count_distinct(F.col(c)).alias(f"__d{i}"), F.count_if(F.col(c).isNull()).alias(f"__z{i}"),
-                 F.min(F.col(c)).alias(f"__v{i}")]
-    per = wide.groupBy(*keys).agg(*aggs)
-    clash = reduce(lambda a, b: a | b, [(F.col(f"__d{i}") > 1) | ((F.col(f"__d{i}") == 1) & (F.col(f"__z{i}") > 0))
-                                        for i in range(len(present))])
-    bad = per.filter(clash).limit(1).collect()
-    if bad:
-        raise ValueError(f"control columns {present} must hold one value per partition; partition {bad[0]} differs")
-    combos = per.select(*[f"__v{i}" for i in range(len(present))]).distinct().limit(MAX_CONFIGS + 1).collect()
-    if len(combos) > MAX_CONFIGS:
-        raise ValueError(f"control columns {present} hold more than {MAX_CONFIGS} distinct configurations")
-    out = []
-    for r in combos:
-        it = iter(r)
-        out.append(tuple(next(it) if c is not None else None for c in cols))
-    return out
+        return [], []
+    per = rows.groupBy(*[F.col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__all"),
+        *[a for c in present for a in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"),
+                                       F.count(c).alias(f"{c}_n"))])
+    clash = F.lit(False)
+    for c in present:
+        clash = clash | (F.col(f"{c}_lo") != F.col(f"{c}_hi")) | ((F.col(f"{c}_n") > 0) & (F.col(f"{c}_n") < F.col("__all")))
+    clash = F.coalesce(clash, F.lit(False))
+    row = per.agg(
+        F.min(F.when(clash, F.to_json(F.struct(*keys, *[f"{c}_lo" for c in present], *[f"{c}_hi" for c in present]))))
+        .alias("bad"),
+        *([F.collect_set("__freq_lo").alias("freqs")] if "__freq" in present else []),
+        *([F.array_distinct(F.flatten(F.collect_set(F.split("__segs_lo", ",")))).alias("names")]
+          if "__segs" in present else [])).first().asDict()
+    if row["bad"] is not None:
+        raise ValueError(f"control values must be the same in all rows of a partition; partition {row['bad']} differs")
+    names = sorted({n.strip().lower() for n in row.get("names") or [] if n.strip()})
+    return sorted(row.get("freqs") or []), names
 
 
 def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence[str] = (),
-                    schema: T.StructType | None = None, **profile_kwargs) -> DataFrame:
+                    schema: T.StructType | None = None, columns: Sequence[str] | None = None,
+                    **profile_kwargs) -> DataFrame:
     """Profile the objects in column ``data`` per partition (``partition_by`` columns of ``df``), bucket and segment.
 
     Output as ``profile`` (partition keys first). Control keys are never profiled; the event-time key becomes the
-    bucket time. A NULL segment list means unsegmented, a NULL frequency the default ``D``. ``profile_kwargs`` pass
-    through (``serialize``, ``exact``, ``salt`` ...).
+    bucket time. A NULL or blank segment list means unsegmented, a NULL or blank frequency the default ``D``.
+    ``profile_kwargs`` pass through (``serialize``, ``exact``, ``salt`` ...).
     """
-    wide, kept = expand_payload(df, data, keep=partition_by, schema=schema)
-    ts = _find(wide, TS_KEY)
-    if ts is None:
-        raise ValueError(f"payload has no {TS_KEY} key; keys: {[c for c in wide.columns if c not in kept.values()]}")
-    internal = list(kept.values())
-    keys = [F.col(a).alias(k) for k, a in kept.items()]
-    seg_col, freq_col = _find(wide, SEGMENTS_KEY), _find(wide, FREQ_KEY)
-    if profile_kwargs.get("columns") is None:
-        profile_kwargs["columns"] = [c for c in wide.columns if c not in internal and not is_control_column(c)]
-    configs = _configs(wide, internal, [seg_col, freq_col])
-    present = [c for c in (seg_col, freq_col) if c is not None]
-    if len(configs) > 1:
-        # Several configurations: expand the payload once into a table in the shared folder, partitioned by the
-        # control columns, so each configuration's pass reads only its own rows (partition pruning) instead of
-        # re-reading and re-parsing the whole input once per configuration.
-        spark = df.sparkSession
-        path = scratch_path(spark, "payload-configs")
-        wide.write.mode("overwrite").partitionBy(*present).parquet(path)
-        ordered = T.StructType([f for f in wide.schema.fields if f.name not in present]
-                               + [wide.schema[c] for c in present])
-        wide = spark.read.schema(ordered).parquet(path)
-    parts = []
-    for seg_value, freq_value in configs:
-        rows = wide
-        for c, v in ((seg_col, seg_value), (freq_col, freq_value)):
-            if c is not None:
-                rows = rows.filter(F.col(c).eqNullSafe(F.lit(v).cast("string")))
-        parts.append(profile(rows, ts, freq=freq_value or DEFAULT_FREQ, segments=seg_value, partition_by=keys,
-                             **profile_kwargs))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    keys = [(k, col(k)) for k in partition_by]
+    is_map = isinstance(df.schema[data].dataType, T.MapType)
+    if is_map:
+        inner = df.schema[data].dataType.valueType
+        fields = [(k, col(data).getItem(k), inner, None) for k in (TS_KEY, SEGMENTS_KEY, FREQ_KEY)]
+    else:
+        fields = expand_payload(df, data, schema=schema)
+    by = {n.upper(): (v, t) for n, v, t, _ in fields}
+    if TS_KEY not in by:
+        raise ValueError(f"payload has no {TS_KEY} key; keys: {[n for n, *_ in fields]}")
+    ts, kind = by[TS_KEY]
+    ms = F.try_variant_get(ts, "$", "double") if isinstance(kind, T.VariantType) else ts
+    ts = B.from_epoch_ms(ms.cast("double").cast("bigint") if isinstance(kind, (T.VariantType, T.StringType))
+                         else ms.cast("bigint"))
+    segs, freq = (_text(*by.get(k, (None, None))) for k in (SEGMENTS_KEY, FREQ_KEY))
+    names = [f"__key{i}" for i in range(len(keys))]
+    control = df.select(*[c.alias(n) for (_, c), n in zip(keys, names)], segs.alias("__segs"), freq.alias("__freq"))
+    present = [c for c, k in (("__segs", SEGMENTS_KEY), ("__freq", FREQ_KEY)) if k in by]
+    freqs, segment_names = _configs(control, names, present)
+    which = F.coalesce(freq, F.lit(DEFAULT_FREQ))
+    parsed = {f: B.parse_freq(f) for f in freqs} | {DEFAULT_FREQ: B.parse_freq(DEFAULT_FREQ)}
+    bucketing = Bucketing(tuple(parsed.values()), which)
+    segment = _row_segments(segs, segment_names, fields if not is_map else [
+        (n, col(data).getItem(n), inner, None) for n in _map_names(df, data, segment_names)])
+    if is_map:
+        return _profile_map(df, data, ts, bucketing, segment, keys, **profile_kwargs)
+    wanted = None if columns is None else {c.lower() for c in columns}
+    values = [f for f in fields if not is_control_column(f[0]) and (wanted is None or f[0].lower() in wanted)]
+    return profile_rows(df, ts, bucketing, segment, keys, values, **profile_kwargs)
+
+
+def _map_names(df: DataFrame, data: str, lower_names: list[str]) -> list[str]:
+    """Spellings in the data of the segment names in use (as many rows as names)."""
+    if not lower_names:
+        return []
+    found = df.select(F.explode(F.map_keys(col(data))).alias("k")).filter(F.lower("k").isin(lower_names)) \
+        .groupBy(F.lower("k").alias("l")).agg(F.min("k").alias("k")).collect()
+    return [r.k for r in found]
+
+
+def _row_segments(segs: Column, names: list[str], fields: list[tuple]) -> Segmenting:
+    """Segmentation by each row's own list: its text is the JSON object of the listed columns, in list order."""
+    by = {n.lower(): (n, v) for n, v, _, _ in fields}
+    unknown = [n for n in names if n not in by]
+    if unknown:
+        raise ValueError(f"segment column {unknown[0]!r} not found; available columns: {sorted(by)}")
+    listed = F.filter(F.transform(F.split(segs, ","), F.trim), lambda s: s != "")
+    applies = F.coalesce(F.size(listed) > 0, F.lit(False))
+    if not names:
+        return Segmenting([], [], F.lit(False), F.lit(None).cast("string"), F.lit(None).cast("string"))
+    parts = F.create_map(*[x for n in names for x in (
+        F.lit(n), F.regexp_extract(E.segment_json([by[n][0]], [by[n][1]]), r"(?s)^\{(.*)\}$", 1))])
+    spelled = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(by[n][0]))])
+    text = F.concat(F.lit("{"), F.array_join(F.transform(listed, lambda s: F.element_at(parts, F.lower(s))), ","),
+                    F.lit("}"))
+    partition = F.array_join(F.transform(listed, lambda s: F.element_at(spelled, F.lower(s))), ",")
+    return Segmenting([F.when(applies, text).alias("__seg"), F.when(applies, partition).alias("__segpart")],
+                      ["__seg", "__segpart"], applies, F.col("__seg"), F.col("__segpart"))
+
+
+def _profile_map(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segment: Segmenting,
+                 keys: list[tuple[str, Column]], *, serialize: bool = False, sketches: bool = True,
+                 topk_capacity: int = DEFAULT_TOPK_CAPACITY, metadata: dict[str, str] | None = None,
+                 passthrough: dict[str, str] | None = None) -> DataFrame:
+    """Profiles of map payloads in long form: one statistics group per (profile, map key), however many keys there
+    are. A row without a key counts as a null of that column, as a missing object key does."""
+    value_type = df.schema[data].dataType.valueType
+    alias = [f"__k{i}" for i in range(len(keys))]
+    pre = df.select(*[c.alias(a) for (_, c), a in zip(keys, alias)], *segment.columns, bucketing.which.alias("__fq"),
+                    ts.alias("__ts"), segment.applies.alias("__segmented"), col(data).alias("__data"))
+    bucketing = Bucketing(bucketing.freqs, F.col("__fq"))
+    pre = pre.filter(F.col("__segmented") | F.col("__ts").isNotNull())
+    if bucketing.needs_origin:
+        first = B.to_ntz(F.to_date(F.min("__ts"))).alias("__origin")
+        pre = join_on_keys(pre, pre.groupBy(*alias).agg(first), alias) if alias \
+            else pre.withColumn("__origin", pre.agg(first).scalar())
+    pre = pre.withColumn("__bucket", F.when(F.col("__ts").isNull(), F.raise_error(F.lit("payload without an event time")))
+                         .otherwise(bucketing.label(F.col("__ts"), F.col("__origin"))))
+    group = [*alias, "__fq", "__bucket", *segment.names]
+    whole = pre.groupBy(*group).agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
+    long = pre.select(*group, F.explode("__data").alias("__name", "__v")) \
+        .filter(~F.upper("__name").isin(TS_KEY, SEGMENTS_KEY, FREQ_KEY)).groupBy(*group, "__name") \
+        .agg(column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches).alias("__s"))
+    long = join_on_keys(long, whole, group)
+    absent = F.col("__n") - F.col("__s").getField("count")
+    stats = F.col("__s").withField("null_count", F.col("__s").getField("null_count") + absent) \
+        .withField("count", F.col("__n"))
+    maps = long.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("__name", stats.alias("s")))).alias("__map"))
+    l1 = join_on_keys(whole, maps, group, "left")
+    narrow_keys = [*alias, "__fq", "__bucket"]
+    narrow = pre.groupBy(*narrow_keys).agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
+    prof = _attach_bucket_facts(l1, narrow, alias, narrow_keys, bucketing)
+    none = F.create_map().cast(prof.schema["__map"].dataType)
+    return prof.select(*[F.col(a).alias(n) for (n, _), a in zip(keys, alias)],
+                       *envelope_columns(F.col("__bucket"), F.coalesce("__map", none), segment, passthrough, metadata,
+                                         serialize))

@@ -3,33 +3,33 @@
 Plan (all JVM-side built-in expressions, no Python in the row path)::
 
     scan (pruned to the profiled columns, filters pushed)
-      -> project keys, bucket-or-cell, segment values[, salt]
+      -> project keys, bucket, segment values[, salt]
       -> HashAggregate/ObjectHashAggregate partial (map-side combine, one partial per task and group)
       -> Exchange hashpartitioning(group keys)
       -> final aggregate: one stats struct per column                         [L1]
-      -> (salt or origin-dependent frequency only) merge of the small partials [L2]
-      -> rows_processed / group_count: narrow per-(key, cell) counts of the same projection (key and time
-         columns only, keyed without segments), aggregated per bucket and per key, joined back
-
-Salting: ``salt=n`` adds ``pmod(spark_partition_id(), n)`` to the L1 key. A task still emits at most one partial per
-group (the salt is constant within a task), but a hot group's partials are spread over ``n`` reducers, and L2 merges
-at most ``n`` partials per group. This bounds the work any single reducer does when one key holds a large share of
-the rows. ``salt=None`` is the single-level plan. The default ``salt="auto"`` picks ``n = ceil(input partitions /
-PARTIALS_PER_REDUCER)``: without it, a group present in every input split (an unbucketed profile, or one key holding a
-third of all rows) would have one partial per split — hundreds of thousands on a 100 TB scan — merged by one reducer.
-Inputs up to ``PARTIALS_PER_REDUCER`` partitions get ``n = 1`` (the single-level plan). Exact distinct counts cannot
-be merged, so ``exact=True`` keeps the single-level plan.
-
-Origin-dependent frequencies (``5D``, ``7h`` ...) bucket from midnight of the partition's earliest row. L1 groups by
-midnight-aligned cells that never straddle a bucket edge, the origin is the min cell per partition key of the narrow
-per-cell counts (sharing their exchange), and L2 merges cells into buckets — no join of raw rows.
-
-Wide column sets are profiled in chunks of ``columns_per_pass`` columns whose column maps are joined per profile.
+      -> (salt only) merge of the small partials                              [L2]
+      -> rows_processed / group_count: narrow per-(key, bucket) counts of the same projection (key and time
+         columns only, keyed without segments), and their span per key, joined back
+
+One plan serves every input size; nothing is decided from partition counts. ``salt=n`` is an explicit argument: it
+adds ``pmod(spark_partition_id(), n)`` to the L1 key. A task still emits at most one partial per group, but a hot
+group's partials are spread over ``n`` reducers, and L2 merges at most ``n`` partials per group. Use it where a group
+is present in very many input splits.
+
+Origin-dependent frequencies (``5D``, ``7h`` ...) bucket from midnight of the partition's earliest row. The origins
+(one small row per partition key, from a narrow pass over keys and time) are joined to the rows, so every row gets its
+bucket at once and there is one statistics group per profile. Spark broadcasts the origins when their measured size
+allows.
+
+``exact=True`` adds exact distinct counts: per column, rows are reduced to distinct (group, value) pairs before and
+after one shuffle by (group, value), then counted; a hot group is spread over its values. ``columns_per_pass`` splits
+wide column sets into several aggregations joined per group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,34 +38,53 @@ from pyspark.sql import types as T
 
 from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, merge_stats, weighted_mean_sql
-from dataprism.operators.config import DEFAULT_FREQ, is_control_column, parse_segments, resolve_names
+from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, merge_stats, type_class
+from dataprism.operators.config import DEFAULT_FREQ, col, is_control_column, parse_segments, resolve_names
 from dataprism.operators.joins import join_on_keys
 
-NULL_TS_MESSAGE = "Segmentation columns cannot contain null timestamps. Filter null timestamps out of the query."
-
-# Most partials one reducer merges for one group before the work is split over salts.
-PARTIALS_PER_REDUCER = 2048
-# Most columns profiled in one aggregation pass. A group's buffer holds a KLL, HLL and top-k state per column, so a
-# wide table is profiled in column chunks (each pass reads only its columns plus keys and time) whose column maps are
-# joined per profile afterwards; memory per group stays bounded whatever the width.
-MAX_COLUMNS_PER_PASS = 64
+NULL_TS_MESSAGE = "Rows without an event time cannot be profiled by segment; filter them out first."
 
 PROFILE_COLUMNS = ["dataset_timestamp", "segment_partition", "segment", "rows_processed", "debug_info"]
 
 
-def _col_name(df: DataFrame, c: str | Column) -> tuple[str, Column]:
+@dataclass(frozen=True)
+class Bucketing:
+    """The frequencies of an input: one for all rows, or several told apart by the text column ``which``."""
+
+    freqs: tuple[B.Freq, ...]
+    which: Column | None = None
+
+    def _case(self, of: Callable[[B.Freq], Column]) -> Column:
+        if self.which is None:
+            return of(self.freqs[0])
+        out = F.lit(None)
+        for f in self.freqs:
+            out = F.when(self.which == F.lit(f.text), of(f)).otherwise(out)
+        return out
+
+    @property
+    def needs_origin(self) -> bool:
+        return any(f.origin_dependent for f in self.freqs)
+
+    def label(self, ts: Column, origin: Column) -> Column:
+        return self._case(lambda f: B.origin_label(ts, origin, f) if f.origin_dependent else B.bucket_label(ts, f))
+
+    def ordinal(self, label: Column) -> Column:
+        return self._case(lambda f: B.bucket_ordinal(label, f))
+
+
+def _key(df: DataFrame, c: str | Column) -> tuple[str, Column]:
     if isinstance(c, str):
         name = resolve_names(df, [c], "partition column")[0]
-        return name, F.col(name)
+        return name, col(name)
     return df.select(c).columns[0], c
 
 
 def _timestamp(df: DataFrame, ts: str | Column) -> Column:
-    """Event time as timestamp_ntz; integral columns are epoch milliseconds."""
+    """Event time as timestamp_ntz in UTC; numbers are epoch milliseconds."""
     if isinstance(ts, str):
         name = resolve_names(df, [ts], "event-time column")[0]
-        c = F.col(name)
+        c = col(name)
         dt = df.schema[name].dataType
     else:
         c = ts
@@ -74,7 +93,9 @@ def _timestamp(df: DataFrame, ts: str | Column) -> Column:
         return B.from_epoch_ms(c.cast("bigint"))
     if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
         return B.from_epoch_ms(F.floor(c).cast("bigint"))
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(dt, T.TimestampType):
+        return B.utc_ntz(c)
+    if isinstance(dt, (T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp_ntz")
     raise TypeError(f"event-time column must be a timestamp, date or epoch-millisecond number, not {dt.simpleString()}")
 
@@ -88,13 +109,13 @@ def profile(
     partition_by: Sequence[str | Column] | None = None,
     passthrough: dict[str, str] | None = None,
     columns: Sequence[str] | None = None,
-    salt: int | str | None = "auto",
+    salt: int | None = None,
     exact: bool = False,
     sketches: bool = True,
     topk_capacity: int = DEFAULT_TOPK_CAPACITY,
     metadata: dict[str, str] | None = None,
     serialize: bool = False,
-    min_partitions: int | str | None = "auto",
+    min_partitions: int | None = None,
     columns_per_pass: int | None = None,
 ) -> DataFrame:
     """Profile ``df`` per partition key, time bucket of ``ts`` at ``freq``, and segment.
@@ -110,158 +131,155 @@ def profile(
     Profiled columns: every column of ``df`` except the control columns, including the event-time and segment
     columns; ``columns`` narrows the set (and the scan).
 
-    ``min_partitions``: an input with fewer partitions than this (``"auto"``: the session's default parallelism) is
-    hash-spread over that many partitions before aggregating, so a file with few row groups does not leave the
-    cluster idle. Inputs with enough partitions — any large table — are aggregated where they are read.
-
-    ``columns_per_pass`` (default ``MAX_COLUMNS_PER_PASS``): wider column sets are profiled in chunks of this size.
+    ``min_partitions``: hash-spread the rows over that many partitions first, for an input of few, unsplittable
+    files. It shuffles every profiled column, so it is never done unasked.
     """
     fq = B.parse_freq(freq)
     seg_names = resolve_names(df, parse_segments(segments), "segment column")
-    keys = [_col_name(df, c) for c in (partition_by or [])]
-    n_input = df.rdd.getNumPartitions()
-    if salt == "auto":
-        auto = -(-n_input // PARTIALS_PER_REDUCER)
-        salt = auto if auto > 1 and not exact else None
-    if salt is not None and (not isinstance(salt, int) or salt < 1):
-        raise ValueError("salt must be a positive integer or 'auto'")
-    if exact and salt is not None and salt > 1:
-        raise ValueError("exact distinct counts cannot be merged across salts; use salt=None with exact=True")
     if columns is None:
-        prof_names = [c for c in df.columns if not is_control_column(c)]
+        names = [c for c in df.columns if not is_control_column(c)]
     else:
-        prof_names = resolve_names(df, columns, "profiled column")
-    per_pass = columns_per_pass or MAX_COLUMNS_PER_PASS
-    if len(prof_names) > per_pass:
-        return _profile_in_chunks(
-            df, ts, prof_names, per_pass, serialize=serialize, metadata=metadata,
-            kwargs=dict(freq=freq, segments=segments, partition_by=partition_by, passthrough=passthrough, salt=salt,
-                        exact=exact, sketches=sketches, topk_capacity=topk_capacity, min_partitions=min_partitions))
-    prof_types = [df.schema[c].dataType for c in prof_names]
-    tsc = _timestamp(df, ts)
-
+        names = resolve_names(df, columns, "profiled column")
+    values = [(n, col(n), df.schema[n].dataType, None) for n in names]
+    seg_alias = [f"__s{i}" for i in range(len(seg_names))]
+    segment = Segmenting([col(n).alias(a) for n, a in zip(seg_names, seg_alias)], seg_alias,
+                         F.lit(bool(seg_names)), E.segment_json(seg_names, [F.col(a) for a in seg_alias]),
+                         E.segment_partition_name(seg_names))
+    return profile_rows(df, _timestamp(df, ts), Bucketing((fq,)), segment, [_key(df, c) for c in partition_by or []],
+                        values, passthrough=passthrough, salt=salt, exact=exact, sketches=sketches,
+                        topk_capacity=topk_capacity, metadata=metadata, serialize=serialize,
+                        min_partitions=min_partitions, columns_per_pass=columns_per_pass)
+
+
+@dataclass(frozen=True)
+class Segmenting:
+    """How rows are segmented: the segment columns (aliased to ``names``), whether a row is segmented, and the
+    segment's text and its partition's name as expressions over ``names``."""
+
+    columns: list[Column]
+    names: list[str]
+    applies: Column
+    text: Column
+    partition: Column
+
+
+def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segmenting,
+                 keys: list[tuple[str, Column]], values: list[tuple[str, Column, T.DataType, Column | None]], *,
+                 passthrough: dict[str, str] | None = None, salt: int | None = None, exact: bool = False,
+                 sketches: bool = True, topk_capacity: int = DEFAULT_TOPK_CAPACITY,
+                 metadata: dict[str, str] | None = None, serialize: bool = False, min_partitions: int | None = None,
+                 columns_per_pass: int | None = None) -> DataFrame:
+    """``profile`` over expressions. ``values``: (name, value, type, whether the value was there before a cast)."""
+    if salt is not None and (not isinstance(salt, int) or salt < 1):
+        raise ValueError("salt must be a positive integer")
     # One projection with positional aliases: column names of any spelling stay safe inside SQL fragments.
     key_alias = [f"__k{i}" for i in range(len(keys))]
-    seg_alias = [f"__s{i}" for i in range(len(seg_names))]
-    val_alias = [f"__v{i}" for i in range(len(prof_names))]
-    cell = B.cell_label(F.col("__ts"), fq)
-    if seg_names:
-        # Inside the grouping key the check always runs; rows without event time fail the job.
-        cell = F.when(F.col("__ts").isNull(), F.raise_error(F.lit(NULL_TS_MESSAGE))).otherwise(cell)
+    which = [bucketing.which.alias("__fq")] if bucketing.which is not None else []
     pre = df.select(
         *[c.alias(a) for (_, c), a in zip(keys, key_alias)],
-        *[F.col(n).alias(a) for n, a in zip(seg_names, seg_alias)],
-        tsc.alias("__ts"),
-        *[F.col(n).alias(a) for n, a in zip(prof_names, val_alias)],
+        *segment.columns, *which, ts.alias("__ts"), segment.applies.alias("__segmented"),
+        *[v.alias(f"__v{i}") for i, (_, v, _, _) in enumerate(values)],
+        *[p.alias(f"__p{i}") for i, (_, _, _, p) in enumerate(values) if p is not None],
     )
-    if not seg_names:
-        pre = pre.filter(F.col("__ts").isNotNull())
-    pre = _spread(df, pre, min_partitions, n_input)
-    pre = pre.withColumn("__cell", cell)
-    group = key_alias + ["__cell"] + seg_alias
-    if salt is not None and salt > 1:
-        pre = pre.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
-        group = group + ["__salt"]
-
-    stats = [
-        column_stats(a, t, exact=exact, topk_capacity=topk_capacity, sketches=sketches).alias(f"__c{i}")
-        for i, (a, t) in enumerate(zip(val_alias, prof_types))
-    ]
-    l1 = pre.groupBy(*group).agg(F.count(F.lit(1)).cast("bigint").alias("__n"), *stats)
-    # Rows per (partition, cell) from the same projection. Catalyst prunes it to a narrow pass over the key and time
-    # columns with map-side partial counts, keyed without segments (tiny even for high-cardinality segments). It
-    # carries rows_processed, group_count and the origin of origin-dependent buckets.
-    narrow = pre.groupBy(*key_alias, "__cell").agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
-
-    needs_merge = (salt is not None and salt > 1) or fq.origin_dependent
-    if fq.origin_dependent:
-        # Origin = midnight of the partition's earliest row, read off the narrow per-cell counts.
-        # (Referencing ``__n`` keeps this branch's subtree identical to the narrow counts so it reuses their exchange
-        # instead of Catalyst pruning it into another scan.)
-        first = F.when(F.sum("__n") >= 0, B.to_ntz(F.to_date(F.min("__cell")))).alias("__origin")
+    if which:
+        bucketing = Bucketing(bucketing.freqs, F.col("__fq"))
+    pre = pre.filter(F.col("__segmented") | F.col("__ts").isNotNull())
+    if min_partitions is not None:
+        # Row ids are stable per input partition, so a retried task sends every row to the same place.
+        pre = pre.repartition(min_partitions, F.monotonically_increasing_id())
+    if bucketing.needs_origin:
+        first = B.to_ntz(F.to_date(F.min("__ts"))).alias("__origin")
         if key_alias:
-            origin = narrow.groupBy(*key_alias).agg(first)
-            l1 = join_on_keys(l1, origin, key_alias)
-            narrow = join_on_keys(narrow, origin, key_alias)
+            pre = join_on_keys(pre, pre.groupBy(*key_alias).agg(first), key_alias)
         else:
             # A global aggregate is exactly one row: attached as a scalar subquery, no join.
-            origin = narrow.agg(first).scalar()
-            l1 = l1.withColumn("__origin", origin)
-            narrow = narrow.withColumn("__origin", origin)
-        l1, narrow = [
-            d.withColumn("__bucket", B.rebucket(F.col("__cell"), F.col("__origin"), fq)).drop("__origin", "__cell")
-            for d in (l1, narrow)
-        ]
-    else:
-        l1 = l1.withColumnRenamed("__cell", "__bucket")
-        narrow = narrow.withColumnRenamed("__cell", "__bucket")
-    bgroup = key_alias + ["__bucket"] + seg_alias
-
-    if needs_merge:
-        # Group means for the exact M2 combination: a window over the partials of one group (at most salt × cells
-        # per bucket rows), sharing the exchange of the merge aggregate that follows.
-        window = "PARTITION BY " + ", ".join(f"`{k}`" for k in bgroup)
-        l1 = l1.select("*", *[F.expr(weighted_mean_sql(f"__c{i}", window)).alias(f"__m{i}")
-                              for i in range(len(prof_names))])
-        l1 = l1.groupBy(*bgroup).agg(
-            F.sum("__n").cast("bigint").alias("__n"),
-            *[merge_stats(f"__c{i}", f"`__m{i}`", sketches).alias(f"__c{i}") for i in range(len(prof_names))],
-        )
+            pre = pre.withColumn("__origin", pre.agg(first).scalar())
+    label = bucketing.label(F.col("__ts"), F.col("__origin"))
+    # Inside the grouping key the check always runs; segmented rows without event time fail the job.
+    bucket = F.when(F.col("__ts").isNull(), F.raise_error(F.lit(NULL_TS_MESSAGE))).otherwise(label)
+    pre = pre.withColumn("__bucket", bucket)
+    group = [*key_alias, *(["__fq"] if which else []), "__bucket", *segment.names]
+    salted = [*group, "__salt"] if salt and salt > 1 else group
+    if salt and salt > 1:
+        pre = pre.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
 
-    prof = _attach_bucket_facts(l1, narrow, key_alias, fq)
+    def stats(i: int) -> Column:
+        _, _, kind, present = values[i]
+        return column_stats(f"__v{i}", kind, topk_capacity=topk_capacity, sketches=sketches,
+                            present=f"`__p{i}`" if present is not None else None).alias(f"__c{i}")
+
+    size = columns_per_pass or max(1, len(values))
+    chunks = [range(at, min(at + size, len(values))) for at in range(0, max(1, len(values)), size)]
+    l1 = None
+    for chunk in chunks:
+        part = pre.groupBy(*salted).agg(F.count(F.lit(1)).cast("bigint").alias("__n"), *[stats(i) for i in chunk])
+        l1 = part if l1 is None else join_on_keys(l1, part.drop("__n"), salted)
+    # Rows per (partition, bucket) from the same projection. Catalyst prunes it to a narrow pass over the key and time
+    # columns with map-side partial counts, keyed without segments (tiny even for high-cardinality segments).
+    narrow_keys = [*key_alias, *(["__fq"] if which else []), "__bucket"]
+    narrow = pre.groupBy(*narrow_keys).agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
+    if salt and salt > 1:
+        l1 = l1.groupBy(*group).agg(
+            F.sum("__n").cast("bigint").alias("__n"),
+            *[merge_stats(f"__c{i}", sketches, topk_capacity).alias(f"__c{i}") for i in range(len(values))])
+    if exact:
+        l1 = _with_exact_distinct(l1, pre, group, values)
+    prof = _attach_bucket_facts(l1, narrow, key_alias, narrow_keys, bucketing)
 
-    seg_cols = [F.col(a) for a in seg_alias]
-    segment = E.segment_json(seg_names, seg_cols)
-    if prof_names:
-        cmap = F.create_map(*[x for i, n in enumerate(prof_names) for x in (F.lit(n), F.col(f"__c{i}"))])
+    if values:
+        cmap = F.create_map(*[x for i, (n, _, _, _) in enumerate(values) for x in (F.lit(n), F.col(f"__c{i}"))])
     else:
         cmap = F.create_map().cast(T.MapType(T.StringType(), E.STATS_TYPE))
-    ts_ms = B.epoch_ms(F.col("__bucket"))
-    body = E.profile_struct(ts_ms, cmap, E.metadata_map(metadata))
-    out = [F.col(a).alias(n) for (n, _), a in zip(keys, key_alias)]
-    for name, ddl in (passthrough or {}).items():
-        out.append(F.lit(None).cast(ddl).alias(name))
-    out += [
+    return prof.select(*[F.col(a).alias(n) for (n, _), a in zip(keys, key_alias)],
+                       *envelope_columns(F.col("__bucket"), cmap, segment, passthrough, metadata, serialize))
+
+
+def envelope_columns(bucket: Column, columns: Column, segment: Segmenting, passthrough: dict[str, str] | None,
+                     metadata: dict[str, str] | None, serialize: bool) -> list[Column]:
+    """The output columns after the partition keys."""
+    ts_ms = B.epoch_ms(bucket)
+    body = E.profile_struct(ts_ms, columns, E.metadata_map(metadata))
+    return [
+        *[F.lit(None).cast(ddl).alias(name) for name, ddl in (passthrough or {}).items()],
         ts_ms.alias("dataset_timestamp"),
-        E.segment_partition_name(seg_names).alias("segment_partition"),
-        segment.alias("segment"),
+        segment.partition.alias("segment_partition"),
+        segment.text.alias("segment"),
         F.col("__rows").alias("rows_processed"),
         F.col("__n").alias("segment_rows"),
         F.col("__gc").alias("group_count"),
-        E.debug_info(F.col("__gc"), segment if seg_names else None).alias("debug_info"),
+        E.debug_info(F.col("__gc"), segment.text).alias("debug_info"),
         (E.serialize_profile(body).alias("profile_view") if serialize else body.alias("profile")),
     ]
-    return prof.select(*out)
-
-
-def _profile_in_chunks(df: DataFrame, ts: str | Column, names: list[str], per_pass: int, *, serialize: bool,
-                       metadata: dict[str, str] | None, kwargs: dict) -> DataFrame:
-    """Profiles of a wide table: one pass per chunk of ``per_pass`` columns, then one small aggregate per profile
-    joining the chunks' column maps (``collect_list`` bounded by the number of chunks)."""
-    chunks = [names[i:i + per_pass] for i in range(0, len(names), per_pass)]
-    parts = [profile(df, ts, columns=chunk, metadata=metadata, serialize=False, **kwargs) for chunk in chunks]
-    allp = reduce(lambda a, b: a.unionByName(b), parts)
-    group = [c for c in allp.columns if c != "profile"]
-    maps = allp.groupBy(*group).agg(F.collect_list(F.col("profile").getField("columns")).alias("__maps"))
-    empty = F.create_map().cast(T.MapType(T.StringType(), E.STATS_TYPE))
-    cols = F.aggregate("__maps", empty, lambda acc, m: F.map_concat(acc, m))
-    body = E.profile_struct(F.col("dataset_timestamp"), cols, E.metadata_map(metadata))
-    out = E.serialize_profile(body).alias("profile_view") if serialize else body.alias("profile")
-    return maps.select(*group, out)
-
-
-def _spread(df: DataFrame, pre: DataFrame, min_partitions: int | str | None, n_input: int) -> DataFrame:
-    """Spread an under-partitioned input; a no-op for inputs that already have enough partitions."""
-    if min_partitions is None:
-        return pre
-    target = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
-    if target <= 1 or n_input >= target:
-        return pre
-    # Row ids are stable per input partition, so a retried task sends every row to the same place.
-    return pre.repartition(target, F.monotonically_increasing_id())
-
-
-def _attach_bucket_facts(prof: DataFrame, narrow: DataFrame, key_alias: list[str], fq: B.Freq) -> DataFrame:
+
+
+def _with_exact_distinct(prof: DataFrame, pre: DataFrame, group: list[str],
+                         values: list[tuple[str, Column, T.DataType, Column | None]]) -> DataFrame:
+    """``prof`` with the exact distinct count of each column: distinct (group, value) pairs, made unique in each task
+    before one shuffle by the pair, then counted by group. Every column's pass reads that column and the keys."""
+    counts = []
+    for i, (_, _, kind, _) in enumerate(values):
+        if type_class(kind) in ("other", "variant"):
+            continue
+        v = F.col(f"__v{i}")
+        if type_class(kind) == "fractional":
+            v = F.when(v == 0, F.lit(0).cast(kind)).otherwise(v)  # -0.0 is 0.0
+        pairs = pre.select(*group, v.alias("__x")).filter(F.col("__x").isNotNull()).distinct()
+        counts.append(pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("__d")).withColumn("__i", F.lit(i)))
+    if not counts:
+        return prof
+    long = reduce(DataFrame.unionByName, counts)
+    wide = long.groupBy(*group).agg(*[F.max(F.when(F.col("__i") == i, F.col("__d"))).alias(f"__d{i}")
+                                      for i in range(len(values))])
+    prof = join_on_keys(prof, wide, group, "left")
+    for i, (_, _, kind, _) in enumerate(values):
+        if type_class(kind) not in ("other", "variant"):
+            prof = prof.withColumn(f"__c{i}", F.col(f"__c{i}").withField(
+                "exact_distinct", F.coalesce(f"__d{i}", F.lit(0)).cast("bigint")))
+    return prof.drop(*[f"__d{i}" for i in range(len(values))])
+
+
+def _attach_bucket_facts(prof: DataFrame, rows: DataFrame, key_alias: list[str], bucket_keys: list[str],
+                         bucketing: Bucketing) -> DataFrame:
     """``__rows`` = rows of (partition, bucket); ``__gc`` = bins from the partition's first to last bucket.
 
     Both come from the narrow per-(partition, bucket) counts and a second aggregate of those per partition; the span
@@ -269,12 +287,11 @@ def _attach_bucket_facts(prof: DataFrame, narrow: DataFrame, key_alias: list[str
     the measured size allows and keeps a shuffle join otherwise. No window collects a partition's profiles into one
     task.
     """
-    rows = narrow.groupBy(*key_alias, "__bucket").agg(F.sum("__n").cast("bigint").alias("__rows"))
-    ordinal = B.bucket_ordinal(F.col("__bucket"), fq)
+    ordinal = bucketing.ordinal(F.col("__bucket"))
     # Referencing ``__rows`` keeps the span branch's subtree identical to the rows branch, so the two share one
     # exchange (and one narrow scan) instead of Catalyst collapsing the span into a second pass over the input.
     gc = F.when(F.sum("__rows") >= 0, F.max(ordinal) - F.min(ordinal) + 1).cast("bigint").alias("__gc")
-    prof = join_on_keys(prof, rows, [*key_alias, "__bucket"])
+    prof = join_on_keys(prof, rows, bucket_keys)
     if key_alias:
         return join_on_keys(prof, rows.groupBy(*key_alias).agg(gc), key_alias)
     # A global aggregate is exactly one row: attached as a scalar subquery, no join.

@@ -5,25 +5,28 @@ Input: the output of ``profile(..., serialize=True)`` (or any frame with ``profi
 
 Plan::
 
-    input ─► decode + validate (built-in expressions: try_to_binary, from_json, null checks)
-          ─► staged table, written once to the shared folder   (lineage cut: the profile job runs once)
-          ├► store: valid rows, Parquet partitioned by (dataset_id, day)      [store mode]
-          │   or per-row delivery through a writer inside mapInPandas            [writer mode]
-          └► receipts: one row per input row, read from the staged table
+    input ─► decode + validate (built-in expressions; profile structs go straight through)
+          ├► store: valid rows, one Parquet write partitioned by (dataset_id, month)      [store mode]
+          │   or per-row delivery through a writer inside mapInPandas                      [writer mode]
+          └► receipts: one narrow row per input row, written to the shared folder
+
+In store mode the validated rows are persisted (memory and disk of the executors) between the two writes, so the
+profile job runs once, and a lost executor's part is computed again. In writer mode they are written to the shared
+folder first, so that a delivery that is tried again sends the same bytes; that table is deleted afterwards.
 
 Receipts have the columns ``dataset_id, result, error, dataset_timestamp, segment``:
 
 * delivered: ``result='Ok'``, ``error`` NULL, the profile's epoch-ms timestamp, the segment text (NULL unsegmented);
-* payload that does not decode (not base64, not a profile, required fields missing) or a segment that does not match
-  its partition: ``result`` NULL, an error text with the payload's length and md5 (never the payload itself),
-  ``dataset_timestamp = -1``, ``segment = 'Error'``;
+* payload that does not decode (not base64, not a profile, required fields missing), a segment that does not match
+  its partition or has none, a missing dataset id: ``result`` NULL, an error text of its own (of a payload its length
+  and md5, never the payload), ``dataset_timestamp = -1``, ``segment = 'Error'``;
 * delivery failure: ``result`` NULL, the error text, the profile's timestamp (as bigint) and segment.
 
 Deviations from a per-partition handler (kept deliberately): exactly one receipt per input row; the mode
-(segmented or not) is decided per row by ``segment IS NOT NULL``; a multi-column segment partition keeps all its
+(segmented or not) is decided per row by ``segment IS NOT NULL`` (and nothing else); a multi-column segment partition keeps all its
 columns; in store mode a failed write job fails every delivery of that call (a Spark write is all-or-nothing), and
 the receipts say so. Writer mode is at-least-once: a retried task re-sends its rows, so receivers should key profiles
-by (dataset id, timestamp, segment).
+by (dataset id, timestamp, segment, content).
 """
 
 from __future__ import annotations
@@ -36,11 +39,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from dataprism.functions import envelope as E
 from dataprism.functions.buckets import from_epoch_ms
-from dataprism.operators.config import resolve_names
-from dataprism.session import scratch_path
+from dataprism.operators.config import col, resolve_names
+from dataprism.session import drop_path, path_exists, scratch_path
 
 RECEIPT_SCHEMA = T.StructType(
     [
@@ -59,8 +63,9 @@ STORE_SCHEMA = T.StructType(
         T.StructField("segment_partition", T.StringType(), True),
         T.StructField("segment", T.StringType(), True),
         T.StructField("profile", E.PROFILE_TYPE, True),
-        T.StructField("dataset_id", T.StringType(), True),
         T.StructField("day", T.StringType(), True),
+        T.StructField("dataset_id", T.StringType(), True),
+        T.StructField("month", T.StringType(), True),
     ]
 )
 
@@ -72,7 +77,7 @@ ERROR_PREFIX = "Error uploading: "
 
 def _optional(df: DataFrame, name: str) -> Column:
     found = [c for c in df.columns if c.lower() == name.lower()]
-    return F.col(found[0]) if found else F.lit(None).cast("string")
+    return col(found[0]) if found else F.lit(None).cast("string")
 
 
 def _dataset_id(df: DataFrame, dataset_id: str | Column | None) -> Column:
@@ -80,19 +85,22 @@ def _dataset_id(df: DataFrame, dataset_id: str | Column | None) -> Column:
         found = [c for c in df.columns if c.lower() == "dataset_id"]
         if not found:
             raise ValueError(f"dataset id column not found in input with columns: {df.columns}")
-        return F.col(found[0]).cast("string")
+        return col(found[0]).cast("string")
     if isinstance(dataset_id, Column):
         return dataset_id.cast("string")
     if dataset_id in df.columns or dataset_id.lower() in (c.lower() for c in df.columns):
-        return F.col(resolve_names(df, [dataset_id], "dataset id column")[0]).cast("string")
+        return col(resolve_names(df, [dataset_id], "dataset id column")[0]).cast("string")
     return F.lit(dataset_id)
 
 
 def segment_matches_partition(segment: Column, segment_partition: Column) -> Column:
-    """A segment JSON object whose keys are exactly the comma-separated names of its partition (order kept)."""
-    keys = F.map_keys(F.from_json(segment, "map<string,string>"))
-    names = F.transform(F.split(segment_partition, ","), lambda s: F.trim(s))
-    return F.coalesce(keys == names, F.lit(False))
+    """A segment JSON object whose keys, joined by commas, are the name of its partition (order kept; blanks around
+    commas don't count, so names may hold commas themselves)."""
+    def plain(c: Column) -> Column:
+        return F.trim(F.regexp_replace(c, r"\s*,\s*", ","))
+
+    keys = F.array_join(F.map_keys(F.from_json(segment, "map<string,string>")), ",")
+    return F.coalesce(plain(keys) == plain(segment_partition), F.lit(False))
 
 
 def decode_error(view: Column) -> Column:
@@ -108,49 +116,48 @@ def decode_error(view: Column) -> Column:
     )
 
 
-def stage(profiles: DataFrame, dataset_id: str | Column | None = None, *, profile_col: str = "profile_view"
-          ) -> DataFrame:
-    """One row per input row: dataset id, validity, the decoded profile and the receipt fields.
+def stage(profiles: DataFrame, dataset_id: str | Column | None = None, *, profile_col: str = "profile_view",
+          text: bool = False) -> DataFrame:
+    """One row per input row: dataset id, validity, the profile and the receipt fields.
 
     Takes serialized profiles (``profile_view`` text) or, when that column is absent, the ``profile`` struct of
-    ``profile(..., serialize=False)``, which is serialized here."""
+    ``profile(..., serialize=False)``. ``text`` keeps the serialized form (for writers) instead of the struct."""
     if profile_col not in profiles.columns and "profile" in profiles.columns:
-        view = E.serialize_profile(F.col("profile"))
+        body, view = F.col("profile"), F.lit(None).cast("string")
+        out = E.serialize_profile(body) if text else body
+        unreadable = F.when(body.isNull(), F.lit(ERROR_PREFIX + "profile payload is missing")) \
+            .otherwise(F.lit(ERROR_PREFIX + "profile has no timestamp or columns"))
     else:
-        view = F.col(resolve_names(profiles, [profile_col], "profile column")[0])
-    part = _optional(profiles, "segment_partition")
-    seg = _optional(profiles, "segment")
-    decoded = E.deserialize_profile(view)
-    s = profiles.select(
-        _dataset_id(profiles, dataset_id).alias("dataset_id"),
-        view.alias("__view"),
-        part.alias("segment_partition"),
-        seg.alias("segment"),
-        decoded.alias("profile"),
-    )
-    segmented = F.col("segment").isNotNull() & F.col("segment_partition").isNotNull()
-    valid = E.is_valid_profile(F.col("profile")) & (
-        ~segmented | segment_matches_partition(F.col("segment"), F.col("segment_partition"))
-    )
-    ts = F.col("profile").getField("dataset_timestamp")
+        view = col(resolve_names(profiles, [profile_col], "profile column")[0])
+        body = E.deserialize_profile(view)
+        out = view if text else body
+        unreadable = decode_error(view)
+    part, seg, dataset = _optional(profiles, "segment_partition"), _optional(profiles, "segment"), _dataset_id(
+        profiles, dataset_id)
+    error = F.when(~E.is_valid_profile(body), unreadable) \
+        .when(dataset.isNull(), F.lit(ERROR_PREFIX + "dataset id is missing")) \
+        .when(seg.isNotNull() & part.isNull(), F.lit(ERROR_PREFIX + "segment has no segment partition")) \
+        .when(seg.isNotNull() & ~segment_matches_partition(seg, part),
+              F.lit(ERROR_PREFIX + "segment does not match its segment partition"))
+    s = profiles.select(dataset.alias("dataset_id"), part.alias("__part"), seg.alias("__seg"), error.alias("decode_error"),
+                        body.getField("dataset_timestamp").alias("__ts"), out.alias("__profile"))
+    valid = F.col("decode_error").isNull()
     return s.select(
         "dataset_id",
         valid.alias("valid"),
-        F.when(valid, ts).otherwise(F.lit(-1)).cast("bigint").alias("dataset_timestamp"),
-        F.when(valid & segmented, F.col("segment_partition")).alias("segment_partition"),
-        F.when(valid, F.when(segmented, F.col("segment"))).otherwise(F.lit(ERROR_SEGMENT)).alias("segment"),
-        F.when(~valid, decode_error(F.col("__view"))).alias("decode_error"),
-        F.when(valid, F.col("profile")).alias("profile"),
-        F.when(valid, F.col("__view")).alias("profile_view"),
+        F.when(valid, F.col("__ts")).otherwise(F.lit(-1)).cast("bigint").alias("dataset_timestamp"),
+        F.when(valid & F.col("__seg").isNotNull(), F.col("__part")).alias("segment_partition"),
+        F.when(valid, F.col("__seg")).otherwise(F.lit(ERROR_SEGMENT)).alias("segment"),
+        "decode_error",
+        F.when(valid, F.col("__profile")).alias("profile_view" if text else "profile"),
     )
 
 
-def _write_staged(staged: DataFrame) -> DataFrame:
-    """Write the staged rows once to the shared folder and read them back: the lineage cut."""
-    spark = staged.sparkSession
-    path = scratch_path(spark, "publish-staged")
-    staged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table in the shared folder, and its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def _day(ts_ms: Column) -> Column:
@@ -159,60 +166,75 @@ def _day(ts_ms: Column) -> Column:
 
 def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | Column | None = None,
             writer_factory: Callable[[str], object] | None = None, profile_col: str = "profile_view",
-            receipts_path: str | None = None, replace_partitions: bool = False) -> DataFrame:
+            receipts_path: str | None = None, replace_days: bool = False) -> DataFrame:
     """Deliver ``profiles`` and return the receipts DataFrame (one row per input row).
 
-    Store mode (``path``): valid profiles are appended to a Parquet profile store partitioned by
-    ``dataset_id`` and ``day`` (see ``read_store``); ``replace_partitions=True`` overwrites exactly the (dataset,
-    day) folders this call writes (dynamic partition overwrite), so re-running a publish does not duplicate
-    profiles. Writer mode (``writer_factory``): each valid profile is handed
-    to ``writer_factory(dataset_id).write(...)`` inside the executors; writers are cached per task and dataset id.
+    Store mode (``path``): valid profiles are appended to a Parquet profile store partitioned by ``dataset_id`` and
+    ``month``, sorted by ``day`` within files (see ``read_store``); ``replace_days=True`` replaces exactly the
+    (dataset, day) pairs that this call delivers, so re-running a publish does not duplicate profiles. Writer mode
+    (``writer_factory``): each valid profile is handed to ``writer_factory(dataset_id).write(...)`` inside the
+    executors; writers are cached per task and dataset id.
     """
     if (path is None) == (writer_factory is None):
         raise ValueError("give exactly one of path (profile store) or writer_factory (per-row delivery)")
-    staged = stage(profiles, dataset_id, profile_col=profile_col)
-    # Keep one form of each profile in the staged table: text for a writer, the decoded struct for the store.
-    staged = staged.drop("profile" if writer_factory is not None else "profile_view")
     if writer_factory is not None:
+        staged = stage(profiles, dataset_id, profile_col=profile_col, text=True)
         # Delivery is per row and bound by the receiver, not the CPU: spread the profiles over all cores (hash of the
         # profile key, so a retried task gets the same rows) instead of the few partitions a profile job ends with.
         staged = staged.repartition(staged.sparkSession.sparkContext.defaultParallelism,
                                     "dataset_id", "dataset_timestamp", "segment")
-    staged = _write_staged(staged)
-    if writer_factory is not None:
-        receipts = _deliver_with_writer(staged, writer_factory)
+        staged, staged_path = _write_scratch(staged, "publish-staged")
+        receipts, _ = _write_scratch(_deliver_with_writer(staged, writer_factory), "publish-receipts")
+        drop_path(staged.sparkSession, staged_path)
     else:
+        staged = stage(profiles, dataset_id, profile_col=profile_col).persist(StorageLevel.MEMORY_AND_DISK)
         failure = None
         try:
-            (
-                staged.filter("valid")
-                .select("dataset_timestamp", "segment_partition", "segment", "profile", "dataset_id",
-                        _day(F.col("dataset_timestamp")).alias("day"))
-                # One writer per (dataset, day) instead of every task writing into every day's folder (files =
-                # tasks x days); AQE coalesces small days and splits a skewed one.
-                .hint("rebalance", "dataset_id", "day")
-                .write.mode("overwrite" if replace_partitions else "append")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dataset_id", "day")
-                .parquet(path)
-            )
+            _write_store(staged, path, replace_days)
         except Exception as e:  # noqa: BLE001 - a failed write job becomes failure receipts, as delivery errors do
             failure = f"{ERROR_PREFIX}{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-        receipts = staged.select(
+        receipts, _ = _write_scratch(staged.select(
             "dataset_id",
             F.when(F.col("valid") & F.lit(failure is None), F.lit(OK)).alias("result"),
             F.when(F.col("valid"), F.lit(failure).cast("string")).otherwise(F.col("decode_error")).alias("error"),
             "dataset_timestamp",
             "segment",
-        )
+        ), "publish-receipts")
+        staged.unpersist()
     if receipts_path is not None:
         receipts.write.mode("append").parquet(receipts_path)
     return receipts
 
 
+def _write_store(staged: DataFrame, path: str, replace_days: bool) -> None:
+    """Append the valid rows to the store, or replace the (dataset, day) pairs they hold."""
+    day = _day(F.col("dataset_timestamp"))
+    rows = staged.filter("valid").select(
+        "dataset_timestamp", "segment_partition", "segment", "profile", day.alias("day"), "dataset_id",
+        F.substring(day, 1, 7).alias("month"))
+    spark = staged.sparkSession
+    kept_path = None
+    if replace_days and path_exists(spark, path):
+        # The other days of the months that are written again, set aside before those months are overwritten.
+        months = rows.select(F.col("dataset_id").alias("__d"), F.col("month").alias("__m")).distinct()
+        days = rows.select(F.col("dataset_id").alias("__d"), F.col("day").alias("__y")).distinct()
+        kept, kept_path = _write_scratch(
+            read_store(spark, path)
+            .join(months, (F.col("dataset_id") == F.col("__d")) & (F.col("month") == F.col("__m")), "left_semi")
+            .join(days, (F.col("dataset_id") == F.col("__d")) & (F.col("day") == F.col("__y")), "left_anti"),
+            "publish-kept")
+        rows = rows.unionByName(kept)
+    # One writer per (dataset, month) instead of every task writing into every folder (files = tasks x folders); AQE
+    # coalesces small folders and splits a skewed one.
+    rows.hint("rebalance", "dataset_id", "month").sortWithinPartitions("dataset_id", "month", "day") \
+        .write.mode("overwrite" if replace_days else "append").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("dataset_id", "month").parquet(path)
+    if kept_path:
+        drop_path(spark, kept_path)
+
+
 def _deliver_with_writer(staged: DataFrame, writer_factory: Callable[[str], object]) -> DataFrame:
-    """Per-row delivery in the executors; receipts are written once to the shared folder (one delivery per row per
-    successful task) and read back."""
+    """Per-row delivery in the executors: one delivery per row per successful task."""
     fields = ["dataset_id", "valid", "dataset_timestamp", "segment_partition", "segment", "decode_error",
               "profile_view"]
 
@@ -242,35 +264,32 @@ def _deliver_with_writer(staged: DataFrame, writer_factory: Callable[[str], obje
             if close is not None:
                 close()
 
-    receipts = staged.select(*fields).mapInPandas(deliver, RECEIPT_SCHEMA)
-    spark = staged.sparkSession
-    path = scratch_path(spark, "publish-receipts")
-    receipts.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return staged.select(*fields).mapInPandas(deliver, RECEIPT_SCHEMA)
 
 
 def read_store(spark: SparkSession, path: str, *, dataset_id: str | None = None, start_day: str | None = None,
                end_day: str | None = None) -> DataFrame:
-    """Profiles from a store written by ``publish``; dataset id and day bounds prune partitions (no data read for
-    the others). Partition values keep their text type whatever they look like."""
+    """Profiles from a store written by ``publish``; dataset id and day bounds prune partitions (months) and row
+    groups (days). Partition values keep their text type whatever they look like."""
     df = spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(path)
     if dataset_id is not None:
         df = df.filter(F.col("dataset_id") == F.lit(dataset_id))
     if start_day is not None:
-        df = df.filter(F.col("day") >= F.lit(start_day))
+        df = df.filter((F.col("month") >= F.lit(start_day[:7])) & (F.col("day") >= F.lit(start_day)))
     if end_day is not None:
-        df = df.filter(F.col("day") <= F.lit(end_day))
+        df = df.filter((F.col("month") <= F.lit(end_day[:7])) & (F.col("day") <= F.lit(end_day)))
     return df
 
 
 class FileProfileWriter:
     """A writer for ``publish(writer_factory=...)`` that stores each profile as one file under ``root``.
 
-    Files are ``<root>/<dataset_id>/<dataset_timestamp>-<segment md5>.<ext>`` holding either the base64 profile
+    Files are ``<root>/<dataset_id>/<dataset_timestamp>-<segment md5>-<profile md5>.<ext>`` holding either the base64 profile
     text on one line (``encoding="base64"``, ext ``b64``) or the raw serialized bytes (``encoding="raw"``, ext
     ``json``); both are readable with ``sources.profile_files.read_profiles``. Works on any file system pyarrow opens
     by URI (local, HDFS, object stores), so the same writer runs on a cluster against the shared folder. A file is
-    named by its key, so a re-sent profile overwrites its own file.
+    named by its key and content: a re-sent profile overwrites its own file, and partial profiles of one key (other
+    partitions or salts) never each other's.
     """
 
     def __init__(self, root: str, dataset_id: str, encoding: str = "base64"):
@@ -289,7 +308,7 @@ class FileProfileWriter:
 
     def write(self, *, dataset_timestamp: int, segment_partition: str | None, segment: str | None,
               profile_view: str) -> None:
-        key = hashlib.md5((segment or "").encode()).hexdigest()
+        key = "-".join(hashlib.md5(x.encode()).hexdigest() for x in (segment or "", profile_view))
         if self.encoding == "raw":
             data, ext = base64.b64decode(profile_view, validate=True), "json"
         else:

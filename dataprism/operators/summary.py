@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dataprism.operators.config import col
+
 # Quantile levels reported for numeric columns.
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 DEFAULT_TOP_ITEMS = 10
@@ -21,6 +23,18 @@ def _stat(name: str) -> Column:
     return F.col("__stats").getField(name)
 
 
+def exact_extremum(which: str) -> Column:
+    """Text of the exact extremum of integers and decimals (``min``/``max`` are doubles, good for 53 bits)."""
+    whole, unscaled = _stat(f"int_{which}"), _stat(f"dec_{which}")
+    scale = F.regexp_extract(_stat("col_type"), r"^decimal\(\d+,(\d+)\)$", 1)
+    scale = F.when(scale == "", F.lit(0)).otherwise(scale.cast("int"))
+    digits = F.lpad(F.abs(unscaled).cast("string"), F.greatest(scale + 1, F.length(F.abs(unscaled).cast("string"))), "0")
+    point = F.length(digits) - scale
+    text = F.concat(F.when(unscaled < 0, F.lit("-")).otherwise(F.lit("")), F.substring(digits, F.lit(1), point),
+                    F.when(scale > 0, F.concat(F.lit("."), F.substring(digits, point + 1, scale))).otherwise(F.lit("")))
+    return F.coalesce(whole.cast("string"), text)
+
+
 def stats_columns(top_items: int = DEFAULT_TOP_ITEMS, sketches: bool = True) -> list[Column]:
     """Summary expressions over a ``STATS_TYPE`` column named ``__stats``."""
     n = _stat("num_n")
@@ -50,6 +64,8 @@ def stats_columns(top_items: int = DEFAULT_TOP_ITEMS, sketches: bool = True) ->
         _stat("len_max").alias("max_len"),
         F.when(nonnull > 0, _stat("len_sum") / nonnull).alias("mean_len"),
         _stat("exact_distinct").alias("distinct_exact"),
+        exact_extremum("min").alias("min_exact"),
+        exact_extremum("max").alias("max_exact"),
     ]
     if sketches:
         out += [
@@ -65,12 +81,15 @@ def stats_columns(top_items: int = DEFAULT_TOP_ITEMS, sketches: bool = True) ->
 
 
 def profile_summary(profiles: DataFrame, keys: Sequence[str] | None = None, *, profile_col: str = "profile",
-                    top_items: int = DEFAULT_TOP_ITEMS, sketches: bool = True) -> DataFrame:
-    """Long table of ``profiles``: ``keys`` (default: every non-profile column), ``column_name`` and statistics."""
+                    top_items: int = DEFAULT_TOP_ITEMS, sketches: bool = True, metadata: bool = False) -> DataFrame:
+    """Long table of ``profiles``: ``keys`` (default: every non-profile column), the profile's ``metadata`` map if
+    asked for, ``column_name`` and statistics."""
     if keys is None:
         keys = [c for c in profiles.columns if c not in (profile_col, "debug_info")]
     exploded = profiles.select(
-        *keys,
-        F.explode(F.col(profile_col).getField("columns")).alias("column_name", "__stats"),
+        *[col(k) for k in keys],
+        col(profile_col).getField("metadata").alias("__metadata"),
+        F.explode(col(profile_col).getField("columns")).alias("column_name", "__stats"),
     )
-    return exploded.select(*keys, "column_name", *stats_columns(top_items, sketches))
+    extra = [F.col("__metadata").alias("metadata")] if metadata else []
+    return exploded.select(*[col(k) for k in keys], *extra, "column_name", *stats_columns(top_items, sketches))

@@ -19,10 +19,11 @@ from dataprism.operators.merge import merge_profiles
 from dataprism.operators.payload import make_payload, profile_payload
 from dataprism.operators.profile import profile
 from dataprism.operators.publish import FileProfileWriter, publish, read_store
+from dataprism.operators.quantiles import exact_quantiles
 from dataprism.operators.summary import QUANTILES, profile_summary
 from dataprism.plans.sql_api import register_profile_view, register_receipts_view
 from dataprism.session import scratch_path
-from dataprism.sources.datagen import amplify, employees_from
+from dataprism.sources.datagen import amplify, employees_from, write_employees
 from dataprism.sources.profile_files import read_profiles
 from dataprism.sources.tables import table
 
@@ -148,6 +149,7 @@ bucket_year_end = _bucket_query("orders", "o_orderdate", "Y", ["o_totalprice", "
 bucket_year_start = _bucket_query("orders", "o_orderdate", "YS", ["o_totalprice", "o_custkey"])
 bucket_5d_origin = _bucket_query("events", "ts", "5D", ["value", "user_id"], partition="event_type")
 bucket_7h_origin = _bucket_query("events", "ts", "7h", ["value"], partition="event_type")
+bucket_97min_origin = _bucket_query("events", "ts", "97min", ["value"], partition="event_type")
 bucket_36h_origin = _bucket_query("lineitem", "l_shipdate", "36h", ["l_quantity"], partition="l_returnflag")
 
 
@@ -169,6 +171,13 @@ def filter_day_eq(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["day", "event_type", "dataset_timestamp", "segment", "rows_processed"])
 
 
+def filter_redundant(spark: SparkSession, d: str) -> DataFrame:
+    """``day = d AND day > a AND day <= b``: one range reaches the scan."""
+    ev = filter_days(table(spark, d, "events"), "ts", day="2024-01-03", start="2024-01-01", end="2024-01-03",
+                     include_start=False)
+    return exact_summary(profile(ev, "ts", columns=["value", "event_type"]), ["dataset_timestamp", "rows_processed"])
+
+
 def filter_day_half_open(spark: SparkSession, d: str) -> DataFrame:
     """``day > 2024-01-01 AND day <= 2024-01-03``, partition by day, unsegmented."""
     ev = filter_days(table(spark, d, "events"), "ts", start="2024-01-01", end="2024-01-03", include_start=False,
@@ -333,8 +342,8 @@ def hll_within_bound(spark: SparkSession, d: str) -> DataFrame:
 
 def topk_within_bound(spark: SparkSession, d: str) -> DataFrame:
     """Frequent-item counts against exact counts; the first item is a true most-frequent one (within bound)."""
-    ev = table(spark, d, "events")
-    cols = ["event_type", "props"]
+    ev = table(spark, d, "events").withColumn("hour", F.hour("ts").cast("bigint")).withColumn("day", F.to_date("ts"))
+    cols = ["event_type", "props", "hour", "day"]
     p = profile(ev, "ts", freq="D", columns=cols, topk_capacity=256)
     s = profile_summary(p, keys=["dataset_timestamp"], top_items=5)
     items = s.select("dataset_timestamp", "column_name", "count", F.posexplode("top_items").alias("pos", "it"))
@@ -348,9 +357,11 @@ def topk_within_bound(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("dataset_timestamp", "column_name", "item").agg(F.count(F.lit(1)).alias("true_count"))
     )
     top = exact.groupBy("dataset_timestamp", "column_name").agg(F.max("true_count").alias("max_count"))
-    j = items.join(exact, ["dataset_timestamp", "column_name", "item"]).join(top, ["dataset_timestamp", "column_name"])
+    # A left join: an item that is not in the data at all has no true count, which is out of bounds.
+    j = items.join(exact, ["dataset_timestamp", "column_name", "item"], "left") \
+        .join(top, ["dataset_timestamp", "column_name"])
     bound = F.floor(F.col("count") * 4 / F.lit(256))
-    ok_item = F.abs(F.col("est") - F.col("true_count")) <= bound
+    ok_item = F.coalesce(F.abs(F.col("est") - F.col("true_count")) <= bound, F.lit(False))
     ok_top = (F.col("pos") != 0) | (F.col("true_count") >= F.col("max_count") - bound)
     return j.groupBy("dataset_timestamp", "column_name").agg(F.bool_and(ok_item & ok_top).alias("within_bound"))
 
@@ -373,6 +384,93 @@ def salted_profile(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["dataset_timestamp", "segment", "rows_processed", "segment_rows"])
 
 
+def merge_schema_change(spark: SparkSession, d: str) -> DataFrame:
+    """Parts with differing columns, sketch capacities and metadata merge: rows are summed over profiles, a column
+    counts the parts that have it, custom metadata stays."""
+    ev = table(spark, d, "events")
+    old = profile(ev.filter("event_id % 3 = 0"), "ts", columns=["value"], topk_capacity=64, metadata={"origin": "old"})
+    new = profile(ev.filter("event_id % 3 <> 0"), "ts", columns=["value", "props"], metadata={"origin": "old"})
+    none = profile(ev, "ts", columns=[], metadata={"origin": "old"})
+    merged = merge_profiles(old.unionByName(new).unionByName(none), ["dataset_timestamp"])
+    s = profile_summary(merged, keys=["dataset_timestamp", "segment_rows"], sketches=False, metadata=True)
+    return s.select("dataset_timestamp", "segment_rows", F.col("metadata")["origin"].alias("origin"), "column_name",
+                    "count", "null_count", "min", "max", stable_round("mean").alias("mean"),
+                    stable_round("stddev").alias("stddev"))
+
+
+def stats_big_integers(spark: SparkSession, d: str) -> DataFrame:
+    """Integers beyond 2**53 and wide decimals keep their exact extrema."""
+    li = table(spark, d, "lineitem").select(
+        "l_shipdate", "l_returnflag", (F.lit(1152921504606846977) + F.col("l_orderkey")).alias("big"),
+        (F.lit(-1152921504606846977) - F.col("l_orderkey")).alias("low"),
+        (F.col("l_orderkey").cast("decimal(38,4)") * F.lit(-1) - F.expr("123456789012345678901234567.8901BD"))
+        .cast("decimal(38,4)").alias("wide"))
+    p = profile(li, "l_shipdate", freq="YS", segments="l_returnflag", columns=["big", "low", "wide"])
+    s = profile_summary(p, keys=["dataset_timestamp", "segment"], sketches=False)
+    return s.select("dataset_timestamp", "segment", "column_name", "min_exact", "max_exact")
+
+
+def profile_odd_names(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of any spelling: dots, blanks, quotes and backticks, as values, segments, keys and event time."""
+    ev = table(spark, d, "events")
+    odd = ev.select(F.col("ts").alias("event.time"), F.col("event_type").alias("a.b"), F.col("value").alias("it's `x`"),
+                    F.col("user_id").alias("user id"))
+    p = profile(odd, "event.time", segments="a.b", partition_by=["a.b"], columns=["it's `x`", "user id"])
+    s = profile_summary(p, keys=["a.b", "dataset_timestamp", "segment"], sketches=False)
+    return s.select(F.col("`a.b`").alias("event_type"), "dataset_timestamp", "segment", "column_name", "count",
+                    "min", "max")
+
+
+def profile_ltz(spark: SparkSession, d: str) -> DataFrame:
+    """An instant (TIMESTAMP) event time is bucketed in UTC whatever the session zone: the same plan run under Los
+    Angeles and Tokyo time."""
+    ev = table(spark, d, "events").select(F.timestamp_micros(B.epoch_us(F.col("ts"))).alias("at"), "value")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    parts = []
+    try:
+        for z in ("America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            p = profile(ev, "at", freq="D", columns=["value", "at"])
+            out = exact_summary(p, ["dataset_timestamp", "rows_processed"]).withColumn("zone", F.lit(z))
+            path = scratch_path(spark, "ltz")
+            out.write.parquet(path)  # runs under this zone
+            parts.append(spark.read.schema(out.schema).parquet(path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return parts[0].unionByName(parts[1])
+
+
+def segment_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    """Segment values one microsecond apart stay two segments, by their text too."""
+    ev = table(spark, d, "events").withColumn(
+        "at", F.timestamp_add("MICROSECOND", F.col("event_id") % 3, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
+    p = profile(ev, "ts", freq="MS", segments="at", columns=["value"])
+    return p.select("dataset_timestamp", "segment", "segment_rows")
+
+
+def epoch_ms_far(spark: SparkSession, d: str) -> DataFrame:
+    """The last and first representable times of a day, millennia away, keep their millisecond and their day."""
+    ev = table(spark, d, "events").select("event_id")
+    late = F.timestamp_add("MICROSECOND", -1 - F.col("event_id") % 5, F.lit("9999-12-31 23:59:59.999999").cast("timestamp_ntz"))
+    early = F.timestamp_add("MICROSECOND", F.col("event_id") % 5, F.lit("0001-01-02 00:00:00").cast("timestamp_ntz"))
+    day = B.parse_freq("D")
+    return ev.select("event_id", B.epoch_ms(late).alias("late_ms"), B.epoch_ms(B.bucket_label(late, day)).alias("late_day"),
+                     B.epoch_ms(early).alias("early_ms"), B.bucket_ordinal(B.bucket_label(early, day), day).alias("early_day"))
+
+
+def stats_exact_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact quantiles of the lineitem measures per return flag."""
+    q = exact_quantiles(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"],
+                        [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], ["l_returnflag"])
+    return q.select("l_returnflag", "column_name", *[stable_round(F.col("quantiles")[i]).alias(f"q{i}") for i in range(7)])
+
+
+def debug_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The debug text of each profile: bins of its partition and segment key."""
+    p = profile(table(spark, d, "events"), "ts", segments="event_type", partition_by=["event_type"], columns=["value"])
+    return p.select("event_type", "dataset_timestamp", "debug_info")
+
+
 def segment_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """The segment text decodes back to the segment value."""
     p = profile(table(spark, d, "events"), "ts", segments="event_type", columns=["value"])
@@ -432,10 +530,45 @@ def profile_payload_config(spark: SparkSession, d: str) -> DataFrame:
     return exact_summary(p, ["event_type", "dataset_timestamp", "rows_processed"])
 
 
+def payload_config_empty(spark: SparkSession, d: str) -> DataFrame:
+    """Partitions whose segment list is a name, empty or NULL, and whose frequency is W, empty or NULL, in one plan:
+    blank control values count as absent and no partition is lost."""
+    ev = table(spark, d, "events")
+    segs = F.when(F.col("event_type").isin("click", "view"), F.lit("event_type")) \
+        .when(F.col("event_type") == "signup", F.lit(None)).otherwise(F.lit(" "))
+    freq = F.when(F.col("event_type") == "click", F.lit("W")).when(F.col("event_type") == "view", F.lit(""))
+    src = ev.select("event_type", make_payload(ev, dataset_timestamp=_event_ms(ev), segment_columns=segs, freq=freq)
+                    .alias("data"))
+    p = profile_payload(src, "data", partition_by=["event_type"], columns=["value", "user_id"])
+    return exact_summary(p, ["event_type", "dataset_timestamp", "segment", "rows_processed"])
+
+
+def type_counts_variant(spark: SparkSession, d: str) -> DataFrame:
+    """A payload key with values of several types: every value counts under its own type."""
+    ev = table(spark, d, "events")
+    data = F.when(F.col("event_id") % 5 == 0, F.to_variant_object(F.struct(F.col("user_id").alias("v"), _event_ms(ev).alias("DATASET_TIMESTAMP")))) \
+        .when(F.col("event_id") % 5 == 1, F.to_variant_object(F.struct(F.col("event_type").alias("v"), _event_ms(ev).alias("DATASET_TIMESTAMP")))) \
+        .when(F.col("event_id") % 5 == 2, F.to_variant_object(F.struct(F.col("value").alias("v"), _event_ms(ev).alias("DATASET_TIMESTAMP")))) \
+        .when(F.col("event_id") % 5 == 3, F.to_variant_object(F.struct((F.col("event_id") % 2 == 0).alias("v"), _event_ms(ev).alias("DATASET_TIMESTAMP")))) \
+        .otherwise(F.to_variant_object(F.struct(_event_ms(ev).alias("DATASET_TIMESTAMP"))))
+    s = profile_summary(profile_payload(ev.select(data.alias("data")), "data"), keys=["dataset_timestamp"], sketches=False)
+    return s.select("dataset_timestamp", "column_name", "count", "null_count", *TYPE_COUNT_FIELDS, "min", "max",
+                    "min_str", "max_str")
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Sample data
 # ---------------------------------------------------------------------------------------------------------------
 
+def table_replace(spark: SparkSession, d: str) -> DataFrame:
+    """Create the employees table, then replace it by half of its rows: only the new rows are there."""
+    e = employees_from(table(spark, d, "events"), "event_id", "ts")
+    path = scratch_path(spark, "employees")
+    write_employees(e, path)
+    half = employees_from(table(spark, d, "events").filter("event_id % 2 = 0"), "event_id", "ts")
+    return write_employees(half, path).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("salary").alias("salary"))
+
+
 def datagen_employees(spark: SparkSession, d: str) -> DataFrame:
     """One synthetic employee per event (fields from the event id, hire date = event time), typed by cast."""
     e = employees_from(table(spark, d, "events"), "event_id", "ts")
@@ -466,7 +599,7 @@ def publish_receipts(spark: SparkSession, d: str) -> DataFrame:
     damaged = F.dayofmonth(B.from_epoch_ms(F.col("dataset_timestamp"))) % 5 == 0
     p = p.withColumn("profile_view", F.when(damaged, F.concat(F.lit("corrupt:"), F.col("segment")))
                      .otherwise(F.col("profile_view")))
-    r = publish(p, scratch_path(spark, "store"), dataset_id="model-97")
+    r = publish(p, scratch_path(spark, "store"), dataset_id="store-eu")
     return r.select(*r.columns, _receipt_time(F.col("dataset_timestamp")).alias("receipt_time"))
 
 
@@ -475,6 +608,34 @@ def _require_delivered(receipts: DataFrame) -> None:
         raise RuntimeError("publish failed for some profiles")
 
 
+def publish_bad_payload(spark: SparkSession, d: str) -> DataFrame:
+    """Every way a profile can be undeliverable, one event type each: no dataset id, a segment without a partition
+    name, a segment of another partition; and a segment column whose name holds a comma, which is fine."""
+    ev = table(spark, d, "events").withColumn("kind, raw", F.col("event_type"))
+    p = profile(ev, "ts", segments=["kind, raw"], partition_by=["event_type"], columns=["value"])
+    kind = F.col("event_type")
+    bad = p.withColumn("segment_partition", F.when(kind == "click", F.lit(None)).when(kind == "view", F.lit("other"))
+                       .otherwise(F.col("segment_partition")))
+    ds = F.when(kind == "purchase", F.lit(None)).otherwise(F.lit("store-eu"))
+    return publish(bad, scratch_path(spark, "store"), dataset_id=ds)
+
+
+def writer_partials(spark: SparkSession, d: str) -> DataFrame:
+    """Ten salted partial profiles per (day, type), unsegmented, delivered to one dataset as files: as many files as
+    receipts, and merged they are the profiles of the days."""
+    ev = table(spark, d, "events").withColumn("salt", F.pmod(F.col("event_id"), F.lit(10)))
+    p = profile(ev, "ts", partition_by=["event_type", "salt"], columns=["value"], serialize=True)
+    root = scratch_path(spark, "files")
+    receipts = publish(p, writer_factory=FileProfileWriter.factory(root), dataset_id="parts")
+    _require_delivered(receipts)
+    files = read_profiles(spark, root)
+    merged = merge_profiles(files, ["dataset_timestamp"], rows_col=None)
+    s = profile_summary(merged, keys=["dataset_timestamp"], sketches=False)
+    return s.select("dataset_timestamp", "column_name", "count", "min", "max", stable_round("mean").alias("mean"),
+                    files.agg(F.count(F.lit(1))).scalar().alias("files"),
+                    receipts.agg(F.count(F.lit(1))).scalar().alias("receipts"))
+
+
 def publish_store_readback(spark: SparkSession, d: str) -> DataFrame:
     """Unsegmented daily profiles per event type, routed to dataset ``m-<event type>``, read back from the store."""
     ev = table(spark, d, "events")
@@ -512,7 +673,7 @@ def _files_readback(encoding: str) -> Query:
 
 def sql_cte_receipts(spark: SparkSession, d: str) -> DataFrame:
     """The profile-and-publish pipeline written in SQL: raw rows of days (2024-01-01, 2024-01-03] → daily profiles
-    partitioned by day → delivered to dataset model-97 → receipts with their time as text."""
+    partitioned by day → delivered to dataset store-eu → receipts with their time as text."""
     table(spark, d, "events").createOrReplaceTempView("dp_events")
     register_profile_view(
         spark, "dp_profiled",
@@ -522,7 +683,7 @@ def sql_cte_receipts(spark: SparkSession, d: str) -> DataFrame:
         serialize=True)
     register_receipts_view(
         spark, "dp_receipts",
-        "SELECT day, 'model-97' AS dataset_id, profile_view, segment_partition, segment FROM dp_profiled",
+        "SELECT day, 'store-eu' AS dataset_id, profile_view, segment_partition, segment FROM dp_profiled",
         path=scratch_path(spark, "store"))
     return spark.sql(
         "SELECT dataset_id, result, error, dataset_timestamp, "
@@ -590,4 +751,19 @@ QUERIES: dict[str, Query] = {
     "publish_writer_receipts": publish_writer_receipts,
     "profile_files_base64": profile_files_base64,
     "profile_files_raw": profile_files_raw,
+    "filter_redundant": filter_redundant,
+    "bucket_97min_origin": bucket_97min_origin,
+    "merge_schema_change": merge_schema_change,
+    "stats_big_integers": stats_big_integers,
+    "profile_odd_names": profile_odd_names,
+    "profile_ltz": profile_ltz,
+    "segment_timestamp": segment_timestamp,
+    "epoch_ms_far": epoch_ms_far,
+    "stats_exact_quantiles": stats_exact_quantiles,
+    "debug_texts": debug_texts,
+    "payload_config_empty": payload_config_empty,
+    "type_counts_variant": type_counts_variant,
+    "table_replace": table_replace,
+    "publish_bad_payload": publish_bad_payload,
+    "writer_partials": writer_partials,
 }

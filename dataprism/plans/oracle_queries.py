@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataprism.plans.oracle import profile_sql
+from dataprism.plans.oracle import profile_sql, stat_select
 from dataprism.sources import datagen as G
 
 DAY = "epoch_ms(date_trunc('day', ts))"
@@ -229,7 +229,7 @@ def oracle_queries() -> dict[str, str]:
            f"' characters, md5 ' || md5({bad_view}) || ')'")
     ts_ms = f"CASE WHEN {damaged} THEN -1 ELSE {DAY} END"
     q["publish_receipts"] = (
-        f"SELECT 'model-97' AS dataset_id, CASE WHEN {damaged} THEN NULL ELSE 'Ok' END AS result, "
+        f"SELECT 'store-eu' AS dataset_id, CASE WHEN {damaged} THEN NULL ELSE 'Ok' END AS result, "
         f"CASE WHEN {damaged} THEN {err} END AS error, ({ts_ms})::BIGINT AS dataset_timestamp, "
         f"CASE WHEN {damaged} THEN 'Error' ELSE {EV_SEG} END AS segment, "
         f"strftime(make_timestamp(({ts_ms}) * 1000), '%Y-%m-%d %H:%M:%S.%g') AS receipt_time "
@@ -245,11 +245,97 @@ def oracle_queries() -> dict[str, str]:
         f"{DAY} AS dataset_timestamp, NULL::VARCHAR AS segment FROM events GROUP BY event_type, {DAY}"
     )
     q["sql_cte_receipts"] = (
-        f"SELECT 'model-97' AS dataset_id, 'Ok' AS result, NULL::VARCHAR AS error, {DAY} AS dataset_timestamp, "
+        f"SELECT 'store-eu' AS dataset_id, 'Ok' AS result, NULL::VARCHAR AS error, {DAY} AS dataset_timestamp, "
         "strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS receipt_time, NULL::VARCHAR AS segment "
         "FROM events WHERE date_trunc('day', ts) <= TIMESTAMP '2024-01-03' AND date_trunc('day', ts) > TIMESTAMP '2024-01-01' "
         "GROUP BY date_trunc('day', ts)"
     )
+    q["topk_within_bound"] = _bounds([("events", f"{DAY} AS dataset_timestamp", c)
+                                      for c in ["event_type", "props", "hour", "day"]])
+    q["filter_redundant"] = profile_sql(
+        "events", "events", DAY, columns=["value", "event_type"], rows_processed=True,
+        where=f"{day_of} = TIMESTAMP '2024-01-03' AND {day_of} > TIMESTAMP '2024-01-01' AND {day_of} <= TIMESTAMP '2024-01-03'")
+    q["bucket_97min_origin"] = _bucket("events", _origin_bucket("ts", 97 * 60_000), ["value"], key="event_type",
+                                       source=_origin_source("events", "ts", "event_type"))
+    q["merge_schema_change"] = (
+        f"WITH e AS (SELECT *, {DAY} AS t FROM events) "
+        "SELECT t AS dataset_timestamp, (2 * count(*))::BIGINT AS segment_rows, 'old' AS origin, 'value' AS column_name, "
+        "count(*)::BIGINT AS count, count(*) FILTER (WHERE value IS NULL)::BIGINT AS null_count, min(value) AS min, "
+        "max(value) AS max, round(avg(value) * (1 + 1e-12), 4) AS mean, round(stddev_samp(value) * (1 + 1e-12), 4) AS stddev "
+        "FROM e GROUP BY t UNION ALL "
+        "SELECT t, (2 * count(*))::BIGINT, 'old', 'props', count(*) FILTER (WHERE event_id % 3 <> 0)::BIGINT, "
+        "count(*) FILTER (WHERE event_id % 3 <> 0 AND props IS NULL)::BIGINT, NULL, NULL, NULL, NULL FROM e GROUP BY t")
+    wide = "(-l_orderkey::DECIMAL(38,4) - 123456789012345678901234567.8901::DECIMAL(38,4))"
+    q["stats_big_integers"] = " UNION ALL ".join(
+        f"SELECT epoch_ms(date_trunc('year', l_shipdate)) AS dataset_timestamp, "
+        f"json_object('l_returnflag', l_returnflag)::VARCHAR AS segment, '{n}' AS column_name, "
+        f"min({x})::VARCHAR AS min_exact, max({x})::VARCHAR AS max_exact FROM lineitem GROUP BY ALL"
+        for n, x in (("big", "(1152921504606846977 + l_orderkey)"), ("low", "(-1152921504606846977 - l_orderkey)"),
+                     ("wide", wide)))
+    q["profile_odd_names"] = " UNION ALL ".join(
+        f"SELECT event_type, {DAY} AS dataset_timestamp, json_object('a.b', event_type)::VARCHAR AS segment, "
+        f"{n} AS column_name, count(*)::BIGINT AS count, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max "
+        "FROM events GROUP BY ALL" for n, c in (("'it''s `x`'", "value"), ("'user id'", "user_id")))
+    ltz = "(SELECT ts, ts AS at, value FROM events)"
+    arms = []
+    for col, cls, kind in (("value", "F", "double"), ("at", "T", "timestamp")):
+        arms.append(f"SELECT {DAY} AS dataset_timestamp, count(*)::BIGINT AS rows_processed, "
+                    f"{stat_select(col, cls, kind)} FROM {ltz} GROUP BY {DAY}")
+    q["profile_ltz"] = (f"SELECT s.*, z.zone FROM ({' UNION ALL '.join(arms)}) s, "
+                        "(SELECT unnest(['America/Los_Angeles', 'Asia/Tokyo']) AS zone) z")
+    q["segment_timestamp"] = (
+        "SELECT epoch_ms(date_trunc('month', ts)) AS dataset_timestamp, "
+        "'{\"at\":\"2024-01-01T00:00:00.00000' || (event_id % 3) || '\"}' AS segment, count(*)::BIGINT AS segment_rows "
+        "FROM events GROUP BY ALL")
+    late = "(253402300799999999 - 1 - event_id % 5)"
+    first_day = "(datediff('day', DATE '1970-01-01', DATE '0001-01-02'))"
+    q["epoch_ms_far"] = (
+        f"SELECT event_id, ({late} // 1000)::BIGINT AS late_ms, (253402300799999999 // 86400000000 * 86400000)::BIGINT "
+        f"AS late_day, ({first_day} * 86400000)::BIGINT AS early_ms, {first_day}::BIGINT AS early_day FROM events")
+    levels = "[0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]"
+    q["stats_exact_quantiles"] = " UNION ALL ".join(
+        f"SELECT l_returnflag, '{c}' AS column_name, " + ", ".join(
+            f"round(quantile_cont({c}, {levels})[{i + 1}] * (1 + 1e-12), 4) AS q{i}" for i in range(7))
+        + " FROM lineitem GROUP BY 1" for c in ("l_quantity", "l_extendedprice", "l_discount"))
+    q["debug_texts"] = (
+        f"WITH b AS (SELECT event_type, {DAY} AS dataset_timestamp FROM events GROUP BY ALL) "
+        "SELECT *, 'group_count: ' || ((max(dataset_timestamp) OVER (PARTITION BY event_type) - min(dataset_timestamp) "
+        "OVER (PARTITION BY event_type)) // 86400000 + 1) || chr(10) || 'segment_key: ' || "
+        "json_object('event_type', event_type)::VARCHAR AS debug_info FROM b")
+    week_click = f"CASE WHEN event_type = 'click' THEN epoch_ms(date_trunc('week', ts) + INTERVAL 6 DAY) ELSE {DAY} END"
+    seg_some = f"CASE WHEN event_type IN ('click', 'view') THEN {EV_SEG} END"
+    q["payload_config_empty"] = "WITH r AS (" + profile_sql(
+        "events", "events", week_click, keys=[("event_type", "event_type")], columns=["value", "user_id"],
+        rows_processed=True) + f") SELECT r.*, {seg_some} AS segment FROM r"
+    kind = "event_id % 5"
+    n = "count(*) FILTER (WHERE {})::BIGINT"
+    q["type_counts_variant"] = (
+        f"SELECT {DAY} AS dataset_timestamp, 'v' AS column_name, count(*)::BIGINT AS count, "
+        f"{n.format(f'{kind} = 4 OR ({kind} = 2 AND value IS NULL)')} AS null_count, {n.format(f'{kind} = 0')} AS n_integral, "
+        f"{n.format(f'{kind} = 2 AND value IS NOT NULL')} AS n_fractional, {n.format(f'{kind} = 3')} AS n_boolean, "
+        f"{n.format(f'{kind} = 1')} AS n_string, 0::BIGINT AS n_temporal, 0::BIGINT AS n_other, "
+        f"min(CASE {kind} WHEN 0 THEN user_id::DOUBLE WHEN 2 THEN value END) AS min, "
+        f"max(CASE {kind} WHEN 0 THEN user_id::DOUBLE WHEN 2 THEN value END) AS max, "
+        f"min(event_type) FILTER (WHERE {kind} = 1) AS min_str, max(event_type) FILTER (WHERE {kind} = 1) AS max_str "
+        f"FROM events GROUP BY {DAY}")
+    q["table_replace"] = (f"SELECT state, count(*)::BIGINT AS n, sum(salary)::BIGINT AS salary FROM "
+                          f"({employees_sql('(SELECT * FROM events WHERE event_id % 2 = 0)', 'event_id', 'ts')}) GROUP BY 1")
+    fails = {"click": "segment has no segment partition", "view": "segment does not match its segment partition",
+             "purchase": "dataset id is missing"}
+    bad = "event_type IN (" + ", ".join(f"'{k}'" for k in fails) + ")"
+    q["publish_bad_payload"] = (
+        "SELECT CASE WHEN event_type <> 'purchase' THEN 'store-eu' END AS dataset_id, "
+        f"CASE WHEN NOT {bad} THEN 'Ok' END AS result, CASE event_type "
+        + " ".join(f"WHEN '{k}' THEN 'Error uploading: {v}'" for k, v in fails.items())
+        + f" END AS error, CASE WHEN {bad} THEN -1 ELSE {DAY} END AS dataset_timestamp, "
+        f"CASE WHEN {bad} THEN 'Error' ELSE json_object('kind, raw', event_type)::VARCHAR END AS segment "
+        f"FROM (SELECT DISTINCT event_type, date_trunc('day', ts) AS ts FROM events)")
+    q["writer_partials"] = (
+        f"WITH e AS (SELECT *, {DAY} AS t FROM events), "
+        "k AS (SELECT count(*)::BIGINT AS n FROM (SELECT DISTINCT t, event_type, event_id % 10 AS s FROM e)) "
+        "SELECT t AS dataset_timestamp, 'value' AS column_name, count(*)::BIGINT AS count, min(value) AS min, "
+        "max(value) AS max, round(avg(value) * (1 + 1e-12), 4) AS mean, (SELECT n FROM k) AS files, "
+        "(SELECT n FROM k) AS receipts FROM e GROUP BY t")
     for enc in ("base64", "raw"):
         q[f"profile_files_{enc}"] = profile_sql("events", "events", DAY, keys=[("dataset_id", "'m-' || event_type")])
     return q

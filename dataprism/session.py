@@ -72,3 +72,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared folder for a written intermediate table."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table."""
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)

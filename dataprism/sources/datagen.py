@@ -114,17 +114,15 @@ def employees(spark: SparkSession, n: int, *, as_of: dt.datetime | None = None,
     return typed(spark.range(n).select(*employee_text_columns(key, hire)))
 
 
-def amplify(df: DataFrame, doublings: int) -> DataFrame:
+def amplify(df: DataFrame, doublings: int, partitions: int | None = None) -> DataFrame:
     """``2**doublings`` copies of every row (the result of repeated self-inserts), generated where each row is."""
     if doublings < 0:
         raise ValueError("doublings must be >= 0")
     if doublings == 0:
         return df
-    # Copies are generated inside the partition of their row, so an under-partitioned seed is spread *before*
-    # amplification (2**doublings times fewer rows through that shuffle than spreading the result).
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
+    # Copies are generated inside the partition of their row; spread a seed of few partitions before amplifying it.
+    if partitions is not None:
+        df = df.repartition(partitions)
     copy = F.explode(F.sequence(F.lit(0), F.lit(2 ** doublings - 1)))
     return df.select("*", copy.alias("__copy")).drop("__copy")
 

@@ -42,7 +42,7 @@ def test_map_payload(spark):
 def test_config_must_agree_within_partition(spark):
     df = _events(spark)
     src = df.select("state", make_payload(df, dataset_timestamp=F.col("t"), freq=F.col("s")).alias("data"))
-    with pytest.raises(ValueError, match="one value per partition"):
+    with pytest.raises(ValueError, match="same in all rows of a partition"):
         profile_payload(src, "data", partition_by=["state"])
 
 
@@ -50,3 +50,39 @@ def test_missing_event_time_key(spark):
     df = _events(spark)
     with pytest.raises(ValueError, match="DATASET_TIMESTAMP"):
         profile_payload(df.select("state", make_payload(df).alias("data")), "data", partition_by=["state"])
+
+
+def test_map_payload_counts_absent_keys_as_nulls(spark):
+    df = spark.createDataFrame([("a", {"DATASET_TIMESTAMP": float(MS), "x": 1.0}),
+                                ("a", {"DATASET_TIMESTAMP": float(MS), "y": 2.0}),
+                                ("b", {"DATASET_TIMESTAMP": float(MS)})], "k string, data map<string,double>")
+    p = {r.k: r.profile["columns"] for r in profile_payload(df, "data", partition_by=["k"]).collect()}
+    assert {n: (c["count"], c["null_count"], c["num_max"]) for n, c in p["a"].items()} == {"x": (2, 1, 1.0),
+                                                                                        "y": (2, 1, 2.0)}
+    assert p["b"] == {}
+
+
+def test_value_that_does_not_cast_is_not_a_null(spark):
+    from pyspark.sql import types as T
+
+    df = spark.sql(f"""SELECT parse_json(j) AS data FROM VALUES ('{{"DATASET_TIMESTAMP": {MS}, "v": 1}}'),
+                       ('{{"DATASET_TIMESTAMP": {MS}, "v": "x"}}'), ('{{"DATASET_TIMESTAMP": {MS}, "v": null}}'),
+                       ('{{"DATASET_TIMESTAMP": {MS}}}') AS t(j)""")
+    schema = T.StructType([T.StructField("DATASET_TIMESTAMP", T.LongType()), T.StructField("v", T.LongType())])
+    c = profile_payload(df, "data", schema=schema).first().profile["columns"]["v"]
+    assert (c["count"], c["null_count"], c["n_integral"], c["n_other"]) == (4, 2, 1, 1)
+
+
+def test_many_configurations_are_one_plan(spark):
+    """Hundreds of segment lists, one plan; each partition is segmented by its own list."""
+    n = 300
+    df = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.struct(F.lit(MS).alias("DATASET_TIMESTAMP"), (F.col("id") % 2).alias("a"), (F.col("id") % 5).alias("b"),
+                 F.when(F.col("id") % 3 == 0, F.concat(F.lit(" a ,"), F.repeat(F.lit(" "), F.col("id").cast("int"))))
+                 .when(F.col("id") % 3 == 1, F.lit("B,a")).alias("SEGMENT_COLUMNS"),
+                 F.concat((F.col("id") + 1).cast("string"), F.lit("min")).alias("GROUP_BY_FREQUENCY")).alias("data"))
+    p = profile_payload(df, "data", partition_by=["k"], columns=["a"], sketches=False)
+    got = {r.k: (r.segment_partition, r.segment) for r in p.collect()}
+    assert got == {i: [("a", f'{{"a":{i % 2}}}'), ("b,a", f'{{"b":{i % 5},"a":{i % 2}}}'), (None, None)][i % 3]
+                   for i in range(n)}

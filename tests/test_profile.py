@@ -62,7 +62,7 @@ def test_all_null_timestamps_yield_nothing(spark):
 
 def test_null_timestamps_fail_segmented(spark):
     df = spark.createDataFrame([(1, "x", T0), (2, "y", None)], "a bigint, b string, ts timestamp_ntz")
-    with pytest.raises(Exception, match="null timestamps"):
+    with pytest.raises(Exception, match="without an event time"):
         profile(df, "ts", segments="b").collect()
 
 
@@ -173,41 +173,37 @@ def test_salted_equals_unsalted(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_exact_with_salt_rejected(spark):
-    with pytest.raises(ValueError):
-        profile(_frame(spark, [(1, "a")]), "ts", salt=4, exact=True)
-
-
-def test_auto_salt_splits_many_partials(spark, monkeypatch):
-    """Above PARTIALS_PER_REDUCER input partitions the plan salts itself; statistics do not change."""
-    import dataprism.operators.profile as P
-
-    df = spark.range(0, 4000, 1, 16).select(
-        (F.col("id") % 3).cast("string").alias("k"), (F.col("id") * 1.5).alias("v"),
-        F.lit(T0).cast("timestamp_ntz").alias("ts"))
-    plain = profile(df, "ts", segments="k", salt=None, sketches=False)
-    monkeypatch.setattr(P, "PARTIALS_PER_REDUCER", 4)
-    salted = profile(df, "ts", segments="k", sketches=False)
-    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
-
-    def stats(p):
-        s = profile_summary(p, keys=["segment", "rows_processed", "segment_rows"], sketches=False)
-        return sorted((r.segment, r.column_name, r["count"], r["min"], r["max"], round(r.mean or 0, 9),
-                       round(r.stddev or 0, 9), r.rows_processed, r.segment_rows) for r in s.collect())
-
-    assert stats(salted) == stats(plain)
-
-
-def test_wide_table_profiled_in_chunks(spark, monkeypatch):
-    """Above MAX_COLUMNS_PER_PASS columns the profile runs in column chunks; the result is the same profile."""
-    import dataprism.operators.profile as P
-
+def test_exact_distinct_with_salt(spark):
+    df = spark.range(0, 400, 1, 8).select((F.col("id") % 3).cast("string").alias("k"), (F.col("id") % 11).alias("v"),
+                                          F.lit(T0).cast("timestamp_ntz").alias("ts"))
+    p = profile(df, "ts", segments="k", columns=["v", "k"], salt=4, exact=True)
+    got = {(r.segment, r.column_name): r.distinct_exact for r in profile_summary(p).collect()}
+    assert got == {(f'{{"k":"{i}"}}', c): n for i in range(3) for c, n in (("v", 11), ("k", 1))}
+    plan = p._jdf.queryExecution().toString()
+    assert "Expand" not in plan
+
+
+def test_building_a_plan_starts_no_job(spark):
+    """Over an aggregate, whose shuffle would run if the plan looked at partitions."""
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("ts", F.lit(T0).cast("timestamp_ntz"))
+    group = "no-jobs"
+    spark.sparkContext.setJobGroup(group, "plan building")
+    try:
+        profile(df, "ts", freq="7h", partition_by=["k"], segments="n", exact=True, salt=3)
+        profile(df, "ts", columns_per_pass=1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_wide_table_profiled_in_chunks(spark):
+    """Several aggregations of a few columns each give the same profile."""
     df = spark.range(0, 300, 1, 4).select(
         *[(F.col("id") * (i + 1) % 17).alias(f"c{i}") for i in range(7)],
         (F.col("id") % 3).cast("string").alias("k"), F.lit(T0).cast("timestamp_ntz").alias("ts"))
     whole = profile(df, "ts", segments="k", partition_by=["c0"], serialize=True)
-    monkeypatch.setattr(P, "MAX_COLUMNS_PER_PASS", 3)
-    chunked = profile(df, "ts", segments="k", partition_by=["c0"], serialize=True)
+    chunked = profile(df, "ts", segments="k", partition_by=["c0"], serialize=True, columns_per_pass=3)
     assert chunked.columns == whole.columns
 
     def exact(p):

@@ -83,16 +83,16 @@ def test_exactly_one_target(spark):
         publish(_profiles(spark), dataset_id="x")
 
 
-def test_replace_partitions_makes_republish_idempotent(spark):
+def test_replace_days_makes_republish_idempotent(spark):
     path = scratch_path(spark, "store")
     p = _profiles(spark)
     publish(p, path, dataset_id="ds-4").collect()
     publish(p, path, dataset_id="ds-4").collect()
     assert read_store(spark, path, dataset_id="ds-4").count() == 4  # append: duplicated
-    publish(p, path, dataset_id="ds-4", replace_partitions=True).collect()
+    publish(p, path, dataset_id="ds-4", replace_days=True).collect()
     assert read_store(spark, path, dataset_id="ds-4").count() == 2
-    publish(p, path, dataset_id="ds-5", replace_partitions=True).collect()
-    assert read_store(spark, path).count() == 4  # other datasets' folders untouched
+    publish(p, path, dataset_id="ds-5", replace_days=True).collect()
+    assert read_store(spark, path).count() == 4  # other datasets untouched
 
 
 def test_read_profiles_flags_junk(spark, tmp_path):
