@@ -118,10 +118,10 @@ def utc_ntz(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
 
-def floor_div(a: Column, n: int) -> Column:
+def floor_div(a: Column, n: int | Column) -> Column:
     """``floor(a / n)`` of a bigint in integer arithmetic (a double quotient is wrong beyond 2**53)."""
-    n_lit = F.lit(n).cast("bigint")
-    return F.call_function("div", a - F.pmod(a, n_lit), n_lit)
+    n = n if isinstance(n, Column) else F.lit(n).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, n), n)
 
 
 def _epoch() -> Column:
@@ -155,10 +155,10 @@ def from_epoch_ms(ms: Column) -> Column:
     return F.timestamp_add("MILLISECOND", ms.cast("bigint"), _epoch())
 
 
-def floor_ms(ts: Column, width_ms: int) -> Column:
+def floor_ms(ts: Column, width_ms: int | Column) -> Column:
     """Epoch-aligned floor of ``ts`` to ``width_ms`` (midnight aligned when the width divides a day)."""
     ms = epoch_ms(ts)
-    return from_epoch_ms(ms - F.pmod(ms, F.lit(width_ms).cast("bigint")))
+    return from_epoch_ms(ms - F.pmod(ms, width_ms if isinstance(width_ms, Column) else F.lit(width_ms).cast("bigint")))
 
 
 def bucket_label(ts: Column, freq: Freq) -> Column:
@@ -188,14 +188,14 @@ def bucket_label(ts: Column, freq: Freq) -> Column:
     raise ValueError(f"unknown frequency kind {freq.kind}")
 
 
-def origin_label(ts: Column, origin_day: Column, freq: Freq) -> Column:
-    """Label for every tick frequency: ``origin + floor((ts - origin) / width) * width``.
+def origin_label(ts: Column, origin_day: Column, width_ms: int | Column) -> Column:
+    """Label of a fixed width from an origin: ``origin + floor((ts - origin) / width) * width``.
 
     ``origin_day`` is midnight of the partition's earliest row.
     """
     o = epoch_ms(origin_day)
-    c = epoch_ms(ts)
-    return from_epoch_ms(o + floor_div(c - o, freq.width_ms) * F.lit(freq.width_ms).cast("bigint"))
+    width = width_ms if isinstance(width_ms, Column) else F.lit(width_ms).cast("bigint")
+    return from_epoch_ms(o + floor_div(epoch_ms(ts) - o, width) * width)
 
 
 def bucket_ordinal(label: Column, freq: Freq) -> Column:

@@ -184,7 +184,7 @@ def _row_segments(segs: Column, names: list[str], fields: list[tuple]) -> Segmen
     unknown = [n for n in names if n not in by]
     if unknown:
         raise ValueError(f"segment column {unknown[0]!r} not found; available columns: {sorted(by)}")
-    listed = F.filter(F.transform(F.split(segs, ","), F.trim), lambda s: s != "")
+    listed = F.filter(F.transform(F.split(segs, ","), lambda s: F.trim(s)), lambda s: s != "")
     applies = F.coalesce(F.size(listed) > 0, F.lit(False))
     if not names:
         return Segmenting([], [], F.lit(False), F.lit(None).cast("string"), F.lit(None).cast("string"))

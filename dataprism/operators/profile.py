@@ -49,17 +49,32 @@ PROFILE_COLUMNS = ["dataset_timestamp", "segment_partition", "segment", "rows_pr
 
 @dataclass(frozen=True)
 class Bucketing:
-    """The frequencies of an input: one for all rows, or several told apart by the text column ``which``."""
+    """The frequencies of an input: one for all rows, or several told apart by the text column ``which``.
+
+    However many fixed widths there are, they are one branch whose width is looked up by the row's frequency; the
+    calendar frequencies are a branch each, and there are few of those."""
 
     freqs: tuple[B.Freq, ...]
     which: Column | None = None
 
-    def _case(self, of: Callable[[B.Freq], Column]) -> Column:
+    def _choose(self, aligned: Callable[[int | Column], Column], origin: Callable[[int | Column], Column],
+                calendar: Callable[[B.Freq], Column]) -> Column:
+        def one(f: B.Freq, width: int | Column) -> Column:
+            return calendar(f) if f.kind != "tick" else origin(width) if f.origin_dependent else aligned(width)
+
         if self.which is None:
-            return of(self.freqs[0])
-        out = F.lit(None)
+            return one(self.freqs[0], self.freqs[0].width_ms)
+        branches: dict[tuple, list[B.Freq]] = {}
         for f in self.freqs:
-            out = F.when(self.which == F.lit(f.text), of(f)).otherwise(out)
+            branches.setdefault((f.kind, f.anchor, f.origin_dependent), []).append(f)
+        out = None
+        for same_kind in branches.values():
+            width = F.lit(None)
+            if same_kind[0].kind == "tick":
+                width = F.element_at(F.create_map(*[x for f in same_kind for x in (
+                    F.lit(f.text), F.lit(f.width_ms).cast("bigint"))]), self.which)
+            when = (F if out is None else out).when
+            out = when(self.which.isin([f.text for f in same_kind]), one(same_kind[0], width))
         return out
 
     @property
@@ -67,10 +82,15 @@ class Bucketing:
         return any(f.origin_dependent for f in self.freqs)
 
     def label(self, ts: Column, origin: Column) -> Column:
-        return self._case(lambda f: B.origin_label(ts, origin, f) if f.origin_dependent else B.bucket_label(ts, f))
+        day = B.parse_freq(DEFAULT_FREQ)
+        aligned = lambda w: B.bucket_label(ts, day) if w == day.width_ms else B.floor_ms(ts, w)
+        if self.which is not None:
+            aligned = lambda w: B.floor_ms(ts, w)
+        return self._choose(aligned, lambda w: B.origin_label(ts, origin, w), lambda f: B.bucket_label(ts, f))
 
     def ordinal(self, label: Column) -> Column:
-        return self._case(lambda f: B.bucket_ordinal(label, f))
+        ticks = lambda w: B.floor_div(B.epoch_ms(label), w)
+        return self._choose(ticks, ticks, lambda f: B.bucket_ordinal(label, f))
 
 
 def _key(df: DataFrame, c: str | Column) -> tuple[str, Column]:

@@ -60,8 +60,8 @@ def test_rebucket_from_origin(spark):
     fq = B.parse_freq("5D")
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 5), dt.datetime(2024, 1, 7, 1), dt.datetime(2024, 1, 1))],
                                "a timestamp_ntz, b timestamp_ntz, o timestamp_ntz")
-    r = df.select(B.origin_label(F.col("a"), F.col("o"), fq).alias("x"),
-                  B.origin_label(F.col("b"), F.col("o"), fq).alias("y")).collect()[0]
+    r = df.select(B.origin_label(F.col("a"), F.col("o"), fq.width_ms).alias("x"),
+                  B.origin_label(F.col("b"), F.col("o"), fq.width_ms).alias("y")).collect()[0]
     assert r.x == dt.datetime(2024, 1, 1)
     assert r.y == dt.datetime(2024, 1, 6)
 
