@@ -30,39 +30,38 @@ from dataprism.session import get_session  # noqa: E402
 from dataprism.sources.tables import table  # noqa: E402
 
 
-def _queries(spark, d):
-    ev = lambda: table(spark, d, "events")
-    li = lambda: table(spark, d, "lineitem")
-    od = lambda: table(spark, d, "orders")
+def _queries(spark, d, cpus):
+    def prof(df, ts, **kwargs):
+        # A test table is one file of one row group, which a single task would read and profile.
+        return profile(df, ts, min_partitions=cpus, **kwargs)
+
+    ev, li, od = (lambda n=n: table(spark, d, n) for n in ("events", "lineitem", "orders"))
     day = F.date_trunc("DAY", F.col("ts")).alias("day")
     return {
         "flagship": lambda: flagship(spark, d),
-        "events_daily_segmented": lambda: profile(ev(), "ts", segments="event_type", partition_by=[day]),
-        "lineitem_monthly_two_segments": lambda: profile(li(), "l_shipdate", freq="MS",
-                                                         segments="l_returnflag,l_linestatus"),
-        "lineitem_salted": lambda: profile(li(), "l_shipdate", freq="MS", segments="l_returnflag,l_linestatus",
-                                           salt=8),
-        "orders_5d_origin": lambda: profile(od(), "o_orderdate", freq="5D", partition_by=["o_orderpriority"]),
-        "events_hourly": lambda: profile(ev(), "ts", freq="h"),
+        "events_daily_segmented": lambda: prof(ev(), "ts", segments="event_type", partition_by=[day]),
+        "lineitem_monthly_two_segments": lambda: prof(li(), "l_shipdate", freq="MS",
+                                                      segments="l_returnflag,l_linestatus"),
+        "lineitem_salted": lambda: prof(li(), "l_shipdate", freq="MS", segments="l_returnflag,l_linestatus", salt=8),
+        "orders_5d_origin": lambda: prof(od(), "o_orderdate", freq="5D", partition_by=["o_orderpriority"]),
+        "events_hourly": lambda: prof(ev(), "ts", freq="h"),
         "merge_salted_parts": lambda: merge_profiles(
-            profile(ev().withColumn("salt", F.pmod("event_id", F.lit(10))), "ts", segments="event_type",
-                    partition_by=["salt"]),
+            prof(ev().withColumn("salt", F.pmod("event_id", F.lit(10))), "ts", segments="event_type",
+                 partition_by=["salt"]),
             ["dataset_timestamp", "segment"]),
-        "lineitem_serialized": lambda: profile(li(), "l_shipdate", freq="YS", segments="l_returnflag",
-                                               serialize=True),
-        "lineitem_summary": lambda: profile_summary(profile(li(), "l_shipdate", freq="MS",
-                                                            segments="l_returnflag")),
-        "lineitem_exact_distinct": lambda: profile(li(), "l_shipdate", freq="YS", exact=True,
-                                                   columns=["l_orderkey", "l_partkey", "l_quantity"]),
+        "lineitem_serialized": lambda: prof(li(), "l_shipdate", freq="YS", segments="l_returnflag", serialize=True),
+        "lineitem_summary": lambda: profile_summary(prof(li(), "l_shipdate", freq="MS", segments="l_returnflag")),
+        "lineitem_exact_distinct": lambda: prof(li(), "l_shipdate", freq="YS", exact=True,
+                                                columns=["l_orderkey", "l_partkey", "l_quantity"]),
         # The sample-data workload: one employee per event, 32 copies each (3.2 M rows at sf0.1), profiled daily per
         # state with every statistic and sketch.
         "employees_x32_daily_by_state": lambda: profile(
-            amplify(employees_from(ev(), "event_id", "ts"), 5), "hire_date", segments="state"),
+            amplify(employees_from(ev(), "event_id", "ts"), 5, partitions=cpus), "hire_date", segments="state"),
         "events_variant_payload": lambda: profile_payload(
             ev().select(F.to_date("ts").alias("day"),
                         make_payload(ev(), dataset_timestamp=F.unix_millis(F.col("ts").cast("timestamp")),
                                      segment_columns="event_type").alias("data")),
-            "data", partition_by=["day"]),
+            "data", partition_by=["day"], min_partitions=cpus),
     }
 
 
@@ -89,13 +88,13 @@ def main() -> None:
         return round(best, 3)
 
     times = {}
-    for name, build in _queries(spark, sf_dir).items():
+    for name, build in _queries(spark, sf_dir, int(cpus)).items():
         times[name] = best_of(lambda: build().write.format("noop").mode("overwrite").save())
 
-    # Publish is an action of its own (staged table, store write, receipts); each run writes a fresh store.
+    # Publish is an action of its own (store write, receipts); each run writes a fresh store.
     def publish_run():
         lineitem_profiles = profile(table(spark, sf_dir, "lineitem"), "l_shipdate", freq="D",
-                                    segments="l_returnflag,l_linestatus", serialize=True)
+                                    segments="l_returnflag,l_linestatus", min_partitions=int(cpus))
         publish(lineitem_profiles, scratch_path(spark, "bench-store"), dataset_id="bench").write.format("noop") \
             .mode("overwrite").save()
 
