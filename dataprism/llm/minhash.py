@@ -9,10 +9,13 @@ similarity of 0.8 miss each other in all bands with a probability below 4e-6, an
 below 1e-9.
 
 Not all pairs of a bucket are compared: only links that join two components matter. First every member meets the pivot
-it shares most bands with; components are formed; then buckets that still hold several components go on with more
-pivots, the first, the next two, the next four and so on, each against later members of other components only. A
-bucket is done when it holds one component or all its members have been pivots, so no link between components is lost
-and a group of near copies costs about one comparison a member.
+it shares most bands with, and components are formed; most buckets are one component then. The members of buckets that
+still hold several go on by an exact way. Two sets at the similarity share one of their rarest shingles (of a set of
+n, the first n - ceil(0.8 n) + 1 by their number of such members), so members are grouped by those, and groups that
+share members form a cluster; documents that share no more than a common passage have rare shingles of their own and
+drop out. The members of a cluster outside its largest component are then held against all members of other
+components, on the full sets. A cluster of more than ``CLUSTER_ROWS`` members is dealt out as blocks against blocks,
+so a task's memory is bounded and no link between components is lost; no pair becomes a row unless it is a link.
 
 Defined results: a null or empty text (or one without words) has an empty set and is linked with nothing, as is a null
 ``doc_id``; texts of fewer than ``k`` words have their whole sequence as one shingle; rows that repeat an id are one
@@ -30,13 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import Scratch, arrow_map, batch_hashes, documents, mix, raw_texts, same, window_hashes
+from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, mix, raw_texts, release, same,
+                                  window_hashes)
 from dataprism.llm.components import components
 
 BANDS = 32
 ROWS = 5
 PERCENT = 80
 SLACK = 0.2  # six standard deviations of the estimate at 0.8
+CLUSTER_ROWS = 4000
 
 _rng = np.random.default_rng(20)
 _MULTIPLIERS = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,6 +141,109 @@ def _sized(percent: int):
     return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
+def _open_members(members: DataFrame, state: DataFrame) -> DataFrame:
+    """(rep, n): the members of buckets that hold several components."""
+    now = members.join(state.withColumnRenamed("node", "rep"), "rep", "left") \
+        .withColumn("component", F.coalesce("component", "rep"))
+    several = now.groupBy("band", "key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")) \
+        .filter("c1 < c2").select("band", "key")
+    return now.join(several, ["band", "key"]).groupBy("rep").agg(F.max("n").alias("n"))
+
+
+def _rare_groups(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(token, rep, n): the rarest shingles of each member that others may share, in groups of two or more."""
+    def explode(batch: pa.RecordBatch) -> list:
+        each = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+        rows = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
+        return [batch.column(0).take(rows), batch.column(1).take(rows), np.concatenate([*each, np.empty(0, np.int64)])]
+
+    opened, _ = scratch.write(members)
+    tokens = arrow_map(opened.join(sets.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
+                       .select("rep", "n", "shingles"), explode, "rep long, n long, token long")
+    counts = tokens.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # Shingles that no other member has come first in the order and are in nobody's group.
+    own = tokens.join(counts, F.col("token") == F.col("t")).groupBy("rep", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    prefix = F.col("n") - F.call_function("div", F.col("n") * percent + 99, F.lit(100)) + 1
+    rare = (prefix - (F.col("n") - F.size("shared"))).cast("int")
+    groups, _ = scratch.write(own.filter(rare > 0).select(
+        "rep", "n", F.explode(F.slice("shared", F.lit(1), rare)).alias("s")).select(F.col("s.token").alias("token"),
+                                                                                   "rep", "n"))
+    return groups
+
+
+def _cluster_links(groups: DataFrame, state: DataFrame, reps: DataFrame, sets: DataFrame, percent: int,
+                   scratch: Scratch) -> DataFrame:
+    """Links (a, b) between components, among members whose groups hang together."""
+    heads = groups.groupBy("token").agg(F.min("rep").alias("b"))
+    stars = groups.join(heads, "token").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    clusters, _ = components(stars, scratch)
+    found = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")) \
+        .join(state.withColumnRenamed("node", "rep"), "rep", "left") \
+        .withColumn("component", F.coalesce("component", "rep"))
+    blocks = found.groupBy(F.col("cluster").alias("k")).agg(
+        F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size")) \
+        .filter("c1 < c2").select("k", (1 + F.col("size") / CLUSTER_ROWS).cast("int").alias("blocks"))
+    rows = found.join(blocks, F.col("cluster") == F.col("k")) \
+        .join(sets.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r")) \
+        .join(reps.select(F.col("rep").alias("s"), "sig"), F.col("rep") == F.col("s"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                       "rep", "component", "shingles", "sig")
+    # The work of a task grows with the square of its rows, so small partitions are not merged.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster", "i", "j")
+    return rows.groupBy("cluster", "i", "j").applyInArrow(
+        lambda table: _links_between(table, percent), "a long, b long").distinct()
+
+
+def _links_between(table: pa.Table, percent: int) -> pa.Table:
+    """Links that join components, between the two blocks of a task or within its only one.
+
+    Members are in order of set size, so a pivot's partners by size stand together; those of other components whose
+    signatures come near are held against the pivot on the full sets, all at once."""
+    raw = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+    order = np.argsort([len(x) for x in raw], kind="stable")
+    raw = [raw[k] for k in order.tolist()]
+    rep, own = table["rep"].to_numpy()[order], table["own"].to_numpy()[order]
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(rep), -1)[order]
+    _, component = np.unique(table["component"].to_numpy()[order], return_inverse=True)
+    size = np.array([len(x) for x in raw])
+    words, flat = np.unique(np.concatenate(raw), return_inverse=True)
+    start = np.cumsum(size) - size
+    within = table["i"][0].as_py() == table["j"][0].as_py()
+    if within:
+        pivots = np.flatnonzero(component != np.bincount(component).argmax())
+    else:  # the smaller block's members against the other's
+        first = own == table["i"][0].as_py()
+        pivots = np.flatnonzero(first if first.sum() * 2 <= len(own) else ~first)
+    a, b = [], []
+    mark = np.zeros(len(words), bool)
+    for p in pivots.tolist():
+        lo = np.searchsorted(size, -(-percent * size[p] // 100), "left")
+        hi = np.searchsorted(size, 100 * size[p] // percent, "right")
+        wanted = component[lo:hi] != component[p]
+        if not within:
+            wanted &= own[lo:hi] != own[p]
+        some = lo + np.flatnonzero(wanted)
+        equal = (sig[some] == sig[p]).mean(1)
+        some = some[(equal - 1 / 256) * 256 / 255 >= percent / 100 - SLACK]
+        if not len(some):
+            continue
+        mine = flat[start[p]:start[p] + size[p]]
+        mark[mine] = True
+        ends = np.cumsum(size[some])
+        places = np.arange(ends[-1]) + np.repeat(start[some] - ends + size[some], size[some])
+        common = np.add.reduceat(mark[flat[places]], ends - size[some], dtype=np.int64)
+        mark[mine] = False
+        for q in some[100 * common >= percent * (size[some] + size[p] - common)].tolist():
+            if component[q] != component[p]:
+                a.append(max(rep[p], rep[q]))
+                b.append(min(rep[p], rep[q]))
+                component[component == component[q]] = component[p]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; documents are linked when 100 * intersection is at
     least ``percent`` * union of their sets."""
@@ -172,41 +280,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> Data
         F.col("p.rep").alias("a"), F.col("rep").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb")) \
         .filter("a <> b").filter(_sized(percent)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")) \
         .groupBy("b").agg(F.max(F.struct("bands", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    release(spark)
     found = _confirmed(_near(first, reps, percent), sets, percent)
     linked, link_path = scratch.write(links.unionByName(found))
     state, state_path = components(linked, scratch)
-    done = 0
-    while True:
-        # Buckets that still hold several components, with the place of each member in its bucket.
-        now = members.join(state.withColumnRenamed("node", "rep"), "rep", "left") \
-            .withColumn("component", F.coalesce("component", "rep"))
-        open_buckets = now.groupBy("band", "key").agg(
-            F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size")) \
-            .filter(F.col("c1") < F.col("c2")).filter(F.col("size") > done + 1).select("band", "key")
-        rest, rest_path = scratch.write(now.join(open_buckets, ["band", "key"]).selectExpr(
-            "*", "row_number() over (partition by band, key order by rep) - 1 as place"))
-        if rest.isEmpty():
-            scratch.drop(rest_path)
-            break
-        upto = 2 * done + 1
-        pivots = rest.filter((F.col("place") >= done) & (F.col("place") < upto)).select(
-            "band", "key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"),
-            F.col("place").alias("pa"))
-        pairs = rest.select("band", "key", F.col("rep").alias("b"), F.col("n").alias("nb"),
-                            F.col("component").alias("cb"), "place").join(pivots, ["band", "key"]) \
-            .filter((F.col("place") > F.col("pa")) & (F.col("ca") != F.col("cb"))).filter(_sized(percent)) \
-            .select("a", "b").distinct()
-        more, more_path = scratch.write(_confirmed(_near(pairs, reps, percent), sets, percent))
-        done = upto
-        if more.isEmpty():
-            scratch.drop(more_path)
-        else:
-            merged = state.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            old = state_path
-            state, state_path = components(merged.unionByName(more), scratch)
-            scratch.drop(old)
-            scratch.drop(more_path)
-        scratch.drop(rest_path)
+    groups = _rare_groups(_open_members(members, state), sets, percent, scratch)
+    release(spark)
+    more, _ = scratch.write(_cluster_links(groups, state, reps, sets, percent, scratch))
+    if not more.isEmpty():
+        merged = state.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        state, _ = components(merged.unionByName(more), scratch)
+    release(spark)
     scratch.drop(link_path)
     classes = reps.select("hi", "lo", "rep").join(state, F.col("rep") == F.col("node"), "left") \
         .select(F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("component", "rep").alias("c"))

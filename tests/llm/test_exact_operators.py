@@ -219,3 +219,63 @@ def test_quality_stage_keeps_columns(spark, docs):
     out = quality_rules.keep_clean(spark, docs, "")
     assert out.schema == docs.schema
     assert got(out, "doc_id", "text") == Counter((i, t) for i, t, *_ in rows() if not quality_stats(t)[-1])
+
+
+def test_links_between_components():
+    """Within one block and between two, the links found join exactly the components that any link joins."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from dataprism.llm.common import mix
+    from dataprism.llm.minhash import _links_between, minima
+
+    r = random.Random(0)
+    for _ in range(150):
+        n, two = r.randrange(2, 40), r.random() < 0.5
+        sets = []
+        for _ in range(n):
+            if sets and r.random() < 0.6:
+                s = set(r.choice(sets))
+                for _ in range(r.randrange(12)):
+                    s.add(r.randrange(10**6))
+                    if len(s) > 3 and r.random() < 0.5:
+                        s.discard(r.choice(sorted(s)))
+            else:
+                s = {r.randrange(10**6) for _ in range(r.randrange(3, 60))}
+            sets.append(s)
+        component = [r.randrange(n) if r.random() < 0.3 else i for i in range(n)]
+        own = [r.randrange(2) if two else 0 for _ in range(n)]
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        sig = (mix(minima([mix(a) for a in arrays])) & np.uint64(255)).astype(np.uint8)
+        out = _links_between(pa.table({
+            "i": [0] * n, "j": [int(two)] * n, "own": own, "rep": list(range(n)), "component": component,
+            "shingles": [a.tobytes() for a in arrays], "sig": [x.tobytes() for x in sig]}), 80)
+        links = {(i, j) for i in range(n) for j in range(i) if (not two or own[i] != own[j])
+                 and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+        found = set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+        assert found <= links
+
+        def joined(edges, n=n, component=component):
+            parent = list(range(n))
+
+            def find(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+
+            first = {}
+            for a, b in [*((i, first.setdefault(component[i], i)) for i in range(n)), *edges]:
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+            return [find(i) for i in range(n)]
+
+        assert joined(found) == joined(links)
+
+
+def test_near_duplicates_in_blocks(docs, monkeypatch):
+    """Clusters dealt out as blocks against blocks give the same components."""
+    monkeypatch.setattr(minhash, "CLUSTER_ROWS", 2)
+    out = minhash.near_duplicates(docs, k=2)
+    assert got(out, "doc_id", "n_shingles", "component_id", "kept") == jaccard_components(rows(), 2)
