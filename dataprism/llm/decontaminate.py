@@ -192,8 +192,8 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op4_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = mark_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", F.col("__items").alias("item_ids"), F.col("__coverage").alias("coverage"),
-                        (F.col("__coverage") >= MIN_COVERAGE).alias("contaminated"))
+    return found.select("doc_id", (F.col("__coverage") >= MIN_COVERAGE).alias("contaminated"),
+                        F.col("__coverage").alias("coverage"), F.array_join("__items", ",").alias("items"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
