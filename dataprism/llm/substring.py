@@ -10,9 +10,9 @@ id. The steps, each one Spark job over written tables in the shared folder:
    if another document has it, too. Runs of owned windows in the owner's text are the passages.
 3. *Sharded automata.* Passages are dealt out by owner to shards of about ``SHARD_WORDS`` words, and each document's
    segments go to the shards of the owners whose windows it has. A shard's task compiles an Aho-Corasick automaton
-   over the passages' blocks of ``BLOCK`` words (numbered words, so a node is a word) and streams the segments through
-   it; as a window holds a whole aligned block of any passage it lies in, extending each hit word by word finds every
-   occurrence of every window. A shard to which many documents go is copied over as many tasks as their size needs.
+   over the passages' windows (of numbered words, so a node is a word) and streams the segments through it, which
+   finds every occurrence of every window. A shard to which many documents go is copied over as many tasks as their
+   size needs.
 4. *Removal.* The covered words are joined to the documents.
 
 Windows are counted with partial minima before the shuffle, and the joins by hash have one row a key on one side, so a
@@ -25,6 +25,8 @@ remove its own repeats; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +37,8 @@ from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, r
 
 WINDOW = 13
 ANCHOR = 4
-BLOCK = 7  # a window of 2 * BLOCK - 1 words holds an aligned block
-SHARD_WORDS = 200_000
+SHARD_WORDS = 30_000  # of passages; an automaton has some WINDOW * 3 nodes for each
+DIGIT = 64
 TASK_BYTES = 8 << 20
 
 
@@ -134,58 +136,70 @@ def passage_rows(owned: DataFrame) -> DataFrame:
 
 
 class PhraseAutomaton:
-    """An Aho-Corasick automaton over the aligned blocks of passages."""
+    """An Aho-Corasick automaton over the windows of passages; a window's value is its owner, the only one it has.
+
+    Words are numbered and written as digits, each place with symbols of its own: nodes have few children, which the
+    automaton searches one by one, and matches can only begin and end with words."""
 
     def __init__(self, passages: list[tuple[int, bytes]]) -> None:
         import ahocorasick
 
         self.numbers: dict[bytes, int] = {}
-        self.passages = []
-        blocks: dict[tuple, list[tuple[int, int]]] = {}
-        for p, (owner, text) in enumerate(passages):
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in text.split()]
-            self.passages.append((owner, ids))
-            for b in range(0, len(ids) - BLOCK + 1, BLOCK):
-                blocks.setdefault(tuple(ids[b:b + BLOCK]), []).append((p, b))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, places in blocks.items():
-            self.automaton.add_word(key, places)
+        for _, text in passages:
+            for w in text.split():
+                self.numbers.setdefault(w, len(self.numbers) + 1)
+        self.digits = 1
+        while DIGIT**self.digits <= len(self.numbers):
+            self.digits += 1
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        self.owners = [o for o, _ in passages]
+        for p, (_, text) in enumerate(passages):
+            key, step = self._symbols(text), self.digits
+            for at in range(0, len(key) - WINDOW * step + 1, step):
+                self.automaton.add_word(key[at:at + WINDOW * step], p)
         self.automaton.make_automaton()
 
+    def _symbols(self, text: bytes) -> tuple[int, ...]:
+        get = self.numbers.get
+        ids = np.array([get(w, 0) for w in text.split()], np.int64)
+        places = [(ids // DIGIT**k) % DIGIT + DIGIT * k for k in range(self.digits)]
+        return tuple(np.stack(places, 1).ravel().tolist())
+
     def covered(self, doc_id: int, text: bytes) -> list[tuple[int, int]]:
-        """The (first, end) words of the matches of at least a window with passages of smaller documents."""
-        ids = [self.numbers.get(w, 0) for w in text.split()]
-        out, reached = [], {}
-        for last, places in self.automaton.iter(tuple(ids)):
-            for p, b in places:
-                owner, own = self.passages[p]
-                if owner >= doc_id:
-                    continue
-                first = last - BLOCK + 1
-                line = (p, first - b)
-                if reached.get(line, -1) > last:
-                    continue
-                x, y = first, b
-                while x and y and ids[x - 1] == own[y - 1]:
-                    x, y = x - 1, y - 1
-                end, z = last + 1, b + BLOCK
-                while end < len(ids) and z < len(own) and ids[end] == own[z]:
-                    end, z = end + 1, z + 1
-                reached[line] = end
-                if end - x >= WINDOW:
-                    out.append((x, end))
-        return out
+        """The (first, end) words under windows owned by smaller documents, joined where they touch."""
+        owners = self.owners
+        ends = [last for last, p in self.automaton.iter(self._symbols(text)) if owners[p] < doc_id]
+        last_words = np.array(ends, np.int64) // self.digits
+        return [(x - WINDOW + 1, y + 1) for x, y in _runs(last_words, WINDOW)]
+
+
+def _automata(passages: pa.Table) -> Iterator[PhraseAutomaton]:
+    """Automata over the passages of a shard, each of at most ``SHARD_WORDS`` words, one after the other: a shard of
+    one very long document costs time, not memory. Cut passages overlap, so no window is lost."""
+    part: list[tuple[int, bytes]] = []
+    size = 0
+    for owner, text in zip(passages["owner"].to_pylist(), passages["passage"].to_pylist()):
+        w = text.encode().split()
+        for at in range(0, max(1, len(w) - WINDOW + 1), SHARD_WORDS):
+            piece = w[at:at + SHARD_WORDS + WINDOW - 1]
+            if part and size + len(piece) > 2 * SHARD_WORDS:
+                yield PhraseAutomaton(part)
+                part, size = [], 0
+            part.append((owner, b" ".join(piece)))
+            size += len(piece)
+    if part:
+        yield PhraseAutomaton(part)
 
 
 def _occurrences(passages: pa.Table, segments: pa.Table) -> pa.Table:
     found: dict[str, list[int]] = {"doc_id": [], "t": [], "first": [], "end": []}
-    if passages.num_rows and segments.num_rows:
-        auto = PhraseAutomaton([(o, p.encode()) for o, p in zip(passages["owner"].to_pylist(),
-                                                                passages["passage"].to_pylist())])
-        for doc_id, t, start, text in zip(*(segments[c].to_pylist() for c in ("doc_id", "t", "start", "text"))):
-            for first, end in auto.covered(doc_id, text.encode()):
-                for name, v in zip(found, (doc_id, t, start + first, start + end)):
-                    found[name].append(v)
+    if segments.num_rows:
+        rows = list(zip(*(segments[c].to_pylist() for c in ("doc_id", "t", "start", "text"))))
+        for auto in _automata(passages):
+            for doc_id, t, start, text in rows:
+                for first, end in auto.covered(doc_id, text.encode()):
+                    for name, v in zip(found, (doc_id, t, start + first, start + end)):
+                        found[name].append(v)
     return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
 
