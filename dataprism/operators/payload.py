@@ -11,7 +11,8 @@ Control keys inside it:
 Every other key is profiled with the type it has in the data. A variant's keys and types are discovered with one
 ``schema_of_variant_agg`` pass over the payload column (pass ``schema=`` to skip it); a key with values of several
 types stays a variant, whose values count under their own types. With ``schema=``, a value that does not cast counts
-under ``n_other``, not as a null. A map's keys are never listed: its entries are profiled in long form.
+under ``n_other``, not as a null. A map's keys are never listed: its entries are profiled in long form. Control keys
+match in any case; of several spellings in one map, the first in code point order counts (upper case first).
 
 Control values are per partition: all rows of a partition must agree (Spark has no "first row"). One small aggregate
 checks that and lists the frequencies and segment names in use; blank values count as absent. The profile is then one
@@ -102,15 +103,22 @@ def _text(value: Column | None, kind: T.DataType | None) -> Column:
     return F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
+def _map_key(body: Column, key: str) -> Column:
+    """The spelling of a control key in a map; null in maps without it."""
+    return F.array_min(F.filter(F.map_keys(body), lambda k: F.upper(k) == key))
+
+
 def _configs(rows: DataFrame, keys: list[str], present: list[str]) -> tuple[list[str], list[str]]:
-    """Frequencies and segment names in use, after checking that a partition holds one value per control column.
+    """Frequencies and segment names in use, after checking that a partition holds one value per control column, and
+    that a row has the event-time key if ``rows`` say which ones do (``__timed``).
 
     One job: minimum, maximum and count per partition, then one row over all partitions. None when no control column
     is present."""
     if not present:
         return [], []
+    timed = ["__timed"] if "__timed" in rows.columns else []
     per = rows.groupBy(*[F.col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("__all"),
+        F.count(F.lit(1)).alias("__all"), *[F.max(t).alias(t) for t in timed],
         *[a for c in present for a in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"),
                                        F.count(c).alias(f"{c}_n"))])
     clash = F.lit(False)
@@ -119,10 +127,12 @@ def _configs(rows: DataFrame, keys: list[str], present: list[str]) -> tuple[list
     clash = F.coalesce(clash, F.lit(False))
     row = per.agg(
         F.min(F.when(clash, F.to_json(F.struct(*keys, *[f"{c}_lo" for c in present], *[f"{c}_hi" for c in present]))))
-        .alias("bad"),
+        .alias("bad"), *[F.max(t).alias(t) for t in timed],
         *([F.collect_set("__freq_lo").alias("freqs")] if "__freq" in present else []),
         *([F.array_distinct(F.flatten(F.collect_set(F.split("__segs_lo", ",")))).alias("names")]
           if "__segs" in present else [])).first().asDict()
+    if timed and not row["__timed"]:
+        raise ValueError(f"payload has no {TS_KEY} key in any row")
     if row["bad"] is not None:
         raise ValueError(f"control values must be the same in all rows of a partition; partition {row['bad']} differs")
     names = sorted({n.strip().lower() for n in row.get("names") or [] if n.strip()})
@@ -142,7 +152,8 @@ def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence
     is_map = isinstance(df.schema[data].dataType, T.MapType)
     if is_map:
         inner = df.schema[data].dataType.valueType
-        fields = [(k, col(data).getItem(k), inner, None) for k in (TS_KEY, SEGMENTS_KEY, FREQ_KEY)]
+        fields = [(k, F.element_at(col(data), _map_key(col(data), k)), inner, None)
+                  for k in (TS_KEY, SEGMENTS_KEY, FREQ_KEY)]
     else:
         fields = expand_payload(df, data, schema=schema)
     by = {n.upper(): (v, t) for n, v, t, _ in fields}
@@ -154,7 +165,8 @@ def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence
                          else ms.cast("bigint"))
     segs, freq = (_text(*by.get(k, (None, None))) for k in (SEGMENTS_KEY, FREQ_KEY))
     names = [f"__key{i}" for i in range(len(keys))]
-    control = df.select(*[c.alias(n) for (_, c), n in zip(keys, names)], segs.alias("__segs"), freq.alias("__freq"))
+    control = df.select(*[c.alias(n) for (_, c), n in zip(keys, names)], segs.alias("__segs"), freq.alias("__freq"),
+                        *([_map_key(col(data), TS_KEY).isNotNull().alias("__timed")] if is_map else []))
     present = [c for c, k in (("__segs", SEGMENTS_KEY), ("__freq", FREQ_KEY)) if k in by]
     freqs, segment_names = _configs(control, names, present)
     which = F.coalesce(freq, F.lit(DEFAULT_FREQ))
@@ -162,9 +174,9 @@ def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence
     bucketing = Bucketing(tuple(parsed.values()), which)
     segment = _row_segments(segs, segment_names, fields if not is_map else [
         (n, col(data).getItem(n), inner, None) for n in _map_names(df, data, segment_names)])
-    if is_map:
-        return _profile_map(df, data, ts, bucketing, segment, keys, **profile_kwargs)
     wanted = None if columns is None else {c.lower() for c in columns}
+    if is_map:
+        return _profile_map(df, data, ts, bucketing, segment, keys, wanted, **profile_kwargs)
     values = [f for f in fields if not is_control_column(f[0]) and (wanted is None or f[0].lower() in wanted)]
     return profile_rows(df, ts, bucketing, segment, keys, values, **profile_kwargs)
 
@@ -199,7 +211,7 @@ def _row_segments(segs: Column, names: list[str], fields: list[tuple]) -> Segmen
 
 
 def _profile_map(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segment: Segmenting,
-                 keys: list[tuple[str, Column]], *, serialize: bool = False, sketches: bool = True,
+                 keys: list[tuple[str, Column]], wanted: set[str] | None, *, serialize: bool = False, sketches: bool = True,
                  topk_capacity: int = DEFAULT_TOPK_CAPACITY, metadata: dict[str, str] | None = None,
                  passthrough: dict[str, str] | None = None) -> DataFrame:
     """Profiles of map payloads in long form: one statistics group per (profile, map key), however many keys there
@@ -219,7 +231,8 @@ def _profile_map(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, seg
     group = [*alias, "__fq", "__bucket", *segment.names]
     whole = pre.groupBy(*group).agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
     long = pre.select(*group, F.explode("__data").alias("__name", "__v")) \
-        .filter(~F.upper("__name").isin(TS_KEY, SEGMENTS_KEY, FREQ_KEY)).groupBy(*group, "__name") \
+        .filter(~F.upper("__name").isin(TS_KEY, SEGMENTS_KEY, FREQ_KEY)) \
+        .filter(F.lit(True) if wanted is None else F.lower("__name").isin(sorted(wanted))).groupBy(*group, "__name") \
         .agg(column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches).alias("__s"))
     long = join_on_keys(long, whole, group)
     absent = F.col("__n") - F.col("__s").getField("count")

@@ -62,6 +62,29 @@ def test_map_payload_counts_absent_keys_as_nulls(spark):
     assert p["b"] == {}
 
 
+def test_map_control_keys_match_in_any_case(spark):
+    ts = str(MS)
+    df = spark.createDataFrame([
+        ("a", {"dataset_timestamp": ts, "segment_columns": "s", "group_by_frequency": "h", "s": "p", "x": "1"}),
+        ("a", {"Dataset_Timestamp": ts, "Segment_Columns": "s", "GROUP_BY_FREQUENCY": "h", "s": "q", "x": "2"}),
+        ("b", {"DATASET_TIMESTAMP": ts, "dataset_timestamp": "0", "x": "3"})], "k string, data map<string,string>")
+    p = profile_payload(df, "data", partition_by=["k"]).collect()
+    assert sorted((r.k, r.dataset_timestamp, r.segment or "", sorted(r.profile["columns"])) for r in p) == [
+        ("a", MS, '{"s":"p"}', ["s", "x"]), ("a", MS, '{"s":"q"}', ["s", "x"]), ("b", MS - 10 * 3_600_000, "", ["x"])]
+
+
+def test_map_without_event_time_key(spark):
+    df = spark.createDataFrame([("a", {"x": 1.0}), ("b", None)], "k string, data map<string,double>")
+    with pytest.raises(ValueError, match="DATASET_TIMESTAMP"):
+        profile_payload(df, "data", partition_by=["k"])
+
+
+def test_map_columns(spark):
+    df = spark.createDataFrame([({"DATASET_TIMESTAMP": float(MS), "x": 1.0, "y": 2.0},)], "data map<string,double>")
+    assert [sorted(profile_payload(df, "data", columns=c).first().profile["columns"]) for c in (["X"], [], None)] \
+        == [["x"], [], ["x", "y"]]
+
+
 def test_value_that_does_not_cast_is_not_a_null(spark):
     from pyspark.sql import types as T
 
