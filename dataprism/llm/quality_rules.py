@@ -4,7 +4,7 @@ Lines are normalised (white space collapsed and stripped, lower case) and hashed
 that hold a line are counted. A line in at least ``min_docs`` texts and more than ``max_share`` of its host's texts
 is boilerplate. A document whose words outside boilerplate lines are less than ``min_rest`` of all its words is
 depleted and rejected, as is one that fails the base rules (fewer than 10 words, or over 20 % of words in repeated
-five-word windows). Equal texts count once: copies say nothing about a line, and near-duplicate removal deals with
+five-word windows). The pipeline stage removes the boilerplate lines from the texts that are kept. Equal texts count once: copies say nothing about a line, and near-duplicate removal deals with
 them.
 
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own;
@@ -65,7 +65,8 @@ def base_rules(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def line_counts(docs: DataFrame) -> DataFrame:
-    """One row per (host, line, text): the line's hash, the text's hash and the words of the text in such lines."""
+    """One row per (host, line, text): the line's hash, the text's hash, the words of the text in such lines and the
+    places of these lines."""
     text = text_or_empty()
     line = F.trim(F.regexp_replace(F.lower(F.col("__line")), SPACE + "+", " "))
     n = F.size(F.split(F.col("__norm"), " ")).cast("long")
@@ -77,8 +78,9 @@ def line_counts(docs: DataFrame) -> DataFrame:
     # Copies of a text have the same lines at the same places: its first place's rows stand for all of them, and a
     # line repeated within the text counts as often as it has places.
     return rows.groupBy("__host", "__l1", "__l2", "__t1", "__t2").agg(
-        F.max("__n").alias("__each"), F.size(F.collect_set("__at")).alias("__places")) \
-        .select("__host", "__l1", "__l2", "__t1", "__t2", (F.col("__each") * F.col("__places")).alias("__n"))
+        F.max("__n").alias("__each"), F.collect_set("__at").alias("__places")) \
+        .select("__host", "__l1", "__l2", "__t1", "__t2", (F.col("__each") * F.size("__places")).alias("__n"),
+                "__places")
 
 
 def _text_key(text: Column) -> list[Column]:
@@ -87,7 +89,8 @@ def _text_key(text: Column) -> list[Column]:
 
 def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
                   min_rest: float = MIN_REST) -> DataFrame:
-    """doc_id, text statistics, base_failed, n_common_words (words in boilerplate lines) and kept, for every row.
+    """doc_id, text statistics, base_failed, n_common_words (words in boilerplate lines), kept and common_at (places
+    of the boilerplate lines; null without any), for every row.
 
     Shuffles hold hashes and counts, never texts. Lines are counted with partial sums before the shuffle, so a line
     that a third of all documents share arrives as one row a task and text.
@@ -104,7 +107,7 @@ def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     lost = lines.join(common, (F.col("__l1") == F.col("__c1")) & (F.col("__l2") == F.col("__c2"))
                       & same(F.col("__host"), F.col("__ch"))) \
         .groupBy(F.col("__host").alias("__lh"), F.col("__t1").alias("__x1"), F.col("__t2").alias("__x2")) \
-        .agg(F.sum("__n").alias("__lost"))
+        .agg(F.sum("__n").alias("__lost"), F.flatten(F.collect_list("__places")).alias("__at"))
     base = base_rules(docs.select("doc_id", "text", F.col("source").cast("string").alias("__host"),
                                   *_text_key(text)), ["doc_id", "__host", "__t1", "__t2"])
     out = base.join(lost, (F.col("__t1") == F.col("__x1")) & (F.col("__t2") == F.col("__x2"))
@@ -114,20 +117,47 @@ def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (rest >= min_rest * F.col("n_words"))).alias("kept"),
         F.coalesce("__lost", F.lit(0)).cast("long").alias("n_common_words"),
-        F.col("__host").alias("host"), F.col("__t1").alias("text_hash"), F.col("__t2").alias("text_hash2"))
+        F.col("__host").alias("host"), F.col("__t1").alias("text_hash"), F.col("__t2").alias("text_hash2"),
+        F.col("__at").alias("common_at"))
 
 
 def op10_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(documents(spark, sf_dir)).drop("host", "text_hash", "text_hash2")
+    return quality_rules(documents(spark, sf_dir)).drop("host", "text_hash", "text_hash2", "common_at")
 
 
-def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, with their own columns."""
-    verdict = quality_rules(docs).filter(~F.col("kept")).select(
-        F.col("host").alias("__h"), F.col("text_hash").alias("__x1"), F.col("text_hash2").alias("__x2")).distinct()
+def without_lines(text: Column, at: Column) -> Column:
+    """``text`` without the lines at the places ``at``; linear in the number of lines."""
+    def rest(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at)
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    return let(F.split(text, "\n"), rest)
+
+
+def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                    min_rest: float = MIN_REST) -> DataFrame:
+    """The documents that the rules keep, without their boilerplate lines; ``n_chars`` follows a text that changes.
+
+    Verdicts meet the texts once per (host, text), so a row's array of places never exceeds the lines of its text."""
+    verdict = quality_rules(docs, min_docs, max_share, min_rest).filter(
+        ~F.col("kept") | F.col("common_at").isNotNull()).select(
+        F.col("host").alias("__h"), F.col("text_hash").alias("__x1"), F.col("text_hash2").alias("__x2"),
+        F.col("kept").alias("__kept"), F.array_sort("common_at").alias("__at")).distinct()
     t1, t2 = _text_key(text_or_empty())
-    return docs.join(verdict, (t1 == F.col("__x1")) & (t2 == F.col("__x2"))
-                     & same(F.col("source").cast("string"), F.col("__h")), "left_anti")
+    out = docs.join(verdict, (t1 == F.col("__x1")) & (t2 == F.col("__x2"))
+                    & same(F.col("source").cast("string"), F.col("__h")), "left") \
+        .filter(F.coalesce("__kept", F.lit(True)))
+    changed = F.col("__at").isNotNull()
+    text = F.when(changed, without_lines(text_or_empty(), F.col("__at"))).otherwise(F.col("text"))
+    if "n_chars" in docs.columns:
+        n_chars = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("__text", text).withColumn("n_chars", F.when(changed, n_chars).otherwise(F.col("n_chars")))
+        text = F.col("__text")
+    return out.withColumn("text", text).drop("__h", "__x1", "__x2", "__kept", "__at", "__text")
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the documents that the rules keep, without their boilerplate lines, with their own columns."""
+    return clean_documents(docs)
 
 
 ORACLE = f"""

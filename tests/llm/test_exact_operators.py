@@ -221,6 +221,30 @@ def test_quality_stage_keeps_columns(spark, docs):
     assert got(out, "doc_id", "text") == Counter((i, t) for i, t, *_ in rows() if not quality_stats(t)[-1])
 
 
+def test_quality_stage_removes_common_lines(spark):
+    """Lines that are equal only after white space and case are made alike go, wherever a kept document holds them."""
+    def own(i):
+        return [" ".join(f"own{i}.{j}.{k}" for k in range(8)) for j in range(2)]
+
+    spelled = ["Visit  our \tÉCOLE", " visit our école ", "Visit our École"]
+    data = [(i, "\n".join([spelled[i % 3], *own(i)[:1], "", *own(i)[1:], spelled[(i + 1) % 3]]), "h") for i in range(24)]
+    data += [(100, data[0][1], "h"), (101, data[0][1], "other"), (102, "short", "h"), (103, None, "h"),
+             (104, "\n".join(own(104) + own(104)[:1]), None),
+             (105, "\n".join([spelled[0]] * 8 + ["left over words"]), "h")]
+    df = spark.createDataFrame([(i, t, s, len(t or "")) for i, t, s in data],
+                               "doc_id long, text string, source string, n_chars int")
+    out = quality_rules.keep_clean(spark, df, "")
+    assert out.schema == df.schema
+    expected = Counter()
+    for i, t, s in data:
+        if i < 24 or i == 100:
+            t = "\n".join(x for x in t.split("\n") if x not in spelled)
+        if i not in (102, 103, 104, 105):
+            expected[i, t, s, len(t)] += 1
+    assert got(out, "doc_id", "text", "source", "n_chars") == expected
+    assert not any(word in out._jdf.queryExecution().toString() for word in ("Python", "Pandas", "Arrow", "RDDScan\n"))
+
+
 def test_links_between_components():
     """Within one block and between two, the links found join exactly the components that any link joins."""
     import random
