@@ -18,10 +18,10 @@ import struct
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import Scratch, append_columns, arrow_map, documents, raw_texts, same
+from dataprism.llm.common import Scratch, append_columns, arrow_map, documents, raw_texts
 
 STRIP = b" \t\n\r\x0b\f"
 MIN_DOCS = 10
@@ -112,10 +112,16 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BAT
     return index.frequent()
 
 
+def _row_key() -> Column:
+    """A hash of a row's id and text. Rows that meet by chance share their hits, which are frequent lines all."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def _hits(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(__id, __hit): the frequent lines that each document has. The join by hash has one row for each frequent line
-    on one side, and Spark splits the skewed partitions of the other."""
-    return lines_of(docs).join(frequent, ["hi", "lo"]).groupBy(F.col("doc_id").alias("__id")) \
+    """(__id, __hit): the frequent lines that each row (by ``_row_key``) has. The join by hash has one row for each
+    frequent line on one side, and Spark splits the skewed partitions of the other."""
+    rows = docs.select(_row_key().alias("doc_id"), "text")
+    return lines_of(rows).join(frequent, ["hi", "lo"]).groupBy(F.col("doc_id").alias("__id")) \
         .agg(F.collect_set(F.struct("hi", "lo")).alias("__hit"))
 
 
@@ -129,8 +135,8 @@ def _keep(raw: bytes, hi: list[int] | None, lo: list[int] | None) -> tuple[int,
 
 def drop_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__kept``, the text without lines whose hashes are
-    ``frequent``. The hashes that a document has are joined to it by its id, so memory follows one document."""
-    rows = docs.join(_hits(docs, frequent), same(F.col("doc_id").cast("long"), F.col("__id")), "left").drop("__id")
+    ``frequent``. The hashes that a row's text has are joined to it, so memory follows one text."""
+    rows = docs.join(_hits(docs, frequent), _row_key() == F.col("__id"), "left").drop("__id")
 
     def keep(batch: pa.RecordBatch) -> list:
         n_lines, n_dropped, kept = [], [], []

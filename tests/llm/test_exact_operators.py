@@ -58,6 +58,17 @@ def test_line_stage_keeps_columns(spark, docs):
     assert out.filter("text IS NOT NULL AND n_chars <> length(text)").count() == 0
 
 
+def test_line_hits_follow_one_text(spark):
+    """An id (null included) that holds many rows gives each row the frequent lines of its own text only."""
+    data = [(None if i % 2 else 7, f"line {i % 20}\nown {i}\nline {(i + 1) % 20}") for i in range(40)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    bad = {line_dedup._hash(b"line %d" % i) for i in range(0, 20, 2)}
+    frequent = spark.createDataFrame(list(bad), "hi long, lo long")
+    assert line_dedup._hits(df, frequent).agg(F.max(F.size("__hit"))).first()[0] == 1
+    assert got(line_dedup.drop_lines(df, frequent), "doc_id", "__n_dropped", "__kept") == Counter(
+        (i, 1, "\n".join(x for x in t.split("\n") if line_dedup._hash(x.encode()) not in bad)) for i, t in data)
+
+
 def test_line_index_levels(spark):
     index = line_dedup.LineIndex(spark, min_docs=3, fanout=2)
     for batch in range(5):
