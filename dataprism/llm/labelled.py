@@ -29,7 +29,10 @@ def sample(labels: DataFrame, learn: Column, per_class: int) -> DataFrame:
 
 def with_texts(docs: DataFrame, chosen: DataFrame, columns: list[Column]) -> DataFrame:
     """The chosen rows' ``columns``, ids and labels. The chosen rows are bounded, so they are broadcast and the
-    documents stay where they are; of documents that repeat an id, each is an example."""
-    return docs.select(F.col("doc_id").cast("long").alias("__id"), *columns) \
-        .join(F.broadcast(chosen.withColumnRenamed("doc_id", "__chosen")), F.col("__id") == F.col("__chosen")) \
-        .drop("__chosen")
+    documents stay where they are; of documents that repeat an id, the one with the smallest hash is the example, so
+    there are at most as many rows as chosen ids."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), *columns)
+    names = rows.columns[1:]
+    return rows.join(F.broadcast(chosen.withColumnRenamed("doc_id", "__chosen")), F.col("__id") == F.col("__chosen")) \
+        .groupBy("__id", "label").agg(F.min(F.struct(F.xxhash64(*names).alias("__h"), *names)).alias("__r")) \
+        .select("__id", *[F.col("__r").getField(n).alias(n) for n in names], "label")

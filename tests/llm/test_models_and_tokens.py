@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from dataprism.llm import common, decontaminate, quality_fm, sentencepiece_ac, token_counts, toxicity
-from dataprism.llm.labelled import fold, read_labels, sample
+from dataprism.llm.labelled import fold, read_labels, sample, with_texts
 from pyspark.sql import functions as F
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm.data import frame, rows, words
@@ -245,3 +245,15 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert out and all(r.round_trip for r in out)
     assert len({r.doc_id for r in out}) == len(out)
+
+
+def test_one_example_per_chosen_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}", i) for i in range(50)] + [(2, None, None), (3, "c", 1)],
+                                 "doc_id long, text string, n_chars long")
+    chosen = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    out = with_texts(docs, chosen, [F.col("text"), F.col("n_chars").cast("long")])
+    assert out.columns == ["__id", "text", "n_chars", "label"]
+    first, = {tuple(r) for d in (docs, docs.repartition(7)) for r in with_texts(
+        d, chosen, [F.col("text"), F.col("n_chars")]).filter("__id = 1").collect()}
+    assert first[1] == f"text {first[2]}" and first[3] == 1
+    assert {tuple(r) for r in out.collect()} == {first, (2, None, None, 0)} and out.count() == 2
