@@ -142,33 +142,36 @@ def _sized(percent: int):
 
 
 def _open_members(members: DataFrame, state: DataFrame) -> DataFrame:
-    """(rep, n): the members of buckets that hold several components."""
+    """(rep): the members of buckets that hold several components."""
     now = members.join(state.withColumnRenamed("node", "rep"), "rep", "left") \
         .withColumn("component", F.coalesce("component", "rep"))
     several = now.groupBy("band", "key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")) \
         .filter("c1 < c2").select("band", "key")
-    return now.join(several, ["band", "key"]).groupBy("rep").agg(F.max("n").alias("n"))
+    return now.join(several, ["band", "key"]).select("rep").distinct()
 
 
 def _rare_groups(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(token, rep, n): the rarest shingles of each member that others may share, in groups of two or more."""
+    """(token, rep): the rarest shingles of each member that others may share, in groups of two or more. An id that
+    repeats with several texts is a member with several sets, each with a prefix of its own."""
     def explode(batch: pa.RecordBatch) -> list:
         each = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
-        rows = pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each]))
-        return [batch.column(0).take(rows), batch.column(1).take(rows), np.concatenate([*each, np.empty(0, np.int64)])]
+        size = np.array([len(x) for x in each], np.int64)
+        rows = pa.array(np.repeat(np.arange(len(each)), size))
+        return [batch.column(0).take(rows), batch.column(1).take(rows), np.repeat(size, size),
+                np.concatenate([*each, np.empty(0, np.int64)])]
 
     opened, _ = scratch.write(members)
     tokens = arrow_map(opened.join(sets.withColumnRenamed("rep", "r"), F.col("rep") == F.col("r"))
-                       .select("rep", "n", "shingles"), explode, "rep long, n long, token long")
+                       .select("rep", F.xxhash64("shingles").alias("set"), "shingles"), explode,
+                       "rep long, set long, n long, token long")
     counts = tokens.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     # Shingles that no other member has come first in the order and are in nobody's group.
-    own = tokens.join(counts, F.col("token") == F.col("t")).groupBy("rep", "n").agg(
+    own = tokens.join(counts, F.col("token") == F.col("t")).groupBy("rep", "set", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
     prefix = F.col("n") - F.call_function("div", F.col("n") * percent + 99, F.lit(100)) + 1
     rare = (prefix - (F.col("n") - F.size("shared"))).cast("int")
     groups, _ = scratch.write(own.filter(rare > 0).select(
-        "rep", "n", F.explode(F.slice("shared", F.lit(1), rare)).alias("s")).select(F.col("s.token").alias("token"),
-                                                                                   "rep", "n"))
+        "rep", F.explode(F.slice("shared", F.lit(1), rare)).alias("s")).select(F.col("s.token").alias("token"), "rep"))
     return groups
 
 

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,16 @@ def test_near_duplicate_chain(spark):
         == jaccard_components(data, 1)
 
 
+def test_rare_shingles_of_an_id_with_two_texts(spark):
+    """Id 1 has a set of 100 with 10 shared shingles and one of 50 shared ones: the second keeps its own prefix."""
+    sets = {(1, 0): range(100), (1, 1): range(1000, 1050), (2, 0): range(1000, 1050), (3, 0): range(90, 190)}
+    rows = [(r, np.array(x, np.int64).tobytes()) for (r, _), x in sets.items()]
+    members = spark.createDataFrame([(1, 100), (2, 50), (3, 100)], "rep long, n long")
+    groups = minhash._rare_groups(members, spark.createDataFrame(rows, "rep long, shingles binary"), 80,
+                                  Scratch(spark, "test"))
+    assert got(groups, "rep", "token") == Counter((r, t) for r in (1, 2) for t in range(1000, 1011))
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 8), (3, 2), (20, 9), (20, 30), (2, 1)]
     out, _ = components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"))
