@@ -65,9 +65,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root, self.n = spark, scratch_path(spark, name), 0
 
-    def write(self, df: DataFrame, codec: str = "snappy") -> tuple[DataFrame, str]:
-        path = f"{self.root}/{self.n}"
+    def path(self) -> str:
+        """The place of the run's next table."""
         self.n += 1
+        return f"{self.root}/{self.n - 1}"
+
+    def write(self, df: DataFrame, codec: str = "snappy") -> tuple[DataFrame, str]:
+        path = self.path()
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
@@ -77,11 +81,20 @@ class Scratch:
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Arrow batches between the JVM and the Python workers. Spark's own setting of 64 MB is held several times over on
+#: either side (growing vectors, received batch, values, results), for each task of an executor.
+BATCH_BYTES = 4 << 20
+_MAX_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers (``addPyFile``), once a session."""
+    """Make this package importable in the Python workers (``addPyFile``) and bound the Arrow batches in bytes (unless
+    the session's owner has), once a session."""
     sc = spark.sparkContext
     if getattr(sc, "_dataprism_shipped", False):
         return
+    if sc.getConf().get(_MAX_BYTES, None) is None:
+        spark.conf.set(_MAX_BYTES, str(BATCH_BYTES))
     root = Path(__file__).resolve().parents[1]
     target = os.path.join(tempfile.mkdtemp(prefix="dataprism-"), "dataprism.zip")
     with zipfile.ZipFile(target, "w") as z:
@@ -93,8 +106,9 @@ def ship_package(spark: SparkSession) -> None:
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str | T.StructType,
               rows: int = 2000) -> DataFrame:
-    """``mapInArrow`` in slices of at most ``rows`` input rows, so that memory follows the slice, not the batch.
-    ``fn`` gets a slice and returns the output columns in the order of ``schema``."""
+    """``mapInArrow`` in slices of at most ``rows`` input rows; batches come in at ``BATCH_BYTES`` (or one row), so
+    memory follows the batch in bytes and its longest text. ``fn`` gets a slice and returns the output columns in the
+    order of ``schema``. What the allocator holds is given back after each batch."""
     kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     out = to_arrow_schema(kinds)
@@ -105,6 +119,8 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str |
             for at in range(0, batch.num_rows, rows):
                 cols = fn(batch.slice(at, rows))
                 yield pa.RecordBatch.from_arrays([_array(c, f.type) for c, f in zip(cols, out)], schema=out)
+                del cols
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, kinds)
 
@@ -115,23 +131,47 @@ def _array(c: object, kind: pa.DataType) -> pa.Array:
     return c if c.type == kind else c.cast(kind)
 
 
-def append_columns(df: DataFrame, inputs: list[Column], fn: Callable[[pa.RecordBatch], list], schema: str,
-                   rows: int = 2000) -> DataFrame:
-    """``df`` with the columns that ``fn`` makes of ``inputs``, whatever the names and types of its own columns."""
+def append_columns(df: DataFrame, use: list[str], fn: Callable[[pa.RecordBatch], list], schema: str,
+                   without: tuple[str, ...] = (), rows: int = 2000) -> DataFrame:
+    """``df`` less the columns ``without``, plus those that ``fn`` makes of the columns ``use``, whatever the names and
+    types of the others. Each column goes to the workers once, and only what stays comes back."""
     kinds = T.StructType.fromDDL(schema)
-    own = [f"__own{i}" for i in range(len(df.columns))]
-    back = {o: f.name for o, f in zip(own, df.schema.fields)}
-    ins = df.select(*[c.alias(f"__in{i}") for i, c in enumerate(inputs)], "*")
-    plain = ins.toDF(*[f"__in{i}" for i in range(len(inputs))], *own)
-    n = len(inputs)
-    fields = [T.StructField(o, f.dataType) for o, f in zip(own, df.schema.fields)] + list(kinds.fields)
+    names = df.columns
+    kept = [i for i, c in enumerate(names) if c not in without]
+    places = [names.index(c) for c in use]
+    fields = [T.StructField(f"__own{i}", df.schema.fields[i].dataType) for i in kept] + list(kinds.fields)
 
     def run(batch: pa.RecordBatch) -> list:
-        cut = pa.RecordBatch.from_arrays(batch.columns[:n], names=[f"i{i}" for i in range(n)])
-        return [*batch.columns[n:], *fn(cut)]
-
-    out = arrow_map(plain, run, T.StructType(fields), rows)
-    return out.select(*[F.col(o).alias(name) for o, name in back.items()], *[f.name for f in kinds.fields])
+        cut = pa.RecordBatch.from_arrays([batch.column(i) for i in places], names=[f"i{i}" for i in places])
+        return [*[batch.column(i) for i in kept], *fn(cut)]
+
+    out = arrow_map(df.toDF(*[f"__own{i}" for i in range(len(names))]), run, T.StructType(fields), rows)
+    return out.select(*[F.col(f"__own{i}").alias(names[i]) for i in kept], *[f.name for f in kinds.fields])
+
+
+class Memo:
+    """Results of short keys met before, at most ``limit`` bytes of them: when half of that is full, the older half is
+    forgotten. ``make`` gives the result of a key that isn't known."""
+
+    EACH = 180  # bytes of a dict entry and two small objects
+
+    def __init__(self, make: Callable, limit: int = 32 << 20, longest: int = 64) -> None:
+        self.make, self.half, self.longest = make, limit // 2, longest
+        self.new: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def __call__(self, key):
+        """The result of a key that ``new`` doesn't hold."""
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= self.longest:
+            self.size += self.EACH + 2 * len(key) + (len(out) if hasattr(out, "__len__") else 0)
+            if self.size > self.half:
+                self.new, self.old, self.size = {}, self.new, 0
+            self.new[key] = out
+        return out
 
 
 def int_lists(packed: list[bytes]) -> pa.Array:

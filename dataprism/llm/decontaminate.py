@@ -183,9 +183,9 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 coverage.append(max([most, *(c for _, c in got)]))
             return [items, coverage]
 
-        out = append_columns(out, [F.col("text").cast("string"), F.col("__items"), F.col("__coverage")], step,
-                             "__new array<long>, __most double")
-        out = out.drop("__items", "__coverage").withColumnsRenamed({"__new": "__items", "__most": "__coverage"})
+        out = append_columns(out, ["text", "__items", "__coverage"], step, "__new array<long>, __most double",
+                             without=("__items", "__coverage"))
+        out = out.withColumnsRenamed({"__new": "__items", "__most": "__coverage"})
     return out
 
 

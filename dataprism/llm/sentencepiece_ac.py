@@ -10,7 +10,8 @@ marks and what follows them) one after the other, and each worker remembers the
 Spaces are written as U+2581 and one is put in front of a text that isn't empty; decoding undoes both, so a text comes
 back unchanged but for U+2581 itself, which comes back as a space.
 
-Defined results: a null or empty text has no pieces; repeated rows get equal pieces; an empty table gives no rows;
+Defined results: a null or empty text has no pieces; a very long text is encoded whole, chunk after chunk, and a chunk
+without spaces in parts cut where no piece crosses (16 bytes a character of the longest part); repeated rows get equal pieces; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -19,17 +20,19 @@ from __future__ import annotations
 import math
 import re
 import struct
+from array import array
+from itertools import chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import arrow_map, documents, int_lists
+from dataprism.llm.common import Memo, arrow_map, documents, int_lists
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO_CHUNKS = 200_000
+PIECE_OF_CHUNK = 1 << 16
 
 
 def read_pieces(path: str = MODEL, ranks: bool = True) -> list[tuple[str, float, int]]:
@@ -69,36 +72,62 @@ class Encoder:
             raise ValueError("the vocabulary needs all 256 byte pieces")
         self.automaton.make_automaton()
         self.unknown = min(score for _, score, kind in pieces if kind == 0) - UNKNOWN_PENALTY
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.longest = max((len(p) for p, _, kind in pieces if kind == 0), default=1)
+        self.memo = Memo(self._packed)
         # A character that is in no piece is always a segment of its own; the usual ones are cut off at once.
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p, _, kind in pieces if kind == 0))
         self.chunks = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else ""))
 
+    def cuts(self, chunk: str) -> list[int]:
+        """Places, about ``PIECE_OF_CHUNK`` apart, that no piece crosses: the best segmentations of the parts, one
+        after the other, are that of the chunk. A stretch without such a place is one part."""
+        out, at, reach = [], PIECE_OF_CHUNK, self.longest
+        while at < len(chunk):
+            begin = max(0, at - 2 * reach)
+            window = chunk[begin:at + 2 * reach]
+            crossed = bytearray(len(window) + 1)
+            for last, (_, size, _) in self.automaton.iter(window):
+                crossed[last + 2 - size:last + 1] = b"\1" * (size - 1)
+            # Matches that cross a place in the middle of the window lie in the window.
+            free = crossed.find(0, reach, min(3 * reach, len(window)))
+            if free >= 0:
+                out.append(begin + free)
+                at = out[-1] + PIECE_OF_CHUNK
+            else:
+                at += reach
+        return out
+
     def best(self, chunk: str) -> list[int]:
         """The ids of the best segmentation of ``chunk``."""
+        if len(chunk) > PIECE_OF_CHUNK:
+            ids: list[int] = []
+            for a, b in pairwise([0, *self.cuts(chunk), len(chunk)]):
+                ids.extend(self._best(chunk[a:b]))
+            return ids
+        return self._best(chunk)
+
+    def _best(self, chunk: str) -> list[int]:
         n = len(chunk)
-        score = [0.0] + [float("-inf")] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
+        score = array("d", [0.0]) + array("d", [-math.inf]) * n
+        size_of, id_of = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
         if self.single.issuperset(chunk):  # no unknown character: pieces alone
             for last, (i, size, piece_score) in self.automaton.iter(chunk):
                 end = last + 1
                 s = score[end - size] + piece_score
                 if s > score[end]:
-                    score[end], back[end] = s, (end - size, i)
+                    score[end], size_of[end], id_of[end] = s, size, i
         else:
             done = 0  # positions up to here have their final score
-            matches = list(self.automaton.iter(chunk))
-            for last, (i, size, piece_score) in [*matches, (n, (-1, 0, 0.0))]:
+            for last, (i, size, piece_score) in chain(self.automaton.iter(chunk), [(n, (-1, 0, 0.0))]):
                 while done < last:
                     if chunk[done] not in self.single and (s := score[done] + self.unknown) > score[done + 1]:
-                        score[done + 1], back[done + 1] = s, (done, -1)
+                        score[done + 1], size_of[done + 1], id_of[done + 1] = s, 1, -1
                     done += 1
                 if i >= 0 and (s := score[last + 1 - size] + piece_score) > score[last + 1]:
-                    score[last + 1], back[last + 1] = s, (last + 1 - size, i)
+                    score[last + 1], size_of[last + 1], id_of[last + 1] = s, size, i
         ids: list[int] = []
         while n:
-            start, i = back[n]
+            start, i = n - size_of[n], id_of[n]
             if i >= 0:
                 ids.append(i)
             else:
@@ -106,16 +135,9 @@ class Encoder:
             n = start
         return ids[::-1]
 
-    def _chunk(self, chunk: str) -> bytes:
-        out = self.old.get(chunk)
-        if out is None:
-            ids = self.best(chunk)
-            out = struct.pack(f"<{len(ids)}i", *ids)
-        if len(chunk) <= 64:
-            if len(self.memo) >= MEMO_CHUNKS:  # the older half is forgotten
-                self.memo, self.old = {}, self.memo
-            self.memo[chunk] = out
-        return out
+    def _packed(self, chunk: str) -> bytes:
+        ids = self.best(chunk)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text's pieces, packed as 32-bit numbers."""
@@ -123,7 +145,8 @@ class Encoder:
             return b""
         marked = MARK + text.replace(" ", MARK)
         chunks = self.chunks.findall(marked) if self.splits else [marked]
-        return b"".join([self.memo.get(c) or self._chunk(c) for c in chunks])
+        memo = self.memo
+        return b"".join([memo.new.get(c) or memo(c) for c in chunks])
 
     def decode(self, ids: list[int]) -> str:
         """The text of a list of ids."""
@@ -142,8 +165,6 @@ def _encoder(shared, name: str) -> Encoder:
 
 
 def _share(df: DataFrame, pieces: list[tuple[str, float, int]]):
-    if len(pieces) > 2_000_000:
-        raise ValueError("a vocabulary has at most 2,000,000 pieces")
     shared = df.sparkSession.sparkContext.broadcast(pieces)
     return shared, f"{id(shared)}-{len(pieces)}"
 

@@ -6,8 +6,9 @@ link. Counting the greedy longest-match pieces of a word is then one walk over i
 Words carry a leading space byte, as the vocabulary's word-starting tokens do; a word that cannot be covered counts as
 one unknown token.
 
-Defined results: a null or empty text has 0 words and 0 tokens; repeated rows get equal counts; an empty table gives
-no rows; other columns are ignored.
+Defined results: a null or empty text has 0 words and 0 tokens; a very long text or word is read whole, in one walk
+without pieces; repeated rows get equal counts; an empty table gives no rows; other columns are ignored; with an empty
+vocabulary every word is one unknown token.
 """
 
 from __future__ import annotations
@@ -18,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import arrow_map, documents, raw_texts
+from dataprism.llm.common import Memo, arrow_map, documents, raw_texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-MEMO_WORDS = 200_000
 
 
 def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
@@ -84,30 +84,12 @@ class Automaton:
         return n
 
 
-class _Counts(dict):
-    """Counts of the words seen, at most ``MEMO_WORDS``; then it starts anew."""
-
-    def __init__(self, automaton: Automaton) -> None:
-        super().__init__()
-        self.automaton = automaton
-
-    def __missing__(self, word: bytes) -> int:
-        n = self.automaton.count(b" " + word)
-        if len(word) <= 64:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = n
-        return n
-
-
-_BUILT: dict[str, _Counts] = {}
+_BUILT: dict[str, Memo] = {}
 
 
 def token_counts(docs: DataFrame, tokens: list[bytes]) -> DataFrame:
     """doc_id, n_words and n_tokens of every row: one pass, no shuffle. The vocabulary is broadcast (its size is
     fixed and does not follow the data); each Python worker builds the automaton once."""
-    if not tokens or max(map(len, tokens)) > 10_000 or len(tokens) > 2_000_000:
-        raise ValueError("a vocabulary has 1 to 2,000,000 tokens")
     shared = docs.sparkSession.sparkContext.broadcast(tokens)
     name = f"{id(shared)}-{len(tokens)}"
 
@@ -115,13 +97,13 @@ def token_counts(docs: DataFrame, tokens: list[bytes]) -> DataFrame:
         memo = _BUILT.get(name)
         if memo is None:
             _BUILT.clear()
-            memo = _BUILT[name] = _Counts(Automaton(shared.value))
+            automaton = Automaton(shared.value)
+            memo = _BUILT[name] = Memo(lambda word: automaton.count(b" " + word))
         n_words, n_tokens = [], []
-        look = memo.__getitem__
         for raw in raw_texts(batch.column(1)):
             w = raw.split()
             n_words.append(len(w))
-            n_tokens.append(sum(map(look, w)))
+            n_tokens.append(sum([memo.new.get(x) or memo(x) for x in w]))
         return [batch.column(0), n_words, n_tokens]
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), count,

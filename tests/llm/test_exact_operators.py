@@ -65,7 +65,7 @@ def test_line_hits_follow_one_text(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     bad = {line_dedup._hash(b"line %d" % i) for i in range(0, 20, 2)}
     frequent = spark.createDataFrame(list(bad), "hi long, lo long")
-    assert line_dedup._hits(df, frequent).agg(F.max(F.size("__hit"))).first()[0] == 1
+    assert line_dedup._hits(line_dedup.lines_of(df), frequent).agg(F.max(F.size("__hit"))).first()[0] == 1
     assert got(line_dedup.drop_lines(df, frequent), "doc_id", "__n_dropped", "__kept") == Counter(
         (i, 1, "\n".join(x for x in t.split("\n") if line_dedup._hash(x.encode()) not in bad)) for i, t in data)
 
@@ -80,6 +80,34 @@ def test_line_index_levels(spark):
     assert {tuple(r) for r in index.frequent().collect()} == expected
 
 
+def test_line_runs_merge_without_exchange(spark, docs):
+    """Joining the runs is a merge of sorted buckets: the plan exchanges and sorts the new batch alone."""
+    index = line_dedup.LineIndex(spark, min_docs=3, fanout=9)
+    plans = []
+    run = index._run
+    index._run = lambda counted: plans.append(counted) or run(counted)
+    for part in range(3):
+        index.add(docs.filter(F.pmod("doc_id", F.lit(3)) == part))
+    with line_dedup._sorted_buckets(spark):
+        plan = plans[2].select("*")._jdf.queryExecution().executedPlan().toString()
+    joins = plan.count("SortMergeJoin")
+    assert joins == 4 and "Broadcast" not in plan and plan.count("Bucketed: true") == 4
+    # One exchange and one sort for each step of the batch's own counting, none above a run's scan.
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("+- Sort") <= 3, plan
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 9])
+def test_line_index_equals_one_count(docs, fanout):
+    lines = line_dedup.lines_of(docs)
+    index = line_dedup.LineIndex(docs.sparkSession, min_docs=4, fanout=fanout)
+    for part in range(5):
+        index.add_lines(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == part))
+    expected = got(lines.groupBy("hi", "lo").agg(F.countDistinct(F.coalesce("doc_id", F.lit(-1))).alias("n"))
+                   .filter("n >= 4"), "hi", "lo")
+    assert expected and got(index.frequent(), "hi", "lo") == expected
+    index.close()
+
+
 def jaccard_components(data, k, percent=80):
     sets = []
     for i, t, *_ in data:

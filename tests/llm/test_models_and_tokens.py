@@ -228,6 +228,25 @@ def test_viterbi_finds_the_best_segmentation():
         assert abs(total - best_score(pieces, enc.unknown, marked)) < 1e-6
 
 
+def test_long_chunks_are_cut_where_no_piece_crosses(monkeypatch):
+    enc = sentencepiece_ac.Encoder(sentencepiece_ac.read_pieces())
+    r = random.Random(8)
+    texts = ["".join(r.choice("日本語のテスト漢字") for _ in range(3000)), "a" * 3000,
+             "".join(r.choice("theand😀é=-") for _ in range(3000))]
+    whole = [enc.best(t) for t in texts]
+    monkeypatch.setattr(sentencepiece_ac, "PIECE_OF_CHUNK", 100)
+    assert len(enc.cuts(texts[0])) > 5
+    assert [enc.best(t) for t in texts] == whole
+
+
+def test_memo_is_bounded_and_right():
+    made = []
+    memo = common.Memo(lambda x: made.append(x) or x * 2, limit=4000)
+    keys = [b"%d" % (i % 37) for i in range(500)]
+    assert [memo.new.get(k) or memo(k) for k in keys] == [k * 2 for k in keys]
+    assert len(memo.new) + len(memo.old) < 25 and memo(b"y" * 100) == b"y" * 200 and b"y" * 100 not in memo.new
+
+
 def test_encode_and_decode(spark, docs, none):
     pieces = sentencepiece_ac.read_pieces()
     out = sentencepiece_ac.encode_texts(docs, pieces).cache()
