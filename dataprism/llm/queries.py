@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataprism.llm import (decontaminate, line_dedup, minhash, quality_fm, quality_rules, sentencepiece_ac, sharding,
-                           substring, token_counts, toxicity)
+from dataprism.llm import (alignment, byte_bpe, decontaminate, hard_negatives, line_dedup, minhash, quality_fm,
+                           quality_rules, sentencepiece_ac, sharding, substring, token_counts, toxicity)
 
 QUERIES = {
     "op1_line_runs": line_dedup.op1_line_runs,
@@ -16,10 +16,14 @@ QUERIES = {
     "op8_shard_tree": sharding.op8_shard_tree,
     "op9_phrases": substring.op9_phrases,
     "op10_quality_lines": quality_rules.op10_quality_lines,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_byte_bpe": byte_bpe.op12_byte_bpe,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLES = {
     "op1_line_runs": line_dedup.ORACLE,
     "op8_shard_tree": sharding.ORACLE,
     "op10_quality_lines": quality_rules.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
 }
