@@ -8,10 +8,18 @@ A frequency string names how rows are grouped in time; every row gets the *label
   (``5D``, ``7h``, ``36h``, ``7min``) they start at midnight of the partition's earliest row, so the label depends on
   the partition: such frequencies are *origin-dependent* (see ``profile``).
 * ``W`` (= ``W-SUN``) and ``W-MON`` .. ``W-SAT``: week closing on that weekday, labelled with the closing day.
-* ``M``/``ME`` month end, ``MS`` month start; ``Q``/``QE`` quarter end, ``QS`` quarter start;
-  ``Y``/``YE``/``A`` year end, ``YS``/``AS`` year start.
-
-Anything else (``B``, ``SM``, ``2W``, ...) raises ``ValueError``.
+* ``M``/``ME`` month end, ``MS`` month start; ``Q``/``QE`` quarter end, ``QS`` quarter start; ``Y``/``YE``/``A`` year end,
+  ``YS``/``AS`` year start. Quarters and years take a month (``Q-JAN``, ``QS-FEB``, ``A-JUN``): that in which a quarter
+  or the year ends, or begins.
+* ``SM``/``SME`` half-months beginning on the 15th and the last day of a month, ``SMS`` on the 1st and the 15th; ``B``
+  business days, a weekend belonging to its Friday. Both are labelled by their start.
+
+Calendar frequencies take a multiple too (``2W``, ``3MS``, ``10B``): that many periods in a row, counted from the period
+of the partition's earliest row, so these are origin-dependent as well. Those that close a period (week, month, quarter
+and year ends) are labelled with the last period of a bucket, whose first bucket ends with the first row's period; the
+others with the first.
+
+Anything else (``BME``, ``CBMS``, ...) raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -40,49 +48,55 @@ _TICK_UNITS = {
 # Week anchors in the order Spark's dayofweek numbers them (1 = Sunday .. 7 = Saturday).
 _WEEKDAYS = ["SUN", "MON", "TUE", "WED", "THU", "FRI", "SAT"]
 
+# Months in the order of the year.
+_MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
+
+# Calendar aliases, their kind and the month they are anchored to by default (0: none).
 _CALENDAR = {
-    "M": "month_end",
-    "ME": "month_end",
-    "MS": "month_start",
-    "Q": "quarter_end",
-    "QE": "quarter_end",
-    "Q-DEC": "quarter_end",
-    "QE-DEC": "quarter_end",
-    "QS": "quarter_start",
-    "QS-JAN": "quarter_start",
-    "Y": "year_end",
-    "YE": "year_end",
-    "A": "year_end",
-    "Y-DEC": "year_end",
-    "YE-DEC": "year_end",
-    "A-DEC": "year_end",
-    "YS": "year_start",
-    "AS": "year_start",
-    "YS-JAN": "year_start",
-    "AS-JAN": "year_start",
+    "M": ("month_end", 0),
+    "ME": ("month_end", 0),
+    "MS": ("month_start", 0),
+    "Q": ("quarter_end", 12),
+    "QE": ("quarter_end", 12),
+    "QS": ("quarter_start", 1),
+    "Y": ("year_end", 12),
+    "YE": ("year_end", 12),
+    "A": ("year_end", 12),
+    "YS": ("year_start", 1),
+    "AS": ("year_start", 1),
+    "SM": ("semi_end", 0),
+    "SME": ("semi_end", 0),
+    "SMS": ("semi_start", 0),
+    "B": ("business", 0),
 }
 
+# Kinds whose buckets close on their label.
+_CLOSING = ("week", "month_end", "quarter_end", "year_end")
+
 
 @dataclass(frozen=True)
 class Freq:
     """A parsed frequency.
 
-    ``kind`` is ``tick`` (fixed width ``width_ms``), ``week`` (``anchor`` = Spark dayofweek number of the closing
-    day) or one of the calendar kinds in ``_CALENDAR``.
+    ``kind`` is ``tick`` (fixed width ``width_ms``), ``week`` (``anchor`` = Spark dayofweek number of the closing day)
+    or one of the calendar kinds in ``_CALENDAR`` (``anchor`` = month number of quarters and years); ``mult`` periods of
+    a calendar kind make a bucket.
     """
 
     text: str
     kind: str
     width_ms: int = 0
     anchor: int = 0
+    mult: int = 1
 
     @property
     def origin_dependent(self) -> bool:
-        """True when labels depend on the partition's earliest row (width does not divide a day)."""
-        return self.kind == "tick" and MS_PER_DAY % self.width_ms != 0
+        """True when labels depend on the partition's earliest row (a width that does not divide a day, or several
+        calendar periods)."""
+        return MS_PER_DAY % self.width_ms != 0 if self.kind == "tick" else self.mult > 1
 
 
-_TICK_RE = re.compile(r"^\s*(\d*)\s*([A-Za-z]+)\s*$")
+_FREQ_RE = re.compile(r"^\s*(\d*)\s*([A-Za-z]+)(?:-([A-Za-z]+))?\s*$")
 
 
 def parse_freq(freq: str | None) -> Freq:
@@ -90,21 +104,26 @@ def parse_freq(freq: str | None) -> Freq:
     if freq is None or not isinstance(freq, str):
         raise ValueError(f"frequency must be a string, got {freq!r}")
     text = freq.strip()
-    if text in _CALENDAR:
-        return Freq(text, _CALENDAR[text])
-    if text == "W" or text.startswith("W-"):
-        day = "SUN" if text == "W" else text[2:].upper()
-        if day not in _WEEKDAYS:
-            raise ValueError(f"unsupported week anchor in frequency {freq!r}")
-        return Freq(text, "week", anchor=_WEEKDAYS.index(day) + 1)
-    m = _TICK_RE.match(text)
-    if m and m.group(2) in _TICK_UNITS:
+    m = _FREQ_RE.match(text)
+    if m:
         mult = int(m.group(1)) if m.group(1) else 1
+        unit, anchor = m.group(2), (m.group(3) or "").upper()
         if mult <= 0:
             raise ValueError(f"frequency multiple must be positive: {freq!r}")
-        return Freq(text, "tick", width_ms=mult * _TICK_UNITS[m.group(2)])
+        if unit == "W":
+            if (anchor or "SUN") not in _WEEKDAYS:
+                raise ValueError(f"unsupported week anchor in frequency {freq!r}")
+            return Freq(text, "week", anchor=_WEEKDAYS.index(anchor or "SUN") + 1, mult=mult)
+        if unit in _CALENDAR:
+            kind, month = _CALENDAR[unit]
+            if anchor and (not month or anchor not in _MONTHS):
+                raise ValueError(f"unsupported anchor in frequency {freq!r}")
+            return Freq(text, kind, anchor=_MONTHS.index(anchor) + 1 if anchor else month, mult=mult)
+        if unit in _TICK_UNITS and not anchor:
+            return Freq(text, "tick", width_ms=mult * _TICK_UNITS[unit])
     raise ValueError(
-        f"unsupported frequency {freq!r}: use D/h/min/s with an optional multiple, W[-DAY], M/ME/MS, Q/QE/QS, Y/YE/YS"
+        f"unsupported frequency {freq!r}: use D/h/min/s, W[-DAY], M/ME/MS, Q/QE/QS[-MONTH], Y/YE/A/YS/AS[-MONTH], "
+        "SM/SMS or B, with an optional multiple"
     )
 
 
@@ -161,31 +180,81 @@ def floor_ms(ts: Column, width_ms: int | Column) -> Column:
     return from_epoch_ms(ms - F.pmod(ms, width_ms if isinstance(width_ms, Column) else F.lit(width_ms).cast("bigint")))
 
 
-def bucket_label(ts: Column, freq: Freq) -> Column:
-    """Label of the bucket of ``ts`` for every frequency that does not depend on an origin."""
+def _month_index(day: Column) -> Column:
+    return (F.year(day) * 12 + F.month(day) - 1).cast("bigint")
+
+
+def _first_of_month(index: Column) -> Column:
+    return F.make_date(floor_div(index, 12).cast("int"), (F.pmod(index, F.lit(12)) + 1).cast("int"), F.lit(1))
+
+
+def _days_since(day: Column, start: str) -> Column:
+    return F.datediff(day, F.lit(start).cast("date")).cast("bigint")
+
+
+def _after(days: Column, start: str) -> Column:
+    return F.date_add(F.lit(start).cast("date"), days.cast("int"))
+
+
+# A Sunday and a Monday from which weeks and business days are counted.
+_SUNDAY, _MONDAY = "1970-01-04", "1969-12-29"
+
+
+def period(ts: Column, freq: Freq) -> Column:
+    """The running number of the calendar period of ``ts`` (of its label too)."""
+    day = F.to_date(ts)
+    month = _month_index(day)
+    if freq.kind == "week":
+        return floor_div(_days_since(F.date_add(day, F.pmod(F.lit(freq.anchor) - F.dayofweek(day), F.lit(7))), _SUNDAY), 7)
+    if freq.kind in ("month_end", "month_start"):
+        return month
+    if freq.kind == "semi_end":
+        last = F.dayofmonth(F.last_day(day)) == F.dayofmonth(day)
+        return 2 * month + F.when(last, F.lit(1)).when(F.dayofmonth(day) >= 15, F.lit(0)).otherwise(F.lit(-1))
+    if freq.kind == "semi_start":
+        return 2 * month + F.when(F.dayofmonth(day) >= 15, F.lit(1)).otherwise(F.lit(0))
+    if freq.kind == "business":
+        days = _days_since(day, _MONDAY)
+        return floor_div(days, 7) * 5 + F.least(F.pmod(days, F.lit(7)), F.lit(4))
+    size = 3 if freq.kind.startswith("quarter") else 12
+    shift = (freq.anchor - 1) % size
+    return floor_div(month - shift + (size - 1 if freq.kind.endswith("end") else 0), size)
+
+
+def period_label(number: Column, freq: Freq) -> Column:
+    """The label (timestamp_ntz) of a calendar period by its running number."""
+    n = number.cast("bigint")
+    if freq.kind == "week":
+        return to_ntz(_after(n * 7 + (freq.anchor - 1), _SUNDAY))
+    if freq.kind == "business":
+        return to_ntz(_after(floor_div(n, 5) * 7 + F.pmod(n, F.lit(5)), _MONDAY))
+    if freq.kind in ("semi_end", "semi_start"):
+        first = _first_of_month(floor_div(n, 2))
+        second, odd = F.date_add(first, 14), F.pmod(n, F.lit(2)) == 1
+        return to_ntz(F.when(odd, F.last_day(first) if freq.kind == "semi_end" else second)
+                      .otherwise(second if freq.kind == "semi_end" else first))
+    size = 1 if freq.kind.startswith("month") else 3 if freq.kind.startswith("quarter") else 12
+    first = _first_of_month(n * size + (freq.anchor - 1) % size)
+    return to_ntz(F.last_day(first) if freq.kind.endswith("end") else first)
+
+
+def bucket_label(ts: Column, freq: Freq, origin_day: Column | None = None) -> Column:
+    """Label of the bucket of ``ts``. Several calendar periods need ``origin_day``, midnight of the partition's earliest
+    row; fixed widths that depend on it go through ``origin_label``."""
     if freq.kind == "tick":
         if freq.origin_dependent:
             raise ValueError(f"frequency {freq.text!r} depends on the partition origin; use origin_label")
         if freq.width_ms == MS_PER_DAY:
             return to_ntz(F.to_date(ts))
         return floor_ms(ts, freq.width_ms)
-    day = F.to_date(ts)
-    if freq.kind == "week":
-        return to_ntz(F.date_add(day, F.pmod(F.lit(freq.anchor) - F.dayofweek(day), F.lit(7))))
-    if freq.kind == "month_end":
-        return to_ntz(F.last_day(day))
-    # Calendar truncation on the date (not date_trunc, which goes through the session zone).
-    if freq.kind == "month_start":
-        return to_ntz(F.trunc(day, "month"))
-    if freq.kind == "quarter_start":
-        return to_ntz(F.trunc(day, "quarter"))
-    if freq.kind == "quarter_end":
-        return to_ntz(F.date_sub(F.add_months(F.trunc(day, "quarter"), 3), 1))
-    if freq.kind == "year_start":
-        return to_ntz(F.trunc(day, "year"))
-    if freq.kind == "year_end":
-        return to_ntz(F.make_date(F.year(day), F.lit(12), F.lit(31)))
-    raise ValueError(f"unknown frequency kind {freq.kind}")
+    if freq.mult == 1:
+        return period_label(period(ts, freq), freq)
+    if origin_day is None:
+        raise ValueError(f"frequency {freq.text!r} depends on the partition origin")
+    first = period(origin_day, freq)
+    past = period(ts, freq) - first
+    steps = floor_div(past + freq.mult - 1, freq.mult) if freq.kind in _CLOSING else floor_div(past, freq.mult)
+    return period_label(first + steps * freq.mult, freq)
 
 
 def origin_label(ts: Column, origin_day: Column, width_ms: int | Column) -> Column:
@@ -203,11 +272,5 @@ def bucket_ordinal(label: Column, freq: Freq) -> Column:
     labels, empty ones included (``group_count``)."""
     if freq.kind == "tick":
         return floor_div(epoch_ms(label), freq.width_ms)
-    if freq.kind == "week":
-        return floor_div(F.datediff(F.to_date(label), F.lit("1970-01-04").cast("date")).cast("bigint"), 7)
-    month_index = (F.year(label) * 12 + F.month(label) - 1).cast("bigint")
-    if freq.kind in ("month_end", "month_start"):
-        return month_index
-    if freq.kind in ("quarter_end", "quarter_start"):
-        return floor_div(month_index, 3)
-    return F.year(label).cast("bigint")
+    # The labels of a partition are whole multiples apart, so their quotients differ by the number of buckets.
+    return floor_div(period(label, freq), freq.mult)

@@ -240,6 +240,11 @@ def distinct_key_sql(c: str, cls: str) -> str | None:
     return None
 
 
+def exact_value(value: Column, dt: T.DataType) -> Column:
+    """The value by which exact counts tell values apart: -0.0 is 0.0."""
+    return F.when(value == 0, F.lit(0).cast(dt)).otherwise(value) if type_class(dt) == "fractional" else value
+
+
 def _item_sql(c: str, cls: str) -> str | None:
     """SQL text of the value the frequent-items sketch sees; fractions are described by the quantile sketch."""
     if cls in ("integral", "boolean", "temporal"):

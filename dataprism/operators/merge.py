@@ -27,9 +27,11 @@ DEFAULT_KEYS = ("dataset_timestamp", "segment_partition", "segment")
 
 
 def merge_profiles(profiles: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, *, profile_col: str = "profile",
-                   rows_col: str | None = "segment_rows", topk_capacity: int = DEFAULT_TOPK_CAPACITY) -> DataFrame:
+                   rows_col: str | None = "segment_rows", topk_capacity: int = DEFAULT_TOPK_CAPACITY,
+                   sketches: bool = True) -> DataFrame:
     """One merged profile per distinct ``keys`` tuple; ``rows_col`` (if present) is summed. ``topk_capacity`` is the
-    capacity of the merged frequent-items sketches, whatever the parts had."""
+    capacity of the merged frequent-items sketches, whatever the parts had; ``sketches=False`` for profiles made without
+    sketches. Exact distinct counts do not merge; see ``operators.distinct``."""
     names = list(keys)
     alias = [f"__k{i}" for i in range(len(names))]
     has_rows = rows_col is not None and rows_col in profiles.columns
@@ -37,7 +39,7 @@ def merge_profiles(profiles: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, *, p
     src = profiles.select(*[col(k).alias(a) for k, a in zip(names, alias)], body.alias("__p"),
                           (col(rows_col) if has_rows else F.lit(0)).alias("__rows"))
     merged = src.select(*alias, F.explode(F.col("__p").getField("columns")).alias("__name", "__stats")) \
-        .groupBy(*alias, "__name").agg(merge_stats("__stats", topk_capacity=topk_capacity).alias("__stats")) \
+        .groupBy(*alias, "__name").agg(merge_stats("__stats", sketches, topk_capacity).alias("__stats")) \
         .groupBy(*alias).agg(F.map_from_entries(F.collect_list(F.struct("__name", "__stats"))).alias("__cols"))
     meta = src.select(*alias, F.explode(F.col("__p").getField("metadata")).alias("__m", "__v")) \
         .groupBy(*alias, "__m").agg(F.min("__v").alias("__v")) \

@@ -11,8 +11,11 @@ Control keys inside it:
 Every other key is profiled with the type it has in the data. A variant's keys and types are discovered with one
 ``schema_of_variant_agg`` pass over the payload column (pass ``schema=`` to skip it); a key with values of several
 types stays a variant, whose values count under their own types. With ``schema=``, a value that does not cast counts
-under ``n_other``, not as a null. A map's keys are never listed: its entries are profiled in long form. Control keys
-match in any case; of several spellings in one map, the first in code point order counts (upper case first).
+under ``n_other``, not as a null. A map's keys are never listed: its entries are profiled in long form, one group per
+(profile, key), and so are a variant's with ``long=True``, whose keys then need no pass of their own and no schema. The
+number of keys is unbounded in this form up to the profile row, which holds all of its keys; ``payload_stats`` gives one
+row per (profile, key) instead and holds none together. Control keys and segment names match in any case, in each row
+of a map by itself; of several spellings in one map, the first in code point order counts (upper case first).
 
 Control values are per partition: all rows of a partition must agree (Spark has no "first row"). One small aggregate
 checks that and lists the frequencies and segment names in use; blank values count as absent. The profile is then one
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 
 from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats
+from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, exact_value, merge_stats, type_class
 from dataprism.operators.config import DEFAULT_FREQ, col, is_control_column
 from dataprism.operators.joins import join_on_keys
 from dataprism.operators.profile import Bucketing, Segmenting, _attach_bucket_facts, envelope_columns, profile_rows
@@ -140,14 +143,56 @@ def _configs(rows: DataFrame, keys: list[str], present: list[str]) -> tuple[list
 
 
 def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence[str] = (),
-                    schema: T.StructType | None = None, columns: Sequence[str] | None = None,
+                    schema: T.StructType | None = None, columns: Sequence[str] | None = None, long: bool = False,
                     **profile_kwargs) -> DataFrame:
     """Profile the objects in column ``data`` per partition (``partition_by`` columns of ``df``), bucket and segment.
 
     Output as ``profile`` (partition keys first). Control keys are never profiled; the event-time key becomes the
     bucket time. A NULL or blank segment list means unsegmented, a NULL or blank frequency the default ``D``.
-    ``profile_kwargs`` pass through (``serialize``, ``exact``, ``salt`` ...).
+    ``long`` profiles a variant's keys in long form, without a schema; maps always are. ``profile_kwargs`` pass through
+    (``serialize``, ``exact``, ``salt``, ``min_partitions`` ...).
     """
+    df = _as_map(df, data) if long else df
+    ts, bucketing, segment, keys, fields = _payload_plan(df, data, partition_by, schema)
+    wanted = None if columns is None else {c.lower() for c in columns}
+    if isinstance(df.schema[data].dataType, T.MapType):
+        return _profile_map(df, data, ts, bucketing, segment, keys, wanted, **profile_kwargs)
+    values = [f for f in fields if not is_control_column(f[0]) and (wanted is None or f[0].lower() in wanted)]
+    # Rows of a payload are dear to make, so they are read once unless the caller says otherwise.
+    return profile_rows(df, ts, bucketing, segment, keys, values, **{"one_pass": True, **profile_kwargs})
+
+
+def payload_stats(df: DataFrame, data: str = "data", *, partition_by: Sequence[str] = (),
+                  columns: Sequence[str] | None = None, sketches: bool = True,
+                  topk_capacity: int = DEFAULT_TOPK_CAPACITY, salt: int | None = None, exact: bool = False,
+                  min_partitions: int | None = None) -> DataFrame:
+    """The statistics of map or variant payloads as one row per (profile, key): partition keys, ``dataset_timestamp``,
+    ``segment_partition``, ``segment``, ``segment_rows``, ``column`` and ``stats`` (see ``STATS_TYPE``). Nothing holds
+    the keys of a profile together, so their number has no bound."""
+    df = _as_map(df, data)
+    ts, bucketing, segment, keys, _ = _payload_plan(df, data, partition_by, None)
+    wanted = None if columns is None else {c.lower() for c in columns}
+    long, _, _, _, alias = _long_stats(df, data, ts, bucketing, segment, keys, wanted, sketches, topk_capacity, salt,
+                                       exact, min_partitions)
+    return long.select(*[F.col(a).alias(n) for (n, _), a in zip(keys, alias)],
+                       B.epoch_ms(F.col("__bucket")).alias("dataset_timestamp"),
+                       segment.partition.alias("segment_partition"), segment.text.alias("segment"),
+                       F.col("__n").alias("segment_rows"), F.col("__name").alias("column"), F.col("__s").alias("stats"))
+
+
+def _as_map(df: DataFrame, data: str) -> DataFrame:
+    """Variant objects as maps of variants, so that their keys are rows of an explode; anything else in a variant has
+    no keys."""
+    kind = df.schema[data].dataType
+    if isinstance(kind, T.MapType):
+        return df
+    if not isinstance(kind, T.VariantType):
+        raise TypeError(f"payload column {data!r} must be a variant or map for the long form, not {kind.simpleString()}")
+    return df.withColumn(data, F.try_variant_get(col(data), "$", "map<string,variant>"))
+
+
+def _payload_plan(df: DataFrame, data: str, partition_by: Sequence[str], schema: T.StructType | None) -> tuple:
+    """Event time, bucketing, segmentation, partition keys and fields of a payload column."""
     keys = [(k, col(k)) for k in partition_by]
     is_map = isinstance(df.schema[data].dataType, T.MapType)
     if is_map:
@@ -171,14 +216,11 @@ def profile_payload(df: DataFrame, data: str = "data", *, partition_by: Sequence
     freqs, segment_names = _configs(control, names, present)
     which = F.coalesce(freq, F.lit(DEFAULT_FREQ))
     parsed = {f: B.parse_freq(f) for f in freqs} | {DEFAULT_FREQ: B.parse_freq(DEFAULT_FREQ)}
-    bucketing = Bucketing(tuple(parsed.values()), which)
     segment = _row_segments(segs, segment_names, fields if not is_map else [
-        (n, col(data).getItem(n), inner, None) for n in _map_names(df, data, segment_names)])
-    wanted = None if columns is None else {c.lower() for c in columns}
-    if is_map:
-        return _profile_map(df, data, ts, bucketing, segment, keys, wanted, **profile_kwargs)
-    values = [f for f in fields if not is_control_column(f[0]) and (wanted is None or f[0].lower() in wanted)]
-    return profile_rows(df, ts, bucketing, segment, keys, values, **profile_kwargs)
+        # Every row's own spelling gives the value, the smallest spelling in the data the name.
+        (n, F.element_at(col(data), _map_key(col(data), n.upper())), inner, None)
+        for n in _map_names(df, data, segment_names)])
+    return ts, Bucketing(tuple(parsed.values()), which), segment, keys, fields
 
 
 def _map_names(df: DataFrame, data: str, lower_names: list[str]) -> list[str]:
@@ -213,15 +255,40 @@ def _row_segments(segs: Column, names: list[str], fields: list[tuple]) -> Segmen
 def _profile_map(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segment: Segmenting,
                  keys: list[tuple[str, Column]], wanted: set[str] | None, *, serialize: bool = False, sketches: bool = True,
                  topk_capacity: int = DEFAULT_TOPK_CAPACITY, metadata: dict[str, str] | None = None,
-                 passthrough: dict[str, str] | None = None) -> DataFrame:
-    """Profiles of map payloads in long form: one statistics group per (profile, map key), however many keys there
-    are. A row without a key counts as a null of that column, as a missing object key does."""
+                 passthrough: dict[str, str] | None = None, salt: int | None = None, exact: bool = False,
+                 min_partitions: int | None = None, columns_per_pass: int | None = None,
+                 one_pass: bool = False) -> DataFrame:
+    """Profiles of map payloads, put together from the long form. ``columns_per_pass`` has no effect (the long form has
+    one column whatever the number of keys), nor has ``one_pass`` (counting rows and exploding keys are two passes)."""
+    long, whole, pre, bucketing, alias = _long_stats(df, data, ts, bucketing, segment, keys, wanted, sketches,
+                                                     topk_capacity, salt, exact, min_partitions)
+    group = [*alias, "__fq", "__bucket", *segment.names]
+    maps = long.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("__name", "__s"))).alias("__map"))
+    l1 = join_on_keys(whole, maps, group, "left")
+    narrow_keys = [*alias, "__fq", "__bucket"]
+    narrow = pre.groupBy(*narrow_keys).agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
+    prof = _attach_bucket_facts(l1, narrow, alias, narrow_keys, bucketing)
+    none = F.create_map().cast(prof.schema["__map"].dataType)
+    return prof.select(*[F.col(a).alias(n) for (n, _), a in zip(keys, alias)],
+                       *envelope_columns(F.col("__bucket"), F.coalesce("__map", none), segment, passthrough, metadata,
+                                         serialize))
+
+
+def _long_stats(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segment: Segmenting,
+                keys: list[tuple[str, Column]], wanted: set[str] | None, sketches: bool, topk_capacity: int,
+                salt: int | None, exact: bool, min_partitions: int | None) -> tuple:
+    """(group, __name, __s, __n): one statistics group per (profile, map key), however many keys there are; the rows of
+    each group; the rows before. A row without a key counts as a null of that column, as a missing object key does."""
+    if salt is not None and (not isinstance(salt, int) or salt < 1):
+        raise ValueError("salt must be a positive integer")
     value_type = df.schema[data].dataType.valueType
     alias = [f"__k{i}" for i in range(len(keys))]
     pre = df.select(*[c.alias(a) for (_, c), a in zip(keys, alias)], *segment.columns, bucketing.which.alias("__fq"),
                     ts.alias("__ts"), segment.applies.alias("__segmented"), col(data).alias("__data"))
     bucketing = Bucketing(bucketing.freqs, F.col("__fq"))
     pre = pre.filter(F.col("__segmented") | F.col("__ts").isNotNull())
+    if min_partitions is not None:
+        pre = pre.repartition(min_partitions, F.monotonically_increasing_id())
     if bucketing.needs_origin:
         first = B.to_ntz(F.to_date(F.min("__ts"))).alias("__origin")
         pre = join_on_keys(pre, pre.groupBy(*alias).agg(first), alias) if alias \
@@ -230,20 +297,23 @@ def _profile_map(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, seg
                          .otherwise(bucketing.label(F.col("__ts"), F.col("__origin"))))
     group = [*alias, "__fq", "__bucket", *segment.names]
     whole = pre.groupBy(*group).agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
-    long = pre.select(*group, F.explode("__data").alias("__name", "__v")) \
+    entries = pre.select(*group, F.explode("__data").alias("__name", "__v")) \
         .filter(~F.upper("__name").isin(TS_KEY, SEGMENTS_KEY, FREQ_KEY)) \
-        .filter(F.lit(True) if wanted is None else F.lower("__name").isin(sorted(wanted))).groupBy(*group, "__name") \
-        .agg(column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches).alias("__s"))
+        .filter(F.lit(True) if wanted is None else F.lower("__name").isin(sorted(wanted)))
+    stats = column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches).alias("__s")
+    if salt and salt > 1:
+        long = entries.groupBy(*group, "__name", F.pmod(F.spark_partition_id(), F.lit(salt)).alias("__salt")).agg(stats) \
+            .groupBy(*group, "__name").agg(merge_stats("__s", sketches, topk_capacity).alias("__s"))
+    else:
+        long = entries.groupBy(*group, "__name").agg(stats)
+    if exact and type_class(value_type) not in ("other", "variant"):
+        pairs = entries.filter(F.col("__v").isNotNull()).select(*group, "__name", exact_value(F.col("__v"), value_type)
+                                                                .alias("__x")).distinct()
+        counts = pairs.groupBy(*group, "__name").agg(F.count(F.lit(1)).alias("__d"))
+        long = join_on_keys(long, counts, [*group, "__name"], "left").withColumn(
+            "__s", F.col("__s").withField("exact_distinct", F.coalesce("__d", F.lit(0)).cast("bigint"))).drop("__d")
     long = join_on_keys(long, whole, group)
     absent = F.col("__n") - F.col("__s").getField("count")
-    stats = F.col("__s").withField("null_count", F.col("__s").getField("null_count") + absent) \
+    full = F.col("__s").withField("null_count", F.col("__s").getField("null_count") + absent) \
         .withField("count", F.col("__n"))
-    maps = long.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("__name", stats.alias("s")))).alias("__map"))
-    l1 = join_on_keys(whole, maps, group, "left")
-    narrow_keys = [*alias, "__fq", "__bucket"]
-    narrow = pre.groupBy(*narrow_keys).agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
-    prof = _attach_bucket_facts(l1, narrow, alias, narrow_keys, bucketing)
-    none = F.create_map().cast(prof.schema["__map"].dataType)
-    return prof.select(*[F.col(a).alias(n) for (n, _), a in zip(keys, alias)],
-                       *envelope_columns(F.col("__bucket"), F.coalesce("__map", none), segment, passthrough, metadata,
-                                         serialize))
+    return long.withColumn("__s", full), whole, pre, bucketing, alias

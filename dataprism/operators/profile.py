@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, merge_stats, type_class
+from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, exact_value, merge_stats, type_class
 from dataprism.operators.config import DEFAULT_FREQ, col, is_control_column, parse_segments, resolve_names
 from dataprism.operators.joins import join_on_keys
 
@@ -66,7 +66,8 @@ class Bucketing:
             return one(self.freqs[0], self.freqs[0].width_ms)
         branches: dict[tuple, list[B.Freq]] = {}
         for f in self.freqs:
-            branches.setdefault((f.kind, f.anchor, f.origin_dependent), []).append(f)
+            several = f.mult if f.kind != "tick" else 1
+            branches.setdefault((f.kind, f.anchor, several, f.origin_dependent), []).append(f)
         out = None
         for same_kind in branches.values():
             width = F.lit(None)
@@ -86,7 +87,7 @@ class Bucketing:
         aligned = lambda w: B.bucket_label(ts, day) if w == day.width_ms else B.floor_ms(ts, w)
         if self.which is not None:
             aligned = lambda w: B.floor_ms(ts, w)
-        return self._choose(aligned, lambda w: B.origin_label(ts, origin, w), lambda f: B.bucket_label(ts, f))
+        return self._choose(aligned, lambda w: B.origin_label(ts, origin, w), lambda f: B.bucket_label(ts, f, origin))
 
     def ordinal(self, label: Column) -> Column:
         ticks = lambda w: B.floor_div(B.epoch_ms(label), w)
@@ -137,6 +138,7 @@ def profile(
     serialize: bool = False,
     min_partitions: int | None = None,
     columns_per_pass: int | None = None,
+    one_pass: bool = False,
 ) -> DataFrame:
     """Profile ``df`` per partition key, time bucket of ``ts`` at ``freq``, and segment.
 
@@ -153,6 +155,10 @@ def profile(
 
     ``min_partitions``: hash-spread the rows over that many partitions first, for an input of few, unsplittable
     files. It shuffles every profiled column, so it is never done unasked.
+
+    ``one_pass``: take ``rows_processed`` and ``group_count`` from the profiles' own partial aggregates instead of a
+    second, narrow pass over the input. The right choice where rows are dear to make (a join, JSON, a variant); over
+    columnar files the narrow pass costs less than merging the partials twice.
     """
     fq = B.parse_freq(freq)
     seg_names = resolve_names(df, parse_segments(segments), "segment column")
@@ -168,7 +174,7 @@ def profile(
     return profile_rows(df, _timestamp(df, ts), Bucketing((fq,)), segment, [_key(df, c) for c in partition_by or []],
                         values, passthrough=passthrough, salt=salt, exact=exact, sketches=sketches,
                         topk_capacity=topk_capacity, metadata=metadata, serialize=serialize,
-                        min_partitions=min_partitions, columns_per_pass=columns_per_pass)
+                        min_partitions=min_partitions, columns_per_pass=columns_per_pass, one_pass=one_pass)
 
 
 @dataclass(frozen=True)
@@ -183,15 +189,11 @@ class Segmenting:
     partition: Column
 
 
-def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segmenting,
-                 keys: list[tuple[str, Column]], values: list[tuple[str, Column, T.DataType, Column | None]], *,
-                 passthrough: dict[str, str] | None = None, salt: int | None = None, exact: bool = False,
-                 sketches: bool = True, topk_capacity: int = DEFAULT_TOPK_CAPACITY,
-                 metadata: dict[str, str] | None = None, serialize: bool = False, min_partitions: int | None = None,
-                 columns_per_pass: int | None = None) -> DataFrame:
-    """``profile`` over expressions. ``values``: (name, value, type, whether the value was there before a cast)."""
-    if salt is not None and (not isinstance(salt, int) or salt < 1):
-        raise ValueError("salt must be a positive integer")
+def grouped_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segmenting, keys: list[tuple[str, Column]],
+                 values: list[tuple[str, Column, T.DataType, Column | None]], min_partitions: int | None = None
+                 ) -> tuple[DataFrame, Bucketing, list[str], list[str]]:
+    """The rows with their profile's keys (``__k*``, ``__fq``, ``__bucket``, segment names) and values (``__v*``), the
+    bucketing over them, the names of the partition keys and of all keys."""
     # One projection with positional aliases: column names of any spelling stay safe inside SQL fragments.
     key_alias = [f"__k{i}" for i in range(len(keys))]
     which = [bucketing.which.alias("__fq")] if bucketing.which is not None else []
@@ -218,7 +220,20 @@ def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segme
     # Inside the grouping key the check always runs; segmented rows without event time fail the job.
     bucket = F.when(F.col("__ts").isNull(), F.raise_error(F.lit(NULL_TS_MESSAGE))).otherwise(label)
     pre = pre.withColumn("__bucket", bucket)
-    group = [*key_alias, *(["__fq"] if which else []), "__bucket", *segment.names]
+    return pre, bucketing, key_alias, [*key_alias, *(["__fq"] if which else []), "__bucket", *segment.names]
+
+
+def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segmenting,
+                 keys: list[tuple[str, Column]], values: list[tuple[str, Column, T.DataType, Column | None]], *,
+                 passthrough: dict[str, str] | None = None, salt: int | None = None, exact: bool = False,
+                 sketches: bool = True, topk_capacity: int = DEFAULT_TOPK_CAPACITY,
+                 metadata: dict[str, str] | None = None, serialize: bool = False, min_partitions: int | None = None,
+                 columns_per_pass: int | None = None, one_pass: bool = False) -> DataFrame:
+    """``profile`` over expressions. ``values``: (name, value, type, whether the value was there before a cast)."""
+    if salt is not None and (not isinstance(salt, int) or salt < 1):
+        raise ValueError("salt must be a positive integer")
+    pre, bucketing, key_alias, group = grouped_rows(df, ts, bucketing, segment, keys, values, min_partitions)
+    which = ["__fq"] if bucketing.which is not None else []
     salted = [*group, "__salt"] if salt and salt > 1 else group
     if salt and salt > 1:
         pre = pre.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
@@ -234,14 +249,16 @@ def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segme
     for chunk in chunks:
         part = pre.groupBy(*salted).agg(F.count(F.lit(1)).cast("bigint").alias("__n"), *[stats(i) for i in chunk])
         l1 = part if l1 is None else join_on_keys(l1, part.drop("__n"), salted)
-    # Rows per (partition, bucket) from the same projection. Catalyst prunes it to a narrow pass over the key and time
+    # Rows per (partition, bucket), by default from the same projection. Catalyst prunes it to a narrow pass over the key and time
     # columns with map-side partial counts, keyed without segments (tiny even for high-cardinality segments).
-    narrow_keys = [*key_alias, *(["__fq"] if which else []), "__bucket"]
+    narrow_keys = [*key_alias, *which, "__bucket"]
     narrow = pre.groupBy(*narrow_keys).agg(F.count(F.lit(1)).cast("bigint").alias("__rows"))
     if salt and salt > 1:
         l1 = l1.groupBy(*group).agg(
             F.sum("__n").cast("bigint").alias("__n"),
             *[merge_stats(f"__c{i}", sketches, topk_capacity).alias(f"__c{i}") for i in range(len(values))])
+    if one_pass:
+        narrow = bucket_rows(l1, narrow_keys, [f"__c{i}" for i in range(len(values))])
     if exact:
         l1 = _with_exact_distinct(l1, pre, group, values)
     prof = _attach_bucket_facts(l1, narrow, key_alias, narrow_keys, bucketing)
@@ -254,6 +271,17 @@ def profile_rows(df: DataFrame, ts: Column, bucketing: Bucketing, segment: Segme
                        *envelope_columns(F.col("__bucket"), cmap, segment, passthrough, metadata, serialize))
 
 
+def bucket_rows(prof: DataFrame, bucket_keys: list[str], stats: list[str]) -> DataFrame:
+    """``__rows`` of every (partition, bucket), summed over the profiles in it. Their statistics are read too (as a hash
+    that is never null), so that this aggregate has the same input as the profiles and shares their exchange: the rows
+    are read once. Without that, Catalyst would prune it to a count and read the rows again."""
+    rows = F.sum("__n").cast("bigint")
+    if not stats:
+        return prof.groupBy(*bucket_keys).agg(rows.alias("__rows"))
+    out = prof.groupBy(*bucket_keys).agg(rows.alias("__sum"), F.max(F.xxhash64(*stats)).alias("__all"))
+    return out.select(*bucket_keys, F.when(F.col("__all").isNotNull(), F.col("__sum")).alias("__rows"))
+
+
 def envelope_columns(bucket: Column, columns: Column, segment: Segmenting, passthrough: dict[str, str] | None,
                      metadata: dict[str, str] | None, serialize: bool) -> list[Column]:
     """The output columns after the partition keys."""
@@ -280,10 +308,7 @@ def _with_exact_distinct(prof: DataFrame, pre: DataFrame, group: list[str],
     for i, (_, _, kind, _) in enumerate(values):
         if type_class(kind) in ("other", "variant"):
             continue
-        v = F.col(f"__v{i}")
-        if type_class(kind) == "fractional":
-            v = F.when(v == 0, F.lit(0).cast(kind)).otherwise(v)  # -0.0 is 0.0
-        pairs = pre.select(*group, v.alias("__x")).filter(F.col("__x").isNotNull()).distinct()
+        pairs = pre.select(*group, exact_value(F.col(f"__v{i}"), kind).alias("__x")).filter(F.col("__x").isNotNull()).distinct()
         counts.append(pairs.groupBy(*group).agg(F.count(F.lit(1)).alias("__d")).withColumn("__i", F.lit(i)))
     if not counts:
         return prof

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -44,7 +45,11 @@ from pyspark.storagelevel import StorageLevel
 from dataprism.functions import envelope as E
 from dataprism.functions.buckets import from_epoch_ms
 from dataprism.operators.config import col, resolve_names
-from dataprism.session import drop_path, path_exists, scratch_path
+from dataprism.operators.store import STORE_SCHEMA, ProfileStore
+from dataprism.session import drop_path, path_exists, scratch_path, ship_package
+from dataprism.sources.manifest import Manifest
+
+log = logging.getLogger(__name__)
 
 RECEIPT_SCHEMA = T.StructType(
     [
@@ -57,18 +62,6 @@ RECEIPT_SCHEMA = T.StructType(
 )
 RECEIPT_COLUMNS = [f.name for f in RECEIPT_SCHEMA.fields]
 
-STORE_SCHEMA = T.StructType(
-    [
-        T.StructField("dataset_timestamp", T.LongType(), True),
-        T.StructField("segment_partition", T.StringType(), True),
-        T.StructField("segment", T.StringType(), True),
-        T.StructField("profile", E.PROFILE_TYPE, True),
-        T.StructField("day", T.StringType(), True),
-        T.StructField("dataset_id", T.StringType(), True),
-        T.StructField("month", T.StringType(), True),
-    ]
-)
-
 # Receipt texts.
 OK = "Ok"
 ERROR_SEGMENT = "Error"
@@ -153,7 +146,7 @@ def stage(profiles: DataFrame, dataset_id: str | Column | None = None, *, profil
     )
 
 
-def _write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A table in the shared folder, and its path."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -166,59 +159,87 @@ def _day(ts_ms: Column) -> Column:
 
 def publish(profiles: DataFrame, path: str | None = None, *, dataset_id: str | Column | None = None,
             writer_factory: Callable[[str], object] | None = None, profile_col: str = "profile_view",
-            receipts_path: str | None = None, replace_days: bool = False) -> DataFrame:
+            receipts_path: str | None = None, replace_days: bool = False, versioned: bool = False) -> DataFrame:
     """Deliver ``profiles`` and return the receipts DataFrame (one row per input row).
 
     Store mode (``path``): valid profiles are appended to a Parquet profile store partitioned by ``dataset_id`` and
     ``month``, sorted by ``day`` within files (see ``read_store``); ``replace_days=True`` replaces exactly the
-    (dataset, day) pairs that this call delivers, so re-running a publish does not duplicate profiles. Writer mode
+    (dataset, day) pairs that this call delivers, so re-running a publish does not duplicate profiles. ``versioned`` (once
+    given, the store stays so) makes each call one commit: readers see the store before or after it, also when days are
+    replaced and when a job fails half-way (see ``operators.store``). Writer mode
     (``writer_factory``): each valid profile is handed to ``writer_factory(dataset_id).write(...)`` inside the
     executors; writers are cached per task and dataset id.
     """
     if (path is None) == (writer_factory is None):
         raise ValueError("give exactly one of path (profile store) or writer_factory (per-row delivery)")
     if writer_factory is not None:
+        ship_package(profiles.sparkSession)
         staged = stage(profiles, dataset_id, profile_col=profile_col, text=True)
         # Delivery is per row and bound by the receiver, not the CPU: spread the profiles over all cores (hash of the
         # profile key, so a retried task gets the same rows) instead of the few partitions a profile job ends with.
         staged = staged.repartition(staged.sparkSession.sparkContext.defaultParallelism,
                                     "dataset_id", "dataset_timestamp", "segment")
-        staged, staged_path = _write_scratch(staged, "publish-staged")
-        receipts, _ = _write_scratch(_deliver_with_writer(staged, writer_factory), "publish-receipts")
+        staged, staged_path = write_scratch(staged, "publish-staged")
+        receipts, _ = write_scratch(_deliver_with_writer(staged, writer_factory), "publish-receipts")
         drop_path(staged.sparkSession, staged_path)
     else:
         staged = stage(profiles, dataset_id, profile_col=profile_col).persist(StorageLevel.MEMORY_AND_DISK)
         failure = None
         try:
-            _write_store(staged, path, replace_days)
+            _write_store(staged, path, replace_days, versioned or is_versioned(path))
         except Exception as e:  # noqa: BLE001 - a failed write job becomes failure receipts, as delivery errors do
-            failure = f"{ERROR_PREFIX}{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-        receipts, _ = _write_scratch(staged.select(
-            "dataset_id",
-            F.when(F.col("valid") & F.lit(failure is None), F.lit(OK)).alias("result"),
-            F.when(F.col("valid"), F.lit(failure).cast("string")).otherwise(F.col("decode_error")).alias("error"),
-            "dataset_timestamp",
-            "segment",
-        ), "publish-receipts")
+            failure = failure_text(e)
+        receipts = receipts_of(staged, failure)
         staged.unpersist()
     if receipts_path is not None:
         receipts.write.mode("append").parquet(receipts_path)
     return receipts
 
 
-def _write_store(staged: DataFrame, path: str, replace_days: bool) -> None:
+def failure_text(e: Exception) -> str:
+    """The receipts' text of a delivery that failed; the trace goes to the log."""
+    log.warning("delivery failed", exc_info=e)
+    return f"{ERROR_PREFIX}{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+
+
+def receipts_of(staged: DataFrame, failure: str | None) -> DataFrame:
+    """The receipts of a delivery of all valid rows that went well or failed as one."""
+    return write_scratch(staged.select(
+        "dataset_id",
+        F.when(F.col("valid") & F.lit(failure is None), F.lit(OK)).alias("result"),
+        F.when(F.col("valid"), F.lit(failure).cast("string")).otherwise(F.col("decode_error")).alias("error"),
+        "dataset_timestamp",
+        "segment",
+    ), "publish-receipts")[0]
+
+
+def is_versioned(path: str) -> bool:
+    """Whether a store's files are listed in versions; a path that only Spark's file systems open has none."""
+    try:
+        return Manifest(path).exists()
+    except (OSError, ValueError, ImportError):
+        return False
+
+
+def _write_store(staged: DataFrame, path: str, replace_days: bool, versioned: bool = False) -> None:
     """Append the valid rows to the store, or replace the (dataset, day) pairs they hold."""
     day = _day(F.col("dataset_timestamp"))
     rows = staged.filter("valid").select(
         "dataset_timestamp", "segment_partition", "segment", "profile", day.alias("day"), "dataset_id",
         F.substring(day, 1, 7).alias("month"))
     spark = staged.sparkSession
+    if versioned:
+        if path_exists(spark, path) and not is_versioned(path):
+            raise ValueError("the store has files that no version lists; publish to a new path")
+        store = ProfileStore(spark, path)
+        store.replace_days(rows) if replace_days else store.append(rows)
+        return
     kept_path = None
     if replace_days and path_exists(spark, path):
         # The other days of the months that are written again, set aside before those months are overwritten.
         months = rows.select(F.col("dataset_id").alias("__d"), F.col("month").alias("__m")).distinct()
         days = rows.select(F.col("dataset_id").alias("__d"), F.col("day").alias("__y")).distinct()
-        kept, kept_path = _write_scratch(
+        kept, kept_path = write_scratch(
             read_store(spark, path)
             .join(months, (F.col("dataset_id") == F.col("__d")) & (F.col("month") == F.col("__m")), "left_semi")
             .join(days, (F.col("dataset_id") == F.col("__d")) & (F.col("day") == F.col("__y")), "left_anti"),
@@ -271,6 +292,8 @@ def read_store(spark: SparkSession, path: str, *, dataset_id: str | None = None,
                end_day: str | None = None) -> DataFrame:
     """Profiles from a store written by ``publish``; dataset id and day bounds prune partitions (months) and row
     groups (days). Partition values keep their text type whatever they look like."""
+    if is_versioned(path):
+        return ProfileStore(spark, path).read(dataset_id=dataset_id, start_day=start_day, end_day=end_day)
     df = spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(path)
     if dataset_id is not None:
         df = df.filter(F.col("dataset_id") == F.lit(dataset_id))

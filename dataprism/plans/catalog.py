@@ -21,6 +21,7 @@ from dataprism.operators.profile import profile
 from dataprism.operators.publish import FileProfileWriter, publish, read_store
 from dataprism.operators.quantiles import exact_quantiles
 from dataprism.operators.summary import QUANTILES, profile_summary
+from dataprism.plans import state_queries
 from dataprism.plans.sql_api import register_profile_view, register_receipts_view
 from dataprism.session import scratch_path
 from dataprism.sources.datagen import amplify, employees_from, write_employees
@@ -767,3 +768,5 @@ QUERIES: dict[str, Query] = {
     "publish_bad_payload": publish_bad_payload,
     "writer_partials": writer_partials,
 }
+
+QUERIES.update(state_queries.QUERIES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataprism.plans import state_queries
 from dataprism.plans.oracle import profile_sql, stat_select
 from dataprism.sources import datagen as G
 
@@ -338,4 +339,4 @@ def oracle_queries() -> dict[str, str]:
         "(SELECT n FROM k) AS receipts FROM e GROUP BY t")
     for enc in ("base64", "raw"):
         q[f"profile_files_{enc}"] = profile_sql("events", "events", DAY, keys=[("dataset_id", "'m-' || event_type")])
-    return q
+    return {**q, **state_queries.ORACLES}

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,20 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (``addPyFile``), once a session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_dataprism_zipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="dataprism-"), "dataprism.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(target)
+    sc._dataprism_zipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 

@@ -7,12 +7,15 @@ from dataprism.functions import buckets as B
 
 
 @pytest.mark.parametrize("text", ["D", "h", "H", "15min", "15 min", "6h", "5D", "7h", "36h", "7min", "30s", "W",
-                                  "W-MON", "W-SAT", "M", "ME", "MS", "Q", "QE", "QS", "Y", "YE", "A", "YS", "AS"])
+                                  "W-MON", "W-SAT", "M", "ME", "MS", "Q", "QE", "QS", "Y", "YE", "A", "YS", "AS",
+                                  "B", "SM", "SME", "SMS", "2W", "3W-THU", "2MS", "3M", "Q-JAN", "2QS-FEB", "A-JUN",
+                                  "YS-APR", "10B", "2SM"])
 def test_parse_accepts(text):
     B.parse_freq(text)
 
 
-@pytest.mark.parametrize("text", [None, "", "B", "SM", "2W", "W-XYZ", "0D", "fortnight", 5])
+@pytest.mark.parametrize("text", [None, "", "BME", "SM-10", "0W", "W-XYZ", "0D", "fortnight", 5, "Q-XYZ",
+                                  "M-JAN", "D-MON", "B-FRI", "-2W"])
 def test_parse_rejects(text):
     with pytest.raises(ValueError):
         B.parse_freq(text)

@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from dataprism import profile
 
-FREQS = ["D", "h", "15min", "6h", "W", "W-MON", "W-WED", "ME", "MS", "QE", "QS", "YE", "YS", "5D", "7h", "36h"]
+FREQS = ["D", "h", "15min", "6h", "W", "W-MON", "W-WED", "ME", "MS", "QE", "QS", "YE", "YS", "5D", "7h", "36h",
+         "B", "3B", "10B", "SME", "2SME", "SMS", "3SMS", "2W", "3W-WED", "5W-SAT", "2ME", "5ME", "2MS", "7MS",
+         "QE-JAN", "QE-FEB", "2QE", "2QE-NOV", "QS-FEB", "QS-DEC", "3QS-MAR", "YE-JUN", "2YE", "2YE-JAN", "YS-APR",
+         "2YS-JUL"]
+STARTS = ["2022-11-03T05:17:00", "2023-01-31T00:00:00", "2023-06-30T23:59:59.999999", "2024-02-10T12:00:00",
+          "2023-04-15T00:00:00"]
 
 
-@pytest.fixture(scope="module")
-def sample(spark):
+@pytest.fixture(scope="module", params=STARTS)
+def sample(spark, request):
     rng = np.random.default_rng(7)
-    start = np.datetime64("2022-11-03T05:17:00", "us")
-    offsets = rng.integers(0, 3 * 365 * 86_400_000_000, size=400)
+    start = np.datetime64(request.param, "us")
+    offsets = np.append(rng.integers(0, 3 * 365 * 86_400_000_000, size=400), 0)
     ts = pd.to_datetime(np.sort(start + offsets.astype("timedelta64[us]")))
     df = spark.createDataFrame(pd.DataFrame({"t": ts.strftime("%Y-%m-%d %H:%M:%S.%f")})).select(
         F.col("t").cast("timestamp_ntz").alias("ts"))
