@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from dataprism.llm.byte_bpe import pieces_at_spaces
 from dataprism.llm.common import Scratch, arrow_map, documents, int_lists, ship_package
 
 PIECE = 1 << 18
+SLICE_BYTES = 1 << 20
 MARK = "▁"
 
 
@@ -101,44 +103,66 @@ class Aligner:
             [np.array([b"%d%s" % (i, end) for i in range(len(t))], object) for end in (b",", mark)]
             for t, mark in ((self.a_bytes, b"|"), (self.b_bytes, b";")))
 
-    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """A's and B's ids of each text; long texts go through in pieces."""
-        parts = [list(pieces_at_spaces(t, PIECE)) if self.cut and len(t) > PIECE else [t] for t in texts]
-        flat = [(x if k else " " + x, x[1:] if k else x) for p in parts for k, x in enumerate(p)]
-        a = [x.ids for x in self.a.encode_batch_fast([x for x, _ in flat], add_special_tokens=False)]
-        b = self.b.encode([x for _, x in flat], num_threads=1)
-        out: tuple[list, list] = ([], [])
-        at = 0
-        for p in parts:
-            for ids, o in ((a, out[0]), (b, out[1])):
-                o.append(ids[at] if len(p) == 1 else [i for some in ids[at:at + len(p)] for i in some])
-            at += len(p)
-        return out
+    def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A's and B's ids of each text. The tokenizers get about ``PIECE`` characters at a time, so what they return
+        (some hundred bytes a token) stays small; long texts go through in pieces."""
+        parts: list[tuple[int, str, str]] = []
+        size = 0
+        held: tuple[list, list] = ([], [])
+        for i, t in enumerate(texts):
+            pieces = list(pieces_at_spaces(t, PIECE)) if self.cut and len(t) > PIECE else [t]
+            for k, x in enumerate(pieces):
+                parts.append((k == len(pieces) - 1, x if k else " " + x, x[1:] if k else x))
+                size += len(x)
+                if size >= PIECE or (i == len(texts) - 1 and k == len(pieces) - 1):
+                    a = self.a.encode_batch_fast([x for _, x, _ in parts], add_special_tokens=False)
+                    b = self.b.encode([x for _, _, x in parts], num_threads=1)
+                    for (last, *_), u, v in zip(parts, a, b):
+                        held[0].append(np.array(u.ids, np.int32))
+                        held[1].append(np.array(v, np.int32))
+                        if last:
+                            yield np.concatenate(held[0]), np.concatenate(held[1])
+                            held = ([], [])
+                    parts, size = [], 0
 
     def align(self, texts: list[str | None]) -> tuple[Alignment, np.ndarray, np.ndarray]:
         """The alignment of all texts, and how many A and B tokens each has."""
         some = [i for i, t in enumerate(texts) if t]
         n_a, n_b = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        a, b = [], []
+        a, b = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for i, x, y in zip(some, *self._ids([texts[i] for i in some])):
+        for i, (x, y) in zip(some, self._ids([texts[i] for i in some])):
             raw = b" " + texts[i].encode()
-            if b"".join(map(a_bytes, x)) == raw and b"".join(map(b_bytes, y)) == raw:
-                a.append(np.array(x, np.int32))
-                b.append(np.array(y, np.int32))
+            if b"".join(map(a_bytes, x.tolist())) == raw and b"".join(map(b_bytes, y.tolist())) == raw:
+                a.append(x)
+                b.append(y)
                 n_a[i], n_b[i] = len(x), len(y)
-        flat_a, flat_b = (np.concatenate([*x, np.empty(0, np.int32)]) for x in (a, b))
+        flat_a, flat_b = np.concatenate(a), np.concatenate(b)
         return Alignment(flat_a, flat_b, np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])), n_a, n_b
 
     def texts(self, x: Alignment, n_a: np.ndarray, n_b: np.ndarray) -> Iterator[bytes]:
         """The groups of each text: A's ids, a bar, B's ids; groups divided by semicolons."""
-        out = np.empty(len(x.a) + len(x.b), object)
-        out[np.arange(len(x.a)) + np.searchsorted(x.b_group, x.a_group, "left")] = np.where(
-            x.last_a, self.a_text[1][x.a], self.a_text[0][x.a])
-        out[np.arange(len(x.b)) + np.searchsorted(x.a_group, x.b_group, "right")] = np.where(
-            x.last_b, self.b_text[1][x.b], self.b_text[0][x.b])
-        ends = np.cumsum(n_a + n_b)
-        for lo, hi in zip((ends - n_a - n_b).tolist(), ends.tolist()):
+        a_end, b_end = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
+        at = 0
+        while at < len(n_a):  # texts of about PIECE tokens at a time
+            end = at + 1
+            a0, b0 = (a_end[at - 1], b_end[at - 1]) if at else (0, 0)
+            while end < len(n_a) and a_end[end] - a0 <= PIECE:
+                end += 1
+            yield from self._texts(x, slice(a0, a_end[end - 1]), slice(b0, b_end[end - 1]), n_a[at:end] + n_b[at:end])
+            at = end
+
+    def _texts(self, x: Alignment, a: slice, b: slice, n: np.ndarray) -> Iterator[bytes]:
+        a_group, b_group = x.a_group[a], x.b_group[b]
+        out = np.empty(len(a_group) + len(b_group), object)
+        ids, last = x.a[a], x.last_a[a]
+        out[np.arange(len(ids)) + np.searchsorted(b_group, a_group, "left")] = np.where(
+            last, self.a_text[1][ids], self.a_text[0][ids])
+        ids, last = x.b[b], x.last_b[b]
+        out[np.arange(len(ids)) + np.searchsorted(a_group, b_group, "right")] = np.where(
+            last, self.b_text[1][ids], self.b_text[0][ids])
+        ends = np.cumsum(n)
+        for lo, hi in zip((ends - n).tolist(), ends.tolist()):
             yield b"".join(out[lo:hi].tolist())[:-1]
 
 
@@ -194,11 +218,23 @@ def _batches(docs: DataFrame, files: tuple[str, bytes]) -> DataFrame:
             if not batch.num_rows:
                 continue
             aligner = _aligner(shared, name)
-            x, n_a, n_b = aligner.align(batch.column(1).to_pylist())
-            hashes = [hashlib.sha256(g).hexdigest() if g else "" for g in aligner.texts(x, n_a, n_b)]
-            ends = np.concatenate([[0], np.cumsum(x.last_a)])
-            n_links = ends[np.cumsum(n_a)] - ends[np.cumsum(n_a) - n_a]
-            pairs, links, counts = np.unique(x.links, return_inverse=True, return_counts=True)
+            sizes = batch.column(1).cast(pa.binary())
+            sizes = np.cumsum(np.nan_to_num(pc.binary_length(sizes).to_numpy(zero_copy_only=False)))
+            n_a, n_b, n_links, hashes, links = [], [], [], [], []
+            at = 0
+            while at < batch.num_rows:  # texts of about a megabyte at a time
+                before = sizes[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+                x, a, b = aligner.align(batch.column(1).slice(at, end - at).to_pylist())
+                hashes.extend(hashlib.sha256(g).hexdigest() if g else "" for g in aligner.texts(x, a, b))
+                ends = np.concatenate([[0], np.cumsum(x.last_a)])
+                n_links.append(ends[np.cumsum(a)] - ends[np.cumsum(a) - a])
+                n_a.append(a)
+                n_b.append(b)
+                links.append(x.links)
+                at = end
+            n_a, n_b, n_links = (np.concatenate(v) for v in (n_a, n_b, n_links))
+            pairs, links, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
             row = [[first + seq], [batch.column(0).to_pylist()], [n_a], [n_b], [n_links], [hashes],
                    [links.astype(np.int32).tobytes()], [pairs], [counts]]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, kinds)], schema=kinds)

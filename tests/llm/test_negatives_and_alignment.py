@@ -232,9 +232,10 @@ def brute_alignment(aligner, texts):
             x, y = [aligner.a_bytes[i] for i in a], [aligner.b_bytes[i] for i in b]
             if b"".join(x) == raw and b"".join(y) == raw:
                 a_ends, b_ends = np.cumsum([len(v) for v in x]).tolist(), np.cumsum([len(v) for v in y]).tolist()
+                a_at, b_at = ({e: k + 1 for k, e in enumerate(ends)} for ends in (a_ends, b_ends))
                 i = j = 0
                 for cut in sorted(set(a_ends) & set(b_ends)):
-                    p, q = a_ends.index(cut) + 1, b_ends.index(cut) + 1
+                    p, q = a_at[cut], b_at[cut]
                     groups.append((a[i:p], b[j:q]))
                     i, j = p, q
         out.append(groups)
