@@ -1,14 +1,17 @@
 """Quality rules in DataFrame expressions: text statistics and cross-document line frequency per host.
 
-Lines are normalised (white space collapsed and stripped, lower case) and hashed; for each host the distinct texts
-that hold a line are counted. A line in at least ``min_docs`` texts and more than ``max_share`` of its host's texts
-is boilerplate. A document whose words outside boilerplate lines are less than ``min_rest`` of all its words is
-depleted and rejected, as is one that fails the base rules (fewer than 10 words, or over 20 % of words in repeated
-five-word windows). The pipeline stage removes the boilerplate lines from the texts that are kept. Equal texts count once: copies say nothing about a line, and near-duplicate removal deals with
-them.
-
-Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own;
-repeated rows get equal results; an empty table gives no rows; other columns are ignored.
+Lines are normalised (white space collapsed and stripped, lower case) and hashed; for each host the distinct documents
+that hold a line are counted. A line in ``min_docs`` or more of its host's documents is boilerplate: the limit is a
+number, so a large host is judged like a small one. A document whose words outside boilerplate lines are less than
+``min_rest`` of all its words is depleted and rejected, as is one that fails the base rules (fewer than 10 words, or
+over 20 % of words in repeated five-word windows). ``clean_documents`` removes the boilerplate lines from the texts that
+are kept.
+
+Defined results: a null or empty text has no words and fails the base rules; a document is a ``doc_id`` (null ids are
+one), so rows that repeat one count once for a line and copies under other ids count each; a null host is a host of its
+own; very long texts are split and compared whole, in memory linear in the text; a line at the limit is boilerplate on
+all rows that have it; repeated rows get equal results; an empty table gives no rows; other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
@@ -16,11 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import NOT_SPACE, SPACE, documents, let, same, text_or_empty, words
+from dataprism.llm.common import NOT_SPACE, SPACE, documents, let, plain_extras, same, text_or_empty, words
 
 WINDOW = 5
 MIN_DOCS = 20
-MAX_SHARE = 0.10
 MIN_REST = 0.20
 
 
@@ -64,17 +66,36 @@ def base_rules(docs: DataFrame, keep: list[str]) -> DataFrame:
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def line_counts(docs: DataFrame) -> DataFrame:
+def _normalised(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), SPACE + "+", " "))
+
+
+def _line_key(norm: Column) -> list[Column]:
+    return [F.xxhash64(norm).alias("__l1"), F.xxhash64(F.lit(7), norm).alias("__l2")]
+
+
+def common_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(host, line) hashes of the lines in ``min_docs`` or more documents of a host. (line, document) pairs are made
+    unique before they are counted, and counted in each task before the shuffle, so a line that a third of all documents
+    share arrives as one row a task."""
+    lines = F.array_distinct(F.transform(F.split(text_or_empty(), "\n"), _normalised))
+    pairs = docs.select(F.col("source").cast("string").alias("__host"), F.col("doc_id").cast("long").alias("__doc"),
+                        F.explode(lines).alias("__norm")).filter(F.col("__norm") != "")
+    return pairs.select("__host", "__doc", *_line_key(F.col("__norm"))).distinct() \
+        .groupBy("__host", "__l1", "__l2").agg(F.count(F.lit(1)).alias("__docs")) \
+        .filter(F.col("__docs") >= min_docs)
+
+
+def line_places(docs: DataFrame) -> DataFrame:
     """One row per (host, line, text): the line's hash, the text's hash, the words of the text in such lines and the
     places of these lines."""
     text = text_or_empty()
-    line = F.trim(F.regexp_replace(F.lower(F.col("__line")), SPACE + "+", " "))
     n = F.size(F.split(F.col("__norm"), " ")).cast("long")
     rows = docs.select(F.col("source").cast("string").alias("__host"), *_text_key(text),
                        F.posexplode(F.split(text, "\n")).alias("__at", "__line"))
-    rows = rows.select("__host", "__t1", "__t2", "__at", line.alias("__norm")).filter(F.col("__norm") != "")
-    rows = rows.select("__host", "__t1", "__t2", "__at", F.xxhash64("__norm").alias("__l1"),
-                       F.xxhash64(F.lit(7), F.col("__norm")).alias("__l2"), n.alias("__n"))
+    rows = rows.select("__host", "__t1", "__t2", "__at", _normalised(F.col("__line")).alias("__norm")) \
+        .filter(F.col("__norm") != "")
+    rows = rows.select("__host", "__t1", "__t2", "__at", *_line_key(F.col("__norm")), n.alias("__n"))
     # Copies of a text have the same lines at the same places: its first place's rows stand for all of them, and a
     # line repeated within the text counts as often as it has places.
     return rows.groupBy("__host", "__l1", "__l2", "__t1", "__t2").agg(
@@ -87,23 +108,13 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit(7), text).alias("__t2")]
 
 
-def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-                  min_rest: float = MIN_REST) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = MIN_DOCS, min_rest: float = MIN_REST) -> DataFrame:
     """doc_id, text statistics, base_failed, n_common_words (words in boilerplate lines), kept and common_at (places
-    of the boilerplate lines; null without any), for every row.
-
-    Shuffles hold hashes and counts, never texts. Lines are counted with partial sums before the shuffle, so a line
-    that a third of all documents share arrives as one row a task and text.
-    """
+    of the boilerplate lines; null without any), for every row. Shuffles hold hashes and counts, never texts."""
     text = text_or_empty()
-    lines = line_counts(docs)
-    totals = docs.select(F.col("source").cast("string").alias("__host"), *_text_key(text)).distinct() \
-        .groupBy(F.col("__host").alias("__h")).agg(F.count(F.lit(1)).alias("__texts"))
-    seen = lines.groupBy("__host", "__l1", "__l2").agg(F.count(F.lit(1)).alias("__docs")) \
-        .filter(F.col("__docs") >= min_docs)
-    common = seen.join(totals, same(F.col("__host"), F.col("__h"))) \
-        .filter(F.col("__docs") > max_share * F.col("__texts")) \
-        .select(F.col("__host").alias("__ch"), F.col("__l1").alias("__c1"), F.col("__l2").alias("__c2"))
+    lines = line_places(docs)
+    common = common_lines(docs, min_docs).select(F.col("__host").alias("__ch"), F.col("__l1").alias("__c1"),
+                                                 F.col("__l2").alias("__c2"))
     lost = lines.join(common, (F.col("__l1") == F.col("__c1")) & (F.col("__l2") == F.col("__c2"))
                       & same(F.col("__host"), F.col("__ch"))) \
         .groupBy(F.col("__host").alias("__lh"), F.col("__t1").alias("__x1"), F.col("__t2").alias("__x2")) \
@@ -133,12 +144,11 @@ def without_lines(text: Column, at: Column) -> Column:
     return let(F.split(text, "\n"), rest)
 
 
-def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-                    min_rest: float = MIN_REST) -> DataFrame:
+def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, min_rest: float = MIN_REST) -> DataFrame:
     """The documents that the rules keep, without their boilerplate lines; ``n_chars`` follows a text that changes.
 
     Verdicts meet the texts once per (host, text), so a row's array of places never exceeds the lines of its text."""
-    verdict = quality_rules(docs, min_docs, max_share, min_rest).filter(
+    verdict = quality_rules(docs, min_docs, min_rest).filter(
         ~F.col("kept") | F.col("common_at").isNotNull()).select(
         F.col("host").alias("__h"), F.col("text_hash").alias("__x1"), F.col("text_hash2").alias("__x2"),
         F.col("kept").alias("__kept"), F.array_sort("common_at").alias("__at")).distinct()
@@ -155,6 +165,7 @@ def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float
     return out.withColumn("text", text).drop("__h", "__x1", "__x2", "__kept", "__at", "__text")
 
 
+@plain_extras
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, without their boilerplate lines, with their own columns."""
     return clean_documents(docs)
@@ -178,9 +189,9 @@ base AS (SELECT doc_id, host, w.text, len(ws) AS n_words,
 lines AS (SELECT host, text, trim(regexp_replace(lower(l), '{SPACE}+', ' ', 'g'), ' ') AS l
   FROM (SELECT DISTINCT host, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d)),
 per AS (SELECT host, text, l, count(*) * len(string_split(l, ' ')) AS n FROM lines WHERE l <> '' GROUP BY 1, 2, 3),
-totals AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY 1),
-common AS (SELECT per.host, l FROM per JOIN totals ON per.host IS NOT DISTINCT FROM totals.host
-  GROUP BY 1, 2, texts HAVING count(*) >= {MIN_DOCS} AND count(*) > {MAX_SHARE} * texts),
+held AS (SELECT DISTINCT host, doc_id, trim(regexp_replace(lower(l), '{SPACE}+', ' ', 'g'), ' ') AS l
+  FROM (SELECT host, doc_id, unnest(string_split(text, chr(10))) AS l FROM d)),
+common AS (SELECT host, l FROM held WHERE l <> '' GROUP BY 1, 2 HAVING count(*) >= {MIN_DOCS}),
 lost AS (SELECT per.host, text, sum(n) AS lost FROM per JOIN common ON per.l = common.l
   AND per.host IS NOT DISTINCT FROM common.host GROUP BY 1, 2)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,

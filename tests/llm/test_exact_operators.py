@@ -238,26 +238,41 @@ def quality_stats(t):
 
 
 def test_quality_rules(docs, none):
-    per, hosts = defaultdict(set), defaultdict(set)
-    lines = {}
-    for _, t, _, s, _ in rows():
-        hosts[s].add(t or "")
+    per, lines = defaultdict(set), {}
+    for i, t, _, s, _ in rows():
         lines[t] = Counter(k for x in (t or "").split("\n") if (k := " ".join(lower(x).split())))
         for k in lines[t]:
-            per[s, k].add(t or "")
+            per[s, k].add(i)
     expected = Counter()
     for i, t, _, s, _ in rows():
         stats = quality_stats(t)
-        lost = sum(n * len(k.split(" ")) for k, n in lines[t].items()
-                   if len(per[s, k]) >= 3 and len(per[s, k]) > 0.2 * len(hosts[s]))
+        lost = sum(n * len(k.split(" ")) for k, n in lines[t].items() if len(per[s, k]) >= 3)
         expected[(i, *stats, not stats[-1] and stats[0] - lost >= 0.5 * stats[0], lost)] += 1
     assert any(r[-1] for r in expected)
-    out = quality_rules.quality_rules(docs, min_docs=3, max_share=0.2, min_rest=0.5)
+    out = quality_rules.quality_rules(docs, min_docs=3, min_rest=0.5)
     assert got(out, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                "kept", "n_common_words") == expected
     assert quality_rules.quality_rules(none).count() == 0
 
 
+def test_depleted_documents_are_rejected(spark):
+    """Documents that the base rules keep and whose words are mostly in lines that many documents of their host have;
+    copies under other ids count, rows of one id don't, and the size of the host doesn't matter."""
+    menu = [" ".join(f"menu{j}.{k}" for k in range(6)) for j in range(5)]
+
+    def text(i):
+        return "\n".join([*menu, " ".join(f"own{i}.{k}" for k in range(5 if i % 2 else 40))])
+
+    data = [(i, text(i), "site") for i in range(19)] + [(100 + i, text(3), "site") for i in range(2)]
+    data += [(1000, text(1000 + i), "one id") for i in range(40)]
+    data += [(2000 + i, " ".join(f"word{i}.{k}" for k in range(30)), "site") for i in range(300)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    out = {(r.doc_id, r.host): r for r in quality_rules.quality_rules(df).collect()}
+    rejected = {i for (i, _), r in out.items() if not r.kept}
+    assert rejected == {i for i in range(19) if i % 2} | {100, 101} and not any(r.base_failed for r in out.values())
+    assert out[4, "site"].n_common_words == 30 and out[1000, "one id"].n_common_words == 0
+
+
 def test_quality_rules_are_native(docs):
     plan = quality_rules.quality_rules(docs)._jdf.queryExecution().toString()
     plan += sharding.shard_documents(docs, sharding.TREE, sharding.grow(sharding.TREE, 40)) \
