@@ -6,6 +6,7 @@ exactly those six bytes).
 
 from __future__ import annotations
 
+import functools
 import gc
 import os
 import tempfile
@@ -48,6 +49,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def plain_extras(stage: Callable) -> Callable:
+    """A pipeline stage whose extra columns, whatever their names, don't clash with those that operators make."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        known = ("doc_id", "text", "lang", "source", "n_chars")
+        plain = docs.toDF(*[c if c in known else f"own{i}" for i, c in enumerate(docs.columns)])
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+    return run
+
+
 def release(spark: SparkSession) -> None:
     """Let the cluster delete the shuffle files of finished steps now: Spark does so when the driver has collected
     the plans that made them."""

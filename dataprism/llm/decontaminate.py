@@ -7,13 +7,17 @@ hashes (running Karp-Rabin), extended word by word, marked from long to short, a
 is the minimum. The share of an item's words under tiles is its coverage, whatever the order of the tiles in the
 text; an item covered by ``MIN_COVERAGE`` or more contaminates the text.
 
-The benchmark goes to the workers in blocks of about ``BLOCK_BYTES``, so that no broadcast follows its size; each
-block is one more step of the same pass over the documents, which are neither shuffled nor copied.
+The benchmark is a table like the documents and never passes through the driver. Its distinct seeds are joined with the
+documents' seeds, equal texts counting once; a bitmap of the seeds, of ``FILTER_BITS`` bits at most (16 MB), is broadcast
+so that windows which no item has are not shuffled at all. Each (text, item) pair that shares seeds then meets the
+item's words, together with the words under its shared seeds (only these can lie in a tile), and is tiled. So a task
+holds pairs, neither the benchmark nor texts, and the texts themselves are not shuffled.
 
 Defined results: a null or empty text (or one without words) matches nothing; items without words match nothing;
-items shorter than ``MIN_MATCH`` words must be matched whole; equal items are all reported; repeated rows get equal
-results; an empty documents table gives no rows, an empty benchmark no matches; other columns are ignored, and kept
-by the pipeline stage.
+items shorter than ``MIN_MATCH`` words must be matched whole; equal items are all reported, an id once; an item without
+an id counts for the coverage alone; a very long text is hashed in blocks and its pairs hold the words under shared
+seeds; repeated rows get equal results; an empty documents table gives no rows, an empty benchmark no matches; other
+columns, whatever their names, are ignored, and kept by the pipeline stage.
 """
 
 from __future__ import annotations
@@ -22,14 +26,16 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import PLAIN, append_columns, batch_hashes, documents, raw_texts, window_hashes
+from dataprism.llm.common import (PLAIN, Scratch, arrow_map, batch_hashes, documents, plain_extras, raw_texts,
+                                  window_hashes)
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
-BLOCK_BYTES = 8 << 20
+FILTER_BITS = 27
+
 
 def _tokens(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return batch_hashes([x.translate(PLAIN) for x in raws])
@@ -102,101 +108,143 @@ def tile(text: list[int], item: list[int], min_match: int = MIN_MATCH) -> list[t
         size = max(min_match, size // 2)
 
 
-class Block:
-    """The seeds and words of some benchmark items."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, i1, i2, k, words, seeds) of the items that have words; ``i1, i2`` is a hash of the words."""
+    def run(batch: pa.RecordBatch) -> list:
+        h, off = _tokens(raw_texts(batch.column(1)))
+        ids, k, words, seeds = [], [], [], []
+        for item_id, a, b in zip(batch.column(0).to_pylist(), off.tolist(), off[1:].tolist()):
+            if b > a:
+                ids.append(item_id)
+                k.append(min(MIN_MATCH, b - a))
+                words.append((h[a:b] >> np.uint64(1)).tobytes())
+                seeds.append(np.unique(window_hashes(h[a:b], k[-1])).view(np.int64))
+        ends = np.cumsum([0] + [len(x) for x in seeds]).astype(np.int32)
+        return [ids, k, words, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(
+            [*seeds, np.empty(0, np.int64)])))]
+
+    found = arrow_map(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")), run,
+                      "item_id long, k int, words binary, seeds array<long>", rows=500)
+    return found.select("item_id", F.xxhash64("words").alias("i1"), F.xxhash64(F.lit(7), "words").alias("i2"), "k",
+                        "words", "seeds")
+
+
+def _seed_filter(seeds: DataFrame) -> np.ndarray:
+    """One bit for each value of the seeds' low bits: sixteen bits a seed, ``2**FILTER_BITS`` at most."""
+    n = seeds.agg(F.approx_count_distinct("seed")).first()[0]
+    size = 1 << max(15, min(FILTER_BITS, int(16 * n).bit_length()))
+    at = F.pmod(F.col("seed"), F.lit(size).cast("long")) + 1
+    parts = seeds.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = np.zeros(size // 8, np.uint8)
+    for r in parts:
+        out[(r.b - 1) * 4096:r.b * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
 
-    def __init__(self, rows: list[tuple[int, str | None]]) -> None:
-        h, off = _tokens([(t or "").encode() for _, t in rows])
-        self.items: list[tuple[int, list[int], int]] = []
-        seeds: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
-        for (item_id, _), a, b in zip(rows, off, off[1:]):
-            if a == b:
-                continue
-            k = min(MIN_MATCH, b - a)
-            g = np.unique(window_hashes(h[a:b], k))
-            seeds[k].append((g, np.full(len(g), len(self.items))))
-            self.items.append((item_id, (h[a:b] >> np.uint64(1)).tolist(), int(k)))
-        self.seeds = {}
-        for k, parts in seeds.items():
-            g, owner = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            order = np.argsort(g, kind="stable")
-            marks = np.zeros(1 << 20, bool)
-            marks[(g & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            self.seeds[k] = (g[order], owner[order], marks)
-
-    def covered(self, h: np.ndarray, off: np.ndarray) -> list[list[tuple[int, float]]]:
-        """(item id, coverage) of every item that reaches the minimum, for each text."""
-        hits: list[dict[int, list[int]]] = [defaultdict(list) for _ in off[1:]]
-        for k, (seeds, owner, marks) in self.seeds.items():
-            g = window_hashes(h, k)
-            at = np.flatnonzero(marks[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            lo = np.searchsorted(seeds, g[at], "left")
-            at, lo = at[(ok := (lo < len(seeds)) & (seeds[np.minimum(lo, len(seeds) - 1)] == g[at]))], lo[ok]
-            hi = np.searchsorted(seeds, g[at], "right")
-            doc = np.searchsorted(off, at, "right") - 1
-            inside = at + k <= off[doc + 1]
-            for p, d, a, b in zip(at[inside].tolist(), doc[inside].tolist(), lo[inside].tolist(),
-                                  hi[inside].tolist()):
-                for i in owner[a:b].tolist():
-                    hits[d][i].append(p)
-        out = []
-        for found in hits:
-            got = []
-            for i, places in found.items():
-                item_id, item, k = self.items[i]
-                # Only words under a seed of this item can lie in a tile of it.
-                text, end = [], -1
-                for p in places:
-                    if p > end:
-                        text.append(-1)
-                    text.extend((h[max(p, end):p + k] >> np.uint64(1)).tolist())
-                    end = p + k
-                share = sum(n for n, _, _ in tile(text, item, k)) / len(item)
-                if share >= MIN_COVERAGE:
-                    got.append((item_id, share))
-            out.append(got)
-        return out
 
+def _shared_windows(docs: DataFrame, kinds: list[int], bits: np.ndarray) -> DataFrame:
+    """(t1, t2, k, place, seed, words): the windows of each text whose hashes pass the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple[int, str | None]]]:
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + size // BLOCK_BYTES
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for b in range(n):
-        yield [tuple(r) for r in rows.filter(part == b).collect()]
+    def run(batch: pa.RecordBatch) -> list:
+        marks = shared.value
+        h, off = _tokens(raw_texts(batch.column(2)))
+        doc, size, place, seed, words = [], [], [], [], []
+        for k in kinds:
+            g = window_hashes(h, k)
+            low = (g & np.uint64(8 * len(marks) - 1)).astype(np.int64)
+            at = np.flatnonzero(marks[low >> 3] >> (low & 7).astype(np.uint8) & 1)
+            d = np.searchsorted(off, at, "right") - 1
+            inside = at + k <= off[d + 1]
+            at, d = at[inside], d[inside]
+            doc.append(d)
+            size.append(np.full(len(at), k, np.int32))
+            place.append(at - off[d])
+            seed.append(g[at].view(np.int64))
+            words.extend((h[at[:, None] + np.arange(k)] >> np.uint64(1)).view(f"V{8 * k}").ravel().tolist()
+                         if len(at) else [])
+        rows = pa.array(np.concatenate(doc))
+        return [batch.column(0).take(rows), batch.column(1).take(rows), np.concatenate(size), np.concatenate(place),
+                np.concatenate(seed), pa.array(words, pa.binary())]
+
+    keys = _text_key(F.col("text").cast("string"))
+    return arrow_map(docs.select(*keys, F.col("text").cast("string")), run,
+                     "t1 long, t2 long, k int, place long, seed long, words binary", rows=500)
+
+
+def _text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
+
+
+def _coverage(hits: list[dict], k: int, item: list[int]) -> float:
+    """The share of the item's words under tiles of the text whose words under shared seeds are ``hits``."""
+    text, end = [], -1
+    for hit in sorted(hits, key=lambda x: x["place"]):
+        p = hit["place"]
+        words = np.frombuffer(hit["words"], np.int64).tolist()
+        if p > end:
+            text.append(-1)
+        text.extend(words[max(p, end) - p:])
+        end = p + k
+    return sum(n for n, _, _ in tile(text, item, k)) / len(item)
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(t1, t2, items, coverage): for each contaminated text, by its hash, the ids of the items found and the largest
+    coverage."""
+    scratch = Scratch(docs.sparkSession, "tiling")
+    items, _ = scratch.write(_items(benchmark))
+    whole = items.groupBy("i1", "i2", "k").agg(F.min("words").alias("item"))
+    seeds = items.select("i1", "i2", "k", F.explode("seeds").alias("seed")).distinct()
+    kinds = sorted(r.k for r in items.select("k").distinct().collect())  # MIN_MATCH numbers at most
+    empty = "t1 long, t2 long, items array<long>, coverage double"
+    if not kinds:
+        return docs.sparkSession.createDataFrame([], empty)
+    # Copies of a text have the same windows, which count once.
+    windows = _shared_windows(docs, kinds, _seed_filter(seeds)).groupBy("t1", "t2", "k", "place", "seed") \
+        .agg(F.min("words").alias("words"))
+    pairs = windows.join(seeds, ["seed", "k"]).groupBy("t1", "t2", "i1", "i2", "k").agg(
+        F.collect_list(F.struct("place", "words")).alias("hits"))
+
+    def tiled(batch: pa.RecordBatch) -> list:
+        share = [_coverage(hits, k, np.frombuffer(item, np.int64).tolist()) for k, hits, item in zip(
+            *(batch.column(i).to_pylist() for i in (4, 5, 6)))]
+        return [*batch.columns[:4], share]
+
+    found = arrow_map(pairs.join(whole, ["i1", "i2", "k"]).select("t1", "t2", "i1", "i2", "k", "hits", "item"), tiled,
+                      "t1 long, t2 long, i1 long, i2 long, coverage double", rows=200) \
+        .filter(F.col("coverage") >= MIN_COVERAGE)
+    ids = items.select("i1", "i2", "item_id").distinct()
+    out = found.join(ids, ["i1", "i2"]).groupBy("t1", "t2").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items"), F.max("coverage").alias("coverage"))
+    return scratch.write(out)[0]
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``__items`` (ids of the items found, sorted) and ``__coverage`` (the largest coverage found)."""
-    sc = docs.sparkSession.sparkContext
-    out = docs.withColumns({"__items": F.array().cast("array<long>"), "__coverage": F.lit(0.0)})
-    for rows in _blocks(benchmark):
-        shared = sc.broadcast(Block(rows))
-
-        def step(batch: pa.RecordBatch, shared=shared) -> list:
-            h, off = _tokens(raw_texts(batch.column(0)))
-            items, coverage = [], []
-            for got, old, most in zip(shared.value.covered(h, off), batch.column(1).to_pylist(),
-                                      batch.column(2).to_pylist()):
-                items.append(sorted([*old, *(i for i, _ in got if i is not None)]))
-                coverage.append(max([most, *(c for _, c in got)]))
-            return [items, coverage]
-
-        out = append_columns(out, ["text", "__items", "__coverage"], step, "__new array<long>, __most double",
-                             without=("__items", "__coverage"))
-        out = out.withColumnsRenamed({"__new": "__items", "__most": "__coverage"})
-    return out
+    found = find_items(docs, benchmark).select(
+        F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), F.col("items").alias("__items"),
+        F.col("coverage").alias("__coverage"))
+    t1, t2 = _text_key(F.col("text").cast("string"))
+    out = docs.join(found, (t1 == F.col("__t1")) & (t2 == F.col("__t2")), "left").drop("__t1", "__t2")
+    return out.withColumns({"__items": F.coalesce("__items", F.array().cast("array<long>")),
+                            "__coverage": F.coalesce("__coverage", F.lit(0.0))})
 
 
 def op4_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = mark_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", (F.col("__coverage") >= MIN_COVERAGE).alias("contaminated"),
-                        F.col("__coverage").alias("coverage"), F.array_join("__items", ",").alias("items"))
+    docs = documents(spark, sf_dir)
+    found = find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    keys = docs.select("doc_id", *_text_key(F.col("text").cast("string")))  # the texts don't meet the results
+    out = keys.join(found, ["t1", "t2"], "left")
+    coverage = F.coalesce("coverage", F.lit(0.0))
+    return out.select("doc_id", (coverage >= MIN_COVERAGE).alias("contaminated"), coverage.alias("coverage"),
+                      F.array_join(F.coalesce("items", F.array().cast("array<long>")), ",").alias("items"))
 
 
+@plain_extras
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without a benchmark item in them, with their own columns."""
-    found = mark_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.col("__coverage") < MIN_COVERAGE).drop("__items", "__coverage")
+    found = find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
+    t1, t2 = _text_key(F.col("text").cast("string"))
+    return docs.join(found, (t1 == F.col("__t1")) & (t2 == F.col("__t2")), "left_anti")

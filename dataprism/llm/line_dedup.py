@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import Scratch, append_columns, arrow_map, documents, raw_texts
+from dataprism.llm.common import Scratch, append_columns, arrow_map, documents, plain_extras, raw_texts
 
 STRIP = b" \t\n\r\x0b\f"
 MIN_DOCS = 10
@@ -241,6 +241,7 @@ def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("__kept", 256).alias("kept_sha256"))
 
 
+@plain_extras
 def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document without its frequent lines; ``n_chars`` follows the text, a null text stays."""
     out = _dropped(docs.withColumn("__null", F.col("text").isNull()))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, mix, raw_texts, release, same,
+from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, mix, plain_extras, raw_texts, release, same,
                                   window_hashes)
 from dataprism.llm.components import components
 
@@ -308,6 +308,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=2)
 
 
+@plain_extras
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the smallest id of each group of near-duplicates, with its own columns."""
     drop = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__drop")).distinct()

@@ -159,8 +159,8 @@ def test_decontamination(spark, docs, none, monkeypatch):
     }
     more = [(i, t, "en", "s9", len(t)) for i, (_, t) in planted.items()]
     both = docs.unionByName(frame(spark, more))
-    for size in (8 << 20, 300):  # one block, then several
-        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+    for bits in (27, 15):  # filters of any size let all seeds through
+        monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
         out = decontaminate.mark_contaminated(both, benchmark)
         found = {r.doc_id: sorted(r["__items"]) for r in out.collect() if r["__items"]}
         assert found == {i: ids for i, (ids, _) in planted.items() if ids}
