@@ -13,15 +13,15 @@ over the corpus, and back, is a row for each pair and batch, not for each link;
 row a batch.
 
 Defined results: null and empty texts, and texts whose tokens' joined bytes differ from space and text, have no
-tokens: all numbers are 0 and the groups are empty; a very long text is given to the tokenizers in pieces of about
-``PIECE`` characters, cut at spaces that no token goes on over (if the piece vocabulary has such tokens, whole);
-strings of special tokens are ordinary text; repeated rows count again; ties for a B token's highest count are all
+tokens: all numbers are 0 and the groups are empty; a very long text is given to the tokenizers in pieces of about ``PIECE``
+characters, cut at spaces that no token goes on over (if the piece vocabulary has such tokens, whole); strings of special tokens are ordinary text; repeated rows count again; ties for a B token's highest count are all
 best; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -39,16 +39,17 @@ from dataprism.llm.common import Scratch, arrow_map, documents, int_lists, ship_
 
 PIECE = 1 << 18
 SLICE_BYTES = 1 << 20
+MEMO_BYTES = 64 << 20
 MARK = "▁"
 
 
-def default_files() -> tuple[str, bytes]:
-    """The installed byte-level tokenizer (JSON) and piece model."""
+def default_files() -> tuple[str, bytes, str]:
+    """The installed byte-level tokenizer (JSON) and piece model, and the pattern by which the first splits texts."""
     import public_tokenizers
 
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, \
             open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
-        return a.read(), b.read()
+        return a.read(), b.read(), public_tokenizers.PATTERN
 
 
 def jump(succ: np.ndarray) -> np.ndarray:
@@ -78,11 +79,16 @@ class Alignment:
 
 
 class Aligner:
-    def __init__(self, a_json: str, b_model: bytes) -> None:
+    def __init__(self, a_json: str, b_model: bytes, pattern: str = "") -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel unit
+        import regex
         import sentencepiece
         from tokenizers import Tokenizer
 
+        spec = json.loads(a_json)
+        first = spec.get("pre_tokenizer") or {}
+        plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+        self.split = regex.compile(pattern).findall if pattern and plain and not spec.get("normalizer") else None
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
@@ -98,27 +104,45 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
         self.cut = not any(MARK in p.lstrip(MARK) for p in pieces)
+        self.known: dict[str, bytes] = {}
+        self.size = 0
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (
             [np.array([b"%d%s" % (i, end) for i in range(len(t))], object) for end in (b",", mark)]
             for t, mark in ((self.a_bytes, b"|"), (self.b_bytes, b";")))
 
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        """A's ids of each text. A splits texts by its pattern and encodes each match by itself, so matches met before
+        are remembered, up to a bound, and only new ones go to the tokenizer."""
+        if self.split is None:
+            return [np.array(x.ids, np.int32) for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.size > MEMO_BYTES:
+            self.known, self.size = {}, 0
+        words = [self.split(t) for t in texts]
+        known = self.known
+        new = list({w for ws in words for w in ws if w not in known})
+        for w, x in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
+            known[w] = np.array(x.ids, np.int32).tobytes()
+            self.size += 200 + 5 * len(w)
+        return [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in words]
+
     def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """A's and B's ids of each text. The tokenizers get about ``PIECE`` characters at a time, so what they return
         (some hundred bytes a token) stays small; long texts go through in pieces."""
-        parts: list[tuple[int, str, str]] = []
+        parts: list[tuple[bool, str, str]] = []
         size = 0
         held: tuple[list, list] = ([], [])
         for i, t in enumerate(texts):
             pieces = list(pieces_at_spaces(t, PIECE)) if self.cut and len(t) > PIECE else [t]
             for k, x in enumerate(pieces):
+                # A piece after the first begins with a space, which B puts there itself.
                 parts.append((k == len(pieces) - 1, x if k else " " + x, x[1:] if k else x))
                 size += len(x)
                 if size >= PIECE or (i == len(texts) - 1 and k == len(pieces) - 1):
-                    a = self.a.encode_batch_fast([x for _, x, _ in parts], add_special_tokens=False)
+                    a = self._encode_a([x for _, x, _ in parts])
                     b = self.b.encode([x for _, _, x in parts], num_threads=1)
                     for (last, *_), u, v in zip(parts, a, b):
-                        held[0].append(np.array(u.ids, np.int32))
+                        held[0].append(u)
                         held[1].append(np.array(v, np.int32))
                         if last:
                             yield np.concatenate(held[0]), np.concatenate(held[1])
@@ -176,13 +200,13 @@ def _aligner(shared, name: str) -> Aligner:
     return _BUILT[name]
 
 
-def _share(df: DataFrame, files: tuple[str, bytes]):
+def _share(df: DataFrame, files: tuple[str, bytes, str]):
     """The tokenizers' files as a broadcast; their size is fixed and does not follow the data."""
     shared = df.sparkSession.sparkContext.broadcast(files)
     return shared, f"{id(shared)}-{len(files[0])}"
 
 
-def align_texts(docs: DataFrame, files: tuple[str, bytes]) -> DataFrame:
+def align_texts(docs: DataFrame, files: tuple[str, bytes, str]) -> DataFrame:
     """doc_id, a_ids and b_ids of every row, and a_groups and b_groups: the number of each token's group, from 0."""
     shared, name = _share(docs, files)
 
@@ -205,7 +229,7 @@ _BATCH = ("batch long, doc_id array<long>, n_a array<long>, n_b array<long>, n_l
           "groups_sha256 array<string>, links binary, pairs array<long>, counts array<long>")
 
 
-def _batches(docs: DataFrame, files: tuple[str, bytes]) -> DataFrame:
+def _batches(docs: DataFrame, files: tuple[str, bytes, str]) -> DataFrame:
     """One row for each Arrow batch of documents; ``links`` are numbers of ``pairs``, which are in order."""
     shared, name = _share(docs, files)
     ship_package(docs.sparkSession)
@@ -243,7 +267,7 @@ def _batches(docs: DataFrame, files: tuple[str, bytes]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def link_scores(docs: DataFrame, files: tuple[str, bytes]) -> DataFrame:
+def link_scores(docs: DataFrame, files: tuple[str, bytes, str]) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best (links whose pair is the most frequent of its B token), count_sum
     (sum of the links' pair counts over the corpus) and groups_sha256 of every row."""
     scratch = Scratch(docs.sparkSession, "alignment")
