@@ -33,6 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 PIECE_OF_CHUNK = 1 << 16
+MEMO_BYTES = 96 << 20
 
 
 def read_pieces(path: str = MODEL, ranks: bool = True) -> list[tuple[str, float, int]]:
@@ -73,7 +74,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.unknown = min(score for _, score, kind in pieces if kind == 0) - UNKNOWN_PENALTY
         self.longest = max((len(p) for p, _, kind in pieces if kind == 0), default=1)
-        self.memo = Memo(self._packed)
+        self.memo = Memo(self._packed, MEMO_BYTES)
         # A character that is in no piece is always a segment of its own; the usual ones are cut off at once.
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p, _, kind in pieces if kind == 0))
         self.chunks = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else ""))
