@@ -238,6 +238,25 @@ def period_label(number: Column, freq: Freq) -> Column:
     return to_ntz(F.last_day(first) if freq.kind.endswith("end") else first)
 
 
+def _simple_label(day: Column, freq: Freq) -> Column:
+    """The label of a single calendar period: by truncation of the date where Spark has one (not date_trunc, which goes
+    through the session zone), else by the period's number."""
+    if freq.kind == "week":
+        return to_ntz(F.date_add(day, F.pmod(F.lit(freq.anchor) - F.dayofweek(day), F.lit(7))))
+    if freq.kind == "month_end":
+        return to_ntz(F.last_day(day))
+    if freq.kind == "month_start":
+        return to_ntz(F.trunc(day, "month"))
+    if freq.anchor in (1, 12) and freq.kind.endswith("start") == (freq.anchor == 1):
+        unit = freq.kind.split("_")[0]
+        if freq.anchor == 1:
+            return to_ntz(F.trunc(day, unit))
+        if unit == "quarter":
+            return to_ntz(F.date_sub(F.add_months(F.trunc(day, unit), 3), 1))
+        return to_ntz(F.make_date(F.year(day), F.lit(12), F.lit(31)))
+    return period_label(period(day, freq), freq)
+
+
 def bucket_label(ts: Column, freq: Freq, origin_day: Column | None = None) -> Column:
     """Label of the bucket of ``ts``. Several calendar periods need ``origin_day``, midnight of the partition's earliest
     row; fixed widths that depend on it go through ``origin_label``."""
@@ -248,7 +267,7 @@ def bucket_label(ts: Column, freq: Freq, origin_day: Column | None = None) -> Co
             return to_ntz(F.to_date(ts))
         return floor_ms(ts, freq.width_ms)
     if freq.mult == 1:
-        return period_label(period(ts, freq), freq)
+        return _simple_label(F.to_date(ts), freq)
     if origin_day is None:
         raise ValueError(f"frequency {freq.text!r} depends on the partition origin")
     first = period(origin_day, freq)
