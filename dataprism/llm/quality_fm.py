@@ -4,7 +4,8 @@ Features are hashed words (A-Z lower-cased, ASCII punctuation taken as space) wi
 statistics of the text's structure, and metadata (``n_chars``). The pairwise interactions of all features have rank
 ``RANK`` and are summed in linear time: for each factor, half of the squared sum less the sum of squares.
 
-The fit uses at most ``PER_CLASS`` rows of each label, whatever the size of the tables; scoring is one pass over all
+All rows that may be learned from are learned from, none is left out: by slices in parallel, whose machines Spark
+averages after each epoch (``labelled.averaged``). Their features are written once. Scoring is one pass over all
 documents without a shuffle.
 
 Defined results: a null or empty text has no words and structure statistics of 0; a null ``n_chars`` counts as the
@@ -14,17 +15,19 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataprism.llm.common import PLAIN, arrow_map, batch_hashes, documents, raw_texts
-from dataprism.llm.labelled import fold, read_labels, sample, with_texts
+from dataprism.llm.common import PLAIN, Scratch, arrow_map, batch_hashes, documents, raw_texts
+from dataprism.llm.labelled import averaged, fold, label_counts, label_weights, read_labels, with_texts
 
 BUCKETS = 1 << 15
 RANK = 8
-PER_CLASS = 2500
 EPOCHS = 8
 BATCH = 64
 
@@ -67,14 +70,26 @@ class Features:
 
 
 class Machine:
-    """Weights and factors of the buckets, then of the structure columns (standardised)."""
+    """Weights and factors of the buckets, then of the structure columns (standardised). Its ``state`` is one array with
+    a row for each of these (weight, factors, and the summed squares of their steps) and one of the rest; all else are
+    views into them."""
 
-    def __init__(self, mean: np.ndarray, spread: np.ndarray, seed: int = 7) -> None:
-        rng = np.random.default_rng(seed)
+    def __init__(self, mean: np.ndarray, spread: np.ndarray, seed: int = 7,
+                 state: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         self.mean, self.spread = mean, spread
-        self.const = 0.0
-        self.weight = np.zeros(BUCKETS + N_STRUCTURE, np.float32)
-        self.factors = rng.normal(0, 0.05, (BUCKETS + N_STRUCTURE, RANK)).astype(np.float32)
+        if state is None:
+            few = np.full((BUCKETS + N_STRUCTURE, 2 + 2 * RANK), 1e-4, np.float32)
+            few[:, 0] = 0
+            few[:, 1:1 + RANK] = np.random.default_rng(seed).normal(0, 0.05, (BUCKETS + N_STRUCTURE, RANK))
+            state = few, np.array([0, 1e-4], np.float32)
+        self.state = state
+        few, rest = state
+        self.weight, self.factors = few[:, 0], few[:, 1:1 + RANK]
+        self.gw, self.gv = few[:, 1 + RANK], few[:, 2 + RANK:]
+        self.const, self.gc = rest[:1], rest[1:]
+
+    def __reduce__(self) -> tuple:
+        return Machine, (self.mean, self.spread, 7, self.state)
 
     def standard(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.spread, -4, 4) / 2
@@ -99,52 +114,99 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def learn_batch(net: Machine, ids: np.ndarray, values: np.ndarray, doc: np.ndarray, x: np.ndarray, labels: np.ndarray,
+                weight: np.ndarray) -> None:
+    """A step of AdaGrad on the weighted logistic loss with a small decay of what is used."""
+    z, sums = net.margins(ids, values, doc, x)
+    dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weight / len(labels)
+    slot, inverse = np.unique(ids, return_inverse=True)
+    d = dz[doc] * values
+    w = np.concatenate([np.bincount(inverse, d, len(slot)), dz @ x])
+    rows = np.concatenate([slot, np.arange(BUCKETS, BUCKETS + N_STRUCTURE)])
+    v = np.zeros((len(rows), RANK))
+    for k in range(RANK):
+        v[:len(slot), k] = np.bincount(inverse, d * (sums[doc, k] - net.factors[ids, k] * values), len(slot))
+    v[len(slot):] = x.T @ (dz[:, None] * sums) - (dz @ (x * x))[:, None] * net.factors[BUCKETS:]
+    w += 1e-4 * net.weight[rows]
+    v += 1e-4 * net.factors[rows]
+    net.gw[rows] += w * w
+    net.gv[rows] += v * v
+    net.gc += dz.sum() ** 2
+    net.weight[rows] -= 0.1 * w / np.sqrt(net.gw[rows])
+    net.factors[rows] -= 0.03 * v / np.sqrt(net.gv[rows])
+    net.const -= 0.1 * dz.sum() / np.sqrt(net.gc)
+
+
 def train(f: Features, labels: np.ndarray, seed: int = 7) -> Machine:
-    """AdaGrad on the weighted logistic loss (both labels weigh the same) with a small decay of what is used."""
+    """A machine of a few texts in memory; both labels weigh the same."""
     net = Machine(f.structure.mean(0), f.structure.std(0) + 1e-3, seed)
     x_all = net.standard(f.structure).astype(np.float32)
     rng = np.random.default_rng(seed)
-    weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
-    weight = weight * len(labels)
-    gw, gv, gc = np.full_like(net.weight, 1e-4), np.full_like(net.factors, 1e-4), 1e-4
+    weight = label_weights(labels, int((labels == 1).sum()), int((labels == 0).sum()))
     for _ in range(EPOCHS):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             some = order[at:at + BATCH]
             take = np.concatenate([np.arange(f.off[i], f.off[i + 1]) for i in some])
             doc = np.repeat(np.arange(len(some)), [f.off[i + 1] - f.off[i] for i in some])
-            ids, values, x = f.ids[take], f.values[take], x_all[some]
-            z, sums = net.margins(ids, values, doc, x)
-            dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[some]) * weight[some] / len(some)
-            slot, inverse = np.unique(ids, return_inverse=True)
-            d = (dz[doc] * values)
-            w = np.concatenate([np.bincount(inverse, d, len(slot)), dz @ x])
-            rows = np.concatenate([slot, np.arange(BUCKETS, BUCKETS + N_STRUCTURE)])
-            v = np.zeros((len(rows), RANK))
-            for k in range(RANK):
-                v[:len(slot), k] = np.bincount(inverse, d * (sums[doc, k] - net.factors[ids, k] * values), len(slot))
-            v[len(slot):] = x.T @ (dz[:, None] * sums) - (dz @ (x * x))[:, None] * net.factors[BUCKETS:]
-            w += 1e-4 * net.weight[rows]
-            v += 1e-4 * net.factors[rows]
-            gw[rows] += w * w
-            gv[rows] += v * v
-            gc += dz.sum() ** 2
-            net.weight[rows] -= 0.1 * w / np.sqrt(gw[rows])
-            net.factors[rows] -= 0.03 * v / np.sqrt(gv[rows])
-            net.const -= 0.1 * dz.sum() / np.sqrt(gc)
+            learn_batch(net, f.ids[take], f.values[take], doc, x_all[some], labels[some], weight[some])
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS) -> Machine | None:
-    chosen = with_texts(docs, sample(labels, learn, per_class), [
-        F.col("text").cast("string"), F.col("n_chars").cast("long")]).toArrow()
-    if not chosen.num_rows:
+def train_rows(rows: DataFrame, seed: int = 7) -> Machine | None:
+    """The machine after ``EPOCHS`` over all ``rows`` (__id, label, ids, vals, structure); None without rows."""
+    ones, others = label_counts(rows)
+    if not ones + others:
         return None
-    raws = raw_texts(chosen["text"].combine_chunks())
-    order = sorted(range(len(raws)), key=lambda i: (chosen["__id"][i].as_py(), raws[i]))
-    sizes = chosen["n_chars"].to_pylist()
-    f = Features([raws[i] for i in order], [sizes[i] for i in order])
-    return train(f, (chosen["label"].to_numpy()[order] == 1).astype(np.float64))
+    column = [F.col("structure")[i] for i in range(N_STRUCTURE)]
+    r = rows.agg(*[F.avg(c) for c in column], *[F.stddev_pop(c) for c in column]).first()
+    mean, spread = np.array(r, np.float32).reshape(2, N_STRUCTURE)
+    spread = spread + np.float32(1e-3)
+
+    def learn(few: np.ndarray, rest: np.ndarray, batches: Iterator[pa.RecordBatch]) -> int:
+        net = Machine(mean, spread, state=(few, rest))
+        seen, held = 0, []
+
+        def step() -> None:
+            labels, ids, vals, x = zip(*held)
+            y = np.array(labels, np.float64)
+            learn_batch(net, np.concatenate(ids), np.concatenate(vals), np.repeat(np.arange(len(ids)), [len(i) for i in ids]),
+                        net.standard(np.stack(x)).astype(np.float32), y, label_weights(y, ones, others))
+            held.clear()
+
+        for batch in batches:
+            for label, *parts in zip(batch.column(1).to_pylist(), *batch.columns[2:]):
+                held.append((label, *(p.values.to_numpy() for p in parts)))
+                if len(held) == BATCH:
+                    step()
+            seen += batch.num_rows
+        if held:
+            step()
+        return seen
+
+    start = Machine(mean, spread, seed).state
+    return Machine(mean, spread, state=averaged(rows.select("__id", "label", "ids", "vals", "structure"), ones + others,
+                                                start, EPOCHS, learn))
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn) -> Machine | None:
+    """The machine from all of ``labels`` that ``learn`` allows."""
+    def features(batch: pa.RecordBatch) -> list:
+        f = Features(raw_texts(batch.column(1)), batch.column(2).to_pylist())
+        off = pa.array(f.off.astype(np.int32))
+        shape = pa.array(N_STRUCTURE * np.arange(batch.num_rows + 1, dtype=np.int32))
+        return [batch.column(0), pc.equal(batch.column(3), 1).cast(pa.int32()),
+                pa.ListArray.from_arrays(off, pa.array(f.ids)), pa.ListArray.from_arrays(off, pa.array(f.values)),
+                pa.ListArray.from_arrays(shape, pa.array(f.structure.ravel()))]
+
+    chosen = with_texts(docs, labels.filter(learn), [F.col("text").cast("string"), F.col("n_chars").cast("long")])
+    scratch = Scratch(docs.sparkSession, "quality")
+    rows, path = scratch.write(arrow_map(
+        chosen.select("__id", "text", "n_chars", "label"), features,
+        "__id long, label int, ids array<int>, vals array<float>, structure array<float>", rows=500), codec="zstd")
+    net = train_rows(rows)
+    scratch.drop(path)
+    return net
 
 
 def score_quality(docs: DataFrame, net: Machine | None) -> DataFrame:
