@@ -118,12 +118,13 @@ def _null_sql(field: str) -> str:
 
 
 def column_stats_sql(name: str, dt: T.DataType, *, topk_capacity: int = DEFAULT_TOPK_CAPACITY,
-                     sketches: bool = True, present: str | None = None) -> str:
+                     sketches: bool = True, present: str | None = None, parts: dict[str, str] | None = None) -> str:
     """SQL text of the aggregate expression giving the ``STATS_TYPE`` struct of column ``name`` over a group.
 
     Built as text so a column costs one call into the JVM, whatever the number of statistics. ``present``: SQL text
     that tells whether the row had a value before it was cast to ``dt``; a value that did not cast counts under
-    ``n_other``, not as a null.
+    ``n_other``, not as a null. ``parts``: names of columns that hold a variant's ``variant_parts``, which every
+    statistic otherwise takes from the variant by itself.
     """
     cls = type_class(dt)
     c = f"`{name}`"
@@ -141,20 +142,16 @@ def column_stats_sql(name: str, dt: T.DataType, *, topk_capacity: int = DEFAULT_
     whole = c if cls == "integral" else None
     text = c if cls in ("string", "binary") else None
     if cls == "variant":
-        kind = f"schema_of_variant({c})"
-        is_whole = f"{kind} = 'BIGINT'"
-        is_number = f"{kind} RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"
+        own = variant_parts(name) if parts is None else {k: f"`{v}`" for k, v in parts.items()}
+        kind, number, whole, text = own["kind"], own["number"], own["whole"], own["text"]
         scalar = f"{kind} NOT RLIKE '^(VOID|ARRAY|OBJECT)'"
         out["null_count"] = f"count_if({c} IS NULL OR {kind} = 'VOID')"
-        out["n_integral"] = f"count_if({is_whole})"
+        out["n_integral"] = f"count_if({kind} = 'BIGINT')"
         out["n_fractional"] = f"count_if({kind} RLIKE '^(DECIMAL|DOUBLE|FLOAT)')"
         out["n_boolean"] = f"count_if({kind} = 'BOOLEAN')"
         out["n_string"] = f"count_if({kind} IN ('STRING', 'BINARY'))"
         out["n_temporal"] = f"count_if({kind} RLIKE '^(DATE|TIMESTAMP)')"
         out["n_other"] = f"count_if({kind} RLIKE '^(ARRAY|OBJECT)')"
-        number = f"CASE WHEN {is_number} THEN variant_get({c}, '$', 'double') END"
-        whole = f"CASE WHEN {is_whole} THEN variant_get({c}, '$', 'bigint') END"
-        text = f"CASE WHEN {kind} = 'STRING' THEN variant_get({c}, '$', 'string') END"
         c_item = f"CASE WHEN {scalar} THEN variant_get({c}, '$', 'string') END"
     else:
         # binary values are counted with strings: both are byte sequences to the statistics.
@@ -220,6 +217,17 @@ def column_stats_sql(name: str, dt: T.DataType, *, topk_capacity: int = DEFAULT_
     return f"named_struct({fields})"
 
 
+def variant_parts(name: str, kind: str | None = None) -> dict[str, str]:
+    """SQL text of what the statistics of variant column ``name`` are made of: the type of each value, and the value as
+    a number, a whole number or a text if it is one. ``kind``: the column that holds the type, if there is one."""
+    c = f"`{name}`"
+    kind = f"schema_of_variant({c})" if kind is None else f"`{kind}`"
+    return {"kind": kind,
+            "number": f"CASE WHEN {kind} RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN variant_get({c}, '$', 'double') END",
+            "whole": f"CASE WHEN {kind} = 'BIGINT' THEN variant_get({c}, '$', 'bigint') END",
+            "text": f"CASE WHEN {kind} = 'STRING' THEN variant_get({c}, '$', 'string') END"}
+
+
 def column_stats(name: str, dt: T.DataType, **kwargs) -> Column:
     """Aggregate expression: the ``STATS_TYPE`` struct of column ``name`` (a plain identifier) over a group."""
     return F.expr(column_stats_sql(name, dt, **kwargs))

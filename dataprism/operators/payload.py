@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 
 from dataprism.functions import buckets as B
 from dataprism.functions import envelope as E
-from dataprism.functions.stats import DEFAULT_TOPK_CAPACITY, column_stats, exact_value, merge_stats, type_class
+from dataprism.functions.stats import (DEFAULT_TOPK_CAPACITY, column_stats, exact_value, merge_stats, type_class,
+                                       variant_parts)
 from dataprism.operators.config import DEFAULT_FREQ, col, is_control_column
 from dataprism.operators.joins import join_on_keys
 from dataprism.operators.profile import Bucketing, Segmenting, _attach_bucket_facts, envelope_columns, profile_rows
@@ -107,8 +108,10 @@ def _text(value: Column | None, kind: T.DataType | None) -> Column:
 
 
 def _map_key(body: Column, key: str) -> Column:
-    """The spelling of a control key in a map; null in maps without it."""
-    return F.array_min(F.filter(F.map_keys(body), lambda k: F.upper(k) == key))
+    """The spelling of a control key in a map; null in maps without it. Upper case is the first in code point order, so
+    other spellings are looked for only in maps without it."""
+    return F.when(F.map_contains_key(body, key), F.lit(key)).otherwise(
+        F.array_min(F.filter(F.map_keys(body), lambda k: F.upper(k) == key)))
 
 
 def _configs(rows: DataFrame, keys: list[str], present: list[str]) -> tuple[list[str], list[str]]:
@@ -286,7 +289,9 @@ def _long_stats(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segm
     pre = df.select(*[c.alias(a) for (_, c), a in zip(keys, alias)], *segment.columns, bucketing.which.alias("__fq"),
                     ts.alias("__ts"), segment.applies.alias("__segmented"), col(data).alias("__data"))
     bucketing = Bucketing(bucketing.freqs, F.col("__fq"))
-    pre = pre.filter(F.col("__segmented") | F.col("__ts").isNotNull())
+    # Rows of a payload are dear to make: a filter is not pushed below a generator, where it would make each row anew.
+    pre = pre.select(F.inline(F.array(F.struct(*pre.columns)))) \
+        .filter(F.col("__segmented") | F.col("__ts").isNotNull())
     if min_partitions is not None:
         pre = pre.repartition(min_partitions, F.monotonically_increasing_id())
     if bucketing.needs_origin:
@@ -300,7 +305,14 @@ def _long_stats(df: DataFrame, data: str, ts: Column, bucketing: Bucketing, segm
     entries = pre.select(*group, F.explode("__data").alias("__name", "__v")) \
         .filter(~F.upper("__name").isin(TS_KEY, SEGMENTS_KEY, FREQ_KEY)) \
         .filter(F.lit(True) if wanted is None else F.lower("__name").isin(sorted(wanted)))
-    stats = column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches).alias("__s")
+    parts = None
+    if type_class(value_type) == "variant":
+        # Once a value, not once a statistic.
+        parts = {k: f"__v_{k}" for k in variant_parts("__v")}
+        entries = entries.withColumn(parts["kind"], F.expr(variant_parts("__v")["kind"]))
+        entries = entries.withColumns({parts[k]: F.expr(x) for k, x in variant_parts("__v", parts["kind"]).items()
+                                       if k != "kind"})
+    stats = column_stats("__v", value_type, topk_capacity=topk_capacity, sketches=sketches, parts=parts).alias("__s")
     if salt and salt > 1:
         long = entries.groupBy(*group, "__name", F.pmod(F.spark_partition_id(), F.lit(salt)).alias("__salt")).agg(stats) \
             .groupBy(*group, "__name").agg(merge_stats("__s", sketches, topk_capacity).alias("__s"))

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dataprism.operators.payload import make_payload, payload_schema, profile_payload
+from dataprism.operators.payload import make_payload, payload_schema, payload_stats, profile_payload
 from conftest import collect_dicts
 
 MS = 1704276000000  # 2024-01-03 10:00 UTC
@@ -109,3 +109,15 @@ def test_many_configurations_are_one_plan(spark):
     got = {r.k: (r.segment_partition, r.segment) for r in p.collect()}
     assert got == {i: [("a", f'{{"a":{i % 2}}}'), ("b,a", f'{{"b":{i % 5},"a":{i % 2}}}'), (None, None)][i % 3]
                    for i in range(n)}
+
+
+def test_payload_rows_and_types_are_made_once(spark):
+    """No filter below the payload makes each row a second time, and no statistic asks a value's type by itself."""
+    df = spark.createDataFrame([(1, 2.5), (2, None)], "a int, b double")
+    data = make_payload(df, dataset_timestamp=F.when(F.col("a") > 0, F.lit(0)))
+    out = payload_stats(df.select(data.alias("data")), "data", sketches=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [x for x in plan if "Filter" in x and "to_variant_object" in x]
+    assert not [x for x in plan if "Aggregate" in x and "schemaOfVariant" in x]
+    got = {r.column: (r.segment_rows, r.stats.null_count, r.stats.num_n, r.stats.num_max) for r in out.collect()}
+    assert got == {"a": (2, 0, 2, 2.0), "b": (2, 1, 1, 2.5)}
