@@ -26,6 +26,7 @@ remove its own repeats; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, r
 WINDOW = 13
 ANCHOR = 4
 SHARD_WORDS = 30_000  # of passages; an automaton has some WINDOW * 3 nodes for each
-DIGIT = 64
+DIGIT = 192
 TASK_BYTES = 8 << 20
 
 
@@ -138,19 +139,21 @@ def passage_rows(owned: DataFrame) -> DataFrame:
 class PhraseAutomaton:
     """An Aho-Corasick automaton over the windows of passages; a window's value is its owner, the only one it has.
 
-    Words are numbered and written as digits, each place with symbols of its own: nodes have few children, which the
-    automaton searches one by one, and matches can only begin and end with words."""
+    Words are numbered and written as digits, the highest first, each place with symbols of its own: nodes have few
+    children, which the automaton searches one by one, and matches can only begin and end with words."""
 
     def __init__(self, passages: list[tuple[int, bytes]]) -> None:
         import ahocorasick
 
-        self.numbers: dict[bytes, int] = {}
+        numbers: dict[bytes, int] = {}
         for _, text in passages:
             for w in text.split():
-                self.numbers.setdefault(w, len(self.numbers) + 1)
+                numbers.setdefault(w, len(numbers) + 1)
         self.digits = 1
-        while DIGIT**self.digits <= len(self.numbers):
+        while DIGIT**self.digits <= len(numbers):
             self.digits += 1
+        self.unknown = self._places(0)
+        self.places = {w: self._places(n) for w, n in numbers.items()}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         self.owners = [o for o, _ in passages]
         for p, (_, text) in enumerate(passages):
@@ -159,11 +162,12 @@ class PhraseAutomaton:
                 self.automaton.add_word(key[at:at + WINDOW * step], p)
         self.automaton.make_automaton()
 
+    def _places(self, number: int) -> tuple[int, ...]:
+        return tuple(number // DIGIT**k % DIGIT + DIGIT * k for k in reversed(range(self.digits)))
+
     def _symbols(self, text: bytes) -> tuple[int, ...]:
-        get = self.numbers.get
-        ids = np.array([get(w, 0) for w in text.split()], np.int64)
-        places = [(ids // DIGIT**k) % DIGIT + DIGIT * k for k in range(self.digits)]
-        return tuple(np.stack(places, 1).ravel().tolist())
+        get, unknown = self.places.get, self.unknown
+        return tuple(chain.from_iterable([get(w, unknown) for w in text.split()]))
 
     def covered(self, doc_id: int, text: bytes) -> list[tuple[int, int]]:
         """The (first, end) words under windows owned by smaller documents, joined where they touch."""

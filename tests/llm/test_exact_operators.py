@@ -1,6 +1,7 @@
 """Line dedup, near-duplicates, sharding, substring dedup and quality rules against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -368,3 +369,18 @@ def test_near_duplicates_in_blocks(docs, monkeypatch):
     monkeypatch.setattr(minhash, "CLUSTER_ROWS", 2)
     out = minhash.near_duplicates(docs, k=2)
     assert got(out, "doc_id", "n_shingles", "component_id", "kept") == jaccard_components(rows(), 2)
+
+
+def test_phrase_automaton_writes_a_word_in_two_symbols():
+    """A shard's words have at most two symbols each, whatever their number; unknown words match nothing."""
+    r = random.Random(4)
+    vocabulary = [b"w%d" % i for i in range(substring.SHARD_WORDS)]
+    texts = [b" ".join(vocabulary[i:i + 100]) for i in range(0, len(vocabulary), 100)]
+    auto = substring.PhraseAutomaton(list(enumerate(texts)))
+    assert auto.digits == 2
+    for _ in range(50):
+        at, n = r.randrange(80), r.randrange(13, 21)
+        words_ = texts[7].split()[at:at + n]
+        got = auto.covered(1000, b"new " + b" ".join(words_) + b" w1 other")
+        assert got == ([(1, 1 + len(words_))] if len(words_) >= 13 else [])
+    assert auto.covered(7, texts[7]) == [] and auto.covered(8, texts[7]) == [(0, 100)]
