@@ -7,7 +7,7 @@ both end there, the A token. Replacing every pointer by its target's, all at onc
 for; after a logarithm of the longest chain all point to their component's terminal token, which labels the group.
 Where a group ends an A and a B token end together: this pair is a link.
 
-The texts of an Arrow batch are one array. A batch becomes one row of a written table: its documents' numbers, its
+The texts of a batch of about a megabyte are one array. A batch becomes one row of a written table: its documents' numbers, its
 links as numbers of the batch's different pairs, and these pairs with their counts. So what is shuffled to count pairs
 over the corpus, and back, is a row for each pair and batch, not for each link; a pair that every document has is one
 row a batch.
@@ -39,7 +39,7 @@ from dataprism.llm.common import Scratch, arrow_map, documents, int_lists, ship_
 
 PIECE = 1 << 18
 SLICE_BYTES = 1 << 20
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 32 << 20
 MARK = "▁"
 
 
@@ -230,38 +230,35 @@ _BATCH = ("batch long, doc_id array<long>, n_a array<long>, n_b array<long>, n_l
 
 
 def _batches(docs: DataFrame, files: tuple[str, bytes, str]) -> DataFrame:
-    """One row for each Arrow batch of documents; ``links`` are numbers of ``pairs``, which are in order."""
+    """One row for each batch of documents (about ``SLICE_BYTES`` of text, so that no row is large in a worker or the
+    JVM); ``links`` are numbers of ``pairs``, which are in order."""
     shared, name = _share(docs, files)
     ship_package(docs.sparkSession)
     schema = T.StructType.fromDDL(_BATCH)
     kinds = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 32
-        for seq, batch in enumerate(batches):
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
             if not batch.num_rows:
                 continue
             aligner = _aligner(shared, name)
             sizes = batch.column(1).cast(pa.binary())
             sizes = np.cumsum(np.nan_to_num(pc.binary_length(sizes).to_numpy(zero_copy_only=False)))
-            n_a, n_b, n_links, hashes, links = [], [], [], [], []
             at = 0
             while at < batch.num_rows:  # texts of about a megabyte at a time
                 before = sizes[at - 1] if at else 0
                 end = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
-                x, a, b = aligner.align(batch.column(1).slice(at, end - at).to_pylist())
-                hashes.extend(hashlib.sha256(g).hexdigest() if g else "" for g in aligner.texts(x, a, b))
+                x, n_a, n_b = aligner.align(batch.column(1).slice(at, end - at).to_pylist())
+                hashes = [hashlib.sha256(g).hexdigest() if g else "" for g in aligner.texts(x, n_a, n_b)]
                 ends = np.concatenate([[0], np.cumsum(x.last_a)])
-                n_links.append(ends[np.cumsum(a)] - ends[np.cumsum(a) - a])
-                n_a.append(a)
-                n_b.append(b)
-                links.append(x.links)
+                n_links = ends[np.cumsum(n_a)] - ends[np.cumsum(n_a) - n_a]
+                pairs, links, counts = np.unique(x.links, return_inverse=True, return_counts=True)
+                row = [[number], [batch.column(0).slice(at, end - at).to_pylist()], [n_a], [n_b], [n_links], [hashes],
+                       [links.astype(np.int32).tobytes()], [pairs], [counts]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, kinds)], schema=kinds)
+                number += 1
                 at = end
-            n_a, n_b, n_links = (np.concatenate(v) for v in (n_a, n_b, n_links))
-            pairs, links, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
-            row = [[first + seq], [batch.column(0).to_pylist()], [n_a], [n_b], [n_links], [hashes],
-                   [links.astype(np.int32).tobytes()], [pairs], [counts]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, kinds)], schema=kinds)
             pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

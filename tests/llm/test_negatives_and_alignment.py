@@ -305,3 +305,14 @@ def test_op13_rows(spark):
     aligner = alignment.Aligner(*alignment.default_files())
     expected = brute_scores([r.doc_id for r in docs], brute_alignment(aligner, [r.text for r in docs]))
     assert Counter(map(tuple, alignment.op13_alignment(spark, SF_SMALL).collect())) == expected
+
+
+def test_alignment_rows_stay_small(spark):
+    """A written row holds about SLICE_BYTES of text, however many documents an Arrow batch has."""
+    docs = spark.createDataFrame([(i, f"some words {i} " * 12_000) for i in range(12)], "doc_id long, text string") \
+        .coalesce(1)
+    got = alignment._batches(docs, alignment.default_files()).select("batch", "doc_id").collect()
+    size = {r.doc_id: len(r.text) for r in docs.collect()}
+    assert sorted(d for r in got for d in r.doc_id) == list(range(12))
+    assert len({r.batch for r in got}) == len(got)
+    assert all(sum(size[d] for d in r.doc_id) <= alignment.SLICE_BYTES for r in got)
