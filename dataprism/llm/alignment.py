@@ -120,11 +120,11 @@ class Aligner:
             self.known, self.size = {}, 0
         words = [self.split(t) for t in texts]
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
+        new = list(set().union(*words).difference(known))
         for w, x in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
             known[w] = np.array(x.ids, np.int32).tobytes()
             self.size += 200 + 5 * len(w)
-        return [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in words]
+        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
 
     def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """A's and B's ids of each text. The tokenizers get about ``PIECE`` characters at a time, so what they return
