@@ -7,6 +7,11 @@ both end there, the A token. Replacing every pointer by its target's, all at onc
 for; after a logarithm of the longest chain all point to their component's terminal token, which labels the group.
 Where a group ends an A and a B token end together: this pair is a link.
 
+Both tokenizers work on words: neither has tokens over a single space between two characters that are no white space.
+So texts are split at spaces, words met before are remembered with both tokenizers' ids (up to a bound), and only new
+ones are encoded. Texts with other white space at a word's end, or words that do not come back as their own bytes, are
+encoded whole.
+
 The texts of a batch of about a megabyte are one array. A batch becomes one row of a written table: its documents' numbers, its
 links as numbers of the batch's different pairs, and these pairs with their counts. So what is shuffled to count pairs
 over the corpus, and back, is a row for each pair and batch, not for each link; a pair that every document has is one
@@ -24,6 +29,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ from dataprism.llm.common import Scratch, arrow_map, documents, int_lists, ship_
 PIECE = 1 << 18
 SLICE_BYTES = 1 << 20
 MEMO_BYTES = 32 << 20
+TOGETHER = 100  # words encoded as one text
+LONGEST = 64  # characters of a remembered word
 MARK = "▁"
 
 
@@ -81,14 +89,13 @@ class Alignment:
 class Aligner:
     def __init__(self, a_json: str, b_model: bytes, pattern: str = "") -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel unit
-        import regex
         import sentencepiece
         from tokenizers import Tokenizer
 
         spec = json.loads(a_json)
         first = spec.get("pre_tokenizer") or {}
         plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
-        self.split = regex.compile(pattern).findall if pattern and plain and not spec.get("normalizer") else None
+        plain = plain and not spec.get("normalizer") and all(x["special"] for x in spec.get("added_tokens") or [])
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
@@ -104,34 +111,85 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
         self.cut = not any(MARK in p.lstrip(MARK) for p in pieces)
+        self.by_words = bool(pattern) and plain and self.cut
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.size = 0
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_space, self.b_space = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (
             [np.array([b"%d%s" % (i, end) for i in range(len(t))], object) for end in (b",", mark)]
             for t, mark in ((self.a_bytes, b"|"), (self.b_bytes, b";")))
 
-    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
-        """A's ids of each text. A splits texts by its pattern and encodes each match by itself, so matches met before
-        are remembered, up to a bound, and only new ones go to the tokenizer."""
-        if self.split is None:
-            return [np.array(x.ids, np.int32) for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        if self.size > MEMO_BYTES:
-            self.known, self.size = {}, 0
-        words = [self.split(t) for t in texts]
-        known = self.known
-        new = list(set().union(*words).difference(known))
-        for w, x in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = np.array(x.ids, np.int32).tobytes()
-            self.size += 200 + 5 * len(w)
-        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.int32) for ws in words]
-
-    def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """A's and B's ids of each text. The tokenizers get about ``PIECE`` characters at a time, so what they return
-        (some hundred bytes a token) stays small; long texts go through in pieces."""
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words without spaces, A's and then the complements of B's, as both tokenizers give them
+        after a space. Neither's tokens go on over a space between two characters that are no white space, so words are
+        encoded some as one text and cut at the tokens that begin with a space. Words that have no such ids (white space
+        at an end, other bytes than their own) are remembered as nothing."""
+        whole = " ".join(words)
+        some = [" ".join(words[at:at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        a = self.a.encode_batch_fast([" " + x for x in some], add_special_tokens=False)
+        a = np.concatenate([np.array(x.ids, np.int32) for x in a])
+        b = np.array(list(chain.from_iterable(self.b.encode(some, num_threads=1))), np.int32)
+        raw = (" " + whole).encode()
+        a_word, b_word = np.cumsum(self.a_space[a]), np.cumsum(self.b_space[b])
+        # As many tokens that begin with a space as there are spaces: each has one, the others none.
+        if not (len(a) and len(b) and a_word[-1] == b_word[-1] == len(words)
+                and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
+                and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == raw):
+            if len(words) == 1:
+                self.known[words[0]] = b""
+                return
+            for part in (words[:len(words) // 2], words[len(words) // 2:]):
+                self._learn(part)
+            return
+        out = np.empty(len(a) + len(b), np.int32)
+        out[np.arange(len(a)) + np.searchsorted(b_word, a_word, "left")] = a
+        out[np.arange(len(b)) + np.searchsorted(a_word, b_word, "right")] = ~b
+        ends = 4 * np.cumsum(np.bincount(a_word, minlength=len(words) + 1)
+                             + np.bincount(b_word, minlength=len(words) + 1))
+        packed, ends = out.tobytes(), ends.tolist()
+        self.known.update((w, packed[lo:hi]) for w, lo, hi in zip(words, ends, ends[1:]))
+
+    def _recall(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """The remembered ids of the words of each text; new words go to the tokenizers. When half of ``MEMO_BYTES``
+        is full, words that were not met since the last time are forgotten."""
+        if self.size > MEMO_BYTES // 2:
+            self.known, self.old, self.size = {}, self.known, 0
+        known, old = self.known, self.old
+        new = set().union(*texts).difference(known)
+        again = new.intersection(old)
+        known.update((w, old[w]) for w in again)
+        whole = new.intersection(map(str.strip, new))
+        known.update(dict.fromkeys(new - whole | {""}, b""))
+        words = list(whole - again - {""})
+        if words:
+            self._learn(words)
+        out = [list(map(known.__getitem__, ws)) for ws in texts]
+        for w in [w for w in new if len(w) > LONGEST]:
+            del known[w]
+            new.remove(w)
+        self.size += 160 * len(new) + sum(2 * len(w) + len(known[w]) for w in new)
+        return out
+
+    def _encode(self, parts: list[tuple[str, str]]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """A's and B's ids of each text (given as A and as B reads it), and whether they surely are the text's bytes."""
+        found = self._recall([y.split(" ") for _, y in parts]) if self.by_words else [[b""]] * len(parts)
+        for (x, y), ids in zip(parts, found):
+            if all(ids):
+                flat = np.frombuffer(b"".join(ids), np.int32)
+                yield flat[flat >= 0], ~flat[flat < 0], True
+            else:
+                yield (np.array(self.a.encode(x, add_special_tokens=False).ids, np.int32),
+                       np.array(self.b.encode(y), np.int32), False)
+
+    def _ids(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """A's and B's ids of each text, and whether they surely are the text's bytes. The tokenizers get about
+        ``PIECE`` characters at a time, so what they return (some hundred bytes a token) stays small; long texts go
+        through in pieces."""
         parts: list[tuple[bool, str, str]] = []
         size = 0
-        held: tuple[list, list] = ([], [])
+        held: tuple[list, list, list] = ([], [], [])
         for i, t in enumerate(texts):
             pieces = list(pieces_at_spaces(t, PIECE)) if self.cut and len(t) > PIECE else [t]
             for k, x in enumerate(pieces):
@@ -139,14 +197,12 @@ class Aligner:
                 parts.append((k == len(pieces) - 1, x if k else " " + x, x[1:] if k else x))
                 size += len(x)
                 if size >= PIECE or (i == len(texts) - 1 and k == len(pieces) - 1):
-                    a = self._encode_a([x for _, x, _ in parts])
-                    b = self.b.encode([x for _, _, x in parts], num_threads=1)
-                    for (last, *_), u, v in zip(parts, a, b):
-                        held[0].append(u)
-                        held[1].append(np.array(v, np.int32))
+                    for (last, *_), out in zip(parts, self._encode([(x, y) for _, x, y in parts])):
+                        for h, v in zip(held, out):
+                            h.append(v)
                         if last:
-                            yield np.concatenate(held[0]), np.concatenate(held[1])
-                            held = ([], [])
+                            yield np.concatenate(held[0]), np.concatenate(held[1]), all(held[2])
+                            held = ([], [], [])
                     parts, size = [], 0
 
     def align(self, texts: list[str | None]) -> tuple[Alignment, np.ndarray, np.ndarray]:
@@ -155,9 +211,9 @@ class Aligner:
         n_a, n_b = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         a, b = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for i, (x, y) in zip(some, self._ids([texts[i] for i in some])):
-            raw = b" " + texts[i].encode()
-            if b"".join(map(a_bytes, x.tolist())) == raw and b"".join(map(b_bytes, y.tolist())) == raw:
+        for i, (x, y, sure) in zip(some, self._ids([texts[i] for i in some])):
+            raw = b"" if sure else b" " + texts[i].encode()
+            if sure or b"".join(map(a_bytes, x.tolist())) == raw and b"".join(map(b_bytes, y.tolist())) == raw:
                 a.append(x)
                 b.append(y)
                 n_a[i], n_b[i] = len(x), len(y)

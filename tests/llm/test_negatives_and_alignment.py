@@ -316,3 +316,47 @@ def test_alignment_rows_stay_small(spark):
     assert sorted(d for r in got for d in r.doc_id) == list(range(12))
     assert len({r.batch for r in got}) == len(got)
     assert all(sum(size[d] for d in r.doc_id) <= alignment.SLICE_BYTES for r in got)
+
+
+def test_aligner_remembers_words_of_both_tokenizers(monkeypatch):
+    """Words met before go to neither tokenizer again, and ids by words are those of whole texts."""
+    aligner = alignment.Aligner(*alignment.default_files())
+    r = random.Random(7)
+    parts = [*"aé日😀▁'", "'s", "don't", "x.\ny", "\u00a0", "\x1c", "\u3000", "\t", "\n", "12,5", "<s>", "Ġ", "w" * 70]
+    texts = ["".join(r.choice([*parts, " ", " ", " "]) for _ in range(r.randrange(1, 30))) for _ in range(1500)]
+    texts += [" ".join(r.choice(parts) for _ in range(r.randrange(1, 30))) for _ in range(500)]
+    texts += [" ".join(f"w{r.randrange(3000)}" for _ in range(40)) for _ in range(300)] + ODD
+    for bound in (alignment.MEMO_BYTES, 100_000):
+        monkeypatch.setattr(alignment, "MEMO_BYTES", bound)
+        for _ in range(2):
+            for at in range(0, len(texts), 300):
+                some = texts[at:at + 300]
+                x, n_a, n_b = aligner.align(some)
+                found = brute_alignment(aligner, some)
+                assert n_a.tolist() == [sum(len(a) for a, _ in g) for g in found]
+                assert x.a.tolist() == [i for g in found for a, _ in g for i in a]
+                assert x.b.tolist() == [i for g in found for _, b in g for i in b]
+        size = sum(len(w) + len(v) for d in (aligner.known, aligner.old) for w, v in d.items())
+        assert size < 2 * bound and not any(len(w) > alignment.LONGEST for w in aligner.known)
+
+    class Counted:
+        n = 0
+
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode(self, text, **options):
+            Counted.n += 1
+            return self.inner.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            Counted.n += 1
+            return self.inner.encode_batch_fast(texts, **options)
+
+    monkeypatch.undo()
+    aligner = alignment.Aligner(*alignment.default_files())
+    aligner.a, aligner.b = Counted(aligner.a), Counted(aligner.b)
+    first, *_ = aligner.align(["one two three's words", "two words"])
+    assert 0 < Counted.n <= 2 and len(first.a)
+    aligner.align(["words three's two", "one"])
+    assert Counted.n <= 2
