@@ -10,9 +10,9 @@ id. The steps, each one Spark job over written tables in the shared folder:
    if another document has it, too. Runs of owned windows in the owner's text are the passages.
 3. *Sharded automata.* Passages are dealt out by owner to shards of about ``SHARD_WORDS`` words, and each document's
    segments go to the shards of the owners whose windows it has. A shard's task compiles an Aho-Corasick automaton
-   over the passages' windows (of numbered words, so a node is a word) and streams the segments through it, which
-   finds every occurrence of every window. A shard to which many documents go is copied over as many tasks as their
-   size needs.
+   over the opening phrases of the passages' windows and streams the segments through it; each place that it finds is
+   confirmed on the whole window, so every occurrence of every window is found. A shard to which many documents go is
+   copied over as many tasks as their size needs.
 4. *Removal.* The covered words are joined to the documents.
 
 Windows are counted with partial minima before the shuffle, and the joins by hash have one row a key on one side, so a
@@ -26,7 +26,7 @@ remove its own repeats; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,11 @@ from dataprism.llm.common import (Scratch, arrow_map, batch_hashes, documents, r
 
 WINDOW = 13
 ANCHOR = 4
-SHARD_WORDS = 30_000  # of passages; an automaton has some WINDOW * 3 nodes for each
+SHARD_WORDS = 30_000  # of passages; an automaton has up to PHRASE nodes for each
 DIGIT = 192
+PHRASE = 6
+SYMBOLS = 96
+OTHER = chr(1 + SYMBOLS)  # a word that no passage has
 TASK_BYTES = 8 << 20
 
 
@@ -137,44 +140,50 @@ def passage_rows(owned: DataFrame) -> DataFrame:
 
 
 class PhraseAutomaton:
-    """An Aho-Corasick automaton over the windows of passages; a window's value is its owner, the only one it has.
+    """An Aho-Corasick automaton over the opening phrases (``PHRASE`` words) of the windows of passages; a window has
+    one owner only.
 
-    Words are numbered and written as digits, the highest first, each place with symbols of its own: nodes have few
-    children, which the automaton searches one by one, and matches can only begin and end with words."""
+    The automaton reads a symbol a word, one of ``SYMBOLS`` by the word's hash: nodes have few children, which it
+    searches one by one. Where it finds a phrase, the whole window is confirmed by the numbers of its words, which tell
+    all words of the passages apart."""
 
     def __init__(self, passages: list[tuple[int, bytes]]) -> None:
         import ahocorasick
 
-        numbers: dict[bytes, int] = {}
-        for _, text in passages:
-            for w in text.split():
-                numbers.setdefault(w, len(numbers) + 1)
+        texts = [text.split() for _, text in passages]
+        vocabulary = set().union(*texts)
         self.digits = 1
-        while DIGIT**self.digits <= len(numbers):
+        while DIGIT**self.digits <= len(vocabulary):
             self.digits += 1
-        self.unknown = self._places(0)
-        self.places = {w: self._places(n) for w, n in numbers.items()}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        self.owners = [o for o, _ in passages]
-        for p, (_, text) in enumerate(passages):
-            key, step = self._symbols(text), self.digits
-            for at in range(0, len(key) - WINDOW * step + 1, step):
-                self.automaton.add_word(key[at:at + WINDOW * step], p)
+        self.unknown = self._number(0)
+        self.numbers = {w: self._number(n) for n, w in enumerate(vocabulary, 1)}
+        self.symbols = {w: chr(1 + crc32(w) % SYMBOLS) for w in vocabulary}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.owners: dict[str, int] = {}
+        add, k = self.automaton.add_word, self.digits
+        for (owner, _), w in zip(passages, texts):
+            symbols, numbers = self._write(w, self.symbols, OTHER), self._write(w, self.numbers, self.unknown)
+            for at in range(len(w) - WINDOW + 1):
+                add(symbols[at:at + PHRASE])
+                self.owners[numbers[at * k:(at + WINDOW) * k]] = owner
         self.automaton.make_automaton()
 
-    def _places(self, number: int) -> tuple[int, ...]:
-        return tuple(number // DIGIT**k % DIGIT + DIGIT * k for k in reversed(range(self.digits)))
+    def _number(self, n: int) -> str:
+        return "".join(chr(n // DIGIT**k % DIGIT) for k in range(self.digits))
 
-    def _symbols(self, text: bytes) -> tuple[int, ...]:
-        get, unknown = self.places.get, self.unknown
-        return tuple(chain.from_iterable([get(w, unknown) for w in text.split()]))
+    @staticmethod
+    def _write(words: list[bytes], table: dict[bytes, str], other: str) -> str:
+        return "".join([table.get(w, other) for w in words])
 
     def covered(self, doc_id: int, text: bytes) -> list[tuple[int, int]]:
         """The (first, end) words under windows owned by smaller documents, joined where they touch."""
-        owners = self.owners
-        ends = [last for last, p in self.automaton.iter(self._symbols(text)) if owners[p] < doc_id]
-        last_words = np.array(ends, np.int64) // self.digits
-        return [(x - WINDOW + 1, y + 1) for x, y in _runs(last_words, WINDOW)]
+        words = text.split()
+        starts = [last + 1 - PHRASE for last, _ in self.automaton.iter(self._write(words, self.symbols, OTHER))]
+        if not starts:
+            return []
+        numbers, k, owner = self._write(words, self.numbers, self.unknown), self.digits, self.owners.get
+        found = [at for at in starts if owner(numbers[at * k:(at + WINDOW) * k], doc_id) < doc_id]
+        return [(x, y + WINDOW) for x, y in _runs(np.array(found, np.int64), WINDOW)]
 
 
 def _automata(passages: pa.Table) -> Iterator[PhraseAutomaton]:

@@ -384,3 +384,40 @@ def test_phrase_automaton_writes_a_word_in_two_symbols():
         got = auto.covered(1000, b"new " + b" ".join(words_) + b" w1 other")
         assert got == ([(1, 1 + len(words_))] if len(words_) >= 13 else [])
     assert auto.covered(7, texts[7]) == [] and auto.covered(8, texts[7]) == [(0, 100)]
+
+
+def test_phrase_automaton_is_small_and_exact():
+    """An automaton has a few nodes for a word of the passages, not one for each word of each window; words that look
+    alike to it, and windows that open alike, are told apart."""
+    r = random.Random(4)
+    vocabulary = [b"v%d" % i for i in range(3000)]
+    texts = [b" ".join(r.choices(vocabulary, k=100)) for _ in range(60)]
+    auto = substring.PhraseAutomaton(list(enumerate(texts)))
+    assert auto.automaton.get_stats()["nodes_count"] < 8 * 60 * 100
+
+    # Few words, of which many share a symbol, so windows open alike and differ by one word.
+    few = [b"w%d" % i for i in range(300)]
+    passages, owner_of = [], {}
+    base = r.choices(few, k=30)
+    for owner in range(40):
+        w = list(base)
+        for _ in range(2):
+            w[r.randrange(len(w))] = r.choice(few)
+        new = [p for p in range(len(w) - 12) if tuple(w[p:p + 13]) not in owner_of]
+        for first, last in substring._runs(np.array(new), 1):
+            passages.append((owner, b" ".join(w[first:last + 13])))
+        owner_of.update({tuple(w[p:p + 13]): owner for p in new})
+    auto = substring.PhraseAutomaton(passages)
+    hits = 0
+    for _ in range(600):
+        w = list(base) * 2
+        for _ in range(r.randrange(5)):
+            w[r.randrange(len(w))] = r.choice([*few, b"unseen", "é　".encode()])
+        doc_id = r.randrange(45)
+        expected = {q for p in range(len(w) - 12) if owner_of.get(tuple(w[p:p + 13]), doc_id) < doc_id
+                    for q in range(p, p + 13)}
+        spans = auto.covered(doc_id, b" ".join(w))
+        assert {q for a, b in spans for q in range(a, b)} == expected
+        hits += bool(expected)
+    assert hits > 100
+    assert auto.covered(9, b"") == []
