@@ -12,10 +12,10 @@ So texts are split at spaces, words met before are remembered with both tokenize
 ones are encoded. Texts with other white space at a word's end, or words that do not come back as their own bytes, are
 encoded whole.
 
-The texts of a batch of about a megabyte are one array. A batch becomes one row of a written table: its documents' numbers, its
-links as numbers of the batch's different pairs, and these pairs with their counts. So what is shuffled to count pairs
-over the corpus, and back, is a row for each pair and batch, not for each link; a pair that every document has is one
-row a batch.
+The texts of a batch of about half a megabyte are one array. A batch becomes one row of a written table: its documents'
+numbers, its links as numbers of the batch's different pairs, and these pairs with their counts. So what is shuffled to
+count pairs over the corpus, and back, is a row for each pair and batch, not for each link; a pair that every document
+has is one row a batch.
 
 Defined results: null and empty texts, and texts whose tokens' joined bytes differ from space and text, have no
 tokens: all numbers are 0 and the groups are empty; a very long text is given to the tokenizers in pieces of about ``PIECE``
@@ -44,8 +44,8 @@ from dataprism.llm.byte_bpe import pieces_at_spaces
 from dataprism.llm.common import Scratch, arrow_map, documents, int_lists, ship_package
 
 PIECE = 1 << 18
-SLICE_BYTES = 1 << 20
-MEMO_BYTES = 32 << 20
+SLICE_BYTES = 1 << 19
+MEMO_BYTES = 16 << 20
 TOGETHER = 100  # words encoded as one text
 LONGEST = 64  # characters of a remembered word
 MARK = "▁"
@@ -302,7 +302,7 @@ def _batches(docs: DataFrame, files: tuple[str, bytes, str]) -> DataFrame:
             sizes = batch.column(1).cast(pa.binary())
             sizes = np.cumsum(np.nan_to_num(pc.binary_length(sizes).to_numpy(zero_copy_only=False)))
             at = 0
-            while at < batch.num_rows:  # texts of about a megabyte at a time
+            while at < batch.num_rows:  # texts of about SLICE_BYTES at a time
                 before = sizes[at - 1] if at else 0
                 end = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
                 x, n_a, n_b = aligner.align(batch.column(1).slice(at, end - at).to_pylist())
